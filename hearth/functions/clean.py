@@ -27,7 +27,7 @@ UNKNOWN_TEXT = "Unknown"
 MONEY_CHARS_ADDRESS = "[\r\n\t,£]"
 MONEY_CHARS_RESERVE = "[,£$ ]"
 # Year-month pattern (P-10).
-YEAR_MONTH_RE = "^[12][0-9]{3}-[01][0-9]$"
+YEAR_MONTH_RE = r"^[12][0-9]{3}-[01][0-9]\z"
 # Date formats, Spark pattern letters (P-06/P-07).
 UK = "d/M/yyyy"          # dd/mm/yyyy, style 103
 ISO = "yyyy-M-d"         # yyyy-mm-dd, style 23
@@ -37,8 +37,9 @@ ISO_TIME = "yyyy-M-d HH:mm:ss"  # style 120 after 'T' -> ' '
 
 # Plain decimal text: optional sign, digits with an optional point, no
 # exponent.  Spark's cast accepts '1e5'; the reference's does not (H-2).
-NUMERIC_RE = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *$"
-INTEGER_RE = r"^ *[+-]?[0-9]+ *$"
+# \z (not $): Java's $ also matches before a trailing line break.
+NUMERIC_RE = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *\z"
+INTEGER_RE = r"^ *[+-]?[0-9]+ *\z"
 
 
 def _c(c: Column | str) -> Column:
@@ -83,7 +84,7 @@ def money(c: Column | str, chars: str = MONEY_CHARS_ADDRESS,
 
 # P-06
 def safe_date(c: Column | str, fmt: str = UK) -> Column:
-    return F.try_to_date(F.trim(_c(c)), F.lit(fmt))
+    return F.try_to_date(F.trim(_c(c)), fmt)
 
 
 # P-07
