@@ -61,10 +61,12 @@ def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataF
     return df.agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
 
 
-def distribution(df: DataFrame, col: str | Column, count_col: str = "row_count") -> DataFrame:
+def distribution(df: DataFrame, cols: str | Column | Sequence[str | Column],
+                 count_col: str = "row_count") -> DataFrame:
     """A-DIST: value frequencies (order with ``orderBy(desc(count_col))`` when shown)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return df.groupBy(c).agg(F.count(F.lit(1)).alias(count_col))
+    if isinstance(cols, (str, Column)):
+        cols = [cols]
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
 
 
 def recon(counts: Mapping[str, DataFrame]) -> DataFrame:

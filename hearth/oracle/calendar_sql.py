@@ -27,9 +27,9 @@ def date_attrs_sql(d: str) -> dict[str, str]:
     }
 
 
-def staging_dates_sql() -> str:
-    d = "d"
-    a = f"DATE '{STAGING_AS_OF}'"
+def calendar_attrs_sql(d: str = "d", as_of: str = STAGING_AS_OF) -> dict[str, str]:
+    """Rich calendar attributes (D-11) for a date expression ``d``."""
+    a = f"DATE '{as_of}'"
     fm = f"(((month({d}) - 4 + 12) % 12) + 1)"
     fy = f"(year({d}) + CAST(month({d}) >= 4 AS INTEGER))"
     fq = f"(CAST(floor(({fm} - 1) / 3) AS INTEGER) + 1)"
@@ -66,5 +66,10 @@ def staging_dates_sql() -> str:
         "HolidayName": f"CASE WHEN {hol} AND month({d}) = 1 THEN 'New Year''s Day' WHEN {hol} THEN 'Christmas Day' ELSE '' END",
         "IsWeekendFlag": f"CAST(dayofweek({d}) IN (0, 6) AS INTEGER)",
     })
+    return attrs
+
+
+def staging_dates_sql() -> str:
+    attrs = calendar_attrs_sql("d")
     cols = ", ".join(f"CAST({attrs[c]} AS VARCHAR) AS {c}" for c in STAGING_DATE_COLUMNS)
     return f"(SELECT {cols} FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) dd)"

@@ -78,13 +78,9 @@ cte("expenses_all", "SELECT coalesce(sum(ExpenseAmount), 0) AS all_expenses FROM
 cte("latest_reserves", """SELECT * FROM silver_claim_reserves WHERE ClaimID IS NOT NULL QUALIFY row_number() OVER
   (PARTITION BY ClaimID ORDER BY SnapshotDate DESC NULLS LAST, ReserveID DESC NULLS LAST) = 1""",
     "silver_claim_reserves")
-for _d in ("address", "broker"):
-    pass
-
-
 def _present(sql: str, cols: list[str], deps: list[str], doubles=(), bigints=()) -> str:
-    d = [c for c in cols if c in set(DOUBLES) | set(doubles)]
-    b = [c for c in cols if c in set(BIGINTS) | set(bigints)]
+    d = list(dict.fromkeys([c for c in cols if c in DOUBLES] + list(doubles)))
+    b = list(dict.fromkeys([c for c in cols if c in BIGINTS] + list(bigints)))
     return build(S.present(f"({sql}) q", d, b), *deps)
 
 

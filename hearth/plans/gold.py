@@ -177,3 +177,16 @@ class Gold:
         s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
         j = lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
         return _stamp(assign_key(j, ["PolicyID", "CoverageType"], "PolicyCoverageKey"), self.now)
+
+
+def rich_calendar(gold: Gold) -> DataFrame:
+    """D-11: the generated calendar with the staging file's richer attributes
+    (ISO week, period bounds, April fiscal year, relative flags, holidays)."""
+    from hearth.sources.calendar import STAGING_DATE_COLUMNS, rich_attributes
+    d = F.col("FullDate")
+    hol = ((F.month(d) == 1) & (F.dayofmonth(d) == 1)) | ((F.month(d) == 12) & (F.dayofmonth(d) == 25))
+    attrs = {**date_attributes(d), **rich_attributes(d, F.lit(gold.wh.as_of).cast("date"), 4, hol)}
+    attrs["HolidayName"] = (F.when(hol & (F.month(d) == 1), F.lit("New Year's Day"))
+                            .when(hol, F.lit("Christmas Day")).otherwise(F.lit("")))
+    names = ["DateKey", "FullDate"] + [c for c in STAGING_DATE_COLUMNS if c in attrs and c not in ("DateKey",)]
+    return gold.dim_date.select("FullDate").select(*[attrs[n].alias(n) for n in dict.fromkeys(names)])
