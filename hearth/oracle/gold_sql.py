@@ -90,3 +90,27 @@ def gold_query(name: str) -> str:
                "fact_claim_reserves": "claim_reserves", "fact_premium_transactions": "premium_transactions"}[name]
         doubles, bigints = PRESENT.get(src, ((), ()))
     return build(S.present(name, doubles, bigints), name)
+
+
+def rich_calendar_sql() -> str:
+    """D-11 twin: generated calendar with the staging file's richer attributes."""
+    from hearth.oracle.calendar_sql import calendar_attrs_sql
+    from hearth.sources.calendar import STAGING_DATE_COLUMNS
+    attrs = calendar_attrs_sql("FullDate", "2001-12-31")
+    rich = ["WeekOfYear_ISO", "ISOYear", "ISOWeekday", "MonthNameShort", "MonthYear", "YearMonth", "YearMonthKey",
+            "QuarterName", "YearQuarter", "StartOfMonth", "EndOfMonth", "StartOfQuarter", "EndOfQuarter",
+            "StartOfYear", "EndOfYear", "FiscalYear", "FiscalMonthNumber", "FiscalQuarterNumber", "FiscalQuarterName",
+            "FiscalYearQuarter", "FiscalYearMonthKey", "FiscalYearMonth", "IsToday", "IsCurrentMonth",
+            "IsCurrentYear", "IsYTD", "IsLast7Days", "IsLast30Days", "IsLast90Days", "IsBusinessDay",
+            "IsUKBankHoliday", "HolidayName"]
+    base = ["MonthName", "DayName", "IsWeekend"]
+    names = ["DateKey", "FullDate"] + [c for c in STAGING_DATE_COLUMNS if c in set(rich) | set(base)]
+    text = {"MonthName", "DayName", "MonthNameShort", "MonthYear", "YearMonth", "QuarterName", "YearQuarter",
+            "FiscalQuarterName", "FiscalYearQuarter", "FiscalYearMonth", "HolidayName"}
+    dates = {"FullDate", "StartOfMonth", "EndOfMonth", "StartOfQuarter", "EndOfQuarter", "StartOfYear", "EndOfYear"}
+
+    def typed(n):
+        e = attrs[n]
+        return e if n in text or n in dates else f"CAST({e} AS BIGINT)"
+    cols = ", ".join(f"{typed(n)} AS {n}" for n in names)
+    return build(f"SELECT {cols} FROM (SELECT FullDate FROM dim_date) c", "dim_date")
