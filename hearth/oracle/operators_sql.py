@@ -6,7 +6,8 @@ from hearth.oracle import gold_sql  # noqa: F401
 from hearth.oracle import sqlfn as S
 from hearth.oracle.reports_sql import _present, ratio, rollup_sql
 from hearth.oracle.silver_sql import PRESENT, build
-from hearth.plans.operators_q import BROKER_SCORE_WEIGHTS, LOOKUP_POLICY, POSTCODE_SCORE_WEIGHTS, TOP_BROKERS
+from hearth.plans.operators_q import (BROKER_SCORE_WEIGHTS, INCREMENTAL_CUTOFF, LOOKUP_POLICY, POSTCODE_SCORE_WEIGHTS,
+                                      TOP_BROKERS)
 
 OPERATOR_SQL: dict[str, str] = {}
 
@@ -76,3 +77,14 @@ OPERATOR_SQL["e_05"] = _present(_minmax_sql(_E05_SRC, POSTCODE_SCORE_WEIGHTS),
 OPERATOR_SQL["e_03"] = """SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
   event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM events GROUP BY 1, 2"""
+
+OPERATOR_SQL["e_01"] = build(f"""SELECT year(TransactionDate) AS year, count(*) AS rows,
+  CAST(coalesce(sum(NetPremium), 0) AS DOUBLE) AS net_premium FROM (
+  SELECT * FROM silver_premium_transactions t WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}'
+    AND t.PremiumTransactionID NOT IN (SELECT PremiumTransactionID FROM silver_premium_transactions s,
+      (SELECT max(TransactionDate) AS h FROM silver_premium_transactions WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}') w
+      WHERE w.h IS NULL OR s.TransactionDate > w.h)
+  UNION ALL
+  SELECT s.* FROM silver_premium_transactions s,
+    (SELECT max(TransactionDate) AS h FROM silver_premium_transactions WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}') w
+  WHERE w.h IS NULL OR s.TransactionDate > w.h) m GROUP BY 1""", "silver_premium_transactions")

@@ -111,6 +111,21 @@ def e_05(wh) -> DataFrame:
     return present(_minmax(a, POSTCODE_SCORE_WEIGHTS))
 
 
+# Fixed value: the cut-off of "yesterday's" load in the E-01 query.
+INCREMENTAL_CUTOFF = "1999-12-31"
+
+
+def e_01(wh) -> DataFrame:
+    """E-01: yesterday's premium fact (transactions up to the cut-off) brought
+    up to date from today's feed by high-water mark; summarised per year."""
+    from hearth.plans.incremental import incremental_load
+    s = wh.silver("premium_transactions").drop("BronzeLoadDts", "SilverLoadDts", "SourceSystem")
+    target = s.filter(F.col("TransactionDate") <= F.lit(INCREMENTAL_CUTOFF).cast("date"))
+    merged = incremental_load(target, s, ["PremiumTransactionID"], "TransactionDate")
+    return present(merged.groupBy(F.year("TransactionDate").alias("year"))
+                         .agg(F.count(F.lit(1)).alias("rows"), K.money_sum("NetPremium").alias("net_premium")))
+
+
 def e_03(wh) -> DataFrame:
     """E-03 claims monitor, batch form of the streaming job: events per
     hourly tumbling window and type (see hearth.streaming.monitor)."""
@@ -127,5 +142,5 @@ def e_06(wh) -> DataFrame:
 
 OPERATORS = {
     "snk_merge1": snk_merge1, "a_dupn": a_dupn, "a_dist": a_dist, "o_topk": o_topk, "w_lag": w_lag,
-    "w_latestsnap": w_latestsnap, "p_26": p_26, "e_03": e_03, "e_04": e_04, "e_05": e_05, "e_06": e_06,
+    "w_latestsnap": w_latestsnap, "p_26": p_26, "e_01": e_01, "e_03": e_03, "e_04": e_04, "e_05": e_05, "e_06": e_06,
 }
