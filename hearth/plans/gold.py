@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import clean as C
@@ -96,14 +96,35 @@ class Gold:
         return _stamp(calendar_between(bounds).select(*[c.alias(n) for n, c in attrs.items()]), self.now)
 
     @cached_property
-    def dim_expense_category(self) -> DataFrame:
-        """D-06: one row per trimmed category; no unknown member."""
+    def expense_categories(self) -> DataFrame:
+        """One row per trimmed category (W-LATEST-EXPR, deterministic winner)."""
         s = self.wh.silver("operating_expenses").select(
             F.trim("ExpenseCategory").alias("ExpenseCategory"),
             C.strict_flag("ImpactsExpenseRatioFlag").alias("ImpactsExpenseRatioFlag"),
             F.col("ExpenseType"), F.col("CostCentre"))
-        one = latest(s, ["ExpenseCategory"])  # W-LATEST-EXPR, deterministic winner
-        return _stamp(assign_key(one, ["ExpenseCategory"], "ExpenseCategoryKey"), self.now)
+        return latest(s, ["ExpenseCategory"])
+
+    @cached_property
+    def dim_expense_category(self) -> DataFrame:
+        """D-06: the categories with a surrogate key; no unknown member."""
+        return _stamp(assign_key(self.expense_categories, ["ExpenseCategory"], "ExpenseCategoryKey"), self.now)
+
+    def _expense_typed(self) -> DataFrame:
+        return self.wh.silver("operating_expenses").select(
+            C.first_date("ExpenseMonthStart", EXPENSE_MONTH_FORMATS).alias("ExpenseMonth"),
+            F.trim("ExpenseCategory").alias("ExpenseCategory"),
+            C.safe_decimal("ExpenseAmount").alias("ExpenseAmount"),
+            C.safe_decimal("InflationAdjustedAmount").alias("InflationAdjustedAmount"),
+            C.safe_decimal("PreviousMonthAmount").alias("PreviousMonthAmount"),
+            C.safe_decimal("MoMVariance").alias("MoMVariance"),
+            F.col("Currency"))
+
+    @cached_property
+    def expense_lines(self) -> DataFrame:
+        """The rows of F-04 without surrogate keys (what KPIs aggregate):
+        the same inner join to the categories, no numbering job."""
+        cat = self.expense_categories.select(F.col("ExpenseCategory").alias("_cat"), "ImpactsExpenseRatioFlag")
+        return join_dim(self._expense_typed(), cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")
 
     @cached_property
     def dim_policy(self) -> DataFrame:
@@ -156,14 +177,7 @@ class Gold:
     def fact_operating_expenses(self) -> DataFrame:
         """F-04: inner join to categories (drops unknown categories, audited by
         V-22), left join to the calendar (bounded, broadcast), surrogate key."""
-        s = self.wh.silver("operating_expenses").select(
-            C.first_date("ExpenseMonthStart", EXPENSE_MONTH_FORMATS).alias("ExpenseMonth"),
-            F.trim("ExpenseCategory").alias("ExpenseCategory"),
-            C.safe_decimal("ExpenseAmount").alias("ExpenseAmount"),
-            C.safe_decimal("InflationAdjustedAmount").alias("InflationAdjustedAmount"),
-            C.safe_decimal("PreviousMonthAmount").alias("PreviousMonthAmount"),
-            C.safe_decimal("MoMVariance").alias("MoMVariance"),
-            F.col("Currency"))
+        s = self._expense_typed()
         cat = self.dim_expense_category.select("ExpenseCategoryKey", F.col("ExpenseCategory").alias("_cat"),
                                                "ImpactsExpenseRatioFlag")
         j = join_dim(s, cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")

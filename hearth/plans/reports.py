@@ -189,7 +189,7 @@ def monthly(wh) -> DataFrame:
              .agg(F.sum("NetPremium").alias("net_premium"))
     paid = wh.silver("claim_payments").groupBy(F.trunc("PaymentDate", "month").alias("m")) \
              .agg(F.sum("PaymentAmount").alias("claims_paid"))
-    exp = wh.gold.fact_operating_expenses.filter(F.col("ImpactsExpenseRatioFlag") == 1) \
+    exp = wh.gold.expense_lines.filter(F.col("ImpactsExpenseRatioFlag") == 1) \
             .groupBy(F.col("ExpenseMonth").alias("m")).agg(F.sum("ExpenseAmount").alias("expenses"))
     j = prem.join(paid, "m", "full").join(exp, "m", "full")
     return j.select("m", *[F.coalesce(c, F.lit(0).cast("decimal(18,2)")).alias(c)
@@ -230,7 +230,7 @@ def r_28_high_risk(wh):
 
 
 def r_29(wh):
-    f = wh.gold.fact_operating_expenses
+    f = wh.gold.expense_lines
     return _p(f.groupBy("ExpenseCategory", F.date_format("ExpenseMonth", "yyyy-MM").alias("month"))
                .agg(K.money_sum("ExpenseAmount").alias("expenses")))
 

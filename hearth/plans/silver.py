@@ -262,8 +262,11 @@ def silver_policy(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
     rejects = no_key.select("PolicyID", REASON, F.col("InceptionDate").alias("InceptionDateRaw"),
                             F.col("ExpiryDate").alias("ExpiryDateRaw"), "BronzeRowID", "BronzeLoadDts") \
                     .unionByName(order_bad.select(*rej_cols))
-    # J-ANTI: good = latest rows without a reject on the same key and load
-    good = typed.join(order_bad.select("PolicyID", "BronzeLoadDts"), ["PolicyID", "BronzeLoadDts"], "left_anti") \
+    # The reference keeps the latest rows that have no reject on the same key and
+    # load (NOT EXISTS).  The rejects are derived from these very rows, so the
+    # anti join equals the negated rule as a filter: same rows, no second pass
+    # over the source and no extra shuffle.  (``joins.anti`` is the general form.)
+    good = typed.filter(~F.coalesce(F.col("ExpiryDate") < F.col("InceptionDate"), F.lit(False))) \
                 .drop("InceptionDateRaw", "ExpiryDateRaw")
     return _stamp_silver(good, now), rejects
 

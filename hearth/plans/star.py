@@ -34,25 +34,51 @@ def claim_paid(wh) -> DataFrame:
               .agg(F.sum("PaymentAmount").alias("ClaimPaid"), F.count(F.lit(1)).alias("payments")))
 
 
+def claims_with_paid(wh) -> DataFrame:
+    """Claim grain: every claim and every paid ClaimID (full join), so claim
+    counts and payments whose claim is unknown (NULL policy) both survive."""
+    claims = wh.silver("claims").select("ClaimID", "PolicyID", F.lit(1).alias("is_claim"))
+    return claims.join(claim_paid(wh).select("ClaimID", "ClaimPaid"), "ClaimID", "full")
+
+
 def paid_by_policy(wh) -> DataFrame:
-    """Payments -> claim -> policy; payments whose claim is unknown stay in a
-    NULL-policy group so totals are whole."""
-    cp = claim_paid(wh).select("ClaimID", "ClaimPaid")
-    claims = wh.silver("claims").select("ClaimID", "PolicyID")
-    return cp.join(claims, "ClaimID", "left").groupBy("PolicyID").agg(F.sum("ClaimPaid").alias("paid"))
+    return claims_with_paid(wh).groupBy("PolicyID").agg(F.sum("ClaimPaid").alias("paid"))
 
 
 def claims_by_policy(wh) -> DataFrame:
     return wh.silver("claims").groupBy("PolicyID").agg(F.count(F.lit(1)).alias("n_claims"))
 
 
+_GRAIN_COLS = {"AddressID": "string", "BrokerID": "string", "PolicyStatus": "string", "InceptionDate": "date",
+               "is_policy": "int", "net": "decimal(28,2)", "gross": "decimal(28,2)", "paid": "decimal(38,2)",
+               "n_claims": "bigint"}
+
+
+def _side(df: DataFrame, **cols) -> DataFrame:
+    """One input of the policy-grain union: its own columns, NULL elsewhere."""
+    return df.select("PolicyID", *[(cols[c] if c in cols else F.lit(None)).cast(t).alias(c)
+                                   for c, t in _GRAIN_COLS.items()])
+
+
 def policy_grain(wh) -> DataFrame:
-    """J-MERGED: one row per policy with its premium, paid and claim count."""
-    pol = wh.silver("policy").select("PolicyID", "AddressID", "BrokerID", "PolicyStatus", "InceptionDate",
-                                     F.lit(1).alias("is_policy"))
-    facts = (premium_by_policy(wh).join(paid_by_policy(wh), "PolicyID", "full")
-             .join(claims_by_policy(wh), "PolicyID", "full"))
-    return pol.join(facts, "PolicyID", "full")
+    """J-MERGED: one row per policy with its premium, paid and claim count.
+
+    A union of the policy rows, the premium rows and the claim rows followed
+    by one ``groupBy(PolicyID)`` replaces a chain of full outer joins: each
+    input is pre-aggregated map-side and the whole grain costs a single
+    shuffle on PolicyID."""
+    pol = wh.silver("policy")
+    prem = wh.silver("premium_transactions")
+    clm = claims_with_paid(wh)
+    u = (_side(pol, AddressID=F.col("AddressID"), BrokerID=F.col("BrokerID"), PolicyStatus=F.col("PolicyStatus"),
+               InceptionDate=F.col("InceptionDate"), is_policy=F.lit(1))
+         .unionByName(_side(prem, net=F.col("NetPremium"), gross=F.col("GrossPremium")))
+         .unionByName(_side(clm, paid=F.col("ClaimPaid"), n_claims=F.col("is_claim"))))
+    return u.groupBy("PolicyID").agg(
+        F.max("AddressID").alias("AddressID"), F.max("BrokerID").alias("BrokerID"),
+        F.max("PolicyStatus").alias("PolicyStatus"), F.max("InceptionDate").alias("InceptionDate"),
+        F.max("is_policy").alias("is_policy"), F.sum("net").alias("net"), F.sum("gross").alias("gross"),
+        F.sum("paid").alias("paid"), F.sum("n_claims").alias("n_claims"))
 
 
 def _partials(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -108,7 +134,7 @@ def totals(wh) -> DataFrame:
 
 
 def expenses(wh, impacting_only: bool = True) -> DataFrame:
-    f = wh.gold.fact_operating_expenses
+    f = wh.gold.expense_lines
     if impacting_only:
         f = f.filter(F.col("ImpactsExpenseRatioFlag") == 1)
     return f.agg(K.money_sum("ExpenseAmount").alias("expenses"))
