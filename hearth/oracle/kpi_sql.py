@@ -49,10 +49,11 @@ KPI_SQL["k_02"] = _present("SELECT coalesce(sum(GrossPremium), 0) AS written_pre
 KPI_SQL["k_03"] = _present("SELECT net_premium AS earned_premium FROM k_net", [], ["k_net"], doubles=D("earned_premium"))
 KPI_SQL["k_03_prorata"] = _present("""SELECT CAST(CAST(coalesce(sum(CASE WHEN term > 0 THEN (cents * elapsed) // term ELSE cents END), 0)
     AS DECIMAL(38,0)) / 100 AS DECIMAL(38,2)) AS earned_premium
-FROM (SELECT CAST(NetPremium * 100 AS BIGINT) AS cents, date_diff('day', InceptionDate, ExpiryDate) AS term,
+FROM (SELECT cents, date_diff('day', InceptionDate, ExpiryDate) AS term,
         least(greatest(date_diff('day', InceptionDate, DATE '2001-12-31'), 0),
               date_diff('day', InceptionDate, ExpiryDate)) AS elapsed
-      FROM silver_premium_transactions t LEFT JOIN silver_policy p ON t.PolicyID = p.PolicyID) x""",
+      FROM (SELECT PolicyID, sum(CAST(NetPremium * 100 AS BIGINT)) AS cents FROM silver_premium_transactions
+            GROUP BY PolicyID) t LEFT JOIN silver_policy p ON t.PolicyID = p.PolicyID) x""",
     [], ["silver_premium_transactions", "silver_policy"], doubles=D("earned_premium"))
 KPI_SQL["k_04"] = _present("SELECT claims_paid FROM k_paid", ["claims_paid"], ["k_paid"])
 KPI_SQL["k_05"] = _present("SELECT outstanding_reserves FROM k_out", [], ["k_out"], doubles=D("outstanding_reserves"))

@@ -68,10 +68,13 @@ def k_03(wh, mode: str = "net"):
     if mode == "net":
         return present(net_premium(wh).withColumnRenamed("net_premium", "earned_premium"))
     pol = wh.silver("policy").select("PolicyID", "InceptionDate", "ExpiryDate")
-    p = _prem(wh).select("PolicyID", "NetPremium").join(pol, "PolicyID", "left")
+    # premium summed per policy first (exact cents), so a policy with many
+    # transactions joins as one row; earning is pro rata per policy, floored to a penny
+    per_pol = _prem(wh).groupBy("PolicyID").agg(F.sum((F.col("NetPremium") * 100).cast("bigint")).alias("cents"))
+    p = per_pol.join(pol, "PolicyID", "left")
     term = F.datediff("ExpiryDate", "InceptionDate")
     elapsed = F.least(F.greatest(F.datediff(F.lit(wh.as_of).cast("date"), F.col("InceptionDate")), F.lit(0)), term)
-    cents = (F.col("NetPremium") * 100).cast("bigint")
+    cents = F.col("cents")
     earned_cents = F.when(term > 0, F.floor(cents * elapsed / term).cast("bigint")).otherwise(cents)
     return present(p.agg((F.coalesce(F.sum(earned_cents), F.lit(0)).cast("decimal(38,0)") / 100)
                          .cast("decimal(38,2)").alias("earned_premium")))

@@ -213,12 +213,13 @@ def r_27(wh):
 
 def r_28(wh):
     """Claims by region over time (loss month)."""
-    c = wh.gold.fact_claim.select("PolicyID", F.date_format("LossDate", "yyyy-MM").alias("month"))
+    c = (wh.gold.fact_claim.groupBy("PolicyID", F.date_format("LossDate", "yyyy-MM").alias("month"))
+         .agg(F.count(F.lit(1)).alias("_n")))            # one row per policy and month before the joins
     pol = wh.silver("policy").select("PolicyID", "AddressID")
     a = star.address_dim(wh).select("_dk", "Region")
     j = c.join(pol, "PolicyID", "left").join(a, F.col("AddressID") == F.col("_dk"), "left")
     return _p(j.groupBy(F.coalesce("Region", F.lit("Unknown")).alias("Region"), "month")
-               .agg(F.count(F.lit(1)).alias("claims")))
+               .agg(F.sum("_n").alias("claims")))
 
 
 def r_28_high_risk(wh):
