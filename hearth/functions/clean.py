@@ -82,9 +82,25 @@ def money(c: Column | str, chars: str = MONEY_CHARS_ADDRESS,
     return safe_decimal(F.regexp_replace(_c(c), chars, ""), precision, scale)
 
 
+# Digit-and-separator shape of each format: a superset of what the pattern
+# can parse.  ``try_to_date`` signals a failed parse through an exception
+# internally, which is costly per row; text of the wrong shape never reaches it.
+DATE_SHAPE = {
+    UK: r"^[0-9]+/[0-9]+/[0-9]+\z",
+    ISO: r"^[0-9]+-[0-9]+-[0-9]+\z",
+    YMD_SLASH: r"^[0-9]+/[0-9]+/[0-9]+\z",
+    DMY_DASH: r"^[0-9]+-[0-9]+-[0-9]+\z",
+    "yyyyMMdd": r"^[0-9]+\z",
+    ISO_TIME: r"^[0-9]+-[0-9]+-[0-9]+ [0-9]+:[0-9]+:[0-9]+\z",
+}
+
+
 # P-06
 def safe_date(c: Column | str, fmt: str = UK) -> Column:
-    return F.try_to_date(F.trim(_c(c)), fmt)
+    t = F.trim(_c(c))
+    parsed = F.try_to_date(t, fmt)
+    shape = DATE_SHAPE.get(fmt)
+    return F.when(t.rlike(shape), parsed) if shape else parsed
 
 
 # P-07
