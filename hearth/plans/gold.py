@@ -32,6 +32,20 @@ def normalised_cover(c) -> F.Column:
     return F.coalesce(F.upper(C.blank_to_null(c)), F.lit(UNKNOWN_CODE))
 
 
+def stored(fn):
+    """A gold table: read from the warehouse's store when gold is stored,
+    else derived by ``fn``; memoised like ``cached_property``."""
+    name = fn.__name__
+
+    def get(self):
+        if "gold" in self.wh.stored:
+            return self.wh.spark.read.parquet(f"{self.wh.store}/gold/{name}")
+        return fn(self)
+    get.__name__ = name
+    get.__doc__ = fn.__doc__
+    return cached_property(get)
+
+
 def _stamp(df: DataFrame, now) -> DataFrame:
     return df.withColumn("GoldLoadDts", F.lit(now).cast("timestamp"))
 
@@ -59,7 +73,7 @@ class Gold:
         self.now = wh.now
 
     # -- dimensions ----------------------------------------------------------
-    @cached_property
+    @stored
     def dim_address(self) -> DataFrame:
         s = self.wh.silver("address").drop("PostcodeArea", "CustomerID", "BronzeLoadDts", "SilverLoadDts",
                                             "SourceFile")
@@ -67,24 +81,24 @@ class Gold:
         return with_unknown(dim.select("AddressKey", *[c for c in dim.columns if c != "AddressKey"]),
                             {"AddressKey": UNKNOWN_KEY, "AddressID": UNKNOWN_CODE})
 
-    @cached_property
+    @stored
     def dim_broker(self) -> DataFrame:
         s = self.wh.silver("broker").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")
         dim = _stamp(assign_key(s, ["BrokerID"], "BrokerKey"), self.now)
         return with_unknown(dim.select("BrokerKey", *[c for c in dim.columns if c != "BrokerKey"]),
                             {"BrokerKey": UNKNOWN_KEY, "BrokerID": UNKNOWN_CODE})
 
-    @cached_property
+    @stored
     def dim_coverage(self) -> DataFrame:
         return dim_coverage_from(self.wh.silver("coverage"), self.now)
 
-    @cached_property
+    @stored
     def dim_customers(self) -> DataFrame:
         s = self.wh.silver("customer").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")  # P-21
         dim = _stamp(assign_key(s, ["CustomerID"], "CustomerKey"), self.now)
         return dim.select("CustomerKey", *[c for c in dim.columns if c != "CustomerKey"])
 
-    @cached_property
+    @stored
     def dim_date(self) -> DataFrame:
         """D-05: calendar over the order-date span (+1 year for expiries),
         widened to whole years; bounded by the number of days."""
@@ -95,7 +109,7 @@ class Gold:
         attrs = date_attributes(d)
         return _stamp(calendar_between(bounds).select(*[c.alias(n) for n, c in attrs.items()]), self.now)
 
-    @cached_property
+    @stored
     def expense_categories(self) -> DataFrame:
         """One row per trimmed category (W-LATEST-EXPR, deterministic winner)."""
         s = self.wh.silver("operating_expenses").select(
@@ -104,7 +118,7 @@ class Gold:
             F.col("ExpenseType"), F.col("CostCentre"))
         return latest(s, ["ExpenseCategory"])
 
-    @cached_property
+    @stored
     def dim_expense_category(self) -> DataFrame:
         """D-06: the categories with a surrogate key; no unknown member."""
         return _stamp(assign_key(self.expense_categories, ["ExpenseCategory"], "ExpenseCategoryKey"), self.now)
@@ -119,18 +133,18 @@ class Gold:
             C.safe_decimal("MoMVariance").alias("MoMVariance"),
             F.col("Currency"))
 
-    @cached_property
+    @stored
     def expense_lines(self) -> DataFrame:
         """The rows of F-04 without surrogate keys (what KPIs aggregate):
         the same inner join to the categories, no numbering job."""
         cat = self.expense_categories.select(F.col("ExpenseCategory").alias("_cat"), "ImpactsExpenseRatioFlag")
         return join_dim(self._expense_typed(), cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")
 
-    @cached_property
+    @stored
     def dim_policy(self) -> DataFrame:
         return _stamp(self.wh.silver("policy").drop("SilverLoadDts"), self.now)
 
-    @cached_property
+    @stored
     def dim_policy_risk(self) -> DataFrame:
         return _stamp(self.wh.silver("policy_risk").drop("SilverLoadDts"), self.now)
 
@@ -140,16 +154,16 @@ class Gold:
         dim = _stamp(assign_key(vals, [col], key), self.now).select(key, col, "GoldLoadDts")
         return with_unknown(dim, {key: UNKNOWN_KEY, col: UNKNOWN_CODE})
 
-    @cached_property
+    @stored
     def dim_claim_type(self) -> DataFrame:
         return self._code_dim("ClaimType", "ClaimTypeKey")
 
-    @cached_property
+    @stored
     def dim_claim_status(self) -> DataFrame:
         return self._code_dim("ClaimStatus", "ClaimStatusKey")
 
     # -- facts -----------------------------------------------------------------
-    @cached_property
+    @stored
     def fact_claim(self) -> DataFrame:
         """F-01: three dates parsed (P-08 + P-07), flags and integers typed."""
         s = self.wh.silver("claims")
@@ -161,19 +175,19 @@ class Gold:
             C.safe_int("ClaimDurationDays").alias("ClaimDurationDays"),
             *[C.strict_flag(c).alias(c) for c in ("ReopenedFlag", "FraudFlag", "CatEventFlag")]), self.now)
 
-    @cached_property
+    @stored
     def fact_claim_payments(self) -> DataFrame:
         return _stamp(self.wh.silver("claim_payments").drop("SilverLoadDts"), self.now)
 
-    @cached_property
+    @stored
     def fact_claim_reserves(self) -> DataFrame:
         return _stamp(self.wh.silver("claim_reserves").drop("SilverLoadDts"), self.now)
 
-    @cached_property
+    @stored
     def fact_premium_transactions(self) -> DataFrame:
         return _stamp(self.wh.silver("premium_transactions").drop("SilverLoadDts"), self.now)
 
-    @cached_property
+    @stored
     def fact_operating_expenses(self) -> DataFrame:
         """F-04: inner join to categories (drops unknown categories, audited by
         V-22), left join to the calendar (bounded, broadcast), surrogate key."""
@@ -185,7 +199,7 @@ class Gold:
         j = j.join(F.broadcast(cal), F.col("ExpenseMonth") == F.col("_d"), "left").drop("_d")
         return _stamp(assign_key(j, ["ExpenseMonth", "ExpenseCategory"], "OperatingExpenseKey"), self.now)
 
-    @cached_property
+    @stored
     def fact_policy_coverage(self) -> DataFrame:
         """F-05: coverage rows + CoverageKey lookup (-1 when absent) + surrogate."""
         s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")

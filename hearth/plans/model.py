@@ -45,9 +45,18 @@ def present(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 class Warehouse:
+    """Every layer as DataFrames over ``sf_dir``.
+
+    With ``store`` (a folder written by ``hearth.plans.store.build_store``)
+    the layers listed in ``stored`` are read from their written tables
+    instead of being derived again: the normal shape of a warehouse, where
+    the load runs once and reports read gold."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, now: datetime = DEFAULT_NOW,
-                 as_of: date = DEFAULT_AS_OF):
+                 as_of: date = DEFAULT_AS_OF, store: str | None = None,
+                 stored: tuple[str, ...] = ("bronze", "silver", "gold")):
         self.spark, self.sf_dir, self.now, self.as_of = spark, sf_dir, now, as_of
+        self.store, self.stored = store, (stored if store else ())
         self._silver: dict[str, tuple[DataFrame, DataFrame]] = {}
 
     # -- sources -----------------------------------------------------------
@@ -58,11 +67,17 @@ class Warehouse:
         return tv.raw(self.spark, self.sf_dir, entity)
 
     def bronze(self, entity: str) -> DataFrame:
+        if "bronze" in self.stored:
+            return self.spark.read.parquet(f"{self.store}/bronze/{entity}")
         return B.bronze(self.raw(entity), entity, self.now)
 
     # -- silver ------------------------------------------------------------
     def silver_pair(self, entity: str, grain: str = "declared") -> tuple[DataFrame, DataFrame]:
         key = f"{entity}:{grain}"
+        if key not in self._silver and "silver" in self.stored:
+            name = entity if grain == "declared" else f"{entity}__{grain}"
+            self._silver[key] = (self.spark.read.parquet(f"{self.store}/silver/{name}"),
+                                 self.spark.read.parquet(f"{self.store}/reject/{name}"))
         if key not in self._silver:
             fn = S.SILVER[entity]
             b = self.bronze(entity)
