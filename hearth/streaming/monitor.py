@@ -23,8 +23,15 @@ WINDOW = "1 hour"
 WATERMARK = "10 minutes"
 
 
+def event_time(df: DataFrame) -> DataFrame:
+    """Watermarks need a TIMESTAMP event time; a wall-clock TIMESTAMP_NTZ is
+    read in the session time zone (UTC in our sessions), so windows keep
+    their wall-clock boundaries."""
+    return df.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def _aggregate(df: DataFrame) -> DataFrame:
-    return (df.groupBy(F.window("ts", WINDOW).alias("w"), "event_type")
+    return (event_time(df).groupBy(F.window("ts", WINDOW).alias("w"), "event_type")
               .agg(F.count(F.lit(1)).alias("events"),
                    F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"))
               .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -40,7 +47,7 @@ def start_monitor(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
                   schema, trigger_once: bool = False) -> StreamingQuery:
     """Start the streaming monitor.  ``checkpoint_dir`` must be on shared,
     reliable storage on a cluster (it holds offsets and window state)."""
-    stream = (spark.readStream.schema(schema).parquet(source_dir)
+    stream = (event_time(spark.readStream.schema(schema).parquet(source_dir))
               .withWatermark("ts", WATERMARK)
               .dropDuplicatesWithinWatermark(["event_id"]))
     out = (stream.groupBy(F.window("ts", WINDOW).alias("w"), "event_type")
