@@ -37,12 +37,17 @@ def read_raw(spark: SparkSession, path: str, schema: StructType, max_bad: int |
     df = reader.csv(path)
     if max_bad is None:
         return df
-    df = df.cache()  # the corrupt-record column needs a materialised scan (Spark rule)
+    # The CSV reader only detects a wrong field count when it parses every
+    # column, and Spark refuses queries that reference the corrupt-record
+    # column alone.  Referencing all columns keeps both checks a plain scan
+    # (no cache of the whole input).
+    data_cols = [f.name for f in schema.fields]
+    n_bad = df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("n"),
+                   F.max(F.concat_ws("\u001f", *data_cols)).alias("_all")).first()["n"]
     bad = df.filter(F.col(CORRUPT).isNotNull())
-    n_bad = bad.count()
     if n_bad > max_bad:
         raise ValueError(f"{n_bad} malformed rows in {path} (limit {max_bad})")
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad.select(CORRUPT)
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 
 
 def stamp(df: DataFrame, ts_col: str | None = None, now: datetime | None = None,
