@@ -5,7 +5,6 @@ from __future__ import annotations
 from hearth.functions import clean as C
 from hearth.oracle import gold_sql  # noqa: F401
 from hearth.oracle import sqlfn as S
-from hearth.oracle.reports_sql import _present
 from hearth.oracle.silver_sql import build
 from hearth.plans.audits import ENTITIES, KEY_OF
 

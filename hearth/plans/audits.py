@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import clean as C
-from hearth.operators.quality import conditional_counts, distribution, duplicate_keys
+from hearth.operators.quality import conditional_counts, distribution, duplicate_keys, recon
 from hearth.plans.model import present
 
 KEY_OF = {"address": ["AddressID"], "broker": ["BrokerID"], "claim_payments": ["PaymentID"],
@@ -34,12 +33,8 @@ def _missing_any(keys):
 
 def v_01(wh):
     """Row counts across layers (raw, silver, reject) per entity."""
-    rows = []
-    for e in ENTITIES:
-        r = wh.raw(e).agg(F.count(F.lit(1)).alias("raw_rows"))
-        s = wh.silver(e).agg(F.count(F.lit(1)).alias("silver_rows"))
-        j = wh.rejects(e).agg(F.count(F.lit(1)).alias("reject_rows"))
-        rows.append(r.crossJoin(s).crossJoin(j).select(F.lit(e).alias("entity"), "*"))
+    rows = [recon({"raw_rows": wh.raw(e), "silver_rows": wh.silver(e), "reject_rows": wh.rejects(e)})
+            .select(F.lit(e).alias("entity"), "*") for e in ENTITIES]
     return present(_union(rows))
 
 

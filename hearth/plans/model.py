@@ -14,7 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, ByteType, DecimalType, IntegerType, LongType, ShortType
+from pyspark.sql.types import BooleanType, ByteType, DecimalType, IntegerType, ShortType
 
 from hearth.plans import bronze as B
 from hearth.plans import silver as S

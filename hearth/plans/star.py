@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from hearth.functions import kpi as K
 from hearth.operators.keys import assign_key
 
-POLICY_MEASURES = ("policies", "active_policies", "net_premium", "gross_premium", "claims_paid", "claims")
 ACTIVE_STATUS = "Active"
 
 
