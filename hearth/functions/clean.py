@@ -85,13 +85,13 @@ def money(c: Column | str, chars: str = MONEY_CHARS_ADDRESS,
 # Digit-and-separator shape of each format: a superset of what the pattern
 # can parse.  ``try_to_date`` signals a failed parse through an exception
 # internally, which is costly per row; text of the wrong shape never reaches it.
-DATE_SHAPE = {
-    UK: r"^[0-9]+/[0-9]+/[0-9]+\z",
-    ISO: r"^[0-9]+-[0-9]+-[0-9]+\z",
-    YMD_SLASH: r"^[0-9]+/[0-9]+/[0-9]+\z",
-    DMY_DASH: r"^[0-9]+-[0-9]+-[0-9]+\z",
-    "yyyyMMdd": r"^[0-9]+\z",
-    ISO_TIME: r"^[0-9]+-[0-9]+-[0-9]+ [0-9]+:[0-9]+:[0-9]+\z",
+DATE_SHAPE = {            # 'yyyy' needs at least four digits
+    UK: r"^[0-9]+/[0-9]+/[0-9]{4,}\z",
+    ISO: r"^[0-9]{4,}-[0-9]+-[0-9]+\z",
+    YMD_SLASH: r"^[0-9]{4,}/[0-9]+/[0-9]+\z",
+    DMY_DASH: r"^[0-9]+-[0-9]+-[0-9]{4,}\z",
+    "yyyyMMdd": r"^[0-9]{8,}\z",
+    ISO_TIME: r"^[0-9]{4,}-[0-9]+-[0-9]+ [0-9]+:[0-9]+:[0-9]+\z",
 }
 
 
