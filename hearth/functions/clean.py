@@ -78,8 +78,11 @@ def safe_int(c: Column | str) -> Column:
 # P-05
 def money(c: Column | str, chars: str = MONEY_CHARS_ADDRESS,
           precision: int = 18, scale: int = 2) -> Column:
-    """Strip currency symbols, separators and control characters, then P-04."""
-    return safe_decimal(F.regexp_replace(_c(c), chars, ""), precision, scale)
+    """Strip currency symbols, separators and control characters, then P-04.
+    ``chars`` is a character class; ``translate`` deletes its members (no
+    regex engine per value)."""
+    members = chars[1:-1] if chars.startswith("[") and chars.endswith("]") else chars
+    return safe_decimal(F.translate(_c(c), members, ""), precision, scale)
 
 
 # Digit-and-separator shape of each format: a superset of what the pattern
