@@ -50,19 +50,20 @@ def _stamp(df: DataFrame, now) -> DataFrame:
     return df.withColumn("GoldLoadDts", F.lit(now).cast("timestamp"))
 
 
-def dim_coverage_from(silver_coverage: DataFrame, now, current: DataFrame | None = None) -> DataFrame:
+def dim_coverage_from(silver_coverage: DataFrame, now, current: DataFrame | None = None,
+                      materialize: bool = True) -> DataFrame:
     """D-03: distinct normalised types; UNKNOWN is the -1 member.  With
     ``current`` only new types are added (J-ANTI-EXPR) and numbered after
     the existing maximum."""
     types = (silver_coverage.select(normalised_cover("CoverageType").alias("CoverageType")).distinct()
              .filter(F.col("CoverageType") != UNKNOWN_CODE))
     if current is None:
-        dim = assign_key(types, ["CoverageType"], "CoverageKey")
+        dim = assign_key(types, ["CoverageType"], "CoverageKey", materialize=materialize)
         dim = _stamp(dim, now).select("CoverageKey", "CoverageType", "GoldLoadDts")
         return with_unknown(dim, {"CoverageKey": UNKNOWN_KEY, "CoverageType": UNKNOWN_CODE})
     new = anti(types, current, ["CoverageType"])
     top = current.agg(F.coalesce(F.max("CoverageKey"), F.lit(0)).alias("_m"))
-    new = assign_key(new, ["CoverageType"], "_k").crossJoin(F.broadcast(top))
+    new = assign_key(new, ["CoverageType"], "_k", materialize=materialize).crossJoin(F.broadcast(top))
     new = _stamp(new.withColumn("CoverageKey", (F.col("_k") + F.col("_m")).cast("int")), now)
     return current.unionByName(new.select(*current.columns))
 
@@ -71,31 +72,38 @@ class Gold:
     def __init__(self, wh):
         self.wh = wh
         self.now = wh.now
+        # Numbering checkpoints its input unless that input is already a
+        # written table (stored silver): re-reading the same files gives the
+        # same numbering, and the lineage is already cut there.
+        self.materialize = "silver" not in wh.stored
+
+    def _key(self, df, order, name):
+        return assign_key(df, order, name, materialize=self.materialize)
 
     # -- dimensions ----------------------------------------------------------
     @stored
     def dim_address(self) -> DataFrame:
         s = self.wh.silver("address").drop("PostcodeArea", "CustomerID", "BronzeLoadDts", "SilverLoadDts",
                                             "SourceFile")
-        dim = _stamp(assign_key(s, ["AddressID"], "AddressKey"), self.now)
+        dim = _stamp(self._key(s, ["AddressID"], "AddressKey"), self.now)
         return with_unknown(dim.select("AddressKey", *[c for c in dim.columns if c != "AddressKey"]),
                             {"AddressKey": UNKNOWN_KEY, "AddressID": UNKNOWN_CODE})
 
     @stored
     def dim_broker(self) -> DataFrame:
         s = self.wh.silver("broker").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")
-        dim = _stamp(assign_key(s, ["BrokerID"], "BrokerKey"), self.now)
+        dim = _stamp(self._key(s, ["BrokerID"], "BrokerKey"), self.now)
         return with_unknown(dim.select("BrokerKey", *[c for c in dim.columns if c != "BrokerKey"]),
                             {"BrokerKey": UNKNOWN_KEY, "BrokerID": UNKNOWN_CODE})
 
     @stored
     def dim_coverage(self) -> DataFrame:
-        return dim_coverage_from(self.wh.silver("coverage"), self.now)
+        return dim_coverage_from(self.wh.silver("coverage"), self.now, materialize=self.materialize)
 
     @stored
     def dim_customers(self) -> DataFrame:
         s = self.wh.silver("customer").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")  # P-21
-        dim = _stamp(assign_key(s, ["CustomerID"], "CustomerKey"), self.now)
+        dim = _stamp(self._key(s, ["CustomerID"], "CustomerKey"), self.now)
         return dim.select("CustomerKey", *[c for c in dim.columns if c != "CustomerKey"])
 
     @stored
@@ -121,7 +129,7 @@ class Gold:
     @stored
     def dim_expense_category(self) -> DataFrame:
         """D-06: the categories with a surrogate key; no unknown member."""
-        return _stamp(assign_key(self.expense_categories, ["ExpenseCategory"], "ExpenseCategoryKey"), self.now)
+        return _stamp(self._key(self.expense_categories, ["ExpenseCategory"], "ExpenseCategoryKey"), self.now)
 
     def _expense_typed(self) -> DataFrame:
         return self.wh.silver("operating_expenses").select(
@@ -151,7 +159,7 @@ class Gold:
     def _code_dim(self, col: str, key: str) -> DataFrame:
         vals = (self.wh.silver("claims").select(C.blank_to_null(col).alias(col)).filter(F.col(col).isNotNull())
                 .distinct())
-        dim = _stamp(assign_key(vals, [col], key), self.now).select(key, col, "GoldLoadDts")
+        dim = _stamp(self._key(vals, [col], key), self.now).select(key, col, "GoldLoadDts")
         return with_unknown(dim, {key: UNKNOWN_KEY, col: UNKNOWN_CODE})
 
     @stored
@@ -197,14 +205,14 @@ class Gold:
         j = join_dim(s, cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")
         cal = self.dim_date.select(F.col("FullDate").alias("_d"), "DateKey")
         j = j.join(F.broadcast(cal), F.col("ExpenseMonth") == F.col("_d"), "left").drop("_d")
-        return _stamp(assign_key(j, ["ExpenseMonth", "ExpenseCategory"], "OperatingExpenseKey"), self.now)
+        return _stamp(self._key(j, ["ExpenseMonth", "ExpenseCategory"], "OperatingExpenseKey"), self.now)
 
     @stored
     def fact_policy_coverage(self) -> DataFrame:
         """F-05: coverage rows + CoverageKey lookup (-1 when absent) + surrogate."""
         s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
         j = lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
-        return _stamp(assign_key(j, ["PolicyID", "CoverageType"], "PolicyCoverageKey"), self.now)
+        return _stamp(self._key(j, ["PolicyID", "CoverageType"], "PolicyCoverageKey"), self.now)
 
 
 def rich_calendar(gold: Gold) -> DataFrame:
