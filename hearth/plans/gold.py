@@ -72,10 +72,10 @@ class Gold:
     def __init__(self, wh):
         self.wh = wh
         self.now = wh.now
-        # Numbering checkpoints its input unless that input is already a
-        # written table (stored silver): re-reading the same files gives the
-        # same numbering, and the lineage is already cut there.
-        self.materialize = "silver" not in wh.stored
+        # Numbering checkpoints its tagged rows: the count job and the final
+        # join then read them instead of re-running the range sort (measured
+        # faster than recomputing, and it survives executor loss).
+        self.materialize = True
 
     def _key(self, df, order, name):
         return assign_key(df, order, name, materialize=self.materialize)
