@@ -3,7 +3,8 @@
 Features are built at the policy grain by the same star code as the
 reports (no fan-out); the label is "the policy has at least one claim".
 Training is distributed (L-BFGS over partitions); the fitted model scores
-every policy.
+every policy.  The feature frame is checkpointed once, so the several passes
+of the fit do not re-derive it.
 """
 
 from __future__ import annotations
@@ -33,7 +34,11 @@ def policy_features(wh) -> DataFrame:
 
 
 def claim_probability(wh, max_iter: int = 20) -> DataFrame:
-    df = policy_features(wh)
+    # Each ML stage makes its own pass over the input: write the features
+    # once to the reliable checkpoint folder and let every pass read them.
+    from hearth.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(wh.spark)
+    df = policy_features(wh).checkpoint(eager=True)
     cats = ["PropertyType", "PropertyAgeBand", "Channel"]
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep") for c in cats]
     stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in cats], outputCols=[f"{c}_oh" for c in cats]))
