@@ -88,3 +88,30 @@ OPERATOR_SQL["e_01"] = build(f"""SELECT year(TransactionDate) AS year, count(*)
   SELECT s.* FROM silver_premium_transactions s,
     (SELECT max(TransactionDate) AS h FROM silver_premium_transactions WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}') w
   WHERE w.h IS NULL OR s.TransactionDate > w.h) m GROUP BY 1""", "silver_premium_transactions")
+
+# P-01..P-10 twins
+from hearth.functions import clean as _C  # noqa: E402
+
+_PARSER_SQL = {
+    "p_01": ("policy", "PolicyID", "PolicyID", lambda x: f"trim({x}, ' ')", None),
+    "p_02": ("claims", "ClaimID", "ClaimID", S.b2n, None),
+    "p_03": ("policy_risk", "PolicyID", "RiskScore", S.default_text, None),
+    "p_04": ("policy_risk", "PolicyID", "RiskScore", lambda x: S.safe_dec(x, 10, 2), "DOUBLE"),
+    "p_05": ("address", "AddressID", "RebuildCostEstimate", lambda x: S.money(x, _C.MONEY_CHARS_ADDRESS), "DOUBLE"),
+    "p_05_reserve": ("claim_reserves", "ReserveID", "ReserveAmount", lambda x: S.money(x, _C.MONEY_CHARS_RESERVE),
+                     "DOUBLE"),
+    "p_06": ("claim_payments", "PaymentID", "PaymentDate", lambda x: S.date(x, _C.UK), None),
+    "p_07": ("policy", "PolicyID", "InceptionDate", lambda x: S.first_date(x, (_C.UK, _C.ISO, _C.YMD_SLASH)), None),
+    "p_08": ("claims", "ClaimID", "LossDate",
+             lambda x: S.first_date(S.date_text_iso(x), (_C.UK, _C.ISO, _C.ISO_TIME)), None),
+    "p_08_prefix": ("claim_reserves", "ReserveID", "SnapshotDate",
+                    lambda x: S.first_date(S.date_text_prefix(x), (_C.UK, _C.ISO, _C.YMD_SLASH, _C.DMY_DASH, "yyyyMMdd")),
+                    None),
+    "p_09": ("premium_transactions", "PremiumTransactionID", "PremiumDataQualityFlag", S.flag01, "BIGINT"),
+    "p_09b": ("policy_risk", "PolicyID", "HasAlarm", S.flag_yn, None),
+    "p_09c": ("claim_payments", "PaymentID", "LargeLossFlag", S.strict_flag, "BIGINT"),
+    "p_10": ("premium_transactions", "PremiumTransactionID", "YearMonth", S.year_month, None),
+}
+for _name, (_e, _k, _c, _fn, _t) in _PARSER_SQL.items():
+    _parsed = f"CAST({_fn(_c)} AS {_t})" if _t else _fn(_c)
+    OPERATOR_SQL[_name] = build(f"SELECT {_k} AS Key, {_c} AS RawValue, {_parsed} AS Parsed FROM raw_{_e}", f"raw_{_e}")

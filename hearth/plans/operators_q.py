@@ -144,3 +144,37 @@ OPERATORS = {
     "snk_merge1": snk_merge1, "a_dupn": a_dupn, "a_dist": a_dist, "o_topk": o_topk, "w_lag": w_lag,
     "w_latestsnap": w_latestsnap, "p_26": p_26, "e_01": e_01, "e_03": e_03, "e_04": e_04, "e_05": e_05, "e_06": e_06,
 }
+
+
+# --------------------------------------------------------------------------
+# P-01..P-10: each parser over a whole raw column (key, raw text, parsed value)
+# --------------------------------------------------------------------------
+RESERVE_FORMATS = (C.UK, C.ISO, C.YMD_SLASH, C.DMY_DASH, "yyyyMMdd")
+PARSER_QUERIES = {
+    "p_01": ("policy", "PolicyID", "PolicyID", C.trim_spaces),
+    "p_02": ("claims", "ClaimID", "ClaimID", C.blank_to_null),
+    "p_03": ("policy_risk", "PolicyID", "RiskScore", C.default_text),
+    "p_04": ("policy_risk", "PolicyID", "RiskScore", lambda c: C.safe_decimal(c, 10, 2)),
+    "p_05": ("address", "AddressID", "RebuildCostEstimate", lambda c: C.money(c, C.MONEY_CHARS_ADDRESS)),
+    "p_05_reserve": ("claim_reserves", "ReserveID", "ReserveAmount", lambda c: C.money(c, C.MONEY_CHARS_RESERVE)),
+    "p_06": ("claim_payments", "PaymentID", "PaymentDate", lambda c: C.safe_date(c, C.UK)),
+    "p_07": ("policy", "PolicyID", "InceptionDate", lambda c: C.first_date(c, (C.UK, C.ISO, C.YMD_SLASH))),
+    "p_08": ("claims", "ClaimID", "LossDate", lambda c: C.first_date(C.date_text_iso(c), (C.UK, C.ISO, C.ISO_TIME))),
+    "p_08_prefix": ("claim_reserves", "ReserveID", "SnapshotDate",
+                    lambda c: C.first_date(C.date_text_prefix(c), RESERVE_FORMATS)),
+    "p_09": ("premium_transactions", "PremiumTransactionID", "PremiumDataQualityFlag", C.flag01),
+    "p_09b": ("policy_risk", "PolicyID", "HasAlarm", C.flag_yn),
+    "p_09c": ("claim_payments", "PaymentID", "LargeLossFlag", C.strict_flag),
+    "p_10": ("premium_transactions", "PremiumTransactionID", "YearMonth", C.year_month),
+}
+
+
+def _parser_query(entity, key, col, fn):
+    def q(wh) -> DataFrame:
+        r = wh.raw(entity)
+        return present(r.select(F.col(key).alias("Key"), F.col(col).alias("RawValue"), fn(F.col(col)).alias("Parsed")))
+    return q
+
+
+for _name, (_e, _k, _c, _fn) in PARSER_QUERIES.items():
+    OPERATORS[_name] = _parser_query(_e, _k, _c, _fn)
