@@ -33,12 +33,10 @@ def _wh_query(fn) -> Query:
 
 
 def _register() -> None:
-    from hearth.oracle import kpi_sql, reports_sql, silver_sql
-    from hearth.oracle import gold_sql
+    from hearth.oracle import audits_sql, gold_sql, kpi_sql, operators_sql, reports_sql, silver_sql
     from hearth.oracle import sqlfn as S
     from hearth.plans import audits, kpis, operators_q, reports
     from hearth.plans.gold import rich_calendar
-    from hearth.oracle import audits_sql, operators_sql, calendar_sql
 
     # bronze B-01..B-12
     for i, e in enumerate(ENTITIES, 1):
@@ -80,7 +78,6 @@ def _register() -> None:
     ORACLE.update(kpi_sql.KPI_SQL)
     ORACLE.update(audits_sql.AUDIT_SQL)
     ORACLE.update(operators_sql.OPERATOR_SQL)
-    del calendar_sql
 
 
 _register()
