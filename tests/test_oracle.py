@@ -13,7 +13,7 @@ from compare import compare
 SMOKE = "/root/testdata/sf0.001"
 SUBSET = ["b_12", "s_03", "s_03_reject", "s_04", "s_04_reject", "s_06_ref_grain", "s_10", "s_10_reject", "d_01",
           "d_03", "d_05", "d_11", "f_04", "f_05", "r_01", "r_15", "r_19", "r_23", "r_27", "k_03_prorata", "k_22",
-          "k_23", "v_02", "v_21", "v_22", "snk_merge1", "w_lag", "e_03", "e_04"]
+          "k_23", "v_02", "v_21", "v_22", "snk_merge1", "w_lag", "e_01", "e_03", "e_04", "p_05", "p_08_prefix"]
 ALL = sorted(entry.oracle_sql())
 NAMES = ALL if os.environ.get("HEARTH_FULL_ORACLE") else SUBSET
 
