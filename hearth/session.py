@@ -43,8 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder the session names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when nothing is configured (local tests) a scratch
-    folder is created.
+    used as is; a cluster without it is an error.  Only a local-mode session
+    without the setting (tests) gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot read a folder local to the driver
+            raise RuntimeError("set spark.checkpoint.dir to shared storage (HDFS, object store) on a cluster")
         configured = tempfile.mkdtemp(prefix="hearth-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
