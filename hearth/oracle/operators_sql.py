@@ -115,3 +115,15 @@ _PARSER_SQL = {
 for _name, (_e, _k, _c, _fn, _t) in _PARSER_SQL.items():
     _parsed = f"CAST({_fn(_c)} AS {_t})" if _t else _fn(_c)
     OPERATOR_SQL[_name] = build(f"SELECT {_k} AS Key, {_c} AS RawValue, {_parsed} AS Parsed FROM raw_{_e}", f"raw_{_e}")
+
+OPERATOR_SQL["j_inner"] = build("""SELECT * REPLACE (CAST(ExpenseAmount AS DOUBLE) AS ExpenseAmount,
+  CAST(InflationAdjustedAmount AS DOUBLE) AS InflationAdjustedAmount, CAST(PreviousMonthAmount AS DOUBLE) AS PreviousMonthAmount,
+  CAST(MoMVariance AS DOUBLE) AS MoMVariance, CAST(ImpactsExpenseRatioFlag AS BIGINT) AS ImpactsExpenseRatioFlag)
+FROM (SELECT * EXCLUDE (OperatingExpenseKey, ExpenseCategoryKey, DateKey) FROM fact_operating_expenses) f""",
+    "fact_operating_expenses")
+OPERATOR_SQL["a_cond"] = build("""SELECT count(CASE WHEN ClaimStatus = 'Closed' THEN 1 END) AS closed_claims,
+  count(CASE WHEN ReopenedFlag = '1' THEN 1 END) AS reopened_claims, count(CASE WHEN FraudFlag = '1' THEN 1 END) AS fraud_flagged,
+  count(CASE WHEN CatEventFlag = '1' THEN 1 END) AS catastrophe_claims,
+  count(CASE WHEN ClaimComplexity = 'Complex' THEN 1 END) AS complex_claims FROM silver_claims""", "silver_claims")
+OPERATOR_SQL["x_distinct"] = build("""SELECT DISTINCT coalesce(upper(NULLIF(trim(CoverageType, ' '), '')), 'UNKNOWN') AS CoverageType
+FROM silver_coverage""", "silver_coverage")

@@ -178,3 +178,28 @@ def _parser_query(entity, key, col, fn):
 
 for _name, (_e, _k, _c, _fn) in PARSER_QUERIES.items():
     OPERATORS[_name] = _parser_query(_e, _k, _c, _fn)
+
+
+def j_inner(wh) -> DataFrame:
+    """J-INNER: expense rows joined to their category on the trimmed text key;
+    rows of unknown categories vanish (counted by V-22-style audits)."""
+    return present(wh.gold.expense_lines)
+
+
+def a_cond(wh) -> DataFrame:
+    """A-COND: conditional counts over the silver claims (SUM(CASE ...))."""
+    from hearth.operators.quality import conditional_counts
+    s = wh.silver("claims")
+    return present(conditional_counts(s, {
+        "closed_claims": F.col("ClaimStatus") == "Closed", "reopened_claims": F.col("ReopenedFlag") == "1",
+        "fraud_flagged": F.col("FraudFlag") == "1", "catastrophe_claims": F.col("CatEventFlag") == "1",
+        "complex_claims": F.col("ClaimComplexity") == "Complex"}))
+
+
+def x_distinct(wh) -> DataFrame:
+    """X-DISTINCT / A-DISTINCT: distinct normalised coverage types."""
+    from hearth.plans.gold import normalised_cover
+    return present(wh.silver("coverage").select(normalised_cover("CoverageType").alias("CoverageType")).distinct())
+
+
+OPERATORS.update({"j_inner": j_inner, "a_cond": a_cond, "x_distinct": x_distinct})
