@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, mixing, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, mixing, token_counts, url_filter
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,11 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+# --- 10: language identification ---------------------------------------------------------------------------------
+
+@_query
+def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents outside the held-out fold."""
+    return langid.identify(table(spark, sf_dir, "documents"))
