@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, mixing, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, line_dedup, mixing, token_counts, url_filter
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,14 @@ def op1_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(e, e.where(F.col("vec_id") % 100 == 0))
 
 
+# --- 2: line dedup -----------------------------------------------------------------------------------------------
+
+@_query
+def op2_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that repeat an earlier line or are one word edit away."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 # --- 3: url filters ----------------------------------------------------------------------------------------------
 
 # The contract's rules.
