@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, line_dedup, mixing, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, line_dedup, mixing, ngram_join, token_counts, url_filter
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,14 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("leaks.item_id").alias("item_ids"), F.array_max("leaks.coverage").alias("coverage"))
 
 
+# --- 6: n-gram Jaccard join --------------------------------------------------------------------------------------
+
+@_query
+def op6_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group under five-word shingle similarity of 0.8 or more, and its number of links."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # --- 8: token counts ---------------------------------------------------------------------------------------------
 
 @_query
