@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, line_dedup, mixing, ngram_join, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, token_counts, url_filter
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,14 @@ def op8_line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+# --- 9: language-model scoring -----------------------------------------------------------------------------------
+
+@_query
+def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability under the backoff automaton and under the base model."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 # --- 10: language identification ---------------------------------------------------------------------------------
 
 @_query
