@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, suffix_dedup, token_counts, url_filter
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,15 @@ def op6_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# --- 7: suffix-array dedup ---------------------------------------------------------------------------------------
+
+@_query
+def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the bytes removed under 50-byte strings of earlier documents, and the digest of the rest."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --- 8: token counts ---------------------------------------------------------------------------------------------
 
 @_query
