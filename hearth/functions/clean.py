@@ -119,9 +119,11 @@ def date_text_prefix(c: Column | str, width: int = 10) -> Column:
 
 
 def date_text_iso(c: Column | str) -> Column:
-    """Drop double quotes, no-break spaces and the ISO 'T' separator."""
+    """Drop double quotes, no-break spaces, the ISO 'T' separator and the
+    fraction of a second (the date does not depend on it)."""
     c = F.translate(_c(c), "\u00a0", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, '"', ""), "T", " "))
+    c = F.trim(F.regexp_replace(F.regexp_replace(c, '"', ""), "T", " "))
+    return F.regexp_replace(c, r"(:[0-9]+)[.][0-9]+$", "$1")
 
 
 # P-09
@@ -155,10 +157,6 @@ def year_month(c: Column | str) -> Column:
 
 
 # P-14
-def in_domain(c: Column | str, values: Iterable[str]) -> Column:
-    return _c(c).isin(*list(values))
-
-
 def not_in_domain(c: Column | str, values: Iterable[str]) -> Column:
     """Three-valued like SQL NOT IN: NULL stays NULL (neither in nor out)."""
     return ~_c(c).isin(*list(values))

@@ -88,10 +88,3 @@ def cost_band(paid) -> Column:
 def age_band(build_year) -> Column:
     v = _c(build_year)
     return F.when(v.isNull(), F.lit("Unknown")).otherwise(band(v, AGE_BANDS, AGE_BAND_TOP))
-
-
-def earned_prorata(premium, inception, expiry, as_of) -> Column:
-    """K-03 (mode='prorata'): premium x elapsed days / term days, clamped to [0, 1]."""
-    term = F.datediff(_c(expiry), _c(inception))
-    elapsed = F.least(F.greatest(F.datediff(_c(as_of), _c(inception)), F.lit(0)), term)
-    return _c(premium) * elapsed / F.when(term > 0, term)

@@ -1,45 +1,29 @@
 """Keep the newest row per key.
 
-``row_number() = 1`` over a key partition is planned by Spark as a
-``WindowGroupLimit`` below the shuffle, so each map task already drops all
-but its local winner before the exchange; a hot key costs one row per map
-task on the wire, not all of its rows.
+``groupBy(key).agg(max(struct(...)))``: every map task keeps its own winner of
+a key before the shuffle and rows are sorted on the key alone, so a hot key
+costs one row per map task on the wire and no sort over the payload.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+LOAD_TIME = "BronzeLoadDts"
 
-def full_tiebreak(df: DataFrame, keys: Sequence[str], first: Sequence[Column] = ()) -> list[Column]:
-    """``first`` then every other column descending, so the winner is fully
-    determined by the data (the reference picks arbitrarily, H-3)."""
-    used = set(keys)
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in used]
-    return list(first) + rest
 
-
-def latest(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[Column] | None = None,
-           rn_col: str = "_rn") -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], first: Sequence[str] | None = None) -> DataFrame:
     """W-LATEST / -TIE / -COMP / -EXPR: one row per key, newest first.
 
-    ``keys`` may hold column names or expressions (W-LATEST-EXPR).  When
-    ``order_by`` is omitted the load timestamp (if present) then all other
-    columns order the rows, which makes the result deterministic.
+    Rows compare by ``first`` (the load timestamp if omitted and present),
+    then by every other column, greatest first and NULL last, so the winner
+    is fully determined by the data (the reference picks arbitrarily, H-3).
     """
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    if order_by is None:
-        first = [F.col("BronzeLoadDts").desc_nulls_last()] if "BronzeLoadDts" in df.columns else []
-        order_by = full_tiebreak(df, [k for k in keys if isinstance(k, str)], first)
-    w = Window.partitionBy(*key_cols).orderBy(*order_by)
-    return df.withColumn(rn_col, F.row_number().over(w)).filter(F.col(rn_col) == 1).drop(rn_col)
-
-
-def flag_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-                out: str = "IsLatest") -> DataFrame:
-    """W-LATESTSNAP: mark (not filter) the newest row per key as 1, others 0."""
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn(out, (F.row_number().over(w) == 1).cast("int"))
+    if first is None:
+        first = [LOAD_TIME] if LOAD_TIME in df.columns else []
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    won = df.groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("_w"))
+    return won.select(*[F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in df.columns])

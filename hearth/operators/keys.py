@@ -48,14 +48,13 @@ def key_expr(keys: Sequence[str], sep: str = "|") -> Column:
     return F.col(keys[0]) if len(keys) == 1 else composite_key(*keys, sep=sep)
 
 
-def assign_key(df: DataFrame, order_cols: Sequence[str | Column], name: str, start: int | Column = 1,
-               num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
-    """Dense integer key ``start..start+N-1`` following ``order_cols``.
+def assign_key(df: DataFrame, order_cols: Sequence[str | Column], name: str, start: int = 1,
+               num_partitions: int | None = None) -> DataFrame:
+    """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
-    ``materialize`` checkpoints the tagged rows to the reliable checkpoint
-    folder so the numbering survives executor loss and is not recomputed
-    for the offset join.  ``start`` may be a one-row scalar column expression
-    is not supported; pass an int (see ``scd.next_keys`` for max+1 numbering).
+    The tagged rows are checkpointed to the reliable checkpoint folder: range
+    bounds come from a sample, so counts and rows must read one and the same
+    partitioning, also after an executor is lost.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -64,8 +63,7 @@ def assign_key(df: DataFrame, order_cols: Sequence[str | Column], name: str, sta
                 .sortWithinPartitions(*cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    if materialize:
-        tagged = tagged.checkpoint(eager=True)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a tiny single-task window, bounded by n
     offsets = counts.select(
@@ -73,7 +71,6 @@ def assign_key(df: DataFrame, order_cols: Sequence[str | Column], name: str, sta
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    start_col = start if isinstance(start, Column) else F.lit(start)
     return (tagged.join(F.broadcast(offsets), "_pid")
-                  .withColumn(name, (F.col("_off") + pos + start_col).cast("int"))
+                  .withColumn(name, F.col("_off") + pos + F.lit(start).cast("bigint"))
                   .drop("_pid", "_mid", "_off"))

@@ -44,11 +44,6 @@ def split_rejects(df: DataFrame, reason_col: str = REASON) -> tuple[DataFrame, D
     return df.filter(is_good(reason_col)).drop(reason_col), df.filter(~is_good(reason_col))
 
 
-def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
-    """A-COUNT."""
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "dup_count") -> DataFrame:
     """A-DUP1 / A-DUPN: keys that occur more than once (partial counts are
     combined map-side, so a hot key ships one partial row per task)."""

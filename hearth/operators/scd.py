@@ -33,16 +33,22 @@ def _changed(tracked: Sequence[str]):
     return cond
 
 
+def top_key(dim: DataFrame, key_col: str) -> DataFrame:
+    """One row: the greatest surrogate key so far as ``_top``, 0 when only unknown members exist."""
+    return dim.agg(F.greatest(F.coalesce(F.max(key_col), F.lit(0)), F.lit(0)).cast("bigint").alias("_top"))
+
+
 def scd1_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence[str],
                key_col: str, now: datetime, load_col: str = "GoldLoadDts") -> DataFrame:
     """Type-1 upsert on plain files: returns the new full image of ``target``.
 
     * key in both and any tracked column differs (NULL-safe) -> source values, new stamp
     * key in both, nothing changed -> target row untouched
-    * key only in source -> inserted with surrogate ``max(existing)+1..``
+    * key only in source -> inserted with surrogate ``max(existing, 0)+1..``, so a
+      dimension holding only the unknown member (-1) starts at 1
     * key only in target -> kept
-    Existing surrogate keys never change.  Write the result to a new path and
-    swap, since a job must not overwrite the files it reads.
+    Existing surrogate keys never change.  A load writes the result into its
+    own store, next to the previous one it read (``build_store``).
     """
     t, s = target.alias("t"), source.alias("s")
     joined = s.join(t, F.col(f"s.{key}") == F.col(f"t.{key}"), "full_outer")
@@ -51,13 +57,13 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
     upd = in_s & in_t & _changed(tracked)
     take_source = (in_s & ~in_t) | upd
     merged = joined.select(
-        F.col(f"t.{key_col}").alias(key_col),
+        F.col(f"t.{key_col}").cast("bigint").alias(key_col),
         *[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in data_cols],
         F.when(take_source, F.lit(now).cast("timestamp")).otherwise(F.col(f"t.{load_col}")).alias(load_col),
     )
+    merged = merged.checkpoint(eager=True)      # joined once, read by both branches
     existing = merged.filter(F.col(key_col).isNotNull())
     new = merged.filter(F.col(key_col).isNull()).drop(key_col)
-    max_key = target.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("_max"))
-    numbered = assign_key(new, [key], "_k", start=1).crossJoin(F.broadcast(max_key))
-    numbered = numbered.withColumn(key_col, (F.col("_k") + F.col("_max")).cast("int")).drop("_k", "_max")
+    numbered = assign_key(new, [key], "_k").crossJoin(F.broadcast(top_key(target, key_col)))
+    numbered = numbered.withColumn(key_col, F.col("_k") + F.col("_top")).drop("_k", "_top")
     return existing.unionByName(numbered.select(*existing.columns))

@@ -21,15 +21,16 @@ def month_index(c) -> F.Column:
     return F.year(c) * 12 + F.month(c) - 1
 
 
-def with_prior_periods(df: DataFrame, partition: Sequence[str], month_col: str, col: str) -> DataFrame:
+def with_prior_periods(df: DataFrame, partition: Sequence[str], month_col: str, cols: Sequence[str]) -> DataFrame:
     """Month-on-month and year-on-year values by calendar position.
 
-    A self-join on (month index - 1) and (month index - 12) instead of
-    ``lag(1)``/``lag(12)``: gaps in the monthly series do not shift the
-    comparison month.  Both sides are aggregates (one row per month and
-    partition), so the join is small."""
+    One self-join on (month index - 1) and one on (month index - 12) for all
+    ``cols``, instead of ``lag(1)``/``lag(12)``: gaps in the monthly series do
+    not shift the comparison month, and a row without a month has no prior
+    ones.  Both sides are aggregates (one row per month and partition), so the
+    joins are small."""
     base = df.withColumn("_mi", month_index(F.col(month_col)))
-    prev = base.select(*partition, (F.col("_mi") + 1).alias("_mi"), F.col(col).alias(f"{col}_prev_month"))
-    prev_y = base.select(*partition, (F.col("_mi") + 12).alias("_mi"), F.col(col).alias(f"{col}_prev_year"))
+    prev = base.select(*partition, (F.col("_mi") + 1).alias("_mi"), *[F.col(c).alias(f"{c}_prev_month") for c in cols])
+    prev_y = base.select(*partition, (F.col("_mi") + 12).alias("_mi"), *[F.col(c).alias(f"{c}_prev_year") for c in cols])
     keys = [*partition, "_mi"]
     return base.join(prev, keys, "left").join(prev_y, keys, "left").drop("_mi")

@@ -6,7 +6,8 @@ from hearth.functions import clean as C
 from hearth.oracle import gold_sql  # noqa: F401
 from hearth.oracle import sqlfn as S
 from hearth.oracle.silver_sql import build
-from hearth.plans.audits import ENTITIES, KEY_OF
+from hearth.plans.audits import (DATE_COLUMNS, DEFAULTED_COLUMNS, ENTITIES, FLAG_COLUMNS, GOLD_OF, KEY_OF, NUMBER_CHARS,
+                                 TYPED_COLUMNS, UNIQUE_KEYS, YES_NO_COLUMNS)
 
 AUDIT_SQL: dict[str, str] = {}
 
@@ -19,10 +20,34 @@ def _sil(e):
     return f"silver_{e}"
 
 
+def _row_key(e, clean=False):
+    return "concat_ws('|', " + ", ".join(S.b2n(k) if clean else f"coalesce(CAST({k} AS VARCHAR), '')" for k in KEY_OF[e]) + ")"
+
+
+def _cells(bad: dict) -> str:
+    """Union of the raw cells that break a rule; ``bad``: {entity: {column: condition}}."""
+    return " UNION ALL ".join(f"SELECT '{e}' AS entity, {_row_key(e)} AS row_key, '{c}' AS column_name, {c} AS value FROM raw_{e} "
+                              f"WHERE {cond}" for e, cols in bad.items() for c, cond in cols.items())
+
+
+def _column_counts(bad: dict, what: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{e}' AS entity, '{c}' AS column_name, count(CASE WHEN {cond} THEN 1 END) AS {what}, "
+                              f"count(*) AS rows FROM raw_{e}" for e, cols in bad.items() for c, cond in cols.items())
+
+
+def _raws(tables) -> list[str]:
+    return [f"raw_{e}" for e in tables]
+
+
+def _bronze_count(e):
+    return f"bronze_{e}" if e in ("policy_risk", "premium_transactions") else f"raw_{e}"
+
+
 AUDIT_SQL["v_01"] = build(" UNION ALL ".join(
-    f"SELECT '{e}' AS entity, (SELECT count(*) FROM raw_{e}) AS raw_rows, (SELECT count(*) FROM silver_{e}) AS silver_rows, "
-    f"(SELECT count(*) FROM reject_{e}) AS reject_rows" for e in ENTITIES),
-    *[n for e in ENTITIES for n in (f"raw_{e}", f"silver_{e}", f"reject_{e}")])
+    f"SELECT '{e}' AS entity, (SELECT count(*) FROM raw_{e}) AS raw_rows, (SELECT count(*) FROM {_bronze_count(e)}) AS bronze_rows, "
+    f"(SELECT count(*) FROM silver_{e}) AS silver_rows, (SELECT count(*) FROM reject_{e}) AS reject_rows, "
+    f"(SELECT count(*) FROM {GOLD_OF[e]}) AS gold_rows" for e in ENTITIES),
+    *[n for e in ENTITIES for n in (f"raw_{e}", _bronze_count(e), f"silver_{e}", f"reject_{e}", GOLD_OF[e])])
 AUDIT_SQL["v_02"] = build("""SELECT entity, source_rows, silver_rows, reject_rows,
   CAST(silver_rows + reject_rows = source_rows AS INTEGER) AS balanced FROM (
   SELECT 'claim_reserves' AS entity, (SELECT count(*) FROM raw_claim_reserves) AS source_rows,
@@ -35,27 +60,27 @@ AUDIT_SQL["v_02"] = build("""SELECT entity, source_rows, silver_rows, reject_row
     "CAST(CAST(silver_rows + reject_rows = source_rows AS INTEGER) AS BIGINT) AS balanced"),
     "raw_claim_reserves", "silver_claim_reserves", "reject_claim_reserves", "raw_claim_payments",
     "silver_claim_payments", "reject_claim_payments")
-AUDIT_SQL["v_03"] = build("""SELECT PremiumTransactionID, count(*) AS dup_count FROM
-  (SELECT NULLIF(trim(PremiumTransactionID, ' '), '') AS PremiumTransactionID FROM raw_premium_transactions) r
-WHERE PremiumTransactionID IS NOT NULL GROUP BY 1 HAVING count(*) > 1""", "raw_premium_transactions")
+AUDIT_SQL["v_03"] = build(" UNION ALL ".join(
+    f"SELECT '{e}' AS entity, {_row_key(e, True)} AS row_key, count(*) AS dup_count FROM raw_{e} "
+    f"WHERE NOT ({_missing_any(KEY_OF[e])}) GROUP BY 1, 2 HAVING count(*) > 1" for e in UNIQUE_KEYS), *_raws(UNIQUE_KEYS))
 AUDIT_SQL["v_04"] = build(" UNION ALL ".join(
     f"SELECT '{e}' AS entity, count(CASE WHEN {_missing_any(KEY_OF[e])} THEN 1 END) AS missing_keys FROM raw_{e}"
     for e in ENTITIES), *[f"raw_{e}" for e in ENTITIES])
-AUDIT_SQL["v_05"] = build("SELECT PaymentID, PaymentAmount FROM raw_claim_payments "
-                          "WHERE regexp_matches(trim(PaymentAmount, ' '), '[^0-9.\\-]')", "raw_claim_payments")
-AUDIT_SQL["v_06"] = build(" UNION ALL ".join(
-    f"SELECT '{c}' AS flag, count(CASE WHEN {S.strict_flag_invalid(c)} THEN 1 END) AS invalid_rows FROM raw_claims"
-    for c in ("ReopenedFlag", "FraudFlag", "CatEventFlag")), "raw_claims")
-AUDIT_SQL["v_07"] = build("SELECT CustomerID, MarketingOptIn FROM raw_customer WHERE MarketingOptIn NOT IN ('Y', 'N')",
-                          "raw_customer")
-AUDIT_SQL["v_08"] = build(f"SELECT CustomerID, DateOfBirth FROM raw_customer "
-                          f"WHERE {S.first_date('DateOfBirth', (C.UK, C.ISO))} IS NULL", "raw_customer")
+AUDIT_SQL["v_05"] = build(_cells({e: {c: f"{S.nonblank(c)} AND regexp_matches(trim({c}, ' '), '[^{chars}]')" for c, chars in cols.items()}
+                                  for e, cols in NUMBER_CHARS.items()}), *_raws(NUMBER_CHARS))
+AUDIT_SQL["v_06"] = build(_column_counts({e: {c: (f"{S.nonblank(c)} AND {c} NOT IN ('0', '1', 'Y', 'N')" if e == "date"
+                                                  else S.strict_flag_invalid(c)) for c in cols}
+                                          for e, cols in FLAG_COLUMNS.items()}, "invalid_rows"), *_raws(FLAG_COLUMNS))
+AUDIT_SQL["v_07"] = build(_cells({e: {c: f"{S.nonblank(c)} AND upper(trim({c}, ' ')) NOT IN ('Y', 'N')" for c in cols}
+                                  for e, cols in YES_NO_COLUMNS.items()}), *_raws(YES_NO_COLUMNS))
+AUDIT_SQL["v_08"] = build(_cells({e: {c: f"{S.nonblank(c)} AND {S.first_date(c, (C.UK, C.ISO))} IS NULL" for c in cols}
+                                  for e, cols in DATE_COLUMNS.items()}), *_raws(DATE_COLUMNS))
 AUDIT_SQL["v_09"] = build(f"SELECT Date, DateKey FROM raw_date WHERE DateKey <> strftime({S.date('Date', C.ISO)}, '%Y%m%d')",
                           "raw_date")
 AUDIT_SQL["v_10"] = build("SELECT ExpenseMonthStart, ExpenseCategory, Currency FROM raw_operating_expenses "
-                          "WHERE Currency <> 'GBP'", "raw_operating_expenses")
-AUDIT_SQL["v_11"] = build(f"""SELECT ExpenseMonthStart, ExpenseCategory, ExpenseAmount, PreviousMonthAmount, MoMVariance
-FROM raw_operating_expenses WHERE abs({S.safe_dec('ExpenseAmount')} - {S.safe_dec('PreviousMonthAmount')}
+                          "WHERE trim(Currency, ' ') <> '' AND upper(trim(Currency, ' ')) <> 'GBP'", "raw_operating_expenses")
+AUDIT_SQL["v_11"] = build(f"""SELECT ExpenseMonthStart, ExpenseCategory, InflationAdjustedAmount, PreviousMonthAmount, MoMVariance
+FROM raw_operating_expenses WHERE abs({S.safe_dec('InflationAdjustedAmount')} - {S.safe_dec('PreviousMonthAmount')}
   - {S.safe_dec('MoMVariance')}) > 0.50""", "raw_operating_expenses")
 AUDIT_SQL["v_12"] = build("""SELECT PolicyID, RiskType, CAST(RiskScore AS DOUBLE) AS RiskScore,
   CAST(AdjustedRiskScore AS DOUBLE) AS AdjustedRiskScore FROM bronze_policy_risk
@@ -67,19 +92,27 @@ FROM bronze_premium_transactions WHERE abs(NetPremium - CalculatedNetPremium - N
 AUDIT_SQL["v_14"] = build(f"""SELECT PolicyID, CoverageType, IsIncluded, IsIncludedFlag, CoverageLimit, HighExposureFlag
 FROM raw_coverage WHERE ((IsIncluded = 'Y') <> (IsIncludedFlag = '1'))
   OR (({S.safe_dec('CoverageLimit')} >= 300000) <> (HighExposureFlag = '1'))""", "raw_coverage")
-AUDIT_SQL["v_15"] = build("""SELECT CustomerID, IsValidEmail, IsValidPhone, ContactableFlag FROM raw_customer
-WHERE (ContactableFlag = '1') <> ((IsValidEmail = '1') OR (IsValidPhone = '1'))""", "raw_customer")
+AUDIT_SQL["v_15"] = build("""SELECT CustomerID, ContactableFlag, IsValidEmail, IsValidPhone, MarketingOptInFlag FROM raw_customer
+WHERE ContactableFlag = '1' AND MarketingOptInFlag <> '1' AND IsValidEmail <> '1' AND IsValidPhone <> '1'""", "raw_customer")
+AUDIT_SQL["v_15_has_email"] = build("""SELECT CustomerID, HasEmail, Email FROM raw_customer
+WHERE HasEmail = '0' AND trim(coalesce(Email, ''), ' ') <> ''""", "raw_customer")
+AUDIT_SQL["v_year_month"] = build("""SELECT PremiumTransactionID, YearMonth FROM raw_premium_transactions
+WHERE trim(coalesce(YearMonth, ''), ' ') <> '' AND NOT regexp_full_match(YearMonth, '[12][0-9]{3}-[01][0-9]')""",
+    "raw_premium_transactions")
 AUDIT_SQL["v_16"] = build("SELECT ClaimID, LossDate, ReportedDate FROM fact_claim WHERE ReportedDate < LossDate",
                           "fact_claim")
 AUDIT_SQL["v_17"] = build("SELECT ClaimID, ClaimStatus FROM silver_claims WHERE ClaimStatus = 'Closed' AND ClosedDate IS NULL",
                           "silver_claims")
-AUDIT_SQL["v_18"] = build(f"""SELECT PremiumTransactionID, TransactionDateRaw, GrossPremiumRaw FROM bronze_premium_transactions
-WHERE (NOT {S.missing('TransactionDateRaw')} AND TransactionDate IS NULL)
-   OR (NOT {S.missing('GrossPremiumRaw')} AND GrossPremium IS NULL)""", "bronze_premium_transactions")
-AUDIT_SQL["v_19"] = build(", ".join(
-    [f"SELECT count(CASE WHEN {S.missing('RiskType')} THEN 1 END) AS RiskType_defaulted"] +
-    [f"count(CASE WHEN {S.missing(c)} THEN 1 END) AS {c}_defaulted" for c in
-     ("RiskBand", "ClaimsHistoryBand", "AdjustedRiskBand")]) + " FROM raw_policy_risk", "raw_policy_risk")
+def _typed(e, c, kind):
+    if kind == "date":
+        return S.first_date(c, (C.ISO, C.UK))
+    return S.safe_int(c) if kind == "int" else S.safe_dec(c, *((10, 2) if e == "policy_risk" else (18, 2)))
+
+
+AUDIT_SQL["v_18"] = build(_cells({e: {c: f"{S.nonblank(c)} AND {_typed(e, c, kind)} IS NULL" for c, kind in cols.items()}
+                                  for e, cols in TYPED_COLUMNS.items()}), *_raws(TYPED_COLUMNS))
+AUDIT_SQL["v_19"] = build(_column_counts({e: {c: S.missing(c) for c in cols} for e, cols in DEFAULTED_COLUMNS.items()},
+                                         "defaulted_rows"), *_raws(DEFAULTED_COLUMNS))
 AUDIT_SQL["v_20"] = build("""SELECT *, CAST(null_LossDate AS DOUBLE) / NULLIF(CAST(claims AS DOUBLE), 0) AS null_rate_LossDate,
   CAST(null_ReportedDate AS DOUBLE) / NULLIF(CAST(claims AS DOUBLE), 0) AS null_rate_ReportedDate,
   CAST(null_ClosedDate AS DOUBLE) / NULLIF(CAST(claims AS DOUBLE), 0) AS null_rate_ClosedDate FROM
@@ -103,17 +136,25 @@ AUDIT_SQL["v_22"] = build(" UNION ALL ".join([
     _orph("policy.BrokerID->broker", "silver_policy", "BrokerID", "silver_broker", "BrokerID"),
     _orph("policy.AddressID->address", "silver_policy", "AddressID", "silver_address", "AddressID"),
     _orph("reserves.ClaimID->claims", "silver_claim_reserves", "ClaimID", "silver_claims", "ClaimID"),
+    _orph("expenses.ExpenseCategory->category", "expense_typed", "ExpenseCategory", "dim_expense_category", "ExpenseCategory"),
+    _orph("expenses.ExpenseMonth->date", "expense_typed", "ExpenseMonth", "dim_date", "FullDate"),
+    _orph("coverage.CoverageKey->coverage", "fact_policy_coverage", "CoverageKey", "dim_coverage", "CoverageKey"),
 ]), "silver_claim_payments", "silver_claims", "silver_premium_transactions", "silver_policy", "silver_broker",
-    "silver_address", "silver_claim_reserves")
+    "silver_address", "silver_claim_reserves", "expense_typed", "dim_expense_category", "dim_date", "fact_policy_coverage",
+    "dim_coverage")
 AUDIT_SQL["v_23"] = build("""SELECT
   (SELECT count(CASE WHEN PaymentAmount <= 0 THEN 1 END) FROM silver_claim_payments) AS non_positive_payments,
+  (SELECT count(CASE WHEN GrossPremium <= 0 THEN 1 END) FROM silver_premium_transactions) AS non_positive_premiums,
+  (SELECT count(CASE WHEN ReserveAmount <= 0 THEN 1 END) FROM silver_claim_reserves) AS non_positive_reserves,
   (SELECT count(CASE WHEN c.LossDate < p.InceptionDate THEN 1 END) FROM fact_claim c
      JOIN silver_policy p ON c.PolicyID = p.PolicyID) AS claims_before_inception,
   (SELECT count(CASE WHEN ExpiryDate < InceptionDate THEN 1 END) FROM silver_policy) AS policies_end_before_start""",
-    "silver_claim_payments", "fact_claim", "silver_policy")
-AUDIT_SQL["v_24"] = " UNION ALL ".join(
-    f"SELECT '{n}' AS source, count(*) AS rows, CAST(CAST(count(*) > 0 AS INTEGER) AS BIGINT) AS ok FROM {n}"
-    for n in ("orders", "lineitem", "customer", "supplier", "part", "nation", "region"))
+    "silver_claim_payments", "silver_premium_transactions", "silver_claim_reserves", "fact_claim", "silver_policy")
+_PREFLIGHT = [*[("source", n, n) for n in ("orders", "lineitem", "customer", "supplier", "part", "nation", "region")],
+              *[("bronze", e, _bronze_count(e)) for e in ENTITIES], *[("silver", e, f"silver_{e}") for e in ENTITIES]]
+AUDIT_SQL["v_24"] = build(" UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{n}' AS source, count(*) AS rows, CAST(CAST(count(*) > 0 AS INTEGER) AS BIGINT) AS ok FROM {t}"
+    for layer, n, t in _PREFLIGHT), *[t for layer, _, t in _PREFLIGHT if layer != "source"])
 AUDIT_SQL["v_25"] = build("""SELECT PolicyID, RiskType, CAST(RiskScore AS DOUBLE) AS RiskScore,
   CAST(RiskDataCompletenessScore AS BIGINT) AS RiskDataCompletenessScore FROM bronze_policy_risk
 WHERE NOT (RiskScore BETWEEN 0 AND 100) OR NOT (RiskDataCompletenessScore BETWEEN 0 AND 100)""", "bronze_policy_risk")

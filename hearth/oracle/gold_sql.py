@@ -49,15 +49,17 @@ cte("fact_claim", f"""SELECT ClaimID, PolicyID, {_dates}, ClaimType, Severity, C
 cte("fact_claim_payments", "SELECT * FROM silver_claim_payments", "silver_claim_payments")
 cte("fact_claim_reserves", "SELECT * FROM silver_claim_reserves", "silver_claim_reserves")
 cte("fact_premium_transactions", "SELECT * FROM silver_premium_transactions", "silver_premium_transactions")
-cte("fact_operating_expenses", f"""SELECT CAST(row_number() OVER (ORDER BY ExpenseMonth, e.ExpenseCategory) AS INTEGER)
-    AS OperatingExpenseKey, e.*, c.ExpenseCategoryKey, c.ImpactsExpenseRatioFlag, d.DateKey
-FROM (SELECT {S.first_date('ExpenseMonthStart', (C.ISO, C.UK))} AS ExpenseMonth,
+cte("expense_typed", f"""SELECT {S.first_date('ExpenseMonthStart', (C.ISO, C.UK))} AS ExpenseMonth,
         trim(ExpenseCategory, ' ') AS ExpenseCategory, {S.safe_dec('ExpenseAmount')} AS ExpenseAmount,
         {S.safe_dec('InflationAdjustedAmount')} AS InflationAdjustedAmount,
         {S.safe_dec('PreviousMonthAmount')} AS PreviousMonthAmount, {S.safe_dec('MoMVariance')} AS MoMVariance, Currency
-      FROM silver_operating_expenses) e
+      FROM silver_operating_expenses""", "silver_operating_expenses")
+cte("fact_operating_expenses", """SELECT CAST(row_number() OVER (ORDER BY ExpenseMonth, e.ExpenseCategory, ExpenseAmount,
+    InflationAdjustedAmount, PreviousMonthAmount NULLS FIRST, MoMVariance NULLS FIRST, Currency) AS BIGINT)
+    AS OperatingExpenseKey, e.*, c.ExpenseCategoryKey, c.ImpactsExpenseRatioFlag, d.DateKey
+FROM expense_typed e
 JOIN dim_expense_category c ON trim(e.ExpenseCategory, ' ') = trim(c.ExpenseCategory, ' ')
-LEFT JOIN dim_date d ON e.ExpenseMonth = d.FullDate""", "silver_operating_expenses", "dim_expense_category", "dim_date")
+LEFT JOIN dim_date d ON e.ExpenseMonth = d.FullDate""", "expense_typed", "dim_expense_category", "dim_date")
 cte("fact_policy_coverage", f"""SELECT CAST(row_number() OVER (ORDER BY s.PolicyID, s.CoverageType) AS INTEGER)
     AS PolicyCoverageKey, s.*, coalesce(d.CoverageKey, -1) AS CoverageKey
 FROM silver_coverage s LEFT JOIN dim_coverage d ON {NORM_COVER.format(x='s.CoverageType')} = d.CoverageType""",

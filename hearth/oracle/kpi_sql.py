@@ -47,14 +47,15 @@ KPI_SQL["k_01"] = _present("SELECT net_premium AS total_net_premium FROM k_net",
 KPI_SQL["k_02"] = _present("SELECT coalesce(sum(GrossPremium), 0) AS written_premium FROM silver_premium_transactions",
                            [], ["silver_premium_transactions"], doubles=D("written_premium"))
 KPI_SQL["k_03"] = _present("SELECT net_premium AS earned_premium FROM k_net", [], ["k_net"], doubles=D("earned_premium"))
-KPI_SQL["k_03_prorata"] = _present("""SELECT CAST(CAST(coalesce(sum(CASE WHEN term > 0 THEN (cents * elapsed) // term ELSE cents END), 0)
-    AS DECIMAL(38,0)) / 100 AS DECIMAL(38,2)) AS earned_premium
-FROM (SELECT cents, date_diff('day', InceptionDate, ExpiryDate) AS term,
+KPI_SQL["k_03_prorata"] = _present("""SELECT
+    round(coalesce(sum(CASE WHEN term > 0 THEN CAST(net AS DOUBLE) * elapsed / term END), 0.0), 2) AS earned_premium,
+    CAST(coalesce(sum(CASE WHEN term > 0 THEN NULL ELSE net END), 0) AS DOUBLE) AS unknown_term_premium
+FROM (SELECT net, date_diff('day', InceptionDate, ExpiryDate) AS term,
         least(greatest(date_diff('day', InceptionDate, DATE '2001-12-31'), 0),
               date_diff('day', InceptionDate, ExpiryDate)) AS elapsed
-      FROM (SELECT PolicyID, sum(CAST(NetPremium * 100 AS BIGINT)) AS cents FROM silver_premium_transactions
+      FROM (SELECT PolicyID, sum(NetPremium) AS net FROM silver_premium_transactions
             GROUP BY PolicyID) t LEFT JOIN silver_policy p ON t.PolicyID = p.PolicyID) x""",
-    [], ["silver_premium_transactions", "silver_policy"], doubles=D("earned_premium"))
+    [], ["silver_premium_transactions", "silver_policy"], doubles=D("earned_premium", "unknown_term_premium"))
 KPI_SQL["k_04"] = _present("SELECT claims_paid FROM k_paid", ["claims_paid"], ["k_paid"])
 KPI_SQL["k_05"] = _present("SELECT outstanding_reserves FROM k_out", [], ["k_out"], doubles=D("outstanding_reserves"))
 KPI_SQL["k_06"] = _present("SELECT claims_paid + outstanding_reserves AS incurred_claims FROM k_paid, k_out", [],
@@ -88,10 +89,10 @@ KPI_SQL["k_18"] = _present(f"""SELECT loss_ratio, {_lr_band('loss_ratio')} AS lo
 KPI_SQL["k_19"] = _present(f"""SELECT combined_ratio, {_cr_band('combined_ratio')} AS combined_ratio_band FROM
   (SELECT {_LR} + {_ER} AS combined_ratio FROM k_paid, expenses_impacting, k_net) t""",
     [], ["k_paid", "expenses_impacting", "k_net"], doubles=D("combined_ratio"))
-KPI_SQL["k_20"] = _present(f"""SELECT high_risk_policies, {ratio('high_risk_policies', 'risk_policies')} AS high_risk_share FROM
-  (SELECT count(DISTINCT CASE WHEN AdjustedRiskBand IN ('High', 'Very High') THEN PolicyID END) AS high_risk_policies,
-          count(DISTINCT PolicyID) AS risk_policies FROM silver_policy_risk) t""",
-    [], ["silver_policy_risk"], doubles=D("high_risk_share"), bigints=D("high_risk_policies"))
+KPI_SQL["k_20"] = _present(f"""SELECT high_risk_policies, {ratio('high_risk_policies', 'policies')} AS high_risk_share FROM
+  (SELECT count(DISTINCT PolicyID) AS high_risk_policies FROM silver_policy_risk
+   WHERE AdjustedRiskBand IN ('High', 'Very High')) t, (SELECT policies FROM k_pol) p""",
+    [], ["silver_policy_risk", "k_pol"], doubles=D("high_risk_share"), bigints=D("high_risk_policies"))
 KPI_SQL["k_21"] = _present("SELECT max(ClaimPaid) AS largest_claim FROM k_per_claim", [], ["k_per_claim"],
                            doubles=D("largest_claim"))
 KPI_SQL["k_22"] = _present("""SELECT CAST(sum(ClaimPaid) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS median_claim FROM
@@ -103,12 +104,12 @@ KPI_SQL["k_23"] = _present(f"""SELECT severe_claims, {ratio('severe_claims', '_n
      coalesce(sum(CASE WHEN ClaimPaid > {K.LARGE_CLAIM} THEN ClaimPaid END), 0) AS _sev,
      coalesce(sum(ClaimPaid), 0) AS _all FROM k_per_claim) t""",
     [], ["k_per_claim"], doubles=D("severe_share", "severe_cost_share"), bigints=D("severe_claims"))
-KPI_SQL["k_24"] = _present(f"SELECT Broker, net_premium, claims, claims_paid, loss_ratio FROM ({rollup_sql('broker', 'Broker')}) r",
+KPI_SQL["k_24"] = _present(f"SELECT Broker, net_premium, claims, claims_paid, loss_ratio FROM ({rollup_sql('broker', 'Broker', ['net_premium', 'claims', 'claims_paid', 'loss_ratio'])}) r",
                            ["net_premium", "claims", "claims_paid", "loss_ratio"], ["grain", "broker_dim"])
 KPI_SQL["k_25"] = _present(f"SELECT {ratio('policies', 'unique_brokers')} AS policies_per_broker FROM k_pol", [],
                            ["k_pol"], doubles=D("policies_per_broker"))
 KPI_SQL["k_26"] = _present(f"""SELECT Channel, net_premium, {ratio('net_premium', '_total')} AS premium_share
-FROM ({rollup_sql('broker', 'Channel')}) r, (SELECT sum(net_premium) AS _total FROM ({rollup_sql('broker', 'Channel')}) x) t""",
+FROM ({rollup_sql('broker', 'Channel', ['net_premium'])}) r, (SELECT sum(net_premium) AS _total FROM ({rollup_sql('broker', 'Channel', ['net_premium'])}) x) t""",
     ["net_premium"], ["grain", "broker_dim"], doubles=D("premium_share"))
 KPI_SQL["k_27"] = _present(f"""SELECT coalesce(sum(RebuildCostEstimate), 0) AS total_rebuild,
   {ratio('sum(RebuildCostEstimate)', 'count(RebuildCostEstimate)')} AS avg_rebuild FROM silver_address""",

@@ -5,8 +5,9 @@ from __future__ import annotations
 from hearth.oracle import gold_sql  # noqa: F401
 from hearth.oracle import sqlfn as S
 from hearth.oracle.reports_sql import _present, ratio, rollup_sql
-from hearth.oracle.silver_sql import PRESENT, build
-from hearth.plans.operators_q import (BROKER_SCORE_WEIGHTS, INCREMENTAL_CUTOFF, LOOKUP_POLICY, POSTCODE_SCORE_WEIGHTS,
+from hearth.oracle.silver_sql import PRESENT, build, raw_cols, silver_query
+from hearth.plans.audits import ENTITIES
+from hearth.plans.operators_q import (BROKER_SCORE_WEIGHTS, LOOKUP_POLICY, POSTCODE_SCORE_WEIGHTS,
                                       TOP_BROKERS)
 
 OPERATOR_SQL: dict[str, str] = {}
@@ -37,7 +38,7 @@ OPERATOR_SQL["a_dupn"] = build("""SELECT PolicyID, CoverageType, count(*) AS dup
   (SELECT NULLIF(trim(PolicyID, ' '), '') AS PolicyID, NULLIF(trim(CoverageType, ' '), '') AS CoverageType FROM raw_coverage) r
 WHERE PolicyID IS NOT NULL AND CoverageType IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""", "raw_coverage")
 OPERATOR_SQL["a_dist"] = build("SELECT PolicyStatus, count(*) AS row_count FROM raw_policy GROUP BY 1", "raw_policy")
-OPERATOR_SQL["o_topk"] = _present(f"""SELECT Broker, net_premium FROM ({rollup_sql('broker', 'Broker')}) r
+OPERATOR_SQL["o_topk"] = _present(f"""SELECT Broker, net_premium FROM ({rollup_sql('broker', 'Broker', ['net_premium'])}) r
 ORDER BY net_premium DESC, Broker LIMIT {TOP_BROKERS}""", ["net_premium"], ["grain", "broker_dim"])
 OPERATOR_SQL["w_lag"] = build("""SELECT ExpenseCategory, ExpenseMonth, CAST(ExpenseAmount AS DOUBLE) AS ExpenseAmount,
   CAST(PreviousMonthAmount AS DOUBLE) AS PreviousMonthAmount, CAST(PreviousMonthRecomputed AS DOUBLE) AS PreviousMonthRecomputed,
@@ -62,7 +63,7 @@ def _minmax_sql(src: str, weights: dict) -> str:
 
 _E04_SRC = f"""SELECT b.Broker, b.policies, b.loss_ratio, b.claims_frequency,
   {ratio('coalesce(h.high_risk_policies, 0)', 'b.policies')} AS high_risk_share
-FROM (SELECT Broker, policies, loss_ratio, claims_frequency FROM ({rollup_sql('broker', 'Broker')}) r) b
+FROM (SELECT Broker, policies, loss_ratio, claims_frequency FROM ({rollup_sql('broker', 'Broker', ['loss_ratio', 'claims_frequency'])}) r) b
 LEFT JOIN (SELECT coalesce(p.BrokerID, 'Unknown') AS Broker, count(*) AS high_risk_policies
   FROM (SELECT DISTINCT PolicyID FROM silver_policy_risk WHERE AdjustedRiskBand IN ('High', 'Very High')) hr
   JOIN silver_policy p ON hr.PolicyID = p.PolicyID GROUP BY 1) h ON b.Broker = h.Broker"""
@@ -70,7 +71,7 @@ OPERATOR_SQL["e_04"] = _present(_minmax_sql(_E04_SRC, BROKER_SCORE_WEIGHTS),
                                 ["policies", "loss_ratio", "claims_frequency"],
                                 ["grain", "broker_dim", "silver_policy_risk", "silver_policy"],
                                 doubles=["high_risk_share", "risk_score"])
-_E05_SRC = f"SELECT PostcodeArea, policies, loss_ratio, claims_frequency FROM ({rollup_sql('address', 'PostcodeArea')}) r"
+_E05_SRC = f"SELECT PostcodeArea, policies, loss_ratio, claims_frequency FROM ({rollup_sql('address', 'PostcodeArea', ['loss_ratio', 'claims_frequency'])}) r"
 OPERATOR_SQL["e_05"] = _present(_minmax_sql(_E05_SRC, POSTCODE_SCORE_WEIGHTS),
                                 ["policies", "loss_ratio", "claims_frequency"], ["grain", "address_dim"],
                                 doubles=["risk_score"])
@@ -78,16 +79,10 @@ OPERATOR_SQL["e_03"] = """SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%
   event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM events GROUP BY 1, 2"""
 
-OPERATOR_SQL["e_01"] = build(f"""SELECT year(TransactionDate) AS year, count(*) AS rows,
-  CAST(coalesce(sum(NetPremium), 0) AS DOUBLE) AS net_premium FROM (
-  SELECT * FROM silver_premium_transactions t WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}'
-    AND t.PremiumTransactionID NOT IN (SELECT PremiumTransactionID FROM silver_premium_transactions s,
-      (SELECT max(TransactionDate) AS h FROM silver_premium_transactions WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}') w
-      WHERE w.h IS NULL OR s.TransactionDate > w.h)
-  UNION ALL
-  SELECT s.* FROM silver_premium_transactions s,
-    (SELECT max(TransactionDate) AS h FROM silver_premium_transactions WHERE TransactionDate <= DATE '{INCREMENTAL_CUTOFF}') w
-  WHERE w.h IS NULL OR s.TransactionDate > w.h) m GROUP BY 1""", "silver_premium_transactions")
+# after the load the target holds every row of the feed, with the feed's amounts
+OPERATOR_SQL["e_01"] = build("""SELECT year(TransactionDate) AS year, count(*) AS rows,
+  CAST(coalesce(sum(NetPremium), 0) AS DOUBLE) AS net_premium FROM silver_premium_transactions GROUP BY 1""",
+    "silver_premium_transactions")
 
 # P-01..P-10 twins
 from hearth.functions import clean as _C  # noqa: E402
@@ -127,3 +122,44 @@ OPERATOR_SQL["a_cond"] = build("""SELECT count(CASE WHEN ClaimStatus = 'Closed'
   count(CASE WHEN ClaimComplexity = 'Complex' THEN 1 END) AS complex_claims FROM silver_claims""", "silver_claims")
 OPERATOR_SQL["x_distinct"] = build("""SELECT DISTINCT coalesce(upper(NULLIF(trim(CoverageType, ' '), '')), 'UNKNOWN') AS CoverageType
 FROM silver_coverage""", "silver_coverage")
+
+# sources and sinks read back
+OPERATOR_SQL["src_csv"] = build("SELECT * FROM raw_broker", "raw_broker")
+_CLAIM_COLS = raw_cols("claims")
+OPERATOR_SQL["src_csv_lf"] = build(f"SELECT {', '.join(f"NULLIF({c}, '') AS {c}" for c in _CLAIM_COLS)} FROM raw_claims", "raw_claims")
+OPERATOR_SQL["src_badrows"] = build("""SELECT BrokerID, CASE WHEN right(trim(BrokerID, ' '), 1) IN ('3', '7')
+  THEN 'Wrong number of fields' END AS RejectReason FROM raw_broker""", "raw_broker")
+OPERATOR_SQL["snk_overwrite"] = silver_query("broker")
+OPERATOR_SQL["snk_byname"] = build(S.present("(SELECT * REPLACE (CAST(NULL AS VARCHAR) AS CommissionModel) FROM silver_broker) q",
+                                             *PRESENT["broker"]), "silver_broker")
+OPERATOR_SQL["snk_addcol"] = build("""SELECT PremiumTransactionID, PolicyID, CAST(NetPremium AS DOUBLE) AS NetPremium,
+  CAST(NULL AS DOUBLE) AS TotalWrittenPremium, CAST(NULL AS DOUBLE) AS TotalNetWrittenPremium, CAST(NULL AS DOUBLE) AS IPTRatio,
+  CAST(NULL AS DOUBLE) AS DiscountRatio, SourceSystem FROM bronze_premium_transactions""", "bronze_premium_transactions")
+_SYSTEM = {"policy": "'PolicyCSV'", "policy_risk": "'CalibratedCSV'", "premium_transactions": "'CalibratedCSV'",
+           "operating_expenses": "SourceSystem"}
+OPERATOR_SQL["snk_stamps"] = build(" UNION ALL ".join(
+    f"SELECT '{e}' AS entity, {'NULL' if e in ('policy', 'policy_risk', 'premium_transactions') else S.q(e + '.csv')} AS SourceFile, "
+    f"{_SYSTEM.get(e, 'NULL')} AS SourceSystem, '2002-01-01 00:00:00' AS loaded_at, count(*) AS rows FROM raw_{e} GROUP BY ALL"
+    for e in ENTITIES), *[f"raw_{e}" for e in ENTITIES])
+OPERATOR_SQL["j_anti"] = build("""SELECT PolicyID, PolicyStatus FROM silver_policy p WHERE NOT EXISTS
+  (SELECT 1 FROM silver_premium_transactions t WHERE t.PolicyID = p.PolicyID)""", "silver_policy", "silver_premium_transactions")
+OPERATOR_SQL["j_anti_expr"] = build("""SELECT CAST(CASE CoverageType WHEN 'UNKNOWN' THEN -1 WHEN 'BUILDINGS' THEN 1 WHEN 'CONTENTS' THEN 2
+  ELSE 2 + row_number() OVER (PARTITION BY CoverageType IN ('UNKNOWN', 'BUILDINGS', 'CONTENTS') ORDER BY CoverageType) END AS BIGINT)
+  AS CoverageKey, CoverageType FROM dim_coverage""", "dim_coverage")
+OPERATOR_SQL["rpt_broker_policy"] = build("""SELECT PolicyID, BrokerID, ProductType, PolicyStatus, InceptionDate, ExpiryDate,
+  BrokerName, Channel FROM silver_policy p LEFT JOIN broker_dim b ON p.BrokerID = b._dk""", "silver_policy", "broker_dim")
+OPERATOR_SQL["rpt_claim_payment"] = build("""SELECT PaymentID, p.ClaimID, PaymentDate, CAST(PaymentAmount AS DOUBLE) AS PaymentAmount,
+  p.ClaimType, PolicyID, LossDate, ClaimStatus, Severity FROM silver_claim_payments p LEFT JOIN fact_claim c ON p.ClaimID = c.ClaimID""",
+    "silver_claim_payments", "fact_claim")
+OPERATOR_SQL["o_top"] = build("SELECT PolicyID, CustomerID, PolicyStatus FROM silver_policy ORDER BY PolicyID LIMIT 20", "silver_policy")
+OPERATOR_SQL["e_02"] = build("""SELECT CAST(Year AS BIGINT) AS Year, CAST(Month AS BIGINT) AS Month, count(*) AS rows,
+  CAST(coalesce(sum(NetPremium), 0) AS DOUBLE) AS net_premium FROM silver_premium_transactions WHERE Year = 1998 GROUP BY 1, 2""",
+    "silver_premium_transactions")
+OPERATOR_SQL["d_01_second_load"] = build("""SELECT CAST(CASE WHEN known THEN k ELSE (SELECT count(*) FROM silver_address WHERE Tenure = 'Freehold') + k END
+  AS BIGINT) AS AddressKey, AddressID, City, Tenure, CAST(1 AS BIGINT) AS Changed FROM
+  (SELECT *, Tenure IS NOT DISTINCT FROM 'Freehold' AS known, row_number() OVER (PARTITION BY Tenure IS NOT DISTINCT FROM 'Freehold' ORDER BY AddressID) AS k
+   FROM silver_address) a
+UNION ALL SELECT -1, 'UNKNOWN', NULL, NULL, 0""", "silver_address")
+OPERATOR_SQL["e_06_calibration"] = build("""SELECT count(*) AS policies,
+  count(CASE WHEN EXISTS (SELECT 1 FROM silver_claims c WHERE c.PolicyID = p.PolicyID) THEN 1 END) AS policies_with_claim,
+  CAST(1 AS BIGINT) AS calibrated FROM silver_policy p""", "silver_policy", "silver_claims")

@@ -31,18 +31,19 @@ def cost_band(x: str) -> str:
             f"WHEN {x} <= {K.LARGE_CLAIM} THEN {S.q(K.COST_BAND_HIGH)} ELSE {S.q(K.COST_BAND_TOP)} END")
 
 
-cte("prem_pol", "SELECT PolicyID, sum(NetPremium) AS net, sum(GrossPremium) AS gross "
+cte("prem_pol", "SELECT PolicyID, 1 AS has_prem, sum(NetPremium) AS net, sum(GrossPremium) AS gross "
                 "FROM silver_premium_transactions GROUP BY PolicyID", "silver_premium_transactions")
 cte("claim_paid", "SELECT ClaimID, sum(PaymentAmount) AS ClaimPaid, count(*) AS payments "
                   "FROM silver_claim_payments GROUP BY ClaimID", "silver_claim_payments")
-cte("paid_pol", "SELECT c.PolicyID, sum(cp.ClaimPaid) AS paid FROM claim_paid cp "
+cte("paid_pol", "SELECT c.PolicyID, 1 AS has_paid, sum(cp.ClaimPaid) AS paid FROM claim_paid cp "
                 "LEFT JOIN silver_claims c ON cp.ClaimID = c.ClaimID GROUP BY c.PolicyID", "claim_paid", "silver_claims")
-cte("claims_pol", "SELECT PolicyID, count(*) AS n_claims FROM silver_claims GROUP BY PolicyID", "silver_claims")
-cte("facts_pol", """SELECT coalesce(coalesce(p.PolicyID, q.PolicyID), n.PolicyID) AS PolicyID, net, gross, paid, n_claims
+cte("claims_pol", "SELECT PolicyID, 1 AS has_claim, count(*) AS n_claims FROM silver_claims GROUP BY PolicyID", "silver_claims")
+cte("facts_pol", """SELECT coalesce(coalesce(p.PolicyID, q.PolicyID), n.PolicyID) AS PolicyID, net, gross, paid, n_claims,
+  has_prem, has_paid, has_claim
 FROM prem_pol p FULL JOIN paid_pol q ON p.PolicyID = q.PolicyID
 FULL JOIN claims_pol n ON coalesce(p.PolicyID, q.PolicyID) = n.PolicyID""", "prem_pol", "paid_pol", "claims_pol")
 cte("grain", """SELECT coalesce(pol.PolicyID, f.PolicyID) AS PolicyID, AddressID, BrokerID, PolicyStatus, InceptionDate,
-  is_policy, net, gross, paid, n_claims
+  is_policy, net, gross, paid, n_claims, has_prem, has_paid, has_claim
 FROM (SELECT PolicyID, AddressID, BrokerID, PolicyStatus, InceptionDate, 1 AS is_policy FROM silver_policy) pol
 FULL JOIN facts_pol f ON pol.PolicyID = f.PolicyID""", "silver_policy", "facts_pol")
 cte("address_dim", f"""SELECT AddressID AS _dk, City, Region, PropertyType, {age_band('BuildYear')} AS PropertyAgeBand,
@@ -63,10 +64,17 @@ DOUBLES = ["net_premium", "gross_premium", "claims_paid", "loss_ratio", "claims_
 BIGINTS = ["policies", "active_policies", "claims"]
 
 
-def rollup_sql(dim: str, attr: str) -> str:
+# Which rows of the policy grain a measure is about, besides the policies themselves.
+ABOUT = {"net_premium": ("has_prem",), "gross_premium": ("has_prem",), "claims_paid": ("has_paid",), "claims": ("has_claim",),
+         "loss_ratio": ("has_paid", "has_prem"), "claims_frequency": ("has_claim",),
+         "avg_claim_cost": ("has_paid", "has_claim"), "claims_per_1000": ("has_claim",)}
+
+
+def rollup_sql(dim: str, attr: str, measures: list[str]) -> str:
     fk = "AddressID" if dim == "address" else "BrokerID"
+    rows = " OR ".join(f"{x} = 1" for x in dict.fromkeys(["is_policy", *[a for m in measures for a in ABOUT.get(m, ())]]))
     return (f"SELECT *, {RATIOS} FROM (SELECT coalesce(d.{attr}, 'Unknown') AS {attr}, {FINISH} "
-            f"FROM (SELECT {fk}, {PARTIALS} FROM grain GROUP BY {fk}) pre "
+            f"FROM (SELECT {fk}, {PARTIALS} FROM grain WHERE {rows} GROUP BY {fk}) pre "
             f"LEFT JOIN {dim}_dim d ON pre.{fk} = d._dk GROUP BY 1) t")
 
 
@@ -85,7 +93,7 @@ def _present(sql: str, cols: list[str], deps: list[str], doubles=(), bigints=())
 
 
 def by_sql(dim: str, attr: str, cols: list[str]) -> str:
-    return _present(f"SELECT {attr}, {', '.join(cols)} FROM ({rollup_sql(dim, attr)}) r", [attr, *cols],
+    return _present(f"SELECT {attr}, {', '.join(cols)} FROM ({rollup_sql(dim, attr, cols)}) r", [attr, *cols],
                     ["grain", f"{dim}_dim"])
 
 
@@ -134,7 +142,7 @@ REPORT_SQL["r_15"] = by_sql("address", "PropertyType", ["net_premium", "claims_p
 REPORT_SQL["r_16"] = by_sql("broker", "Channel", ["claims", "policies", "claims_frequency"])
 REPORT_SQL["r_17"] = by_sql("broker", "Channel", ["net_premium", "claims_paid", "loss_ratio"])
 REPORT_SQL["r_18"] = by_sql("broker", "Channel", ["claims", "policies", "claims_per_1000"])
-REPORT_SQL["r_19"] = _present(f"""SELECT Region, net_premium, claims_paid, loss_ratio FROM ({rollup_sql('address', 'Region')}) r
+REPORT_SQL["r_19"] = _present(f"""SELECT Region, net_premium, claims_paid, loss_ratio FROM ({rollup_sql('address', 'Region', ['loss_ratio'])}) r
 ORDER BY loss_ratio DESC NULLS LAST, Region LIMIT 3""", ["net_premium", "claims_paid", "loss_ratio"],
     ["grain", "address_dim"])
 REPORT_SQL["r_20"] = by_sql("address", "Region", ["claims", "policies", "claims_frequency"])
@@ -151,28 +159,27 @@ REPORT_SQL["r_24"] = _present(f"""SELECT Severity, coalesce(sum(paid), 0) AS cla
 REPORT_SQL["r_25"] = by_sql("address", "PropertyAgeBand", ["claims", "policies", "claims_per_1000"])
 REPORT_SQL["r_26"] = _present(f"""SELECT Broker, policies, net_premium, claims_paid, loss_ratio,
   {ratio('net_premium', '_total')} AS premium_share
-FROM ({rollup_sql('broker', 'Broker')}) b, (SELECT sum(net_premium) AS _total FROM ({rollup_sql('broker', 'Broker')}) x) t""",
+FROM ({rollup_sql('broker', 'Broker', ['loss_ratio'])}) b, (SELECT sum(net_premium) AS _total FROM ({rollup_sql('broker', 'Broker', ['net_premium'])}) x) t""",
     ["policies", "net_premium", "claims_paid", "loss_ratio", "premium_share"], ["grain", "broker_dim"],
     doubles=["premium_share"])
-cte("monthly", """SELECT coalesce(coalesce(p.m, c.m), e.m) AS m, coalesce(net_premium, 0) AS net_premium,
-  coalesce(claims_paid, 0) AS claims_paid, coalesce(expenses, 0) AS expenses
-FROM (SELECT CAST(date_trunc('month', TransactionDate) AS DATE) AS m, sum(NetPremium) AS net_premium
-      FROM silver_premium_transactions GROUP BY 1) p
-FULL JOIN (SELECT CAST(date_trunc('month', PaymentDate) AS DATE) AS m, sum(PaymentAmount) AS claims_paid
-      FROM silver_claim_payments GROUP BY 1) c ON p.m = c.m
-FULL JOIN (SELECT ExpenseMonth AS m, sum(ExpenseAmount) AS expenses FROM fact_operating_expenses
-      WHERE ImpactsExpenseRatioFlag = 1 GROUP BY 1) e ON coalesce(p.m, c.m) = e.m""",
+cte("monthly", """SELECT m, coalesce(sum(net_premium), 0) AS net_premium, coalesce(sum(claims_paid), 0) AS claims_paid,
+  coalesce(sum(expenses), 0) AS expenses FROM (
+  SELECT CAST(date_trunc('month', TransactionDate) AS DATE) AS m, NetPremium AS net_premium, NULL AS claims_paid, NULL AS expenses
+    FROM silver_premium_transactions
+  UNION ALL SELECT CAST(date_trunc('month', PaymentDate) AS DATE), NULL, PaymentAmount, NULL FROM silver_claim_payments
+  UNION ALL SELECT CAST(date_trunc('month', ExpenseMonth) AS DATE), NULL, NULL, ExpenseAmount FROM fact_operating_expenses
+    WHERE ImpactsExpenseRatioFlag = 1) u GROUP BY m""",
     "silver_premium_transactions", "silver_claim_payments", "fact_operating_expenses")
 _R27_COLS = ["net_premium", "claims_paid", "expenses", "loss_ratio", "combined_ratio", "net_premium_prev_month",
              "net_premium_prev_year", "claims_paid_prev_month", "claims_paid_prev_year", "premium_mom", "premium_yoy"]
-REPORT_SQL["r_27"] = _present(f"""SELECT strftime(a.m, '%Y-%m') AS month, a.net_premium, a.claims_paid, a.expenses,
+REPORT_SQL["r_27"] = _present(f"""SELECT coalesce(strftime(a.m, '%Y-%m'), 'Unknown') AS month, a.net_premium, a.claims_paid, a.expenses,
   {ratio('a.claims_paid', 'a.net_premium')} AS loss_ratio,
   {ratio('a.claims_paid', 'a.net_premium')} + {ratio('a.expenses', 'a.net_premium')} AS combined_ratio,
   pm.net_premium AS net_premium_prev_month, py.net_premium AS net_premium_prev_year,
   pm.claims_paid AS claims_paid_prev_month, py.claims_paid AS claims_paid_prev_year,
   {ratio('a.net_premium - pm.net_premium', 'pm.net_premium')} AS premium_mom,
   {ratio('a.net_premium - py.net_premium', 'py.net_premium')} AS premium_yoy
-FROM (SELECT *, year(m) * 12 + month(m) - 1 AS mi FROM monthly WHERE m IS NOT NULL) a
+FROM (SELECT *, year(m) * 12 + month(m) - 1 AS mi FROM monthly) a
 LEFT JOIN (SELECT *, year(m) * 12 + month(m) - 1 AS mi FROM monthly WHERE m IS NOT NULL) pm ON a.mi = pm.mi + 1
 LEFT JOIN (SELECT *, year(m) * 12 + month(m) - 1 AS mi FROM monthly WHERE m IS NOT NULL) py ON a.mi = py.mi + 12""",
     _R27_COLS, ["monthly"], doubles=_R27_COLS)

@@ -216,7 +216,7 @@ cte("pol_typed", f"""SELECT PolicyID, {', '.join(f"{S.b2n(c)} AS {c}" for c in
     ("CustomerID", "AddressID", "BrokerID", "ProductType", "PolicyStatus", "PaymentPlan"))},
   {S.first_date('InceptionDate', _POL_FMTS)} AS InceptionDate, {S.first_date('ExpiryDate', _POL_FMTS)} AS ExpiryDate,
   {S.first_date('CreatedDate', _POL_FMTS)} AS CreatedDate, InceptionDate AS InceptionDateRaw,
-  ExpiryDate AS ExpiryDateRaw, SourceLine AS BronzeRowID, 'HomeInsuranceCSV' AS SourceSystem
+  ExpiryDate AS ExpiryDateRaw, SourceLine AS BronzeRowID, 'PolicyCSV' AS SourceSystem
 FROM pol_latest""", "pol_latest")
 cte("silver_policy", """SELECT * EXCLUDE (InceptionDateRaw, ExpiryDateRaw) FROM pol_typed
 WHERE NOT coalesce(ExpiryDate < InceptionDate, false)""", "pol_typed")
@@ -237,7 +237,7 @@ cte("bronze_policy_risk", f"""SELECT {S.b2n('PolicyID')} AS PolicyID, {S.default
   {S.safe_dec('ClaimsRiskAdjustment', 10, 2)} AS ClaimsRiskAdjustment,
   {S.safe_dec('AdjustedRiskScore', 10, 2)} AS AdjustedRiskScore, {S.default_text('AdjustedRiskBand')} AS AdjustedRiskBand,
   {S.flag01('HighRiskFlag')} AS HighRiskFlag, {S.safe_int('RiskDataCompletenessScore')} AS RiskDataCompletenessScore,
-  RiskScore AS RiskScoreRaw, HasAlarm AS HasAlarmRaw, 'HomeInsuranceCSV' AS SourceSystem
+  RiskScore AS RiskScoreRaw, HasAlarm AS HasAlarmRaw, 'CalibratedCSV' AS SourceSystem
 FROM raw_policy_risk""", "raw_policy_risk")
 
 
@@ -273,7 +273,7 @@ cte("bronze_premium_transactions", f"""SELECT {S.b2n('PremiumTransactionID')} AS
   {S.safe_dec('TotalWrittenPremium')} AS TotalWrittenPremium, {S.safe_dec('TotalNetWrittenPremium')} AS TotalNetWrittenPremium,
   {S.safe_dec('IPTRatio', 9, 4)} AS IPTRatio, {S.safe_dec('DiscountRatio', 9, 4)} AS DiscountRatio,
   TransactionDate AS TransactionDateRaw, GrossPremium AS GrossPremiumRaw, NetPremium AS NetPremiumRaw,
-  'HomeInsuranceCSV' AS SourceSystem
+  'CalibratedCSV' AS SourceSystem
 FROM raw_premium_transactions""", "raw_premium_transactions")
 cte("pt_latest", _latest("bronze_premium_transactions", ["PremiumTransactionID"],
                          [c for c in BRONZE_PT_COLS if c != "PremiumTransactionID"]), "bronze_premium_transactions")

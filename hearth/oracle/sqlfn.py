@@ -47,7 +47,8 @@ def date_text_prefix(x: str, width: int = 10) -> str:
 
 
 def date_text_iso(x: str) -> str:
-    return f"trim(replace(replace(replace({x}, chr(160), ' '), '\"', ''), 'T', ' '), ' ')"
+    plain = f"trim(replace(replace(replace({x}, chr(160), ' '), '\"', ''), 'T', ' '), ' ')"
+    return f"regexp_replace({plain}, '(:[0-9]+)[.][0-9]+$', '\\1')"
 
 
 def flag01(x: str) -> str:

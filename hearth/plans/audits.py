@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hearth.functions import clean as C
-from hearth.operators.quality import conditional_counts, distribution, duplicate_keys, recon
+from hearth.operators.quality import distribution, duplicate_keys, recon
 from hearth.plans.model import present
 
 KEY_OF = {"address": ["AddressID"], "broker": ["BrokerID"], "claim_payments": ["PaymentID"],
@@ -31,9 +32,68 @@ def _missing_any(keys):
     return reduce(lambda a, b: a | b, [C.is_missing(k) for k in keys])
 
 
+# The columns the staging checks look at, and the characters a number may hold there.
+NUMBER_CHARS = {
+    "address": {"Bedrooms": "0-9.", "BuildYear": "0-9", "RebuildCostEstimate": "0-9."},
+    "claim_payments": {"PaymentAmount": "0-9.", "OutstandingReserve": "0-9.", "IncurredAmount": "0-9.", "LargeLossFlag": "0-9"},
+    "claim_reserves": {"ReserveAmount": "0-9.\\-", "PreviousReserve": "0-9.\\-", "ReserveChange": "0-9.\\-", "ReserveAgeMonths": "0-9"},
+    "coverage": {"CoverageLimit": "0-9.", "Excess": "0-9."},
+    "customer": {"Age": "0-9", "CustomerTenureMonths": "0-9", "CustomerTenureYears": "0-9.", "RecordCompletenessScore": "0-9"},
+}
+FLAG_COLUMNS = {
+    "claims": ("ReopenedFlag", "FraudFlag", "CatEventFlag"),
+    "customer": ("HasEmail", "IsValidEmail", "HasPhone", "IsValidPhone", "MarketingOptInFlag", "ContactableFlag",
+                 "VulnerableCustomerFlag"),
+    "date": ("IsToday", "IsCurrentMonth", "IsCurrentYear", "IsYTD", "IsLast7Days", "IsLast30Days", "IsLast90Days",
+             "IsBusinessDay", "IsUKBankHoliday", "IsWeekendFlag"),
+    "premium_transactions": ("PremiumDataQualityFlag", "IsInstallmentPlanFlag", "IsYTDFlag", "IsLast12MonthsFlag"),
+}
+DATE_FLAGS = ("0", "1", "Y", "N")          # the calendar's flags come as digits or letters
+YES_NO_COLUMNS = {"coverage": ("IsIncluded",), "customer": ("MarketingOptIn",), "policy_risk": ("HasAlarm",)}
+DATE_COLUMNS = {"customer": ("DateOfBirth", "CreatedDate"), "date": ("Date",), "operating_expenses": ("ExpenseMonthStart",)}
+TYPED_COLUMNS = {
+    "policy_risk": {"RiskScore": "decimal", "PriorClaimsCount": "int", "AlarmRiskAdjustment": "decimal",
+                    "ClaimsRiskAdjustment": "decimal", "AdjustedRiskScore": "decimal", "RiskDataCompletenessScore": "int"},
+    "premium_transactions": {"TransactionDate": "date", "GrossPremium": "decimal", "NetPremium": "decimal"},
+}
+DEFAULTED_COLUMNS = {"policy_risk": ("RiskType", "RiskBand", "ClaimsHistoryBand", "AdjustedRiskBand"),
+                     "premium_transactions": ("TransactionStatus", "TransactionType", "PremiumBand")}
+UNIQUE_KEYS = ("broker", "coverage", "customer", "operating_expenses", "policy_risk", "premium_transactions")
+GOLD_OF = {"address": "dim_address", "broker": "dim_broker", "claim_payments": "fact_claim_payments",
+           "claim_reserves": "fact_claim_reserves", "claims": "fact_claim", "coverage": "fact_policy_coverage",
+           "customer": "dim_customers", "date": "dim_date", "operating_expenses": "fact_operating_expenses",
+           "policy": "dim_policy", "policy_risk": "dim_policy_risk", "premium_transactions": "fact_premium_transactions"}
+
+
+def _row_key(entity):
+    """The raw key as one text, NULL parts as empty."""
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in KEY_OF[entity]])
+
+
+def _cells(wh, entity, bad):
+    """The raw cells for which ``bad[column]`` holds, one scan per table: ``entity, row_key, column_name, value``."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), cond.alias("bad"))
+                                for c, cond in bad.items()]))
+    return (wh.raw(entity).select(F.lit(entity).alias("entity"), _row_key(entity).alias("row_key"), cells.alias("c"))
+              .filter(F.col("c.bad")).select("entity", "row_key", "c.column_name", "c.value"))
+
+
+def _count_columns(wh, entity, conditions, what):
+    """Rows per column for which a condition holds, one scan: ``entity, column_name, <what>, rows``."""
+    cols = list(conditions)
+    one = wh.raw(entity).agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(conditions[c]).alias(c) for c in cols])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias(what)) for c in cols]))
+    return one.select("rows", pairs.alias("p")).select(F.lit(entity).alias("entity"), "p.column_name", f"p.{what}", "rows")
+
+
+def _filled(c):
+    return F.coalesce(F.trim(c), F.lit("")) != ""
+
+
 def v_01(wh):
-    """Row counts across layers (raw, silver, reject) per entity."""
-    rows = [recon({"raw_rows": wh.raw(e), "silver_rows": wh.silver(e), "reject_rows": wh.rejects(e)})
+    """Row counts across all layers (raw, bronze, silver, reject, gold) per entity."""
+    rows = [recon({"raw_rows": wh.raw(e), "bronze_rows": wh.bronze(e), "silver_rows": wh.silver(e),
+                   "reject_rows": wh.rejects(e), "gold_rows": getattr(wh.gold, GOLD_OF[e])})
             .select(F.lit(e).alias("entity"), "*") for e in ENTITIES]
     return present(_union(rows))
 
@@ -55,9 +115,13 @@ def v_02(wh):
 
 
 def v_03(wh):
-    """Duplicate keys in the raw premium transactions (A-DUP1)."""
-    raw = wh.raw("premium_transactions").select(C.blank_to_null("PremiumTransactionID").alias("PremiumTransactionID"))
-    return present(duplicate_keys(raw.filter(F.col("PremiumTransactionID").isNotNull()), ["PremiumTransactionID"]))
+    """Duplicate keys in the raw tables whose key should be unique (A-DUP1 / A-DUPN)."""
+    out = []
+    for e in UNIQUE_KEYS:
+        keyed = wh.raw(e).filter(~_missing_any(KEY_OF[e])).select(
+            F.lit(e).alias("entity"), F.concat_ws("|", *[C.blank_to_null(k) for k in KEY_OF[e]]).alias("row_key"))
+        out.append(duplicate_keys(keyed, ["entity", "row_key"]))
+    return present(_union(out))
 
 
 def v_04(wh):
@@ -67,29 +131,29 @@ def v_04(wh):
 
 
 def v_05(wh):
-    """Non-numeric payment amounts (P-15 character class)."""
-    r = wh.raw("claim_payments")
-    return present(r.filter(C.has_char_outside(F.trim("PaymentAmount"))).select("PaymentID", "PaymentAmount"))
+    """Non-numeric text in the raw number columns (P-15 character classes)."""
+    return present(_union([_cells(wh, e, {c: _filled(c) & C.has_char_outside(F.trim(c), chars) for c, chars in cols.items()})
+                           for e, cols in NUMBER_CHARS.items()]))
 
 
 def v_06(wh):
-    """Flag domains on claims: invalid count per flag column."""
-    r = wh.raw("claims")
-    return present(_union([r.agg(F.count_if(C.strict_flag_invalid(c)).alias("invalid_rows"))
-                           .select(F.lit(c).alias("flag"), "invalid_rows")
-                           for c in ("ReopenedFlag", "FraudFlag", "CatEventFlag")]))
+    """Flag domains: rows with a value outside 0/1 (calendar: 0/1/Y/N) per raw flag column."""
+    def bad(e, c):
+        return _filled(c) & ~F.col(c).isin(*DATE_FLAGS) if e == "date" else C.strict_flag_invalid(c)
+    return present(_union([_count_columns(wh, e, {c: bad(e, c) for c in cols}, "invalid_rows")
+                           for e, cols in FLAG_COLUMNS.items()]))
 
 
 def v_07(wh):
-    """Y/N domain of MarketingOptIn."""
-    r = wh.raw("customer")
-    return present(r.filter(C.not_in_domain("MarketingOptIn", ["Y", "N"])).select("CustomerID", "MarketingOptIn"))
+    """Y/N domain of the raw yes/no columns (blank is allowed)."""
+    return present(_union([_cells(wh, e, {c: _filled(c) & C.not_in_domain(F.upper(F.trim(c)), ["Y", "N"]) for c in cols})
+                           for e, cols in YES_NO_COLUMNS.items()]))
 
 
 def v_08(wh):
-    """Unparseable dates of birth (UK or ISO)."""
-    r = wh.raw("customer")
-    return present(r.filter(C.first_date("DateOfBirth", (C.UK, C.ISO)).isNull()).select("CustomerID", "DateOfBirth"))
+    """Raw dates that neither the UK nor the ISO format parses (blank is allowed)."""
+    return present(_union([_cells(wh, e, {c: _filled(c) & C.first_date(c, (C.UK, C.ISO)).isNull() for c in cols})
+                           for e, cols in DATE_COLUMNS.items()]))
 
 
 def v_09(wh):
@@ -101,15 +165,15 @@ def v_09(wh):
 
 def v_10(wh):
     r = wh.raw("operating_expenses")
-    return present(r.filter(F.col("Currency") != "GBP").select("ExpenseMonthStart", "ExpenseCategory", "Currency"))
+    return present(r.filter(_filled("Currency") & (F.upper(F.trim("Currency")) != "GBP")).select("ExpenseMonthStart", "ExpenseCategory", "Currency"))
 
 
 def v_11(wh):
-    """Month-on-month identity: amount - previous = variance (tolerance 0.50)."""
+    """Month-on-month identity: inflation-adjusted amount - previous = variance (tolerance 0.50)."""
     r = wh.raw("operating_expenses")
-    a, p, v = (C.safe_decimal(c) for c in ("ExpenseAmount", "PreviousMonthAmount", "MoMVariance"))
+    a, p, v = (C.safe_decimal(c) for c in ("InflationAdjustedAmount", "PreviousMonthAmount", "MoMVariance"))
     return present(r.filter(C.off_by_more_than(a - p - v)).select(
-        "ExpenseMonthStart", "ExpenseCategory", "ExpenseAmount", "PreviousMonthAmount", "MoMVariance"))
+        "ExpenseMonthStart", "ExpenseCategory", "InflationAdjustedAmount", "PreviousMonthAmount", "MoMVariance"))
 
 
 def v_12(wh):
@@ -138,11 +202,24 @@ def v_14(wh):
 
 
 def v_15(wh):
-    """Contactable exactly when a valid email or phone exists."""
+    """Contactable although there is neither an opt-in nor a valid email or phone."""
+    r = wh.raw("customer")
+    bad = ((F.col("ContactableFlag") == "1") & (F.col("MarketingOptInFlag") != "1")
+           & (F.col("IsValidEmail") != "1") & (F.col("IsValidPhone") != "1"))
+    return present(r.filter(bad).select("CustomerID", "ContactableFlag", "IsValidEmail", "IsValidPhone", "MarketingOptInFlag"))
+
+
+def v_15_has_email(wh):
+    """An email address although HasEmail says there is none."""
     r = wh.raw("customer")
-    expect = (F.col("IsValidEmail") == "1") | (F.col("IsValidPhone") == "1")
-    return present(r.filter((F.col("ContactableFlag") == "1") != expect)
-                    .select("CustomerID", "IsValidEmail", "IsValidPhone", "ContactableFlag"))
+    return present(r.filter((F.col("HasEmail") == "0") & _filled("Email")).select("CustomerID", "HasEmail", "Email"))
+
+
+def v_year_month(wh):
+    """Premium YearMonth text that is not yyyy-mm (blank is allowed)."""
+    r = wh.raw("premium_transactions")
+    return present(r.filter(_filled("YearMonth") & ~F.col("YearMonth").rlike(C.YEAR_MONTH_RE))
+                    .select("PremiumTransactionID", "YearMonth"))
 
 
 def v_16(wh):
@@ -156,19 +233,26 @@ def v_17(wh):
                     .select("ClaimID", "ClaimStatus"))
 
 
+def _unconverted(entity, column, kind):
+    if kind == "date":
+        typed = C.first_date(column, (C.ISO, C.UK))
+    elif kind == "int":
+        typed = C.safe_int(column)
+    else:
+        typed = C.safe_decimal(column, *((10, 2) if entity == "policy_risk" else (18, 2)))
+    return _filled(column) & typed.isNull()
+
+
 def v_18(wh):
-    """Conversion failures raw -> typed (premium date and gross amount)."""
-    b = wh.bronze("premium_transactions")
-    bad = ((~C.is_missing("TransactionDateRaw") & F.col("TransactionDate").isNull())
-           | (~C.is_missing("GrossPremiumRaw") & F.col("GrossPremium").isNull()))
-    return present(b.filter(bad).select("PremiumTransactionID", "TransactionDateRaw", "GrossPremiumRaw"))
+    """Conversion failures raw -> typed: text that is there but becomes NULL at bronze."""
+    return present(_union([_cells(wh, e, {c: _unconverted(e, c, kind) for c, kind in cols.items()})
+                           for e, cols in TYPED_COLUMNS.items()]))
 
 
 def v_19(wh):
-    """Defaults applied at bronze policy_risk (blank text -> 'Unknown')."""
-    r = wh.raw("policy_risk")
-    return present(conditional_counts(r, {f"{c}_defaulted": C.is_missing(c) for c in
-                                          ("RiskType", "RiskBand", "ClaimsHistoryBand", "AdjustedRiskBand")}))
+    """Defaults applied at bronze (blank text -> 'Unknown') per column."""
+    return present(_union([_count_columns(wh, e, {c: C.is_missing(c) for c in cols}, "defaulted_rows")
+                           for e, cols in DEFAULTED_COLUMNS.items()]))
 
 
 def v_20(wh):
@@ -206,27 +290,43 @@ def v_22(wh):
         _orphans("policy.BrokerID->broker", s("policy"), "BrokerID", s("broker"), "BrokerID"),
         _orphans("policy.AddressID->address", s("policy"), "AddressID", s("address"), "AddressID"),
         _orphans("reserves.ClaimID->claims", s("claim_reserves"), "ClaimID", s("claims"), "ClaimID"),
+        # the two relations the reference declares as constraints
+        _orphans("expenses.ExpenseCategory->category", wh.gold.expense_typed, "ExpenseCategory",
+                 wh.gold.expense_categories, "ExpenseCategory"),
+        _orphans("expenses.ExpenseMonth->date", wh.gold.expense_typed, "ExpenseMonth", wh.gold.dim_date, "FullDate"),
+        _orphans("coverage.CoverageKey->coverage", wh.gold.fact_policy_coverage, "CoverageKey",
+                 wh.gold.dim_coverage, "CoverageKey"),
     ]))
 
 
 def v_23(wh):
     """Positive amounts; claim not before policy start; start before end."""
     pay = wh.silver("claim_payments").agg(F.count_if(F.col("PaymentAmount") <= 0).alias("non_positive_payments"))
+    prem = wh.silver("premium_transactions").agg(F.count_if(F.col("GrossPremium") <= 0).alias("non_positive_premiums"))
+    res = wh.silver("claim_reserves").agg(F.count_if(F.col("ReserveAmount") <= 0).alias("non_positive_reserves"))
     pol = wh.silver("policy").select("PolicyID", "InceptionDate", "ExpiryDate")
     per_day = wh.gold.fact_claim.groupBy("PolicyID", "LossDate").agg(F.count(F.lit(1)).alias("_n"))  # pre-aggregate
     early = (per_day.join(pol, "PolicyID")
              .agg(F.coalesce(F.sum(F.when(F.col("LossDate") < F.col("InceptionDate"), F.col("_n"))), F.lit(0))
                   .alias("claims_before_inception")))
     order = pol.agg(F.count_if(F.col("ExpiryDate") < F.col("InceptionDate")).alias("policies_end_before_start"))
-    return present(pay.crossJoin(early).crossJoin(order))
+    return present(pay.crossJoin(prem).crossJoin(res).crossJoin(early).crossJoin(order))
 
 
 def v_24(wh):
-    """Pre-flight: each source table exists and is not empty."""
+    """Pre-flight: each source table exists and is not empty, and so does each entity's bronze and silver.
+    A table that is not there counts 0 rows instead of stopping the check."""
+    def line(layer, name, get):
+        try:
+            n = get().agg(F.count(F.lit(1)).alias("rows"))
+        except AnalysisException:
+            n = wh.spark.range(1).select(F.lit(0).cast("bigint").alias("rows"))
+        return n.select(F.lit(layer).alias("layer"), F.lit(name).alias("source"), "rows",
+                        (F.col("rows") > 0).cast("int").alias("ok"))
     names = ("orders", "lineitem", "customer", "supplier", "part", "nation", "region")
-    return present(_union([wh.table(n).agg(F.count(F.lit(1)).alias("rows"))
-                           .select(F.lit(n).alias("source"), "rows", (F.col("rows") > 0).cast("int").alias("ok"))
-                           for n in names]))
+    return present(_union([*[line("source", n, lambda n=n: wh.table(n)) for n in names],
+                           *[line("bronze", e, lambda e=e: wh.bronze(e)) for e in ENTITIES],
+                           *[line("silver", e, lambda e=e: wh.silver(e)) for e in ENTITIES]]))
 
 
 def v_25(wh):
@@ -249,8 +349,9 @@ def v_26(wh):
     return present(_union([
         pair("net_premium", wh.silver("premium_transactions"), "NetPremium", g.fact_premium_transactions, "NetPremium"),
         pair("claims_paid", wh.silver("claim_payments"), "PaymentAmount", g.fact_claim_payments, "PaymentAmount"),
-        pair("operating_expenses", exp, "amt", g.fact_operating_expenses, "ExpenseAmount"),
+        pair("operating_expenses", exp, "amt", g.expense_lines, "ExpenseAmount"),       # the fact's rows, not numbered
     ]))
 
 
 AUDITS = {f"v_{i:02d}": globals()[f"v_{i:02d}"] for i in range(1, 27)}
+AUDITS.update({"v_15_has_email": v_15_has_email, "v_year_month": v_year_month})

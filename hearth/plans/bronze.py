@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from hearth.functions import clean as C
 from hearth.sources.files import ensure_columns, stamp
 
-SOURCE_SYSTEM = "HomeInsuranceCSV"
+# The source system each typed or stamped entity is marked with.
+POLICY_SYSTEM = "PolicyCSV"
+CALIBRATED_SYSTEM = "CalibratedCSV"
 
 
 def bronze_copy(raw: DataFrame, entity: str, now: datetime) -> DataFrame:
@@ -24,7 +26,7 @@ def bronze_copy(raw: DataFrame, entity: str, now: datetime) -> DataFrame:
         # B-10: a row id (file line) and a source system, no SourceFile
         out = (out.withColumnRenamed("SourceLine", "BronzeRowID") if "SourceLine" in out.columns
                else out.withColumn("BronzeRowID", F.lit(None).cast("bigint")))
-        out = stamp(out.drop("SourceFile"), source_system=SOURCE_SYSTEM)
+        out = stamp(out.drop("SourceFile"), source_system=POLICY_SYSTEM)
     return out
 
 
@@ -48,12 +50,12 @@ def bronze_policy_risk(raw: DataFrame, now: datetime) -> DataFrame:
         F.col("RiskScore").alias("RiskScoreRaw"),
         F.col("HasAlarm").alias("HasAlarmRaw"),
         F.lit(now).cast("timestamp").alias("BronzeLoadDts"),
-        F.lit(SOURCE_SYSTEM).alias("SourceSystem"),
+        F.lit(CALIBRATED_SYSTEM).alias("SourceSystem"),
     )
 
 
 PREMIUM_OPTIONAL = {"TotalWrittenPremium": "string", "TotalNetWrittenPremium": "string",
-                    "IPTRatio": "string", "DiscountRatio": "string"}
+                    "IPTRatio": "string", "DiscountRatio": "string", "SourceSystem": "string"}
 
 
 def bronze_premium_transactions(raw: DataFrame, now: datetime) -> DataFrame:
@@ -85,7 +87,7 @@ def bronze_premium_transactions(raw: DataFrame, now: datetime) -> DataFrame:
         F.col("GrossPremium").alias("GrossPremiumRaw"),
         F.col("NetPremium").alias("NetPremiumRaw"),
         F.lit(now).cast("timestamp").alias("BronzeLoadDts"),
-        F.lit(SOURCE_SYSTEM).alias("SourceSystem"),
+        F.coalesce(C.blank_to_null("SourceSystem"), F.lit(CALIBRATED_SYSTEM)).alias("SourceSystem"),
     )
 
 

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from hearth.functions import clean as C
 from hearth.operators.dedupe import latest
 from hearth.operators.joins import anti, join_dim, lookup_key
-from hearth.operators.keys import assign_key
-from hearth.operators.scd import with_unknown
+from hearth.operators.keys import assign_key, resolve_key
+from hearth.operators.scd import scd1_merge, top_key, with_unknown
+from hearth.plans.silver import CUSTOMER_KEYS
 from hearth.sources.calendar import calendar_between, date_attributes
 
 UNKNOWN_KEY = -1
@@ -50,21 +51,19 @@ def _stamp(df: DataFrame, now) -> DataFrame:
     return df.withColumn("GoldLoadDts", F.lit(now).cast("timestamp"))
 
 
-def dim_coverage_from(silver_coverage: DataFrame, now, current: DataFrame | None = None,
-                      materialize: bool = True) -> DataFrame:
+def dim_coverage_from(silver_coverage: DataFrame, now, current: DataFrame | None = None) -> DataFrame:
     """D-03: distinct normalised types; UNKNOWN is the -1 member.  With
     ``current`` only new types are added (J-ANTI-EXPR) and numbered after
     the existing maximum."""
     types = (silver_coverage.select(normalised_cover("CoverageType").alias("CoverageType")).distinct()
              .filter(F.col("CoverageType") != UNKNOWN_CODE))
     if current is None:
-        dim = assign_key(types, ["CoverageType"], "CoverageKey", materialize=materialize)
+        dim = assign_key(types, ["CoverageType"], "CoverageKey")
         dim = _stamp(dim, now).select("CoverageKey", "CoverageType", "GoldLoadDts")
         return with_unknown(dim, {"CoverageKey": UNKNOWN_KEY, "CoverageType": UNKNOWN_CODE})
     new = anti(types, current, ["CoverageType"])
-    top = current.agg(F.coalesce(F.max("CoverageKey"), F.lit(0)).alias("_m"))
-    new = assign_key(new, ["CoverageType"], "_k", materialize=materialize).crossJoin(F.broadcast(top))
-    new = _stamp(new.withColumn("CoverageKey", (F.col("_k") + F.col("_m")).cast("int")), now)
+    new = assign_key(new, ["CoverageType"], "_k").crossJoin(F.broadcast(top_key(current, "CoverageKey")))
+    new = _stamp(new.withColumn("CoverageKey", F.col("_k") + F.col("_top")), now)
     return current.unionByName(new.select(*current.columns))
 
 
@@ -72,39 +71,41 @@ class Gold:
     def __init__(self, wh):
         self.wh = wh
         self.now = wh.now
-        # Numbering checkpoints its tagged rows: the count job and the final
-        # join then read them instead of re-running the range sort (measured
-        # faster than recomputing, and it survives executor loss).
-        self.materialize = True
 
-    def _key(self, df, order, name):
-        return assign_key(df, order, name, materialize=self.materialize)
+    def _dim(self, name: str, source: DataFrame, key: str, key_col: str, unknown: dict | None = None) -> DataFrame:
+        """A dimension of ``source`` by business key.  On a first load the keys
+        follow the business key; after that the rows are merged into the
+        previous load's image (type 1): known members keep their surrogate,
+        new ones are numbered after the greatest, vanished ones stay."""
+        previous = self.wh.previous(name)
+        if previous is not None:
+            tracked = [c for c in source.columns if c != key]
+            return scd1_merge(previous, source, key, tracked, key_col, self.now)
+        dim = _stamp(assign_key(source, [key], key_col), self.now)
+        dim = dim.select(key_col, *[c for c in dim.columns if c != key_col])
+        return with_unknown(dim, {key_col: UNKNOWN_KEY, **unknown}) if unknown else dim
 
     # -- dimensions ----------------------------------------------------------
     @stored
     def dim_address(self) -> DataFrame:
         s = self.wh.silver("address").drop("PostcodeArea", "CustomerID", "BronzeLoadDts", "SilverLoadDts",
                                             "SourceFile")
-        dim = _stamp(self._key(s, ["AddressID"], "AddressKey"), self.now)
-        return with_unknown(dim.select("AddressKey", *[c for c in dim.columns if c != "AddressKey"]),
-                            {"AddressKey": UNKNOWN_KEY, "AddressID": UNKNOWN_CODE})
+        return self._dim("dim_address", s, "AddressID", "AddressKey", {"AddressID": UNKNOWN_CODE})
 
     @stored
     def dim_broker(self) -> DataFrame:
         s = self.wh.silver("broker").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")
-        dim = _stamp(self._key(s, ["BrokerID"], "BrokerKey"), self.now)
-        return with_unknown(dim.select("BrokerKey", *[c for c in dim.columns if c != "BrokerKey"]),
-                            {"BrokerKey": UNKNOWN_KEY, "BrokerID": UNKNOWN_CODE})
+        return self._dim("dim_broker", s, "BrokerID", "BrokerKey", {"BrokerID": UNKNOWN_CODE})
 
     @stored
     def dim_coverage(self) -> DataFrame:
-        return dim_coverage_from(self.wh.silver("coverage"), self.now, materialize=self.materialize)
+        return dim_coverage_from(self.wh.silver("coverage"), self.now, self.wh.previous("dim_coverage"))
 
     @stored
     def dim_customers(self) -> DataFrame:
         s = self.wh.silver("customer").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")  # P-21
-        dim = _stamp(self._key(s, ["CustomerID"], "CustomerKey"), self.now)
-        return dim.select("CustomerKey", *[c for c in dim.columns if c != "CustomerKey"])
+        key = resolve_key(s.columns, CUSTOMER_KEYS)[0]
+        return self._dim("dim_customers", s, key, "CustomerKey")
 
     @stored
     def dim_date(self) -> DataFrame:
@@ -129,9 +130,12 @@ class Gold:
     @stored
     def dim_expense_category(self) -> DataFrame:
         """D-06: the categories with a surrogate key; no unknown member."""
-        return _stamp(self._key(self.expense_categories, ["ExpenseCategory"], "ExpenseCategoryKey"), self.now)
+        cat = self.expense_categories
+        dim = self._dim("dim_expense_category", cat, "ExpenseCategory", "ExpenseCategoryKey")
+        return dim.select(*cat.columns, "ExpenseCategoryKey", "GoldLoadDts")
 
-    def _expense_typed(self) -> DataFrame:
+    @cached_property
+    def expense_typed(self) -> DataFrame:
         return self.wh.silver("operating_expenses").select(
             C.first_date("ExpenseMonthStart", EXPENSE_MONTH_FORMATS).alias("ExpenseMonth"),
             F.trim("ExpenseCategory").alias("ExpenseCategory"),
@@ -146,7 +150,7 @@ class Gold:
         """The rows of F-04 without surrogate keys (what KPIs aggregate):
         the same inner join to the categories, no numbering job."""
         cat = self.expense_categories.select(F.col("ExpenseCategory").alias("_cat"), "ImpactsExpenseRatioFlag")
-        return join_dim(self._expense_typed(), cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")
+        return join_dim(self.expense_typed, cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")
 
     @stored
     def dim_policy(self) -> DataFrame:
@@ -156,19 +160,18 @@ class Gold:
     def dim_policy_risk(self) -> DataFrame:
         return _stamp(self.wh.silver("policy_risk").drop("SilverLoadDts"), self.now)
 
-    def _code_dim(self, col: str, key: str) -> DataFrame:
+    def _code_dim(self, name: str, col: str, key: str) -> DataFrame:
         vals = (self.wh.silver("claims").select(C.blank_to_null(col).alias(col)).filter(F.col(col).isNotNull())
                 .distinct())
-        dim = _stamp(self._key(vals, [col], key), self.now).select(key, col, "GoldLoadDts")
-        return with_unknown(dim, {key: UNKNOWN_KEY, col: UNKNOWN_CODE})
+        return self._dim(name, vals, col, key, {col: UNKNOWN_CODE})
 
     @stored
     def dim_claim_type(self) -> DataFrame:
-        return self._code_dim("ClaimType", "ClaimTypeKey")
+        return self._code_dim("dim_claim_type", "ClaimType", "ClaimTypeKey")
 
     @stored
     def dim_claim_status(self) -> DataFrame:
-        return self._code_dim("ClaimStatus", "ClaimStatusKey")
+        return self._code_dim("dim_claim_status", "ClaimStatus", "ClaimStatusKey")
 
     # -- facts -----------------------------------------------------------------
     @stored
@@ -197,22 +200,24 @@ class Gold:
 
     @stored
     def fact_operating_expenses(self) -> DataFrame:
-        """F-04: inner join to categories (drops unknown categories, audited by
-        V-22), left join to the calendar (bounded, broadcast), surrogate key."""
-        s = self._expense_typed()
+        """F-04: inner join to categories (rows of no category vanish; V-22
+        counts them), left join to the calendar (bounded, broadcast), surrogate key."""
+        s = self.expense_typed
         cat = self.dim_expense_category.select("ExpenseCategoryKey", F.col("ExpenseCategory").alias("_cat"),
                                                "ImpactsExpenseRatioFlag")
         j = join_dim(s, cat, ["ExpenseCategory"], ["_cat"], how="inner").drop("_cat")
         cal = self.dim_date.select(F.col("FullDate").alias("_d"), "DateKey")
         j = j.join(F.broadcast(cal), F.col("ExpenseMonth") == F.col("_d"), "left").drop("_d")
-        return _stamp(self._key(j, ["ExpenseMonth", "ExpenseCategory"], "OperatingExpenseKey"), self.now)
+        # two spellings of one month are two lines: the amounts settle the order
+        return _stamp(assign_key(j, ["ExpenseMonth", "ExpenseCategory", "ExpenseAmount", "InflationAdjustedAmount",
+                                     "PreviousMonthAmount", "MoMVariance", "Currency"], "OperatingExpenseKey"), self.now)
 
     @stored
     def fact_policy_coverage(self) -> DataFrame:
         """F-05: coverage rows + CoverageKey lookup (-1 when absent) + surrogate."""
         s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
         j = lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
-        return _stamp(self._key(j, ["PolicyID", "CoverageType"], "PolicyCoverageKey"), self.now)
+        return _stamp(assign_key(j, ["PolicyID", "CoverageType"], "PolicyCoverageKey"), self.now)
 
 
 def rich_calendar(gold: Gold) -> DataFrame:

@@ -1,7 +1,9 @@
 """E-01 timestamp-based incremental load.
 
-Rows of the new feed that are later than the target's high-water mark are
-upserted by key; all other target rows are kept.  The high-water mark is a
+Rows of the new feed that were loaded after the target's high-water mark are
+upserted by key; all other target rows are kept.  The mark is a load time, not
+a business date, so rows with an unparsed date and late rows are taken like any
+other; a row without a load time counts as new.  The high-water mark is a
 one-row aggregate (broadcast), the upsert an anti join plus a union, so the
 job is a couple of shuffles on the key and never collects anything.
 """
@@ -10,17 +12,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.operators.dedupe import latest
+from hearth.operators.joins import anti
 
 
-def incremental_load(target: DataFrame, feed: DataFrame, keys: Sequence[str], watermark_col: str,
-                     order_by: Sequence[Column] | None = None) -> DataFrame:
-    hwm = target.agg(F.max(watermark_col).alias("_hwm"))
+def incremental_load(target: DataFrame, feed: DataFrame, keys: Sequence[str], load_col: str) -> DataFrame:
+    hwm = target.agg(F.max(load_col).alias("_hwm"))
     new = (feed.crossJoin(F.broadcast(hwm))
-               .filter(F.col("_hwm").isNull() | (F.col(watermark_col) > F.col("_hwm"))).drop("_hwm"))
-    new = latest(new, list(keys), order_by)
-    kept = target.join(new.select(*keys), list(keys), "left_anti")
+               .filter(F.col("_hwm").isNull() | F.col(load_col).isNull() | (F.col(load_col) > F.col("_hwm"))).drop("_hwm"))
+    new = latest(new, list(keys), [load_col])
+    kept = anti(target, new.select(*keys), list(keys))
     return kept.unionByName(new.select(*target.columns))

@@ -4,7 +4,8 @@ Each query evaluates only the pieces it needs (Catalyst prunes the rest),
 returns one row (or one row per broker/channel for K-24/K-26), and follows
 the output convention of ``present``.  Earned premium defaults to net
 premium (the published figures equate them, H-5); the pro-rata variant is
-K-03 with ``mode='prorata'``.
+K-03 with ``mode='prorata'``, which reports the premium of policies without
+a known term next to what is earned.
 """
 
 from __future__ import annotations
@@ -47,13 +48,14 @@ def expenses(wh, impacting=True):
 
 def policy_counts(wh):
     p = wh.silver("policy")
-    return p.agg(F.count(F.lit(1)).alias("policies"), F.countDistinct("PolicyID").alias("unique_policies"),
+    # silver policy is one row per PolicyID: its rows are its unique policies
+    return p.agg(F.count(F.lit(1)).alias("policies"), F.count("PolicyID").alias("unique_policies"),
                  F.count_if(F.col("PolicyStatus") == star.ACTIVE_STATUS).alias("active_policies"),
                  F.countDistinct("BrokerID").alias("unique_brokers"))
 
 
 def claim_count(wh):
-    return wh.silver("claims").agg(F.countDistinct("ClaimID").alias("claims"))
+    return wh.silver("claims").agg(F.count("ClaimID").alias("claims"))      # one row per ClaimID
 
 
 def k_01(wh):
@@ -68,16 +70,18 @@ def k_03(wh, mode: str = "net"):
     if mode == "net":
         return present(net_premium(wh).withColumnRenamed("net_premium", "earned_premium"))
     pol = wh.silver("policy").select("PolicyID", "InceptionDate", "ExpiryDate")
-    # premium summed per policy first (exact cents), so a policy with many
-    # transactions joins as one row; earning is pro rata per policy, floored to a penny
-    per_pol = _prem(wh).groupBy("PolicyID").agg(F.sum((F.col("NetPremium") * 100).cast("bigint")).alias("cents"))
-    p = per_pol.join(pol, "PolicyID", "left")
+    # premium summed per policy first, so a policy with many transactions joins
+    # as one row; amount x elapsed days is summed exactly per term length and
+    # divided once per term, so nothing is rounded per policy
+    per_pol = _prem(wh).groupBy("PolicyID").agg(F.sum("NetPremium").alias("net"))
     term = F.datediff("ExpiryDate", "InceptionDate")
-    elapsed = F.least(F.greatest(F.datediff(F.lit(wh.as_of).cast("date"), F.col("InceptionDate")), F.lit(0)), term)
-    cents = F.col("cents")
-    earned_cents = F.when(term > 0, F.floor(cents * elapsed / term).cast("bigint")).otherwise(cents)
-    return present(p.agg((F.coalesce(F.sum(earned_cents), F.lit(0)).cast("decimal(38,0)") / 100)
-                         .cast("decimal(38,2)").alias("earned_premium")))
+    elapsed = F.least(F.greatest(F.datediff(F.lit(wh.as_of).cast("date"), F.col("InceptionDate")), F.lit(0)), F.col("term"))
+    by_term = (per_pol.join(pol, "PolicyID", "left").withColumn("term", F.when(term > 0, term))
+                      .groupBy("term").agg(F.sum(F.col("net") * F.when(F.col("term").isNull(), 1).otherwise(elapsed)).alias("weighted")))
+    return present(by_term.agg(
+        F.round(F.coalesce(F.sum(F.col("weighted").cast("double") / F.col("term")), F.lit(0.0)), 2).alias("earned_premium"),
+        F.coalesce(F.sum(F.when(F.col("term").isNull(), F.col("weighted"))), F.lit(0)).cast("double")
+         .alias("unknown_term_premium")))
 
 
 def k_04(wh):
@@ -163,12 +167,10 @@ def k_19(wh):
 
 
 def k_20(wh):
-    pr = wh.silver("policy_risk")
-    return present(pr.agg(
-        F.countDistinct(F.when(F.col("AdjustedRiskBand").isin(*K.HIGH_RISK_BANDS), F.col("PolicyID")))
-         .alias("high_risk_policies"),
-        F.countDistinct("PolicyID").alias("risk_policies")).select(
-        "high_risk_policies", K.ratio("high_risk_policies", "risk_policies").alias("high_risk_share")))
+    high = (wh.silver("policy_risk").filter(F.col("AdjustedRiskBand").isin(*K.HIGH_RISK_BANDS))
+              .agg(F.countDistinct("PolicyID").alias("high_risk_policies")))
+    t = _one(high, policy_counts(wh).select("policies"))         # the share of the whole portfolio
+    return present(t.select("high_risk_policies", K.ratio("high_risk_policies", "policies").alias("high_risk_share")))
 
 
 def _per_claim(wh):
@@ -193,8 +195,7 @@ def k_23(wh):
 
 
 def k_24(wh):
-    r = star.rollup(wh, "broker", ["Broker"])
-    return present(r.select("Broker", "net_premium", "claims", "claims_paid", "loss_ratio"))
+    return present(star.rollup(wh, "broker", ["Broker"], ["net_premium", "claims", "claims_paid", "loss_ratio"]))
 
 
 def k_25(wh):
@@ -203,7 +204,7 @@ def k_25(wh):
 
 
 def k_26(wh):
-    r = star.rollup(wh, "broker", ["Channel"])
+    r = star.rollup(wh, "broker", ["Channel"], ["net_premium"])
     total = r.agg(F.sum("net_premium").alias("_total"))
     return present(r.crossJoin(F.broadcast(total)).select("Channel", "net_premium",
                                                           K.ratio("net_premium", "_total").alias("premium_share")))

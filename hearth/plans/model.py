@@ -54,11 +54,15 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, now: datetime = DEFAULT_NOW,
                  as_of: date = DEFAULT_AS_OF, store: str | None = None,
-                 stored: tuple[str, ...] = ("bronze", "silver", "gold")):
+                 stored: tuple[str, ...] = ("bronze", "silver", "gold"), previous_store: str | None = None):
         self.spark, self.sf_dir, self.now, self.as_of = spark, sf_dir, now, as_of
-        self.store, self.stored = store, (stored if store else ())
+        self.store, self.stored, self.previous_store = store, (stored if store else ()), previous_store
         self._silver: dict[str, tuple[DataFrame, DataFrame]] = {}
 
+    def previous(self, dimension: str) -> DataFrame | None:
+        """The image of a dimension that the load before this one wrote, if there was one."""
+        return self.spark.read.parquet(f"{self.previous_store}/gold/{dimension}") if self.previous_store else None
+
     # -- sources -----------------------------------------------------------
     def table(self, name: str) -> DataFrame:
         return tv.table(self.spark, self.sf_dir, name)

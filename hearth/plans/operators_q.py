@@ -3,17 +3,26 @@ roadmap extensions of §2.13, each over the supplied tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import clean as C
 from hearth.functions import kpi as K
+from hearth.operators.joins import anti
 from hearth.operators.keys import assign_key
 from hearth.operators.quality import distribution, duplicate_keys
-from hearth.operators.scd import scd1_merge
+from hearth.operators.scd import scd1_merge, with_unknown
 from hearth.operators.windows import with_lag
 from hearth.plans import star
+from hearth.plans.audits import ENTITIES
+from hearth.plans.bronze import PREMIUM_OPTIONAL, bronze_premium_transactions
+from hearth.plans.gold import dim_coverage_from
 from hearth.plans.model import present
+from hearth.session import ensure_checkpoint_dir
+from hearth.sources.files import align, read_raw, split_malformed, write_table
+from hearth.sources.schemas import load_staging, staging_schema
 
 # Fixed weights of the roadmap scores (our inputs; the roadmap names the
 # factors but gives no weights).
@@ -53,7 +62,7 @@ def a_dist(wh) -> DataFrame:
 
 def o_topk(wh, k: int = TOP_BROKERS) -> DataFrame:
     """O-TOPK: the k brokers with the highest net premium (TakeOrderedAndProject)."""
-    r = star.rollup(wh, "broker", ["Broker"]).select("Broker", "net_premium")
+    r = star.rollup(wh, "broker", ["Broker"], ["net_premium"])
     return present(r.orderBy(F.col("net_premium").desc(), F.col("Broker")).limit(k))
 
 
@@ -68,10 +77,12 @@ def w_lag(wh) -> DataFrame:
 
 def w_latestsnap(wh) -> DataFrame:
     """W-LATESTSNAP: supplied LatestSnapshotFlag against the recomputed one."""
-    r = wh.silver("claim_reserves")
-    w = Window.partitionBy("ClaimID").orderBy(F.col("SnapshotDate").desc_nulls_last(), F.col("ReserveID").desc_nulls_last())
-    r = r.withColumn("IsLatest", (F.row_number().over(w) == 1).cast("int"))
-    return present(r.groupBy("LatestSnapshotFlag", "IsLatest").agg(F.count(F.lit(1)).alias("reserves")))
+    by_flag = lambda df, n: df.groupBy(F.col("LatestSnapshotFlag").alias(f"_{n}")).agg(F.count(F.lit(1)).alias(n))
+    every, newest = by_flag(wh.silver("claim_reserves"), "every"), by_flag(star.latest_reserves(wh), "newest")
+    j = every.join(F.broadcast(newest), F.expr("_every <=> _newest"), "left")       # one row per flag value
+    rows = j.select(F.col("_every").alias("LatestSnapshotFlag"), F.expr("stack(2, 1, coalesce(newest, 0L), 0, every - coalesce(newest, 0L))")
+                    .alias("IsLatest", "reserves"))
+    return present(rows.filter(F.col("reserves") > 0))
 
 
 def p_26(wh, policy_id: str = LOOKUP_POLICY) -> DataFrame:
@@ -95,7 +106,7 @@ def _minmax(df: DataFrame, weights: dict) -> DataFrame:
 
 def e_04(wh) -> DataFrame:
     """E-04 broker risk score: loss ratio, claims frequency, volume and high-risk share."""
-    b = star.rollup(wh, "broker", ["Broker"]).select("Broker", "policies", "loss_ratio", "claims_frequency")
+    b = star.rollup(wh, "broker", ["Broker"], ["policies", "loss_ratio", "claims_frequency"])
     hr = wh.silver("policy_risk").filter(F.col("AdjustedRiskBand").isin(*K.HIGH_RISK_BANDS)).select("PolicyID").distinct()
     pol = wh.silver("policy").select("PolicyID", F.coalesce("BrokerID", F.lit("Unknown")).alias("Broker"))
     hr_b = hr.join(pol, "PolicyID").groupBy("Broker").agg(F.count(F.lit(1)).alias("high_risk_policies"))
@@ -106,8 +117,7 @@ def e_04(wh) -> DataFrame:
 
 def e_05(wh) -> DataFrame:
     """E-05 postcode-area risk score from loss ratio and claims frequency."""
-    a = star.rollup(wh, "address", ["PostcodeArea"]).select("PostcodeArea", "policies", "loss_ratio",
-                                                             "claims_frequency")
+    a = star.rollup(wh, "address", ["PostcodeArea"], ["policies", "loss_ratio", "claims_frequency"])
     return present(_minmax(a, POSTCODE_SCORE_WEIGHTS))
 
 
@@ -116,12 +126,18 @@ INCREMENTAL_CUTOFF = "1999-12-31"
 
 
 def e_01(wh) -> DataFrame:
-    """E-01: yesterday's premium fact (transactions up to the cut-off) brought
-    up to date from today's feed by high-water mark; summarised per year."""
+    """E-01: yesterday's premium fact (transactions up to the cut-off, at net
+    premium 0 where today's feed corrects it) brought up to date from today's
+    feed by its load-time mark; summarised per year, undated rows included."""
     from hearth.plans.incremental import incremental_load
-    s = wh.silver("premium_transactions").drop("BronzeLoadDts", "SilverLoadDts", "SourceSystem")
-    target = s.filter(F.col("TransactionDate") <= F.lit(INCREMENTAL_CUTOFF).cast("date"))
-    merged = incremental_load(target, s, ["PremiumTransactionID"], "TransactionDate")
+    s = wh.silver("premium_transactions").select("PremiumTransactionID", "TransactionDate", "InstallmentNumber", "NetPremium")
+    known = F.coalesce(F.col("TransactionDate") <= F.lit(INCREMENTAL_CUTOFF).cast("date"), F.lit(False))
+    corrected = F.col("InstallmentNumber") == 7
+    day = lambda n: F.lit(wh.now.replace(day=n)).cast("timestamp")
+    feed = s.withColumn("LoadDts", F.when(known & ~corrected, day(1)).otherwise(day(2)))
+    target = s.filter(known).withColumn("NetPremium", F.when(corrected, 0).otherwise(F.col("NetPremium")).cast("decimal(18,2)")) \
+              .withColumn("LoadDts", day(1))
+    merged = incremental_load(target, feed, ["PremiumTransactionID"], "LoadDts")
     return present(merged.groupBy(F.year("TransactionDate").alias("year"))
                          .agg(F.count(F.lit(1)).alias("rows"), K.money_sum("NetPremium").alias("net_premium")))
 
@@ -203,3 +219,157 @@ def x_distinct(wh) -> DataFrame:
 
 
 OPERATORS.update({"j_inner": j_inner, "a_cond": a_cond, "x_distinct": x_distinct})
+
+
+# --------------------------------------------------------------------------
+# sources and sinks, each written to and read back from the shared folder
+# --------------------------------------------------------------------------
+def _scratch(wh, name: str) -> str:
+    """A new folder under the shared checkpoint location."""
+    return f"{ensure_checkpoint_dir(wh.spark).rstrip('/')}/hearth-{name}-{uuid.uuid4().hex}"
+
+
+def _csv_file(wh, entity: str, line, end: str = "") -> str:
+    """The raw table of ``entity`` as a headered CSV folder; ``line`` maps its columns to one text."""
+    path, raw = _scratch(wh, f"csv-{entity}"), wh.raw(entity)
+    rows = raw.select(F.concat(line(raw.columns), F.lit(end)).alias("value"), F.monotonically_increasing_id().alias("_id"))
+    # the reader drops the first line of each file, so each task's first row brings the header
+    header = F.lit(",".join(raw.columns) + end + "\n")
+    first = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    rows.select(F.when(first, F.concat(header, "value")).otherwise(F.col("value")).alias("value")).write.text(path)
+    return path
+
+
+def _joined(columns) -> F.Column:
+    return F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in columns])
+
+
+def src_csv(wh) -> DataFrame:
+    """SRC-CSV: the broker file (LF row ends) read with its staging schema."""
+    return split_malformed(read_raw(wh.spark, _csv_file(wh, "broker", _joined), staging_schema("broker")))[0]
+
+
+def src_csv_lf(wh) -> DataFrame:
+    """SRC-CSV-LF: the claims file with CRLF row ends; quotes and no-break spaces stay as they are."""
+    return split_malformed(read_raw(wh.spark, _csv_file(wh, "claims", _joined, "\r"), staging_schema("claims")))[0]
+
+
+def src_badrows(wh) -> DataFrame:
+    """SRC-BADROWS: a broker file in which some lines have a field too many or
+    too few; every line comes out, good or with its reject reason."""
+    def line(columns):
+        whole, last = _joined(columns), F.right(F.trim("BrokerID"), F.lit(1))
+        return F.when(last == "7", F.concat(whole, F.lit(",extra"))).when(last == "3", _joined(columns[:-1])).otherwise(whole)
+    good, bad = load_staging(wh.spark, _csv_file(wh, "broker", line), "broker", max_share=0.5)
+    return good.select("BrokerID", F.lit(None).cast("string").alias("RejectReason")).unionByName(
+        bad.select("BrokerID", "RejectReason"))
+
+
+def snk_overwrite(wh) -> DataFrame:
+    """SNK-OVERWRITE / SNK-CTAS: a table written twice holds the second load only."""
+    path, s = _scratch(wh, "overwrite"), wh.silver("broker")
+    write_table(s.limit(0), path)
+    write_table(s, path)
+    return present(wh.spark.read.parquet(path))
+
+
+def snk_byname(wh) -> DataFrame:
+    """SNK-BYNAME / SNK-BYCAT / SNK-TRUNC / SNK-CLONE: rows put into a clone of
+    the broker table by column name; a column the feed lacks is NULL, one the
+    table lacks is left out."""
+    table = wh.silver("broker").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
+    feed = wh.silver("broker").select(*reversed([c for c in table.columns if c != "CommissionModel"]), F.lit(1).alias("Unasked"))
+    path = _scratch(wh, "byname")
+    write_table(align(table.limit(0), table.schema), path)                  # the empty clone
+    write_table(align(feed, wh.spark.read.parquet(path).schema), path, mode="append")
+    return present(wh.spark.read.parquet(path))
+
+
+def snk_addcol(wh) -> DataFrame:
+    """SNK-ADDCOL / P-24: a premium file without the optional columns; bronze adds them as NULL."""
+    raw = wh.raw("premium_transactions").drop(*PREMIUM_OPTIONAL)
+    return present(bronze_premium_transactions(raw, wh.now).select("PremiumTransactionID", "PolicyID", "NetPremium", *PREMIUM_OPTIONAL))
+
+
+def snk_stamps(wh) -> DataFrame:
+    """SNK-STAMP-FILE / -TS / -SYS: the load metadata of every bronze entity, with its rows."""
+    out = None
+    for e in ENTITIES:
+        b = wh.bronze(e)
+        g = b.groupBy(*[(F.col(c) if c in b.columns else F.lit(None).cast("string")).cast("string").alias(c)
+                        for c in ("SourceFile", "SourceSystem", "BronzeLoadDts")]).agg(F.count(F.lit(1)).alias("rows"))
+        g = g.select(F.lit(e).alias("entity"), "SourceFile", "SourceSystem", F.col("BronzeLoadDts").alias("loaded_at"), "rows")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+# --------------------------------------------------------------------------
+# joins, top rows, extensions
+# --------------------------------------------------------------------------
+def j_anti(wh) -> DataFrame:
+    """J-ANTI: policies without a premium transaction."""
+    return present(anti(wh.silver("policy").select("PolicyID", "PolicyStatus"),
+                        wh.silver("premium_transactions").select("PolicyID"), ["PolicyID"]))
+
+
+def j_anti_expr(wh) -> DataFrame:
+    """J-ANTI-EXPR: the coverage dimension of an earlier load, which knew
+    buildings and contents only, brought up to date: new types after the greatest key."""
+    s = wh.silver("coverage")
+    earlier = dim_coverage_from(s.filter(F.upper(F.trim("CoverageType")).isin("BUILDINGS", "CONTENTS")), wh.now)
+    return present(dim_coverage_from(s, wh.now, current=earlier).select("CoverageKey", "CoverageType"))
+
+
+def rpt_broker_policy(wh) -> DataFrame:
+    """J-MERGED: every policy with its broker's attributes, one wide table."""
+    b = star.broker_dim(wh).select(F.col("_dk").alias("BrokerID"), "BrokerName", "Channel")
+    return present(wh.silver("policy").select("PolicyID", "BrokerID", "ProductType", "PolicyStatus", "InceptionDate", "ExpiryDate")
+                     .join(b, "BrokerID", "left"))
+
+
+def rpt_claim_payment(wh) -> DataFrame:
+    """J-MERGED: every payment with its claim's attributes, one wide table."""
+    c = wh.gold.fact_claim.select("ClaimID", "PolicyID", "LossDate", "ClaimStatus", "Severity")
+    return present(wh.silver("claim_payments").select("PaymentID", "ClaimID", "PaymentDate", "PaymentAmount", "ClaimType")
+                     .join(c, "ClaimID", "left"))
+
+
+def o_top(wh, k: int = 20) -> DataFrame:
+    """O-TOP: the first rows of a table by key."""
+    return present(wh.silver("policy").select("PolicyID", "CustomerID", "PolicyStatus").orderBy("PolicyID").limit(k))
+
+
+def e_02(wh, year: int = 1998) -> DataFrame:
+    """E-02: the premium fact laid out by year and month; one year is read back, the others' folders are not."""
+    path = _scratch(wh, "premium-by-month")
+    write_table(wh.silver("premium_transactions").select("Year", "Month", "NetPremium"), path, partition_by=("Year", "Month"))
+    f = wh.spark.read.parquet(path).filter(F.col("Year") == year)
+    return present(f.groupBy("Year", "Month").agg(F.count(F.lit(1)).alias("rows"), K.money_sum("NetPremium").alias("net_premium")))
+
+
+def d_01_second_load(wh) -> DataFrame:
+    """D-01 over two loads: the first knew only freehold addresses, all in
+    'Oldtown'; the second merges today's rows into it.  Known addresses keep
+    their key, new ones follow the greatest, the unknown member stays."""
+    store = _scratch(wh, "first-load")
+    s = wh.silver("address").drop("PostcodeArea", "CustomerID", "BronzeLoadDts", "SilverLoadDts", "SourceFile")
+    first = s.filter(F.col("Tenure") == "Freehold").withColumn("City", F.lit("Oldtown"))
+    dim = assign_key(first, ["AddressID"], "AddressKey").withColumn("GoldLoadDts", F.lit(wh.now).cast("timestamp"))
+    write_table(with_unknown(dim, {"AddressKey": -1, "AddressID": "UNKNOWN"}), f"{store}/gold/dim_address")
+    second = type(wh)(wh.spark, wh.sf_dir, now=wh.now.replace(day=2), as_of=wh.as_of, previous_store=store)
+    d = second.gold.dim_address
+    return present(d.select("AddressKey", "AddressID", "City", "Tenure", F.coalesce((F.col("GoldLoadDts") > F.lit(wh.now)).cast("int"), F.lit(0)).alias("Changed")))
+
+
+def e_06_calibration(wh) -> DataFrame:
+    """E-06 in one row: with a free intercept the mean predicted probability equals the share of policies with a claim."""
+    from hearth.plans.model_claims import claim_probability
+    p = claim_probability(wh)
+    t = p.agg(F.count(F.lit(1)).alias("policies"), F.sum("has_claim").alias("policies_with_claim"),
+              F.avg("claim_probability").alias("_p"), F.avg("has_claim").alias("_l"))
+    return present(t.select("policies", "policies_with_claim", (F.abs(F.col("_p") - F.col("_l")) < 0.001).cast("int").alias("calibrated")))
+
+
+OPERATORS.update({f.__name__: f for f in (
+    src_csv, src_csv_lf, src_badrows, snk_overwrite, snk_byname, snk_addcol, snk_stamps, j_anti, j_anti_expr, rpt_broker_policy,
+    rpt_claim_payment, o_top, e_02, d_01_second_load, e_06_calibration)})

@@ -50,7 +50,7 @@ def r_03(wh) -> DataFrame:
 
 
 def _by(wh, dim, attr, cols):
-    return _p(star.rollup(wh, dim, [attr]).select(attr, *cols))
+    return _p(star.rollup(wh, dim, [attr], cols))
 
 
 def r_04(wh):
@@ -68,14 +68,14 @@ def _claim_type_stats(wh) -> DataFrame:
 
 def r_05(wh):
     """Loss ratio by claim type: type's paid over the portfolio's net premium."""
-    t = star.totals(wh).select(F.col("net_premium").alias("_net"))
+    t = wh.silver("premium_transactions").agg(K.money_sum("NetPremium").alias("_net"))
     s = _claim_type_stats(wh).crossJoin(t)
     return _p(s.select("ClaimType", "claims_paid", K.ratio("claims_paid", "_net").alias("loss_ratio")))
 
 
 def r_06(wh):
     """Claims frequency by claim type: claims of the type per policy."""
-    t = star.totals(wh).select(F.col("policies").alias("_pol"))
+    t = wh.silver("policy").agg(F.count(F.lit(1)).alias("_pol"))
     c = wh.silver("claims").groupBy(F.coalesce("ClaimType", F.lit("Unknown")).alias("ClaimType")) \
           .agg(F.count(F.lit(1)).alias("claims"))
     return _p(c.crossJoin(t).select("ClaimType", "claims", K.ratio("claims", "_pol").alias("claims_frequency")))
@@ -137,7 +137,7 @@ def r_18(wh):
 
 def r_19(wh, k: int = TOP_REGIONS):
     """Top-k regions by loss ratio (O-TOPK-REGION); ties broken by name."""
-    r = star.rollup(wh, "address", ["Region"]).select("Region", "net_premium", "claims_paid", "loss_ratio")
+    r = star.rollup(wh, "address", ["Region"], ["net_premium", "claims_paid", "loss_ratio"])
     return _p(r.orderBy(F.col("loss_ratio").desc_nulls_last(), F.col("Region")).limit(k))
 
 
@@ -176,7 +176,7 @@ def r_25(wh):
 
 def r_26(wh):
     """Broker league table: premium, contribution to total, loss ratio."""
-    b = star.rollup(wh, "broker", ["Broker"])
+    b = star.rollup(wh, "broker", ["Broker"], ["policies", "net_premium", "claims_paid", "loss_ratio"])
     total = b.agg(F.sum("net_premium").alias("_total"))          # one row, broadcast
     return _p(b.crossJoin(F.broadcast(total)).select(
         "Broker", "policies", "net_premium", "claims_paid", "loss_ratio",
@@ -184,25 +184,26 @@ def r_26(wh):
 
 
 def monthly(wh) -> DataFrame:
-    """Monthly premium, claims paid and ratio-relevant expenses."""
-    prem = wh.silver("premium_transactions").groupBy(F.trunc("TransactionDate", "month").alias("m")) \
-             .agg(F.sum("NetPremium").alias("net_premium"))
-    paid = wh.silver("claim_payments").groupBy(F.trunc("PaymentDate", "month").alias("m")) \
-             .agg(F.sum("PaymentAmount").alias("claims_paid"))
-    exp = wh.gold.expense_lines.filter(F.col("ImpactsExpenseRatioFlag") == 1) \
-            .groupBy(F.col("ExpenseMonth").alias("m")).agg(F.sum("ExpenseAmount").alias("expenses"))
-    j = prem.join(paid, "m", "full").join(exp, "m", "full")
-    return j.select("m", *[F.coalesce(c, F.lit(0).cast("decimal(18,2)")).alias(c)
-                           for c in ("net_premium", "claims_paid", "expenses")])
+    """Premium, claims paid and ratio-relevant expenses per month; rows whose
+    date is unknown form one row with a NULL month, so the columns add up to
+    the portfolio.  One union and one grouping."""
+    cols = ("net_premium", "claims_paid", "expenses")
+
+    def side(df, month, **amount):
+        return df.select(month.alias("m"), *[amount.get(c, F.lit(None)).cast("decimal(28,2)").alias(c) for c in cols])
+    exp = wh.gold.expense_lines.filter(F.col("ImpactsExpenseRatioFlag") == 1)
+    u = (side(wh.silver("premium_transactions"), F.trunc("TransactionDate", "month"), net_premium=F.col("NetPremium"))
+         .unionByName(side(wh.silver("claim_payments"), F.trunc("PaymentDate", "month"), claims_paid=F.col("PaymentAmount")))
+         .unionByName(side(exp, F.trunc("ExpenseMonth", "month"), expenses=F.col("ExpenseAmount"))))
+    return u.groupBy("m").agg(*[K.money_sum(c).alias(c) for c in cols])
 
 
 def r_27(wh):
-    """Monthly premium, claims, loss and combined ratio with MoM / YoY (W-TREND)."""
-    m = monthly(wh).filter(F.col("m").isNotNull())
-    m = with_prior_periods(m, [], "m", "net_premium")
-    m = with_prior_periods(m, [], "m", "claims_paid")
+    """Monthly premium, claims, loss and combined ratio with MoM / YoY (W-TREND);
+    what has no date is the month 'Unknown'."""
+    m = with_prior_periods(monthly(wh), [], "m", ["net_premium", "claims_paid"])
     return _p(m.select(
-        F.date_format("m", "yyyy-MM").alias("month"), "net_premium", "claims_paid", "expenses",
+        F.coalesce(F.date_format("m", "yyyy-MM"), F.lit("Unknown")).alias("month"), "net_premium", "claims_paid", "expenses",
         K.ratio("claims_paid", "net_premium").alias("loss_ratio"),
         (K.ratio("claims_paid", "net_premium") + K.ratio("expenses", "net_premium")).alias("combined_ratio"),
         F.col("net_premium_prev_month"), F.col("net_premium_prev_year"),

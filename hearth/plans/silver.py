@@ -27,6 +27,14 @@ from hearth.operators.dedupe import latest
 from hearth.operators.keys import key_expr, resolve_key
 from hearth.operators.quality import REASON, classify, split_rejects
 
+# Ranked key columns of each entity, matched without case, blanks and underscores.
+CUSTOMER_KEYS = ["CustomerID", "PolicyholderID", "PersonID", "ClientID", "InsuredID", "InsuredPersonID", "PartyID", "ID"]
+COVERAGE_ID_KEYS = ["CoverageID", "PolicyCoverageID", "CoverageRecordID", "CoverageKey", "CoverageTransactionID"]
+EXPENSE_KEYS = ["ExpenseID", "OperatingExpenseID", "OpexID", "ID"]
+POLICY_KEYS = ["PolicyID", "PolicyKey", "PolicyNumber", "PolicyRef", "PolicyReference"]
+PREMIUM_KEYS = ["TransactionID", "PremiumTransactionID", "PremiumTransID", "PremiumTransactionKey", "PremiumID", "ID"]
+PREMIUM_COMPOSITE = ["PolicyID", "TransactionDate", "TransactionType"]
+
 # Fixed value: the "today" used for ages in the derived test data (H-10).
 DEFAULT_AS_OF = date(2001, 12, 31)
 
@@ -147,7 +155,7 @@ def silver_claims(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
 
 
 def silver_customer(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
-    key = resolve_key(b.columns, ["CustomerID", "Customer_ID", "CustID", "ID"])
+    key = resolve_key(b.columns, CUSTOMER_KEYS)
     return _latest_text(b, key, now, f"Missing {key[0]}")
 
 
@@ -213,7 +221,7 @@ COVERAGE_KEYS = ["PolicyID", "CoverageType"]
 
 
 def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    keys = list(keys) if keys else resolve_key(b.columns, ["CoverageID", "PolicyCoverageID"], COVERAGE_KEYS)
+    keys = list(keys) if keys else resolve_key(b.columns, COVERAGE_ID_KEYS, COVERAGE_KEYS)
     keyed, no_key = _missing_key_rejects(b, keys, f"Missing {' or '.join(keys)}")
     lt = latest(keyed, keys)
     good = lt.select(
@@ -232,7 +240,7 @@ def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = No
 # S-09 operating_expenses: single-or-composite key, W-LATEST-COMP
 # ---------------------------------------------------------------------------
 def silver_operating_expenses(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
-    keys = resolve_key(b.columns, ["ExpenseID", "OperatingExpenseID"], ["ExpenseMonthStart", "ExpenseCategory"])
+    keys = resolve_key(b.columns, EXPENSE_KEYS, ["ExpenseMonthStart", "ExpenseCategory"])
     keyed, no_key = _missing_key_rejects(b, keys, "Missing expense key")
     lt = latest(keyed, keys).withColumn("ExpenseKey", key_expr(keys))
     text_cols = [c for c in b.columns if c not in keys and c not in ("BronzeLoadDts", "SourceFile")]
@@ -247,9 +255,10 @@ POLICY_DATE_FORMATS = (C.UK, C.ISO, C.YMD_SLASH)
 
 
 def silver_policy(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+    key = resolve_key(b.columns, POLICY_KEYS)[0]
+    b = b.withColumnRenamed(key, "PolicyID")
     keyed, no_key = _missing_key_rejects(b, ["PolicyID"], "Missing PolicyID")
-    lt = latest(keyed, ["PolicyID"], [F.col("BronzeLoadDts").desc_nulls_last(),
-                                       F.col("BronzeRowID").desc_nulls_last()])
+    lt = latest(keyed, ["PolicyID"], ["BronzeLoadDts", "BronzeRowID"])
     typed = lt.select(
         "PolicyID", *[C.blank_to_null(c).alias(c) for c in
                       ("CustomerID", "AddressID", "BrokerID", "ProductType", "PolicyStatus", "PaymentPlan")],
@@ -284,7 +293,7 @@ def silver_policy_risk(b: DataFrame, now: datetime, keys: Sequence[str] = POLICY
 
 
 def silver_premium_transactions(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
-    keys = resolve_key(b.columns, ["PremiumTransactionID", "TransactionID"], ["PolicyID", "TransactionDate"])
+    keys = resolve_key(b.columns, PREMIUM_KEYS, PREMIUM_COMPOSITE)
     keyed, no_key = _missing_key_rejects(b, keys, f"Missing {' or '.join(keys)}")
     good = latest(keyed, keys).drop("TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw")
     rejects = no_key.select(*keys, REASON, "TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw", "BronzeLoadDts")

@@ -17,16 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import kpi as K
+from hearth.operators.dedupe import latest
 from hearth.operators.keys import assign_key
 
 ACTIVE_STATUS = "Active"
 
 
-def premium_by_policy(wh) -> DataFrame:
-    return (wh.silver("premium_transactions").groupBy("PolicyID")
-              .agg(F.sum("NetPremium").alias("net"), F.sum("GrossPremium").alias("gross")))
-
-
 def claim_paid(wh) -> DataFrame:
     """Per-claim paid amount (A-2LEVEL first level), from the payments' ClaimID."""
     return (wh.silver("claim_payments").groupBy("ClaimID")
@@ -40,17 +36,18 @@ def claims_with_paid(wh) -> DataFrame:
     return claims.join(claim_paid(wh).select("ClaimID", "ClaimPaid"), "ClaimID", "full")
 
 
-def paid_by_policy(wh) -> DataFrame:
-    return claims_with_paid(wh).groupBy("PolicyID").agg(F.sum("ClaimPaid").alias("paid"))
-
-
-def claims_by_policy(wh) -> DataFrame:
-    return wh.silver("claims").groupBy("PolicyID").agg(F.count(F.lit(1)).alias("n_claims"))
-
-
-_GRAIN_COLS = {"AddressID": "string", "BrokerID": "string", "PolicyStatus": "string", "InceptionDate": "date",
+_GRAIN_COLS = {"AddressID": "string", "BrokerID": "string", "PolicyStatus": "string",
                "is_policy": "int", "net": "decimal(28,2)", "gross": "decimal(28,2)", "paid": "decimal(38,2)",
                "n_claims": "bigint"}
+# What each measure is made of; a roll-up reads the inputs of its measures only.
+_INPUTS = {"policies": (), "active_policies": (), "net_premium": ("net",), "gross_premium": ("gross",),
+           "claims_paid": ("paid",), "claims": ("n_claims",), "loss_ratio": ("paid", "net"),
+           "claims_frequency": ("n_claims",), "avg_claim_cost": ("paid", "n_claims"), "claims_per_1000": ("n_claims",)}
+MEASURES = tuple(_INPUTS)
+
+
+def inputs_of(measures: Sequence[str]) -> set[str]:
+    return {i for m in measures for i in _INPUTS[m]}
 
 
 def _side(df: DataFrame, **cols) -> DataFrame:
@@ -59,25 +56,37 @@ def _side(df: DataFrame, **cols) -> DataFrame:
                                    for c, t in _GRAIN_COLS.items()])
 
 
-def policy_grain(wh) -> DataFrame:
-    """J-MERGED: one row per policy with its premium, paid and claim count.
+def _claim_side(wh, needed: set[str]) -> DataFrame:
+    if needed == {"n_claims"}:
+        return _side(wh.silver("claims"), n_claims=F.lit(1))
+    if needed == {"paid"}:
+        owner = wh.silver("claims").select("ClaimID", "PolicyID")
+        return _side(claim_paid(wh).join(owner, "ClaimID", "left"), paid=F.col("ClaimPaid"))
+    return _side(claims_with_paid(wh), paid=F.col("ClaimPaid"), n_claims=F.col("is_claim"))
+
 
-    A union of the policy rows, the premium rows and the claim rows followed
-    by one ``groupBy(PolicyID)`` replaces a chain of full outer joins: each
-    input is pre-aggregated map-side and the whole grain costs a single
-    shuffle on PolicyID."""
+def policy_grain(wh, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """J-MERGED: one row per policy with what ``measures`` need.
+
+    A union of the policy rows and, only if a measure needs them, the premium
+    rows and the claim rows, followed by one ``groupBy(PolicyID)``, replaces a
+    chain of full outer joins: each input is pre-aggregated map-side and the
+    whole grain costs a single shuffle on PolicyID."""
+    needed = inputs_of(measures)
     pol = wh.silver("policy")
-    prem = wh.silver("premium_transactions")
-    clm = claims_with_paid(wh)
-    u = (_side(pol, AddressID=F.col("AddressID"), BrokerID=F.col("BrokerID"), PolicyStatus=F.col("PolicyStatus"),
-               InceptionDate=F.col("InceptionDate"), is_policy=F.lit(1))
-         .unionByName(_side(prem, net=F.col("NetPremium"), gross=F.col("GrossPremium")))
-         .unionByName(_side(clm, paid=F.col("ClaimPaid"), n_claims=F.col("is_claim"))))
+    u = _side(pol, AddressID=F.col("AddressID"), BrokerID=F.col("BrokerID"), PolicyStatus=F.col("PolicyStatus"),
+              is_policy=F.lit(1))
+    if not needed:
+        return u                      # silver policy is one row per policy already
+    if needed & {"net", "gross"}:
+        amounts = {c: F.col(n) for c, n in (("net", "NetPremium"), ("gross", "GrossPremium")) if c in needed}
+        u = u.unionByName(_side(wh.silver("premium_transactions"), **amounts))
+    if needed & {"paid", "n_claims"}:
+        u = u.unionByName(_claim_side(wh, needed & {"paid", "n_claims"}))
     return u.groupBy("PolicyID").agg(
         F.max("AddressID").alias("AddressID"), F.max("BrokerID").alias("BrokerID"),
-        F.max("PolicyStatus").alias("PolicyStatus"), F.max("InceptionDate").alias("InceptionDate"),
-        F.max("is_policy").alias("is_policy"), F.sum("net").alias("net"), F.sum("gross").alias("gross"),
-        F.sum("paid").alias("paid"), F.sum("n_claims").alias("n_claims"))
+        F.max("PolicyStatus").alias("PolicyStatus"), F.max("is_policy").alias("is_policy"),
+        *[F.sum(c).alias(c) for c in ("net", "gross", "paid", "n_claims")])
 
 
 def _partials(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -117,19 +126,29 @@ def broker_dim(wh) -> DataFrame:
     return b.select(F.col("BrokerID").alias("_dk"), "Channel", "BrokerName", F.col("BrokerID").alias("Broker"))
 
 
-def rollup(wh, dim: str, attrs: Sequence[str]) -> DataFrame:
-    """Policy measures by dimension attributes (unmatched -> 'Unknown')."""
+def rollup(wh, dim: str, attrs: Sequence[str], measures: Sequence[str] = MEASURES) -> DataFrame:
+    """``measures`` of the policies by dimension attributes (unmatched -> 'Unknown').
+
+    Groups are those of the inputs read: policies, and the premiums, claims
+    and payments that a measure asks for."""
     fk = "AddressID" if dim == "address" else "BrokerID"
     d = address_dim(wh) if dim == "address" else broker_dim(wh)
-    pre = _partials(policy_grain(wh), [fk])                 # one row per address / broker
+    pre = _partials(policy_grain(wh, measures), [fk])       # one row per address / broker
     j = pre.join(d.select("_dk", *attrs), pre[fk] == d["_dk"], "left")
     keys = [F.coalesce(F.col(a), F.lit("Unknown")).alias(a) for a in attrs]
-    return _finish(j, keys)
+    return _finish(j, keys).select(*attrs, *measures)
 
 
 def totals(wh) -> DataFrame:
-    """The portfolio totals in one row (K-01, K-04, K-11, K-13 ...)."""
-    return _finish(_partials(policy_grain(wh), []), [])
+    """The portfolio totals in one row (K-01, K-04, K-11, K-13 ...): plain
+    one-row aggregates of each table, no policy grain and no shuffle of rows."""
+    pol = wh.silver("policy").agg(
+        F.count(F.lit(1)).alias("policies"), F.count_if(F.col("PolicyStatus") == ACTIVE_STATUS).alias("active_policies"))
+    prem = wh.silver("premium_transactions").agg(
+        K.money_sum("NetPremium").alias("net_premium"), K.money_sum("GrossPremium").alias("gross_premium"))
+    paid = wh.silver("claim_payments").agg(K.money_sum("PaymentAmount").alias("claims_paid"))
+    clm = wh.silver("claims").agg(F.count(F.lit(1)).alias("claims"))
+    return with_ratios(pol.crossJoin(prem).crossJoin(paid).crossJoin(clm))
 
 
 def expenses(wh, impacting_only: bool = True) -> DataFrame:
@@ -141,9 +160,7 @@ def expenses(wh, impacting_only: bool = True) -> DataFrame:
 
 def latest_reserves(wh) -> DataFrame:
     """W-LATESTSNAP: newest snapshot per claim (ties broken by ReserveID)."""
-    from hearth.operators.dedupe import latest
-    r = wh.silver("claim_reserves")
-    return latest(r, ["ClaimID"], [F.col("SnapshotDate").desc_nulls_last(), F.col("ReserveID").desc_nulls_last()])
+    return latest(wh.silver("claim_reserves"), ["ClaimID"], ["SnapshotDate", "ReserveID"])
 
 
 def exact_median(df: DataFrame, value: str, tiebreak: str) -> DataFrame:

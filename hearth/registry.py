@@ -43,7 +43,7 @@ def _register() -> None:
         QUERIES[f"b_{i:02d}"] = _wh_query(lambda wh, e=e: present(wh.bronze(e)))
         if e == "policy":
             sql = silver_sql.build("SELECT * EXCLUDE (SourceLine), SourceLine AS BronzeRowID, "
-                                   "'HomeInsuranceCSV' AS SourceSystem FROM raw_policy", "raw_policy")
+                                   "'PolicyCSV' AS SourceSystem FROM raw_policy", "raw_policy")
         elif e in ("policy_risk", "premium_transactions"):
             d, b = silver_sql.PRESENT[e]
             sql = silver_sql.build(S.present(f"bronze_{e}", d, b), f"bronze_{e}")

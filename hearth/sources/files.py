@@ -17,37 +17,41 @@ def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def read_raw(spark: SparkSession, path: str, schema: StructType, max_bad: int | None = None,
-             ) -> DataFrame | tuple[DataFrame, DataFrame]:
+def read_raw(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """SRC-CSV / SRC-CSV-LF / SRC-BADROWS: headered UTF-8 CSV as all text.
 
     No quote handling (quote characters stay literal, like BULK INSERT with a
     plain field terminator); CRLF and LF row ends are both accepted, a stray
     CR left at the end of the last column is removed by the money/text
-    cleaners.  With ``max_bad`` the malformed rows (wrong field count) are
-    returned separately and the load fails when there are more than
-    ``max_bad`` of them.  Files split across tasks; nothing is collected.
+    cleaners.  A row with a wrong field count keeps its whole text in
+    ``_corrupt_record`` (NULL for the others), so one classified pass serves
+    the good and the bad rows (``split_malformed``).  Files split across
+    tasks; nothing is collected.
     """
-    reader = (spark.read.schema(schema if max_bad is None else StructType(
-                  schema.fields + [StructField(CORRUPT, StringType(), True)]))
-              .option("header", True).option("quote", "").option("escape", "")
-              .option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
-    if max_bad is not None:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.csv(path)
-    if max_bad is None:
-        return df
-    # The CSV reader only detects a wrong field count when it parses every
-    # column, and Spark refuses queries that reference the corrupt-record
-    # column alone.  Referencing all columns keeps both checks a plain scan
-    # (no cache of the whole input).
-    data_cols = [f.name for f in schema.fields]
-    n_bad = df.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("n"),
-                   F.max(F.concat_ws("\u001f", *data_cols)).alias("_all")).first()["n"]
-    bad = df.filter(F.col(CORRUPT).isNotNull())
-    if n_bad > max_bad:
-        raise ValueError(f"{n_bad} malformed rows in {path} (limit {max_bad})")
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+    return (spark.read.schema(StructType(schema.fields + [StructField(CORRUPT, StringType(), True)]))
+            .option("header", True).option("quote", "").option("escape", "")
+            .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+            .option("columnPruning", False)        # a wrong field count shows only when all columns are parsed
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+
+
+def split_malformed(classified: DataFrame, max_share: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` rows of a classified read; no row is lost.
+
+    ``bad`` is the malformed rows' first field, text and reason, for the reject output.
+    ``max_share`` (off by default) fails the load when a greater share of the
+    rows is malformed, whatever the size of the input."""
+    data = [c for c in classified.columns if c != CORRUPT]
+    # always true, but a reader that prunes to the corrupt-record column alone refuses the query
+    parsed = F.length(F.coalesce(F.col(data[0]), F.lit(""))) >= 0
+    is_bad = F.col(CORRUPT).isNotNull() & parsed
+    if max_share is not None:
+        t = classified.agg(F.count_if(is_bad).alias("bad"), F.count(F.lit(1)).alias("rows"), F.count(data[0])).first()
+        if t["bad"] > max_share * t["rows"]:
+            raise ValueError(f"{t['bad']} of {t['rows']} rows are malformed (limit {max_share:.2%})")
+    bad = classified.filter(is_bad).select(data[0], F.col(CORRUPT).alias("RawLine"),
+                                           F.lit("Wrong number of fields").alias("RejectReason"))
+    return classified.filter(~is_bad).select(*data), bad
 
 
 def stamp(df: DataFrame, ts_col: str | None = None, now: datetime | None = None,
@@ -76,18 +80,14 @@ def ensure_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 
 def align(df: DataFrame, schema: StructType) -> DataFrame:
-    """SNK-BYNAME / SNK-BYCAT / SNK-TRUNC: target column order and types,
-    missing columns as NULL (the catalogue is ``schema``; metadata only)."""
+    """SNK-BYNAME / SNK-BYCAT / SNK-TRUNC / SNK-CLONE: the columns of ``schema``
+    in its order and types, by name; absent ones as NULL, others left out (the
+    catalogue is ``schema``; metadata only)."""
     have = set(df.columns)
     return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in schema.fields])
 
 
-def clone(df: DataFrame) -> DataFrame:
-    """SNK-CLONE: an empty frame with the same structure."""
-    return df.limit(0)
-
-
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
                 fmt: str = "parquet") -> None:
     """SNK-OVERWRITE / SNK-CTAS: full refresh of a layer table.

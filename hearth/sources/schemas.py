@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from hearth.sources.files import read_raw, text_schema
+from hearth.sources.files import read_raw, split_malformed, text_schema
 
 # The staging column lists of the twelve source files, in file order.
 STAGING_COLUMNS = {
@@ -56,9 +56,7 @@ def staging_schema(entity: str) -> StructType:
     return text_schema(STAGING_COLUMNS[entity])
 
 
-def load_staging(spark: SparkSession, path: str, entity: str, max_bad: int | None = 1000) -> DataFrame:
-    """SRC-CSV + SRC-BADROWS for one source file (or folder of files).  Up to
-    ``max_bad`` malformed rows are tolerated (the reference's MAXERRORS);
-    they are dropped from the returned frame."""
-    out = read_raw(spark, path, staging_schema(entity), max_bad=max_bad)
-    return out[0] if isinstance(out, tuple) else out
+def load_staging(spark: SparkSession, path: str, entity: str, max_share: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """SRC-CSV + SRC-BADROWS for one source file (or folder of files): the good
+    rows and the malformed ones, which belong in the reject output."""
+    return split_malformed(read_raw(spark, path, staging_schema(entity)), max_share)

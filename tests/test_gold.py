@@ -41,7 +41,7 @@ def test_incremental_dimension_keeps_keys(spark):
 
 def test_incremental_load_upserts_after_high_water_mark(spark):
     t = spark.createDataFrame([("a", date(2024, 1, 1), 1), ("b", date(2024, 1, 2), 2)], "k string, d date, v int")
-    feed = spark.createDataFrame([("b", date(2024, 1, 1), 99), ("b", date(2024, 1, 3), 3), ("c", date(2024, 1, 4), 4)],
-                                 "k string, d date, v int")
+    feed = spark.createDataFrame([("b", date(2024, 1, 1), 99), ("b", date(2024, 1, 3), 3), ("c", date(2024, 1, 4), 4),
+                                  ("d", None, 5)], "k string, d date, v int")
     out = {r["k"]: r["v"] for r in incremental_load(t, feed, ["k"], "d").collect()}
-    assert out == {"a": 1, "b": 3, "c": 4}
+    assert out == {"a": 1, "b": 3, "c": 4, "d": 5}        # a row without a load time is new

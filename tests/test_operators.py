@@ -23,10 +23,29 @@ def test_latest_full_tiebreak_is_deterministic(spark):
     assert again == out
 
 
-def test_latest_plans_window_group_limit(spark):
+def test_latest_keeps_one_row_per_key_before_its_only_exchange(spark):
     df = spark.range(100).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("v"))
-    plan = latest(df, ["k"], [F.col("v").desc()])._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    plan = latest(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_latest_load_wins_over_a_larger_payload(spark):
+    rows = [("k", datetime(2024, 1, 1), "zzz"), ("k", datetime(2024, 1, 2), "aaa"), ("k", None, "zzzz")]
+    df = spark.createDataFrame(rows, "k string, BronzeLoadDts timestamp, v string")
+    assert [r["v"] for r in latest(df, ["k"]).collect()] == ["aaa"]
+
+
+def test_keys_beyond_the_int_range(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    got = {r["k"]: r["sk"] for r in assign_key(df, ["k"], "sk", start=2 ** 31 + 5).collect()}
+    assert got == {"a": 2 ** 31 + 5, "b": 2 ** 31 + 6}
+
+
+def test_merge_into_a_dimension_with_only_the_unknown_member(spark):
+    t = spark.createDataFrame([(-1, "UNKNOWN", None, datetime(2020, 1, 1))], "sk bigint, k string, v string, GoldLoadDts timestamp")
+    s = spark.createDataFrame([("A", "x"), ("B", "y")], "k string, v string")
+    out = {r["k"]: r["sk"] for r in scd1_merge(t, s, "k", ["v"], "sk", datetime(2021, 1, 1)).collect()}
+    assert out == {"UNKNOWN": -1, "A": 1, "B": 2}
 
 
 def test_assign_key_dense_and_ordered(spark):

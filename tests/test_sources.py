@@ -3,18 +3,24 @@
 import os
 from datetime import datetime
 
-from hearth.sources.files import align, ensure_columns, read_raw, stamp, text_schema, write_table
+import pytest
+
+from hearth.sources.files import align, ensure_columns, read_raw, split_malformed, stamp, text_schema, write_table
 
 
 def test_read_raw_keeps_quotes_and_splits_bad_rows(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "x.csv")
     with open(p, "w", newline="") as f:
         f.write('ID,Amount\r\n1,"£1,0"\r\n2,5\r\n3,4,extra\n4,7\n5,"x"\n')
-    good, bad = read_raw(spark, p, text_schema(["ID", "Amount"]), max_bad=10)
+    classified = read_raw(spark, p, text_schema(["ID", "Amount"]))
+    good, bad = split_malformed(classified)
     rows = sorted(tuple(r) for r in good.collect())
     assert ("2", "5") in rows and ("4", "7") in rows
     assert ("5", '"x"') in rows                  # no quote handling: quotes stay literal
-    assert len(bad.collect()) == 2               # '1,"£1,0"' and '3,4,extra' have three fields
+    assert sorted(r.RawLine for r in bad.collect()) == ['1,"£1,0"', "3,4,extra"]     # three fields each
+    with pytest.raises(ValueError):
+        split_malformed(classified, max_share=0.3)
+    assert split_malformed(classified, max_share=0.5)[0].count() == 3
 
 
 def test_stamp_align_and_write(spark, tmpdir_path):
@@ -52,7 +58,8 @@ def test_silver_from_csv_equals_silver_from_view(spark, tmpdir_path):
     raw = tv.raw(spark, "/root/testdata/sf0.001", "policy").drop("SourceLine")
     path = os.path.join(tmpdir_path, "policy_csv")
     raw.write.option("header", True).option("quote", "").option("emptyValue", "").csv(path)
-    loaded = load_staging(spark, path, "policy")
+    loaded, bad = load_staging(spark, path, "policy")
+    assert bad.count() == 0
     a = silver_policy(bronze(raw, "policy", now), now)[0].drop("BronzeRowID", "SilverLoadDts")
     b = silver_policy(bronze(loaded, "policy", now), now)[0].drop("BronzeRowID", "SilverLoadDts")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
