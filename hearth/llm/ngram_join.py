@@ -4,11 +4,10 @@ Documents are sets of hashed word shingles; two documents are linked when the
 Jaccard similarity of their sets is at least ``threshold``.  In each of
 ``runs`` independent runs a set chooses shared tokens by a common random
 function, each with probability ``1 / (threshold * size)``: those are its first
-nodes, and at every node it chooses again, ``DEPTH`` levels deep.  Similar sets
-choose alike.  Since a path depends on nothing but the set, each document works
-out its own paths; the bucket sizes then decide how far down a branch is
-followed: a node with at most ``LIMIT`` sets is a leaf, a larger one is split
-by its children, and what is still large at the last level is compared in
+nodes, and at every node it can choose again, ``DEPTH`` levels deep.  Similar
+sets choose alike.  Bucket sizes decide how far down a branch is followed: a
+node with at most ``LIMIT`` sets is a leaf, a larger one is split by the tokens
+its sets choose next, and what is still large at the last level is compared in
 blocks.  So no bucket is cut off.
 
 A pair at the threshold meets at a first-level leaf of one run with
@@ -64,23 +63,29 @@ def digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def paths(s: np.ndarray, runs: int, threshold: float) -> np.ndarray:
-    """The chosen paths of one set: a row of ``DEPTH`` node numbers each, 0 where it ends early."""
-    if not len(s):
-        return np.empty((0, DEPTH), U64)
-    chance = 1.0 / (threshold * len(s))
-    limit = U64(min(chance, 1.0 - 2 ** -53) * 2.0 ** 64)
-    nodes = mix64(np.arange(1, runs + 1, dtype=U64), 6)          # the roots of the runs
-    done, above = [], np.empty((runs, 0), U64)
-    for level in range(DEPTH):
-        drawn = mix64(s[None, :] ^ nodes[:, None], 7)
-        parent, token = np.nonzero(drawn < limit) if chance < 1 else np.nonzero(drawn >= 0)
-        if level:                                                # branches that end here
-            ends = np.setdiff1d(np.arange(len(nodes)), parent)
+def chosen(s: np.ndarray, nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The children of ``nodes`` that the set chooses: each one's parent (by place) and its number."""
+    chance = 1.0 / (threshold * max(len(s), 1))
+    drawn = mix64(s[None, :] ^ nodes[:, None], 7)
+    parent, token = np.nonzero(drawn < U64(int(chance * 2.0 ** 64))) if chance < 1 else np.nonzero(np.ones(drawn.shape, bool))
+    with np.errstate(over="ignore"):
+        return parent, mix64(nodes[parent] + drawn[parent, token], 8) | U64(1)
+
+
+def first_nodes(s: np.ndarray, runs: int, threshold: float) -> np.ndarray:
+    """The set's nodes of the first level, over all runs."""
+    return np.unique(chosen(s, mix64(np.arange(1, runs + 1, dtype=U64), 6), threshold)[1])
+
+
+def branches(s: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
+    """The set's branches below ``nodes``: a row of ``DEPTH - 1`` numbers each, 0 where it ends early."""
+    done, above, at = [], np.empty((len(nodes), 0), U64), nodes
+    for level in range(1, DEPTH):
+        parent, at = chosen(s, at, threshold)
+        if level > 1:
+            ends = np.setdiff1d(np.arange(len(above)), parent)
             done.append(np.pad(above[ends], ((0, 0), (0, DEPTH - level))))
-        with np.errstate(over="ignore"):
-            nodes = mix64(nodes[parent] + drawn[parent, token], 8) | U64(1)
-        above = np.hstack([above[parent], nodes[:, None]])
+        above = np.hstack([above[parent], at[:, None]])
     return np.vstack([*done, above])
 
 
@@ -97,29 +102,45 @@ def _parsed(shingle: int, runs: int, threshold: float):
                 s = shingles(body.as_py(), shingle)
                 cls.append(digest(s))
                 size.append(len(s))
-                found.append(signed(paths(s, runs, threshold)).ravel())
-            lengths = np.array([len(f) for f in found], np.int64)
-            flat = np.concatenate(found) if found else np.empty(0, np.int64)
+                found.append(signed(first_nodes(s, runs, threshold)))
             yield pa.record_batch({
                 "doc": batch.column(0), "th": batch.column(1), "cls": pa.array(cls, pa.binary()), "size": pa.array(size, pa.int32()),
-                "paths": pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.array(flat))})
+                "nodes": _lists(found)})
 
     return run
 
 
-def _sets(shingle: int):
-    """``cls, sketch, shingles`` of each representative."""
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.r_[0, np.cumsum([len(a) for a in arrays])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
+
+
+def _short(s: np.ndarray) -> bytes:
+    """A set's hashes, 48 bits of each."""
+    return np.ascontiguousarray(s).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _long(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view(U64).ravel()
+
+
+def _sets(shingle: int, threshold: float):
+    """``cls, sketch, set, below`` of each representative; ``below``: its branches under the large nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches, sets = [], []
-            for body in batch.column(1):
+            sketches, sets, below = [], [], []
+            for body, large in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 s = shingles(body.as_py(), shingle)
                 low = np.full(SKETCH, ~U64(0))
                 for i in range(0, len(s), 4096):
                     low = np.minimum(low, mix64(s[i:i + 4096][None, :] ^ _SEEDS[:, None]).min(1))
                 sketches.append((low & U64(255)).astype(np.uint8).tobytes())
-                sets.append(s.tobytes())
-            yield pa.record_batch({"cls": batch.column(0), "sketch": pa.array(sketches, pa.binary()), "set": pa.array(sets, pa.binary())})
+                sets.append(_short(s))
+                below.append(signed(branches(s, np.array(large or [], np.int64).view(U64), threshold).ravel()))
+            yield pa.record_batch({"cls": batch.column(0), "sketch": pa.array(sketches, pa.binary()), "set": pa.array(sets, pa.binary()),
+                                   "below": _lists(below)})
 
     return run
 
@@ -208,7 +229,7 @@ def _links(threshold: float):
             if not len(left):
                 continue
             size, copies = np.array([r[5] for r in rows]), np.array([r[4] for r in rows])
-            shared = _shared([np.frombuffer(r[9], U64) for r in rows], left, right)
+            shared = _shared([_long(r[9]) for r in rows], left, right)
             ok = shared >= threshold * (size[left] + size[right] - shared) - 1e-9
             left, right = left[ok], right[ok]
             n = np.zeros(len(rows), np.int64)
@@ -267,38 +288,39 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD
     group (the connected part under links), ``n_links`` the number of other
     rows linked to this one, copies included.
     """
-    spark = docs.sparkSession
-    n_parts = shuffle_partitions(spark)
+    n_parts = shuffle_partitions(docs.sparkSession)
     rows = checkpointed(_documents(docs).mapInArrow(
-        _parsed(shingle, runs, threshold), "doc long, th long, cls binary, size int, paths array<long>"))
-    classes = rows.groupBy("cls", "size").agg(
-        F.min(F.struct("doc", "th")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("paths").alias("paths"))
-
-    # how far down each branch is followed
-    step = F.expr(f"explode(sequence(0, size(paths) div {DEPTH} - 1))")
-    node = lambda k: F.expr(f"paths[i * {DEPTH} + {k}]").alias(f"k{k}")
-    branches = checkpointed(classes.where("size(paths) > 0").select("cls", "paths", step.alias("i"))
-                            .select("cls", *[node(k) for k in range(DEPTH)]))
-    leaves, open_ = None, branches
-    for level in range(DEPTH):
-        key = f"k{level}"
-        here = open_.where(f"{key} <> 0").select(key, "cls").distinct()
-        count = here.groupBy(key).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        last = level == DEPTH - 1
-        done = here.join(count if last else count.where(f"m <= {LIMIT}"), key).select(F.col(key).alias("bucket"), "cls", "m")
-        leaves = done if leaves is None else leaves.unionByName(done)
-        if not last:
-            open_ = open_.join(count.where(f"m > {LIMIT}").select(key), key, "left_semi")
-    leaves = checkpointed(leaves)
-
-    # the sets that share a leaf, with their sketches
-    own = leaves.groupBy("cls").agg(F.sort_array(F.collect_set("bucket")).alias("leaves"))
-    reps = classes.select("cls", "size", "rep", "copies").join(own, "cls")
-    named = reps.select("cls", F.col("rep.doc").alias("_doc"), F.col("rep.th").alias("_th"))
+        _parsed(shingle, runs, threshold), "doc long, th long, cls binary, size int, nodes array<long>"))
+    classes = checkpointed(rows.groupBy("cls", "size").agg(
+        F.min(F.struct("doc", "th")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("nodes").alias("nodes")))
+
+    # first level: nodes of several sets are leaves, or large ones to be split
+    at_first = classes.select("cls", F.explode("nodes").alias("bucket"))
+    shared = at_first.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    met = checkpointed(at_first.join(shared, "bucket"))
+    reps = classes.select("cls", "size", "rep", "copies").join(
+        met.groupBy("cls").agg(F.collect_list(F.when(F.col("m") > LIMIT, F.col("bucket"))).alias("large")), "cls")
+
+    # the sets that share a node: their sketches, their shingles and their branches below large nodes
+    named = reps.select("cls", F.col("rep.doc").alias("_doc"), F.col("rep.th").alias("_th"), "large")
     one = Window.partitionBy("doc", "th").orderBy("doc", "th")
     sets = checkpointed(_documents(docs).join(named, (F.col("doc") == F.col("_doc")) & (F.col("th") == F.col("_th")))
                         .withColumn("_n", F.row_number().over(one)).where("_n = 1")     # equal rows: once
-                        .select("cls", "body").mapInArrow(_sets(shingle), "cls binary, sketch binary, set binary"))
+                        .select("cls", "body", "large").mapInArrow(_sets(shingle, threshold), "cls binary, sketch binary, set binary, below array<long>"))
+
+    leaves = met.where(f"m <= {LIMIT}")
+    width = DEPTH - 1
+    open_ = (sets.where("size(below) > 0").select("cls", "below", F.expr(f"explode(sequence(0, size(below) div {width} - 1))").alias("i"))
+                 .select("cls", *[F.expr(f"below[i * {width} + {k}]").alias(f"k{k + 1}") for k in range(width)]))
+    for level in range(1, DEPTH):
+        key, last = f"k{level}", level == DEPTH - 1
+        here = open_.where(f"{key} <> 0").select(F.col(key).alias("bucket"), "cls").distinct()
+        count = here.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        leaves = leaves.unionByName(here.join(count if last else count.where(f"m <= {LIMIT}"), "bucket").select(*leaves.columns))
+        if not last:
+            open_ = open_.join(count.where(f"m > {LIMIT}").select(F.col("bucket").alias(key)), key, "left_semi")
+    leaves = checkpointed(leaves)
+    reps = reps.drop("large").join(leaves.groupBy("cls").agg(F.sort_array(F.collect_set("bucket")).alias("leaves")), "cls")
 
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     dealt = (leaves.join(reps.select("cls", "size", "copies", "leaves"), "cls").join(sets.select("cls", "sketch"), "cls")

@@ -90,6 +90,6 @@ def test_pairs_at_the_threshold_meet():
     for _ in range(300):
         s = np.unique(rng.integers(1, 1 << 62, 90, dtype=np.uint64))
         a, b = s[:85], s[5:]                                     # 80 shared of 90
-        pa_, pb = nj.paths(a, nj.RUNS, .8)[:, 0], nj.paths(b, nj.RUNS, .8)[:, 0]
+        pa_, pb = nj.first_nodes(a, nj.RUNS, .8), nj.first_nodes(b, nj.RUNS, .8)
         met += bool(set(pa_.tolist()) & set(pb.tolist()))
     assert met == 300
