@@ -5,14 +5,14 @@ least hash; equal windows have equal anchors at equal places.  Neighbouring
 windows with one anchor form a fragment, kept under the anchor's hash, so equal
 windows of all documents meet under one key:
 
-1. blocks of documents list their keys; a key met in one document only is
-   dropped, its windows repeat nowhere;
-2. the fragments under shared keys meet by key, equal fragments as one with
-   their least document.  Where several different fragments remain, a suffix
-   array of them all finds the windows they share: the fragments are cut into
-   8-byte symbols in step with their anchor, the array groups the suffixes
-   that agree on the symbols of a window's core, and the few bytes beside the
-   core finish the comparison;
+1. blocks of documents list the keys and content hashes of their fragments; a
+   key met in one document only is dropped, its windows repeat nowhere;
+2. under a shared key with a single fragment, its least document is all there
+   is to find.  The fragments under keys with several different ones meet, equal
+   ones as one with their least document, and a suffix array of them all finds
+   the windows they share: the fragments are cut into 8-byte symbols in step
+   with their anchor, the array groups the suffixes that agree on the symbols of
+   a window's core, and the few bytes beside the core finish the comparison;
 3. every block learns the least document of each of its windows and removes
    the bytes under those that start in a smaller one.
 
@@ -24,7 +24,8 @@ the same pointers.  Nothing is renamed recursively.
 
 A key with more than ``HOT`` different fragments (the edge of a passage that
 very many documents share) is not gathered: each of its windows goes out under
-its own hash instead, where only equal windows meet.
+its own hash instead, where only equal windows meet.  Fragments and such windows
+are told apart by their 48-bit key and 48 bits or more of a content hash.
 """
 
 from __future__ import annotations
@@ -42,14 +43,16 @@ from hearth.llm.common import U64, mix64, shuffle_partitions, text_bytes
 LENGTH = 50
 SPREAD = 19                # seeds in a window
 HOT = 20_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 18      # text hashed at once
 LAST = (1 << 63) - 1       # the place of a document without an id: after all others
 _BASE = 0x9E3779B97F4A7C15
 _BYTE = mix64(np.arange(1, 257, dtype=U64), 20)
-_KEYS = "slice int, block int, keys binary, kinds binary"
-_SHARED = "block int, slice int, part int, a binary, b binary, c binary"
-_FRAGMENTS = "slice int, block int, keys binary, hashes binary, docs binary, shape binary, body binary"
+#: What the keys turn out to be: in one document only, one fragment, several, more than HOT.
+ALONE, SINGLE, SEVERAL, CROWDED = range(4)
+_KEYS = "slice int, block int, keys binary, hashes binary, shared binary"
+_REPLY = "block int, slice int, part int, a binary, b binary, c binary"
+_FRAGMENTS = "slice int, block int, part int, keys binary, hashes binary, docs binary, shape binary, body binary"
 
 
 # --- the suffix array -------------------------------------------------------------------------------------------
@@ -252,101 +255,134 @@ def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.r_[True, new][:len(order)])
 
 
+class Entries:
+    """Occurrences grouped by key and, if given, content: the distinct ones in key order."""
+
+    def __init__(self, of, start, n, offset, doc, key, content):
+        self.start, self.n, self.doc = start, n, doc
+        order, first = _grouped(key) if content is None else _grouped(content, key)
+        self.entry = np.empty(len(order), np.int64)
+        self.entry[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+        rep = order[first]
+        self.e_key, self.e_start, self.e_n, self.e_offset = key[rep], start[rep], n[rep], offset[rep]
+        self.e_hash = None if content is None else content[rep]
+        self.e_doc = np.minimum.reduceat(doc[order], first) if len(first) else np.empty(0, np.int64)
+
+
 class Block:
     """A block's fragments, grouped the same way in every step."""
 
     def __init__(self, docs: pa.Table, length: int):
         self.length, self.f = length, Fragments(docs, length)
         self.keys, self.place = np.unique(self.f.key, return_inverse=True)
-
-    def kinds(self) -> np.ndarray:
-        """Per key: 2 * (different fragments, at most 100), plus 1 if several documents have it."""
-        docs = self.f.doc[self.f.row]
-        low, high = np.full(len(self.keys), LAST), np.full(len(self.keys), -LAST)
-        np.minimum.at(low, self.place, docs)
-        np.maximum.at(high, self.place, docs)
-        order, first = _grouped(self.f.hash, self.place)
-        different = np.bincount(self.place[order][first], minlength=len(self.keys))
-        return (np.minimum(different, 100) * 2 + (low != high)).astype(np.uint8)
-
-    def entries(self, shared: np.ndarray) -> None:
-        """Sets up the distinct fragments under the shared keys (1), and the windows of hot ones (2)."""
-        kind = shared[self.place]
-        whole = np.flatnonzero(kind == 1)
-        of, start, own = self.f.windows(np.flatnonzero(kind == 2), self.length)
-        self.of = np.r_[whole, of]                                    # the fragment behind each occurrence
-        self.start = np.r_[self.f.start[whole], start]
-        self.n = np.r_[self.f.n[whole], np.ones(len(of), np.int64)]
-        self.offset = np.r_[self.f.anchor[whole], np.full(len(of), 255)]   # 255: a single window
-        key = np.r_[self.f.key[whole], own >> U64(16)]
-        content = np.r_[self.f.hash[whole], own]
-        self.doc = self.f.doc[self.f.row[self.of]]
-        self.order, first = _grouped(content, self.offset, key)
-        self.entry = np.empty(len(self.order), np.int64)
-        self.entry[self.order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(self.order)]))
-        rep = self.order[first]
-        self.e_key, self.e_hash, self.e_start, self.e_n, self.e_offset = (
-            x[rep] for x in (key, content, self.start, self.n, self.offset))
-        self.e_doc = np.minimum.reduceat(self.doc[self.order], first) if len(first) else np.empty(0, np.int64)
+        self.docs = self.f.doc[self.f.row]
+
+    def listed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct (key, hash) pairs in order, and whether several documents have the key."""
+        low, high = np.full(len(self.keys), LAST), np.full(len(self.keys), -LAST - 1)
+        np.minimum.at(low, self.place, self.docs)
+        np.maximum.at(high, self.place, self.docs)
+        times = np.bincount(self.place, minlength=len(self.keys))
+        once = times[self.place] == 1
+        rest = np.flatnonzero(~once)
+        order, first = _grouped(self.f.hash[rest], self.place[rest])
+        pick = np.r_[np.flatnonzero(once), rest[order][first]]
+        pick = pick[np.lexsort((self.f.hash[pick], self.place[pick]))] if len(rest) else pick[np.argsort(self.place[pick])]
+        return self.f.key[pick], self.f.hash[pick], (low != high)[self.place[pick]]
+
+    def entries(self, kinds: np.ndarray) -> dict[int, Entries]:
+        """By part: fragments alone under a shared key, fragments among others, and windows of crowded keys."""
+        kind, f = kinds[self.place], self.f
+        out = {}
+        for part in (SINGLE, SEVERAL):
+            w = np.flatnonzero(kind == part)
+            out[part] = Entries(w, f.start[w], f.n[w], f.anchor[w], self.docs[w], f.key[w], f.hash[w] if part == SEVERAL else None)
+        of, start, own = f.windows(np.flatnonzero(kind == CROWDED), self.length)
+        out[CROWDED] = Entries(of, start, np.ones(len(of), np.int64), np.zeros(len(of), np.int64), self.docs[of], own >> U64(16), own)
+        return out
 
 
 def _answers(replies: pa.Table, part: int) -> list[dict]:
-    return sorted((r for r in replies.to_pylist() if r["part"] == part), key=lambda r: r["slice"])
+    """A block's replies of one part, in key order (each slice is a range of keys)."""
+    rows = replies.filter(pa.array(np.asarray(replies.column("part")) == part)).to_pylist()
+    return sorted(rows, key=lambda r: r["slice"])
 
 
-def _shared_keys(block: Block, replies: pa.Table) -> np.ndarray:
-    got = [np.frombuffer(zlib.decompress(r["a"]), np.uint8) for r in _answers(replies, 1)]
+def _kinds_of(block: Block, replies: pa.Table) -> np.ndarray:
+    got = [np.frombuffer(zlib.decompress(r["a"]), np.uint8) for r in _answers(replies, ALONE)]
     out = np.concatenate(got) if got else np.empty(0, np.uint8)
     if len(out) != len(block.keys):
         raise RuntimeError("a block was dealt other documents than before: the input is not stable")
     return out
 
 
+def _short(hashes: np.ndarray) -> bytes:
+    """48 bits of each hash, by byte plane."""
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+
+
 def _list_keys(length: int, n_slices: int):
     def run(key: tuple, docs: pa.Table) -> pa.Table:
-        block = Block(docs, length)
-        kinds, cut = block.kinds(), _cut(block.keys, n_slices)
+        keys, hashes, shared = Block(docs, length).listed()
+        cut = _cut(keys, n_slices)
         return pa.table({
             "slice": pa.array([s for s, _ in cut], pa.int32()), "block": pa.array([key[0].as_py()] * len(cut), pa.int32()),
-            "keys": pa.array([_pack(block.keys[c]) for _, c in cut], pa.binary()),
-            "kinds": pa.array([kinds[c].tobytes() for _, c in cut], pa.binary())})
+            "keys": pa.array([_pack(keys[c]) for _, c in cut], pa.binary()),
+            "hashes": pa.array([_short(hashes[c]) for _, c in cut], pa.binary()),
+            "shared": pa.array([np.packbits(shared[c]).tobytes() for _, c in cut], pa.binary())})
 
     return run
 
 
 def _judge_keys(hot: int):
-    """One slice: which keys several documents have (1), and which of them have too many fragments (2)."""
+    """One slice: tells every block what each of its keys is."""
     def run(cells: pa.Table) -> pa.Table:
         keys = [_unpack(k.as_py()) for k in cells.column("keys")]
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        kinds = np.concatenate([np.frombuffer(k.as_py(), np.uint8) for k in cells.column("kinds")])
-        shared = (np.bincount(place, minlength=len(distinct)) > 1) | (np.bincount(place, weights=kinds & 1) > 0)
-        verdict = (shared + (shared & (np.bincount(place, weights=kinds >> 1) > hot))).astype(np.uint8)[place]
-        ends = np.cumsum([len(k) for k in keys])
-        return pa.table({
-            "block": cells.column("block"), "slice": cells.column("slice"), "part": pa.array(np.ones(len(keys), np.int32)),
-            "a": pa.array([zlib.compress(verdict[e - len(k):e].tobytes(), 1) for e, k in zip(ends, keys, strict=True)], pa.binary()),
-            "b": pa.array([b""] * len(keys), pa.binary()), "c": pa.array([b""] * len(keys), pa.binary())})
+        sizes = np.array([len(k) for k in keys])
+        key, of = np.concatenate(keys), np.repeat(np.arange(len(keys)), sizes)
+        planes = [np.frombuffer(h.as_py(), np.uint8).reshape(6, -1).T for h in cells.column("hashes")]
+        content = np.zeros((len(key), 8), np.uint8)
+        content[:, :6] = np.concatenate(planes)
+        flags = np.concatenate([np.unpackbits(np.frombuffer(b.as_py(), np.uint8))[:n] for b, n in zip(cells.column("shared"), sizes, strict=True)])
+        distinct, place = np.unique(key, return_inverse=True)
+        low, high = np.full(len(distinct), len(keys)), np.full(len(distinct), -1)
+        np.minimum.at(low, place, of)
+        np.maximum.at(high, place, of)
+        shared = (low != high) | (np.bincount(place, weights=flags, minlength=len(distinct)) > 0)
+        order, first = _grouped(content.view(U64).ravel(), place)
+        different = np.bincount(place[order][first], minlength=len(distinct))
+        kind = np.where(~shared, ALONE, np.where(different == 1, SINGLE, np.where(different <= hot, SEVERAL, CROWDED))).astype(np.uint8)
+        out, e = [], 0
+        for k in keys:      # a block's pairs are in key order: one answer for each of its keys
+            mine = place[e:e + len(k)]
+            e += len(k)
+            out.append(zlib.compress(kind[mine[np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])]].tobytes(), 1))
+        return _replies(cells, np.full(len(keys), ALONE), out)
 
     return run
 
 
+def _replies(cells: pa.Table, part: np.ndarray, a: list[bytes], b: list[bytes] | None = None, c: list[bytes] | None = None) -> pa.Table:
+    none = [b""] * len(a)
+    return pa.table({"block": cells.column("block"), "slice": cells.column("slice"), "part": pa.array(part.astype(np.int32)),
+                     "a": pa.array(a, pa.binary()), "b": pa.array(b or none, pa.binary()), "c": pa.array(c or none, pa.binary())})
+
+
 def _list_fragments(length: int, n_slices: int):
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _no_rows(_FRAGMENTS)
-        block = Block(docs, length)
-        block.entries(_shared_keys(block, replies))
-        cut = _cut(block.e_key, n_slices)
-        size = block.e_n + length - 1
-        bodies = [block.f.bytes[np.repeat(block.e_start[c], size[c]) + _within(size[c])].tobytes() for _, c in cut]
-        return pa.table({
-            "slice": pa.array([s for s, _ in cut], pa.int32()), "block": pa.array([key[0].as_py()] * len(cut), pa.int32()),
-            "keys": pa.array([_pack(block.e_key[c]) for _, c in cut], pa.binary()),
-            "hashes": pa.array([block.e_hash[c].tobytes() for _, c in cut], pa.binary()),
-            "docs": pa.array([_by_plane(block.e_doc[c]) for _, c in cut], pa.binary()),
-            "shape": pa.array([np.r_[block.e_n[c], block.e_offset[c]].astype(np.uint8).tobytes() for _, c in cut], pa.binary()),
-            "body": pa.array(bodies, pa.binary())})
+        block, rows = Block(docs, length), []
+        for part, e in block.entries(_kinds_of(block, replies)).items():
+            for s, c in _cut(e.e_key, n_slices):
+                size = e.e_n[c] + length - 1
+                several = part == SEVERAL
+                rows.append((s, key[0].as_py(), part, _pack(e.e_key[c]), b"" if part == SINGLE else e.e_hash[c].tobytes(), _by_plane(e.e_doc[c]),
+                             np.r_[e.e_n[c], e.e_offset[c]].astype(np.uint8).tobytes() if several else b"",
+                             block.f.bytes[np.repeat(e.e_start[c], size) + _within(size)].tobytes() if several else b""))
+        names, kinds = zip(*[c.split() for c in _FRAGMENTS.split(", ")], strict=True)
+        types = [pa.int32() if k == "int" else pa.binary() for k in kinds]
+        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=list(names))
 
     return run
 
@@ -396,83 +432,84 @@ def least_documents(body: np.ndarray, at: np.ndarray, n: np.ndarray, offset: np.
 
 
 def _judge_fragments(length: int):
-    """One slice: every block learns the least document of each window of its fragments."""
+    """One slice: every block learns the least document of each of its entries, by window where windows differ."""
     def run(cells: pa.Table) -> pa.Table:
-        get = lambda c, f: [f(x.as_py()) for x in cells.column(c)]
-        keys = get("keys", _unpack)
-        shape = get("shape", lambda b: np.frombuffer(b, np.uint8).astype(np.int64).reshape(2, -1))
-        n, offset = np.concatenate([s[0] for s in shape]), np.concatenate([s[1] for s in shape])
-        key, content = np.concatenate(keys), np.concatenate(get("hashes", lambda b: np.frombuffer(b, U64)))
-        doc = np.concatenate(get("docs", lambda b: _planes(b, np.int64)))
-        body = np.concatenate(get("body", lambda b: np.frombuffer(b, np.uint8)))
-        size = n + length - 1
-        begin = np.cumsum(size) - size
-        # equal fragments as one
-        order, first = _grouped(content, offset, key)
-        same = np.empty(len(order), np.int64)
-        same[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
-        rep = order[first]
-        least = np.minimum.reduceat(doc[order], first)
-        # different fragments under one key share windows in part
-        single = np.where(offset[rep] == 255, 1, 0)
-        _, under = _grouped(single, key[rep])
-        count = np.diff(np.r_[under, len(rep)])
-        several = np.repeat(count > 1, count) & (single == 0)
-        low = np.repeat(least, n[rep])
-        if several.any():
-            r = rep[several]
-            low[np.repeat(several, n[rep])] = least_documents(body, begin[r], n[r], offset[r], least[several], length)
-        w_first = np.cumsum(n[rep]) - n[rep]
-        base = low[w_first]
-        varies = np.maximum.reduceat(low, w_first) != np.minimum.reduceat(low, w_first)
-        out_a, out_b, out_c, e = [], [], [], 0
-        for k in keys:
-            mine = same[e:e + len(k)]
-            e += len(k)
-            v = mine[varies[mine]]
-            out_a.append(zlib.compress(_by_plane(base[mine]), 1))
-            out_b.append(zlib.compress(np.packbits(varies[mine]).tobytes(), 1))
-            out_c.append(zlib.compress(_by_plane(low[np.repeat(w_first[v], n[rep][v]) + _within(n[rep][v])]), 1))
-        return pa.table({
-            "block": cells.column("block"), "slice": cells.column("slice"), "part": pa.array(np.full(len(keys), 2, np.int32)),
-            "a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary()), "c": pa.array(out_c, pa.binary())})
+        out = []
+        for part in (SINGLE, SEVERAL, CROWDED):
+            mine = cells.filter(pa.array(np.asarray(cells.column("part")) == part))
+            if mine.num_rows:
+                out.append(_judge_part(mine, part, length))
+        return pa.concat_tables(out)
 
     return run
 
 
+def _judge_part(cells: pa.Table, part: int, length: int) -> pa.Table:
+    get = lambda c, f: [f(x.as_py()) for x in cells.column(c)]
+    keys = get("keys", _unpack)
+    key, doc = np.concatenate(keys), np.concatenate(get("docs", lambda b: _planes(b, np.int64)))
+    content = None if part == SINGLE else np.concatenate(get("hashes", lambda b: np.frombuffer(b, U64)))
+    # equal entries as one
+    order, first = _grouped(key) if content is None else _grouped(content, key)
+    same = np.empty(len(order), np.int64)
+    same[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
+    least = np.minimum.reduceat(doc[order], first)
+    ends = np.cumsum([len(k) for k in keys])
+    mine = [same[e - len(k):e] for e, k in zip(ends, keys, strict=True)]
+    kind = np.full(len(keys), part)
+    if part != SEVERAL:
+        return _replies(cells, kind, [zlib.compress(_by_plane(least[m]), 1) for m in mine])
+    shape = get("shape", lambda b: np.frombuffer(b, np.uint8).astype(np.int64).reshape(2, -1))
+    n, offset = np.concatenate([s[0] for s in shape]), np.concatenate([s[1] for s in shape])
+    begin = np.cumsum(n + length - 1) - (n + length - 1)
+    rep = order[first]
+    n = n[rep]
+    low = least_documents(np.concatenate(get("body", lambda b: np.frombuffer(b, np.uint8))), begin[rep], n, offset[rep], least, length)
+    w = np.cumsum(n) - n
+    varies = np.maximum.reduceat(low, w) != np.minimum.reduceat(low, w)
+    some = [m[varies[m]] for m in mine]
+    return _replies(cells, kind, [zlib.compress(_by_plane(low[w[m]]), 1) for m in mine],
+                    [zlib.compress(np.packbits(varies[m]).tobytes(), 1) for m in mine],
+                    [zlib.compress(_by_plane(low[np.repeat(w[v], n[v]) + _within(n[v])]), 1) for v in some])
+
+
 _CLEANED = "doc long, n_bytes long, n_removed long, n_spans long, kept binary, known boolean"
 
 
+def _cover(cover: np.ndarray, e: Entries, answers: list[dict], length: int) -> None:
+    """Adds, as differences, the bytes under the windows that start in a smaller document."""
+    base, varies, low = [np.empty(0, np.int64)], [np.empty(0, bool)], [np.empty(0, np.int64)]
+    for r in answers:
+        base.append(_planes(zlib.decompress(r["a"]), np.int64))
+        varies.append(np.unpackbits(np.frombuffer(zlib.decompress(r["b"]), np.uint8))[:len(base[-1])].astype(bool)
+                      if r["b"] else np.zeros(len(base[-1]), bool))
+        if r["c"]:
+            low.append(_planes(zlib.decompress(r["c"]), np.int64))
+    base, varies, low = np.concatenate(base), np.concatenate(varies), np.concatenate(low)
+    if len(base) != len(e.e_key):
+        raise RuntimeError("a block was dealt other documents than before: the input is not stable")
+    # entries whose windows all have one least document
+    all_ = np.flatnonzero(~varies[e.entry] & (base[e.entry] < e.doc))
+    np.add.at(cover, e.start[all_], 1)
+    np.add.at(cover, e.start[all_] + e.n[all_] + length - 1, -1)
+    # the others, window by window
+    skip = np.cumsum(np.where(varies, e.e_n, 0)) - np.where(varies, e.e_n, 0)
+    some = np.flatnonzero(varies[e.entry])
+    of, w = np.repeat(some, e.n[some]), _within(e.n[some])
+    hit = low[skip[e.entry[of]] + w] < e.doc[of]
+    at = e.start[of[hit]] + w[hit]
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + length, -1)
+
+
 def _remove(length: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _no_rows(_CLEANED.replace(", known boolean", "")).append_column("known", pa.array([], pa.bool_()))
         block = Block(docs, length)
-        block.entries(_shared_keys(block, replies))
-        answers, e = _answers(replies, 2), 0
-        cover = np.zeros(len(block.f.bytes) + 1, np.int64)
-        base, varies, low = [np.empty(0, np.int64)], [np.empty(0, bool)], [np.empty(0, np.int64)]
-        for r in answers:
-            base.append(_planes(zlib.decompress(r["a"]), np.int64))
-            varies.append(np.unpackbits(np.frombuffer(zlib.decompress(r["b"]), np.uint8))[:len(base[-1])].astype(bool))
-            low.append(_planes(zlib.decompress(r["c"]), np.int64))
-        base, varies, low = np.concatenate(base), np.concatenate(varies), np.concatenate(low)
-        if len(base) != len(block.e_key):
-            raise RuntimeError("a block was dealt other documents than before: the input is not stable")
-        # fragments whose windows all have one least document
-        same = ~varies[block.entry] & (base[block.entry] < block.doc)
-        np.add.at(cover, block.start[same], 1)
-        np.add.at(cover, block.start[same] + block.n[same] + length - 1, -1)
-        # the others, window by window
-        skip = np.where(varies, block.e_n, 0)
-        skip = np.cumsum(skip) - skip
-        some = np.flatnonzero(varies[block.entry])
-        of = np.repeat(some, block.n[some])
-        w = _within(block.n[some])
-        hit = low[skip[block.entry[of]] + w] < block.doc[of]
-        at = block.start[of[hit]] + w[hit]
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + length, -1)
+        cover = np.zeros(len(block.f.bytes) + 1, np.int32)
+        for part, e in block.entries(_kinds_of(block, replies)).items():
+            _cover(cover, e, _answers(replies, part), length)
         gone = np.cumsum(cover)[:-1] > 0
         total = np.r_[0, np.cumsum(gone)]
         f = block.f
@@ -509,9 +546,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_
                         text_bytes().alias("body"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block")
                         ).repartition(n, "block")
     keys = (dealt.groupBy("block").applyInArrow(_list_keys(length, n), _KEYS)
-                 .groupBy("slice").applyInArrow(_judge_keys(hot), _SHARED).repartition(n, "block"))
+                 .groupBy("slice").applyInArrow(_judge_keys(hot), _REPLY).repartition(n, "block"))
     found = (dealt.groupBy("block").cogroup(keys.groupBy("block")).applyInArrow(_list_fragments(length, n), _FRAGMENTS)
-                  .groupBy("slice").applyInArrow(_judge_fragments(length), _SHARED).repartition(n, "block"))
+                  .groupBy("slice").applyInArrow(_judge_fragments(length), _REPLY).repartition(n, "block"))
     return (dealt.groupBy("block").cogroup(keys.unionByName(found).groupBy("block")).applyInArrow(_remove(length), _CLEANED)
                  .select(F.when(F.col("known"), F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept"))
 
