@@ -24,6 +24,7 @@ from hearth.llm.common import checkpointed
 from hearth.operators.keys import assign_key
 
 CAP = 3               # no document is taken more often than this
+SMALL_SOURCES = 100_000   # so many source rows (a name and four numbers each) are broadcast, more are joined by shuffle
 RATE = "decimal(38,12)"
 
 
@@ -88,6 +89,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = CAP, see
                                 .otherwise(F.lit(0.0)).cast(RATE))
                     .withColumn("_u", offset(F.col("source"), seed))
                     .withColumnRenamed("source", "_src"))
+    if stats.count() <= SMALL_SOURCES:
+        rated = F.broadcast(rated)          # so a hot source's documents stay where they are
     rank = (F.col("_key") - F.col("_first")).cast("decimal(20,0)")
     before = F.floor((rank * F.col("_rate")).cast(RATE) + F.col("_u"))
     after = F.floor(((rank + 1) * F.col("_rate")).cast(RATE) + F.col("_u"))
@@ -101,9 +104,11 @@ def take(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves: every row as often as the mix takes it, all columns kept.
 
     Documents taken zero times are left out, so this is a sampling operator;
-    repeats are equal rows.  Documents with equal ids are drawn as one.
+    repeats are equal rows.  Rows with equal ids (null among them) share the
+    draws of that id: each is taken as often as the first of them by size.
     """
     n = (mix(docs.select("doc_id", "source", "text"), **options)
-         .groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_n")).where("_n > 0"))
-    return (docs.join(n, F.expr("doc_id <=> _id")).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-                .select(*[docs[c] for c in docs.columns]))
+         .groupBy(F.col("doc_id").alias("_id")).agg(F.min_by("copies", F.struct("size", "source")).alias("_n")).where("_n > 0"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_at"))
+    return (rows.join(n, F.expr("_at <=> _id")).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+                .select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
