@@ -15,9 +15,11 @@ that a third of all documents share costs each of them one tiling.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -60,30 +62,33 @@ def tile(pattern: list[int], text: list[int], min_match: int) -> list[tuple[int,
     tiles: list[tuple[int, int, int]] = []
     length = max(min_match, min(len(pattern), len(text)))
     while True:
-        longest, found = _scan(pattern, text, p_free, t_free, length)
-        if longest > 2 * length:       # far longer than searched: search that length first
-            length = longest
-            continue
-        for n, i, j in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            # what an earlier, longer tile has taken is cut off; the rest is found again at its own length
-            if not (all(p_free[i:i + n]) and all(t_free[j:j + n])):
+        queue = [(-n, i, j) for n, i, j in _scan(pattern, text, p_free, t_free, length)]
+        heapq.heapify(queue)
+        while queue:
+            n, i, j = heapq.heappop(queue)
+            free = [p_free[i + k] and t_free[j + k] for k in range(-n)]
+            if all(free):
+                p_free[i:i - n] = t_free[j:j - n] = [False] * -n
+                tiles.append((i, j, -n))
                 continue
-            p_free[i:i + n] = [False] * n
-            t_free[j:j + n] = [False] * n
-            tiles.append((i, j, n))
-        if found and longest >= length and _scan(pattern, text, p_free, t_free, length)[1]:
-            continue                    # parts left free by occluded matches
+            # a longer tile has taken a part: the rest queues up at its own length
+            k = 0
+            for is_free, run in groupby(free):
+                size = len(list(run))
+                if is_free and size >= length:
+                    heapq.heappush(queue, (-size, i + k, j + k))
+                k += size
         if length <= min_match:
             return tiles
         length = max(min_match, length // 2)
 
 
-def _scan(pattern, text, p_free, t_free, length):
-    """The maximal matches of at least ``length`` free tokens, by running Karp-Rabin."""
+def _scan(pattern, text, p_free, t_free, length) -> list[tuple[int, int, int]]:
+    """The maximal matches ``(length, i, j)`` of at least ``length`` free tokens, by running Karp-Rabin."""
     at = defaultdict(list)
     for j, h in _running(text, t_free, length):
         at[h].append(j)
-    longest, found = 0, []
+    found = []
     for i, h in _running(pattern, p_free, length):
         for j in at.get(h, ()):
             if i and j and p_free[i - 1] and t_free[j - 1] and pattern[i - 1] == text[j - 1]:
@@ -94,8 +99,7 @@ def _scan(pattern, text, p_free, t_free, length):
                 n += 1
             if n >= length:             # also verifies the hash
                 found.append((n, i, j))
-                longest = max(longest, n)
-    return longest, found
+    return found
 
 
 def _running(seq, free, length):
