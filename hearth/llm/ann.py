@@ -21,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.llm.common import checkpointed
+
 TABLES = 4
 PROBES = 40
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 512
 HIT = "query_id long, vec_id long, score double"
 
 
@@ -152,7 +154,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = T
     """
     rows, asked = usable(vectors, vec_id, embedding), usable(queries, vec_id, embedding)
     hits = _search(asked, rows, k, tables, probes, block_rows, seed)
-    found = _merged(hits, k)
+    found = checkpointed(_merged(hits, k))        # read twice
     full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
     short = asked.join(full, "vec_id", "left_anti")
     again = _merged(_search(short, rows, k, 1, 1 << 30, block_rows, seed), k)
