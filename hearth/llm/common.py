@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows, of a few numbers each, up to which a counted table is broadcast; beyond, joins shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The table marked for broadcast if its rows, which are counted here, are few enough.
+
+    For tables already written or checkpointed, so that counting is cheap."""
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows) else df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage through a Parquet table in the shared folder (compressed, read by column)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder that ``spark.checkpoint.dir`` names."""
     ensure_checkpoint_dir(df.sparkSession)

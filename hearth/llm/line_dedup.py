@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import U64, checkpointed, mix64, signed, text_bytes
+from hearth.llm.common import BROADCAST_ROWS, U64, broadcast_if_small, mix64, signed, stored, text_bytes
 
 MIN_WORDS = 5             # shorter lines are only matched exactly
 CHUNK_BYTES = 2 << 20     # text hashed at once
@@ -162,37 +162,37 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     without words are never dropped.  Rows with equal ids are one document:
     lines at equal places are not earlier than each other.
     """
-    lines = checkpointed(_by_document(docs).mapInArrow(_lines, _LINE))
+    lines = stored(_by_document(docs).mapInArrow(_lines, _LINE), "lines")
     place = F.struct("doc", "line")
-    distinct = checkpointed(lines.groupBy("h1", "h2", "n").agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), *[F.first(f"k{j}").alias(f"k{j}") for j in range(4)]))
+    distinct = stored(lines.groupBy("h1", "h2", "n").agg(
+        F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), *[F.first(f"k{j}").alias(f"k{j}") for j in range(4)]), "distinct")
     # exact: later places of a line that occurs more than once
     again = (lines.select("h1", "h2", "n", "doc", "line")
-                  .join(distinct.where("times > 1").select("h1", "h2", "n", "first"), ["h1", "h2", "n"])
+                  .join(broadcast_if_small(distinct.where("times > 1").select("h1", "h2", "n", "first")), ["h1", "h2", "n"])
                   .where(place > F.col("first")).select("doc", "line"))
 
     # lines that share a half with another line
-    long = distinct.where(F.col("n") >= min_words)
-    keyed = long.select("first", F.explode(F.array(
+    keyed = distinct.where(F.col("n") >= min_words).select("first", F.explode(F.array(
         *[F.struct((F.col("n") - (j // 2)).alias("short"), F.col(f"k{j}").alias("key")) for j in range(4)])).alias("half")
         ).select("first", "half.short", "half.key")
-    shared = keyed.groupBy("short", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("short", "key")
-    wanted = (keyed.join(shared, ["short", "key"], "left_semi").groupBy(F.col("first.doc").alias("_doc"))
-                   .agg(F.sort_array(F.collect_set("first.line")).alias("wanted")))
-    bodies = _by_document(docs).join(wanted, F.col("doc") == F.col("_doc")).select("doc", "body", "wanted")
-    variants = checkpointed(bodies.mapInArrow(_variants, _VARIANT))
-
-    whole = variants.where("pos = -1").select("r1", "r2", place.alias("whole"), "words")
+    shared = stored(keyed.groupBy("short", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("short", "key"), "halves")
+    wanted = stored(keyed.join(broadcast_if_small(shared), ["short", "key"], "left_semi").groupBy(F.col("first.doc").alias("_doc"))
+                    .agg(F.sort_array(F.collect_set("first.line")).alias("wanted")), "wanted")
+    few = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0] <= BROADCAST_ROWS      # its size is its lines
+    bodies = (_by_document(docs).join(F.broadcast(wanted) if few else wanted, F.col("doc") == F.col("_doc"))
+              .select("doc", "body", "wanted"))
+    variants = stored(bodies.mapInArrow(_variants, _VARIANT), "variants")
+
+    whole = variants.where("pos = -1").select("r1", "r2", place.alias("whole"))
     less = variants.where("pos >= 0").select("r1", "r2", "pos", place.alias("at"))
-    earliest = (less.groupBy("r1", "r2", "pos").agg(F.min("at").alias("e"), F.max("at").alias("l")).where("e < l")
-                    .drop("l"))
-    replaced = less.join(earliest, ["r1", "r2", "pos"]).where("e < at").select("at", "e")
+    earliest = stored(less.groupBy("r1", "r2", "pos").agg(F.min("at").alias("e"), F.max("at").alias("l")).where("e < l").drop("l"), "earliest")
+    replaced = less.join(broadcast_if_small(earliest), ["r1", "r2", "pos"]).where("e < at").select("at", "e")
     # a variant equals at most one whole line, so this join does not grow
-    added = less.join(whole.drop("words"), ["r1", "r2"]).select("at", "whole")
+    added = less.join(broadcast_if_small(whole), ["r1", "r2"]).select("at", "whole")
     links = (replaced.unionByName(added.where("whole < at").select("at", F.col("whole").alias("e")))
                      .unionByName(added.where("at < whole").select(F.col("whole").alias("at"), F.col("at").alias("e"))))
-    best = links.groupBy("at").agg(F.min("e").alias("e"))
-    texts = whole.select("whole", "words")
+    best = stored(links.groupBy("at").agg(F.min("e").alias("e")), "best")
+    texts = variants.where("pos = -1").select(place.alias("whole"), "words")
     near = (best.join(texts.select(F.col("whole").alias("at"), F.col("words").alias("a")), "at")
                 .join(texts.select(F.col("whole").alias("e"), F.col("words").alias("b")), "e")
                 .select("at.doc", "at.line", "a", "b").mapInArrow(_verify, "doc long, line int"))

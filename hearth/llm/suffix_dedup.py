@@ -546,9 +546,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_
                         text_bytes().alias("body"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block")
                         ).repartition(n, "block")
     keys = (dealt.groupBy("block").applyInArrow(_list_keys(length, n), _KEYS)
-                 .groupBy("slice").applyInArrow(_judge_keys(hot), _REPLY).repartition(n, "block"))
+                 .repartition(n, "slice").groupBy("slice").applyInArrow(_judge_keys(hot), _REPLY).repartition(n, "block"))
     found = (dealt.groupBy("block").cogroup(keys.groupBy("block")).applyInArrow(_list_fragments(length, n), _FRAGMENTS)
-                  .groupBy("slice").applyInArrow(_judge_fragments(length), _REPLY).repartition(n, "block"))
+                  .repartition(n, "slice").groupBy("slice").applyInArrow(_judge_fragments(length), _REPLY).repartition(n, "block"))
     return (dealt.groupBy("block").cogroup(keys.unionByName(found).groupBy("block")).applyInArrow(_remove(length), _CLEANED)
                  .select(F.when(F.col("known"), F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept"))
 

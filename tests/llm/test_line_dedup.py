@@ -82,3 +82,11 @@ def test_empty_table(spark):
 def test_hot_line_and_variants(spark):
     rows = [(d, f"the same long line every time\npage number {d} of the report") for d in range(300)]
     assert report(spark, rows) == {d: {0, 1} for d in range(1, 300)}
+
+
+def test_without_broadcasts(spark, monkeypatch):
+    from hearth.llm import common
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    rows = [(d, f"the same long line every time\npage number {d} of the report\nshort") for d in range(40)]
+    assert report(spark, rows) == brute(rows)
