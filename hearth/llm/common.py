@@ -44,6 +44,17 @@ def text_bytes(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string").cast("binary"), F.lit(b""))
 
 
+#: Rows of an Arrow batch: whole texts pass through, so batches are kept to some megabytes.
+ARROW_ROWS = 2500
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``ARROW_ROWS`` if it is larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

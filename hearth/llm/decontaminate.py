@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from hearth.llm.common import U64, mix64
+from hearth.llm.common import U64, bound_batches, mix64
 
 MIN_MATCH = 5
 THRESHOLD = 0.6
@@ -197,6 +197,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH
     """
     if column in docs.columns:
         raise ValueError(f"the documents already have a column {column!r}")
+    bound_batches(docs.sparkSession)
     out = docs.withColumn(column, F.array().cast(ArrayType(LEAK)))
     text_at, schema = docs.columns.index("text"), out.schema
     for block in benchmark_blocks(benchmark, block_bytes):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import held_out
+from hearth.llm.common import bound_batches, held_out
 
 HIDDEN = 16
 TRAIN_DOCS = 200          # per language: the bound on the training sample
@@ -233,6 +233,7 @@ def predict(docs: DataFrame, net: Network | None, pred: str = "lang_pred", score
     out = docs.withColumn(pred, F.lit(UNDETERMINED)).withColumn(score, F.lit(0.0))
     if net is None:
         return out
+    bound_batches(docs.sparkSession)
     text_at, langs, weights = docs.columns.index("text"), net.langs, net.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +264,7 @@ def identify(docs: DataFrame, **options) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.35, **options) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.3, **options) -> DataFrame:
     """The document rows whose text has a language with at least ``min_score``; all columns kept."""
     pred, score = "lang_pred", "lang_score"
     while {pred, score} & set(docs.columns):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import BROADCAST_ROWS, U64, broadcast_if_small, mix64, signed, stored, text_bytes
+from hearth.llm.common import BROADCAST_ROWS, U64, bound_batches, broadcast_if_small, mix64, signed, stored, text_bytes
 
 MIN_WORDS = 5             # shorter lines are only matched exactly
 CHUNK_BYTES = 2 << 20     # text hashed at once
@@ -149,6 +149,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_document(docs: DataFrame) -> DataFrame:
+    bound_batches(docs.sparkSession)
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text_bytes().alias("body"))
 
 

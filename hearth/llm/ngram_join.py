@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import U64, checkpointed, mix64, shuffle_partitions, signed, text_bytes
+from hearth.llm.common import U64, bound_batches, checkpointed, mix64, shuffle_partitions, signed, text_bytes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -90,6 +90,7 @@ def branches(s: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def _documents(docs: DataFrame) -> DataFrame:
+    bound_batches(docs.sparkSession)
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
                        F.xxhash64("text").alias("th"), text_bytes().alias("body"))
 

@@ -62,17 +62,35 @@ def suffix_array(s: list[int]) -> list[int]:
     n = len(s)
     if not n:
         return []
-    sa = sorted(range(n), key=s.__getitem__)             # groups by first symbol
-    place, group, last = [0] * n, [0] * n, [0] * n       # a suffix's position, its group's start; a group's last position
-    for i, p in enumerate(sa):
-        place[p] = i
-        group[p] = i if not i or s[sa[i - 1]] != s[p] else group[sa[i - 1]]
-        last[group[p]] = i
+    symbols = np.asarray(s)
+    order = np.argsort(symbols, kind="stable")           # groups by first symbol
+    starts = np.flatnonzero(np.r_[True, symbols[order][1:] != symbols[order][:-1]])
+    ends = np.r_[starts[1:], n] - 1
+    # a suffix's position and its group's start; a group's last position
+    place, group, last = np.empty(n, np.int64), np.empty(n, np.int64), np.zeros(n, np.int64)
+    place[order] = np.arange(n)
+    group[order] = np.repeat(starts, ends - starts + 1)
+    last[starts] = ends
+    sa, place, group, last = order.tolist(), place.tolist(), group.tolist(), last.tolist()
     previous = [-1] * n                                  # the nearest earlier suffix in a lower group
     # first pass: final groups, in descending order
     end = n - 1
     while end >= 0:
-        start = group[sa[end]]
+        p = sa[end]
+        start = group[p]
+        if start == end:                                 # alone in its group: at most one suffix grows
+            q = p - 1
+            while q >= 0 and group[q] > start:
+                q = previous[q]
+            previous[p] = q
+            if q >= 0 and last[g := group[q]] != g:      # and splits off as the last of its own
+                to, at = last[g], place[q]
+                other = sa[to]
+                sa[at], sa[to] = other, q
+                place[other], place[q] = at, to
+                last[g], last[to], group[q] = to - 1, to, to
+            end -= 1
+            continue
         members = sorted(sa[start:end + 1])
         times: dict[int, int] = {}
         for p in members:

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearth.llm.common import bound_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public split pattern of this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -100,6 +102,7 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",), by: str = "
     """
     if by not in ("lines", "fields"):
         raise ValueError(f"unknown sections {by!r}")
+    bound_batches(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))   # fixed size: the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

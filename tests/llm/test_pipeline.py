@@ -46,7 +46,7 @@ def corpus():
 def brute(spark, rows, items):
     net = langid.fit(spark.createDataFrame(rows, COLUMNS))
     best, score = langid.classify(net, [(r[1] or "").encode() for r in rows])
-    rows = [r for r, b, s in zip(rows, best, score) if b >= 0 and s >= .35]
+    rows = [r for r, b, s in zip(rows, best, score) if b >= 0 and s >= .3]
     gone = brute_lines([r[:2] for r in rows])
     kept = []
     for r in rows:
