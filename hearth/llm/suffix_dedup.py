@@ -10,8 +10,8 @@ windows of all documents meet under one key:
 2. under a shared key with a single fragment, its least document is all there
    is to find.  The fragments under keys with several different ones meet, equal
    ones as one with their least document, and a suffix array of them all finds
-   the windows they share: the fragments are cut into 8-byte symbols in step
-   with their anchor, the array groups the suffixes that agree on the symbols of
+   the windows they share: the fragments are cut into 16-byte symbols in
+   step with their anchor, the array groups the suffixes that agree on the symbols of
    a window's core, and the few bytes beside the core finish the comparison;
 3. every block learns the least document of each of its windows and removes
    the bytes under those that start in a smaller one.
@@ -41,8 +41,10 @@ from pyspark.sql import functions as F
 from hearth.llm.common import U64, mix64, shuffle_partitions, text_bytes
 
 LENGTH = 50
+SYMBOL = 16                # bytes of a symbol of the suffix array
 SPREAD = 19                # seeds in a window
 HOT = 20_000
+AT_ONCE = 8192             # fragments sorted at once; those of one key stay together
 BLOCK_BYTES = 4 << 20
 CHUNK_BYTES = 1 << 18      # text hashed at once
 LAST = (1 << 63) - 1       # the place of a document without an id: after all others
@@ -276,8 +278,9 @@ def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Entries:
     """Occurrences grouped by key and, if given, content: the distinct ones in key order."""
 
-    def __init__(self, of, start, n, offset, doc, key, content):
-        self.start, self.n, self.doc = start, n, doc
+    def __init__(self, row, start, n, offset, doc, key, content):
+        self.n, self.doc = n, doc
+        self.at = start + row          # its place when every document has one slot more than bytes
         order, first = _grouped(key) if content is None else _grouped(content, key)
         self.entry = np.empty(len(order), np.int64)
         self.entry[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
@@ -314,9 +317,9 @@ class Block:
         out = {}
         for part in (SINGLE, SEVERAL):
             w = np.flatnonzero(kind == part)
-            out[part] = Entries(w, f.start[w], f.n[w], f.anchor[w], self.docs[w], f.key[w], f.hash[w] if part == SEVERAL else None)
+            out[part] = Entries(f.row[w], f.start[w], f.n[w], f.anchor[w], self.docs[w], f.key[w], f.hash[w] if part == SEVERAL else None)
         of, start, own = f.windows(np.flatnonzero(kind == CROWDED), self.length)
-        out[CROWDED] = Entries(of, start, np.ones(len(of), np.int64), np.zeros(len(of), np.int64), self.docs[of], own >> U64(16), own)
+        out[CROWDED] = Entries(f.row[of], start, np.ones(len(of), np.int64), np.zeros(len(of), np.int64), self.docs[of], own >> U64(16), own)
         return out
 
 
@@ -414,18 +417,21 @@ def least_documents(body: np.ndarray, at: np.ndarray, n: np.ndarray, offset: np.
     """For every window of the given fragments, in order: the least document of all equal windows.
 
     ``at``: where each fragment begins in ``body``; ``n``: its windows;
-    ``offset``: its anchor's place, to which the 8-byte symbols keep step.
+    ``offset``: its anchor's place, to which the symbols keep step.
     """
-    core = (length - 7) // 8
-    phase = offset % 8
-    symbols = (n + length - 1 - phase) // 8
+    core = (length - SYMBOL + 1) // SYMBOL
+    phase = offset % SYMBOL
+    symbols = (n + length - 1 - phase) // SYMBOL
     of = np.repeat(np.arange(len(n)), symbols)
-    place = (at + phase)[of] + 8 * _within(symbols)
-    text = np.ascontiguousarray(body[place[:, None] + np.arange(8)]).view(U64).ravel()
+    place = (at + phase)[of] + SYMBOL * _within(symbols)
+    text = np.ascontiguousarray(body[place[:, None] + np.arange(SYMBOL)]).view(U64).reshape(-1, SYMBOL // 8)
+    order, first = _grouped(*text.T)
+    rank = np.empty(len(text), np.int64)
+    rank[order] = np.repeat(np.arange(1, len(first) + 1), np.diff(np.r_[first, len(order)]))
     # the symbols as ranks, a 0 after each fragment
     first = np.cumsum(symbols + 1) - (symbols + 1)
     seq = np.zeros(int((symbols + 1).sum()), np.int64)
-    seq[first[of] + _within(symbols)] = np.unique(text, return_inverse=True)[1] + 1
+    seq[first[of] + _within(symbols)] = rank
     left = np.zeros(len(seq), np.int64)
     left[first[of] + _within(symbols)] = np.repeat(symbols, symbols) - _within(symbols)
     sa = np.array(suffix_array(seq.tolist()))
@@ -436,19 +442,28 @@ def least_documents(body: np.ndarray, at: np.ndarray, n: np.ndarray, offset: np.
     # each window: the group of its first core, and the bytes beside it
     w_of = np.repeat(np.arange(len(n)), n)
     w = _within(n)
-    step = -(-(w - phase[w_of]) // 8)
-    lead = phase[w_of] + 8 * step - w
-    beside = np.arange(length - 8 * core)[None, :]
-    beside = np.where(beside < lead[:, None], beside, beside + 8 * core) + (at[w_of] + w)[:, None]
-    rest = np.zeros((len(w), 16), np.uint8)
+    step = -(-(w - phase[w_of]) // SYMBOL)
+    lead = phase[w_of] + SYMBOL * step - w
+    beside = np.arange(length - SYMBOL * core)[None, :]
+    beside = np.where(beside < lead[:, None], beside, beside + SYMBOL * core) + (at[w_of] + w)[:, None]
+    rest = np.zeros((len(w), -(-beside.shape[1] // 8) * 8), np.uint8)
     rest[:, :beside.shape[1]] = body[beside]
-    rest = rest.view(U64)
-    order, begin = _grouped(rest[:, 1], rest[:, 0], group[first[w_of] + step] * 8 + lead)
+    order, begin = _grouped(*rest.view(U64).T, group[first[w_of] + step] * SYMBOL + lead)
     out = np.empty(len(w), np.int64)
     out[order] = np.repeat(np.minimum.reduceat(doc[w_of][order], begin), np.diff(np.r_[begin, len(order)])) if len(order) else 0
     return out
 
 
+def _whole_keys(key: np.ndarray) -> Iterator[slice]:
+    """Cuts the sorted keys into slices of about ``AT_ONCE``, none of them inside a key."""
+    ends = np.r_[np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
+    start = 0
+    while start < len(key):
+        end = int(ends[min(np.searchsorted(ends, start + AT_ONCE), len(ends) - 1)])
+        yield slice(start, end)
+        start = end
+
+
 def _judge_fragments(length: int):
     """One slice: every block learns the least document of each of its entries, by window where windows differ."""
     def run(cells: pa.Table) -> pa.Table:
@@ -482,7 +497,9 @@ def _judge_part(cells: pa.Table, part: int, length: int) -> pa.Table:
     begin = np.cumsum(n + length - 1) - (n + length - 1)
     rep = order[first]
     n = n[rep]
-    low = least_documents(np.concatenate(get("body", lambda b: np.frombuffer(b, np.uint8))), begin[rep], n, offset[rep], least, length)
+    body = np.concatenate(get("body", lambda b: np.frombuffer(b, np.uint8)))
+    at, offset = begin[rep], offset[rep]
+    low = np.concatenate([least_documents(body, at[c], n[c], offset[c], least[c], length) for c in _whole_keys(key[rep])])
     w = np.cumsum(n) - n
     varies = np.maximum.reduceat(low, w) != np.minimum.reduceat(low, w)
     some = [m[varies[m]] for m in mine]
@@ -508,14 +525,14 @@ def _cover(cover: np.ndarray, e: Entries, answers: list[dict], length: int) -> N
         raise RuntimeError("a block was dealt other documents than before: the input is not stable")
     # entries whose windows all have one least document
     all_ = np.flatnonzero(~varies[e.entry] & (base[e.entry] < e.doc))
-    np.add.at(cover, e.start[all_], 1)
-    np.add.at(cover, e.start[all_] + e.n[all_] + length - 1, -1)
+    np.add.at(cover, e.at[all_], 1)
+    np.add.at(cover, e.at[all_] + e.n[all_] + length - 1, -1)
     # the others, window by window
     skip = np.cumsum(np.where(varies, e.e_n, 0)) - np.where(varies, e.e_n, 0)
     some = np.flatnonzero(varies[e.entry])
     of, w = np.repeat(some, e.n[some]), _within(e.n[some])
     hit = low[skip[e.entry[of]] + w] < e.doc[of]
-    at = e.start[of[hit]] + w[hit]
+    at = e.at[of[hit]] + w[hit]
     np.add.at(cover, at, 1)
     np.add.at(cover, at + length, -1)
 
@@ -525,20 +542,19 @@ def _remove(length: int):
         if not docs.num_rows:
             return _no_rows(_CLEANED.replace(", known boolean", "")).append_column("known", pa.array([], pa.bool_()))
         block = Block(docs, length)
-        cover = np.zeros(len(block.f.bytes) + 1, np.int32)
+        f = block.f
+        cover = np.zeros(len(f.bytes) + docs.num_rows, np.int32)
         for part, e in block.entries(_kinds_of(block, replies)).items():
             _cover(cover, e, _answers(replies, part), length)
-        gone = np.cumsum(cover)[:-1] > 0
-        total = np.r_[0, np.cumsum(gone)]
-        f = block.f
-        opens = gone & ~np.r_[False, gone[:-1]][:len(gone)]
-        inner = f.begins[f.begins < len(gone)]
-        opens[inner] = gone[inner]                       # a run does not go on into the next document
-        spans = np.r_[0, np.cumsum(opens)]
-        kept = [f.bytes[a:b][~gone[a:b]].tobytes() for a, b in zip(f.begins, f.ends, strict=True)]
+        removed, spans, kept = [], [], []
+        for i, (a, b) in enumerate(zip(f.begins.tolist(), f.ends.tolist(), strict=True)):
+            gone = np.cumsum(cover[a + i:b + i]) > 0
+            removed.append(int(gone.sum()))
+            spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
+            kept.append((f.bytes[a:b][~gone] if removed[-1] else f.bytes[a:b]).tobytes())
         return pa.table({
-            "doc": docs.column("doc"), "n_bytes": pa.array(f.ends - f.begins), "n_removed": pa.array(total[f.ends] - total[f.begins]),
-            "n_spans": pa.array(spans[f.ends] - spans[f.begins]), "kept": pa.array(kept, pa.binary()), "known": docs.column("known")})
+            "doc": docs.column("doc"), "n_bytes": pa.array(f.ends - f.begins), "n_removed": pa.array(removed, pa.int64()),
+            "n_spans": pa.array(spans, pa.int64()), "kept": pa.array(kept, pa.binary()), "known": docs.column("known")})
 
     return run
 

@@ -58,6 +58,11 @@ def test_matches_brute_force(spark, hot):
     check(spark, corpus(), hot=hot, block_bytes=3000)
 
 
+def test_few_fragments_at_once(spark, monkeypatch):
+    monkeypatch.setattr(sd, "AT_ONCE", 3)
+    check(spark, corpus(7), block_bytes=3000)
+
+
 def test_other_lengths(spark):
     check(spark, corpus(5), length=41, block_bytes=5000)
     check(spark, corpus(6), length=64, block_bytes=5000)
