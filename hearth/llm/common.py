@@ -44,6 +44,11 @@ def text_bytes(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string").cast("binary"), F.lit(b""))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of the row; maps, which cannot be hashed, by their JSON."""
+    return F.xxhash64(*[F.to_json(F.col(f"`{c}`")) if "map<" in t else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
 #: Rows of an Arrow batch: whole texts pass through, so batches are kept to some megabytes.
 ARROW_ROWS = 2500
 

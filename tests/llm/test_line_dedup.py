@@ -90,3 +90,47 @@ def test_without_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
     rows = [(d, f"the same long line every time\npage number {d} of the report\nshort") for d in range(40)]
     assert report(spark, rows) == brute(rows)
+
+
+def by_row(rows):
+    """The dropped lines of every row, rows of one id in the order of their text's hash, which the operator fixes."""
+    lines = [(i, n, x) for i, (_, t) in enumerate(rows) for n, x in enumerate((t or "").split("\n")) if x.split()]
+    return [{n for j, n, x in lines if j == i and any((e, m) < (i, n) and near(x, y) for e, m, y in lines)} for i in range(len(rows))]
+
+
+def in_place(spark, rows):
+    """The rows in the operator's order of places: id (null last), text hash."""
+    from pyspark.sql import functions as F
+    f = spark.createDataFrame(rows, "doc_id long, text string").withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")))
+    return [(r.doc_id, r.text) for r in f.orderBy(F.col("doc_id").isNull(), "doc_id", "h", "text").collect()]
+
+
+def reported(spark, rows):
+    got = line_dedup.line_report(frame(spark, rows)).collect()
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_lines, tuple(r.removed)) for r in got)
+
+
+def wanted(rows):
+    return sorted((d is None, d or 0, len(t.split("\n")) if t is not None else 0, tuple(sorted(g))) for (d, t), g in zip(rows, by_row(rows)))
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_stay_apart(spark):
+    rows = in_place(spark, [
+        (1, "one two three four five\nalpha"), (None, None), (None, "one two three four six"),
+        (None, "own first line of this row\none two three four seven\nsecond line that nothing repeats here"),
+        (None, "quite another text for a start\nclean words stand here alone\nalpha\nmore lines follow until the end"),
+        (7, "left line of the short text"), (7, "gamma\ndelta\none two three four eight\nkept by the longer text alone"),
+        (7, "epsilon\ngamma")])
+    assert reported(spark, rows) == wanted(rows)
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    kept = [(d, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in g) if g else t) for (d, t), g in zip(rows, by_row(rows))]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in out])) == sorted(str(k) for k, g in zip(kept, by_row(rows)) if not g or k[1].split())
+
+
+def test_equal_rows_lose_their_lines_but_one(spark):
+    text = "the first line of the text\n\nthe last one"
+    rows = in_place(spark, [(None, text)] * 5 + [(3, text + "\nand more")] * 2 + [(4, "")] * 3 + [(None, None)] * 2 + [(None, "")] * 2)
+    assert reported(spark, rows) == wanted(rows)
+    out = line_dedup.dedup_lines(frame(spark, rows)).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in out) == sorted(
+        map(str, [(3, text + "\nand more")] + [(4, "")] * 3 + [(None, None)] * 2 + [(None, "")] * 2))
