@@ -5,7 +5,7 @@ pseudo-randomly; the nearest signed axis (largest coordinate, with its sign)
 is its bucket in a table.  Rows go to one bucket per table, a query to its
 ``probes`` nearest axes per table.  Rows and probing queries meet in grouped
 tasks, are compared exactly in double precision, and only each group's
-``k`` best leave it; a last merge keeps the best ``k`` of a query.
+``k`` best distinct ids leave it; a last merge keeps the best ``k`` of a query.
 
 A bucket holding more than ``block_rows`` rows (a hot vector) is split into
 blocks, each its own group, so no group grows with the data.
@@ -102,10 +102,12 @@ def _best(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        ids, x = rows.vec_id.to_numpy(), np.stack(rows.v.to_list())
+        rows = rows.sort_values("vec_id")
+        ids, first = np.unique(rows.vec_id.to_numpy(), return_index=True)
+        x = np.stack(rows.v.to_list())
         out = []
         for q, v in zip(queries.vec_id.to_numpy(), queries.v, strict=True):
-            d = np.sqrt(((x - v) ** 2).sum(1))
+            d = np.minimum.reduceat(np.sqrt(((x - v) ** 2).sum(1)), first)      # an id counts once, at its nearest row
             d[ids == q] = np.inf
             near = np.arange(len(d)) if len(d) <= k + 1 else np.flatnonzero(d <= np.partition(d, k)[k])
             near = near[np.lexsort((ids[near], d[near]))][:k + 1]
@@ -122,7 +124,7 @@ def _search(queries: DataFrame, vectors: DataFrame, k: int, tables: int, probes:
     blocks = (hashed.groupBy("dim", "tab", "bucket").agg(F.count(F.lit(1)).alias("n"))
                     .select("dim", "tab", "bucket", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")))
     rows = hashed.join(blocks, ["dim", "tab", "bucket"]).withColumn(
-        "block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+        "block", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int"))
     probing = _hashed(queries, tables, probes, seed).join(blocks, ["dim", "tab", "bucket"]).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     key = ["dim", "tab", "bucket", "block"]
@@ -152,7 +154,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, tables: int = T
     Queries that found fewer than ``k`` rows (tiny tables) are searched again
     with every axis of one table, which is all candidates.
     """
-    rows, asked = usable(vectors, vec_id, embedding), usable(queries, vec_id, embedding)
+    # equal rows are one, so that a repeated row fills no block; an id's different vectors may go to several
+    rows, asked = usable(vectors, vec_id, embedding).distinct(), usable(queries, vec_id, embedding).distinct()
     hits = _search(asked, rows, k, tables, probes, block_rows, seed)
     found = checkpointed(_merged(hits, k))        # read twice
     full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))

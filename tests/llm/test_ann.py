@@ -74,3 +74,19 @@ def test_recall_on_the_given_vectors(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     hits = sum(len(found[q] & {i for _, i in best}) for q, best in want.items())
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_repeated_rows_leave_their_places_to_other_ids(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.integers(-9, 10, 6)]) for i in range(60)]
+    near = [(100 + i, [float(x) for x in rng.integers(-1, 2, 6) + rows[0][1]]) for i in range(3) for _ in range(15)]
+    rows = rows * 12 + near         # ids with many equal rows and ids with many different vectors
+    asked = [0, 5]
+    assert got(spark, rows, asked, k=10, probes=1 << 20, block_rows=16) == brute(rows, asked, 10)
+
+
+def test_a_group_gives_its_best_distinct_ids():
+    import pandas as pd
+    rows = pd.DataFrame({"vec_id": [4] * 12 + [3, 2], "v": [[1.0, i / 100] for i in range(12)] + [[2.0, 0.0], [3.0, 0.0]]})
+    out = ann._best(3)(pd.DataFrame({"vec_id": [1], "v": [[1.0, 0.0]]}), rows)
+    assert list(out.vec_id) == [4, 3, 2] and list(out.score) == [0.0, 1.0, 2.0]
