@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import checkpointed
+from hearth.llm.common import checkpointed, row_hash, stored
 from hearth.operators.keys import assign_key
 
 CAP = 3               # no document is taken more often than this
@@ -79,9 +79,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = CAP, see
     source of size 0 has target 0.  Repeated rows are separate documents and
     are drawn separately; an empty table gives no rows.  The seed fixes the draw.
     """
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-    # ranked within the source: by size, then id; repeated rows take neighbouring ranks
-    numbered = assign_key(sized, [F.col("source").isNull(), F.col("source").cast("binary"), "size", "doc_id"], "_key")
+    return _draw(docs.select("doc_id", "source", "text"), [], weights, cap, seed).select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _draw(docs: DataFrame, ties: list[str], weights: Sequence[int] = (1, 2, 3), cap: int = CAP, seed: int = 17) -> DataFrame:
+    """The draws of ``mix`` with the columns ``ties``, which put rows equal in id, source and text in order."""
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_hash"), *ties)
+    # ranked within the source: by size, then id, then text; repeated rows take neighbouring ranks
+    numbered = assign_key(sized, [F.col("source").isNull(), F.col("source").cast("binary"), "size", "doc_id", "_hash", *ties], "_key")
     stats = checkpointed(numbered.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("_key").alias("_first")))
     targets = source_targets(stats.select("source", "source_size"), weights, cap)
     rated = (targets.join(stats.select(F.col("source").alias("_src"), "_first"), F.expr("source <=> _src")).drop("_src")
@@ -96,19 +102,21 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = CAP, see
     after = F.floor(((rank + 1) * F.col("_rate")).cast(RATE) + F.col("_u"))
     return (numbered.join(rated, F.expr("source <=> _src"))
                     .withColumn("copies", F.when(F.col("size") > 0, after - before).otherwise(F.lit(0)).cast("long"))
-                    .select("doc_id", "source", "size", "source_size", "target", "copies",
-                            (F.col("copies") * F.col("size")).alias("taken")))
+                    .select("doc_id", "source", "size", "source_size", "target", "copies", *ties))
 
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents themselves: every row as often as the mix takes it, all columns kept.
 
     Documents taken zero times are left out, so this is a sampling operator;
-    repeats are equal rows.  Rows with equal ids (null among them) share the
-    draws of that id: each is taken as often as the first of them by size.
+    repeats are equal rows.  Every row has its own draw: rows without an id, or
+    with a repeated one, too.  The rows are written once, which fixes the number
+    that carries a row's draw back to it; rows equal in id, source and text are
+    drawn in the order of the hash of all columns.
     """
-    n = (mix(docs.select("doc_id", "source", "text"), **options)
-         .groupBy(F.col("doc_id").alias("_id")).agg(F.min_by("copies", F.struct("size", "source")).alias("_n")).where("_n > 0"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_at"))
-    return (rows.join(n, F.expr("_at <=> _id")).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_hash(docs).alias("_all"),
+                              F.monotonically_increasing_id().alias("_at")), "mixed")
+    n = (_draw(rows.select("_row.doc_id", "_row.source", "_row.text", "_all", "_at"), ["_all", "_at"], **options)
+         .where("copies > 0").select("_at", F.col("copies").alias("_n")))
+    return (rows.join(n, "_at").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
                 .select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))

@@ -83,3 +83,21 @@ def test_take_repeats_rows(spark):
     assert out.columns == ["doc_id", "source", "text", "size", "target", "copies"]
     got = [r.doc_id for r in out.collect()]
     assert {i: got.count(i) for i in copies} == copies
+
+
+def test_take_draws_every_row_without_an_id_for_itself(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, None, 5]), rng.choice(["a", "b", None]), " ".join([f"r{i}"] * rng.randint(1, 30))) for i in range(150)]
+    rows += [(None, "a", None), (None, "b", ""), (None, "c", "same words"), (None, "c", "same words"), (None, "d", "other words")]
+    size = lambda t: len((t or "").split())
+    draws, out = {}, {}
+    for r in mixing.mix(frame(spark, rows)).collect():
+        draws.setdefault((str(r.doc_id), str(r.source), r.size), []).append(r.copies)
+    taken = [(r.doc_id, r.source, r.text) for r in mixing.take(frame(spark, rows)).collect()]
+    for row in dict.fromkeys(rows):
+        out.setdefault((str(row[0]), str(row[1]), size(row[2])), []).append(taken.count(row))
+    assert {k: sum(v) for k, v in draws.items()} == {k: sum(v) for k, v in out.items()}
+    single = {k: sorted(v) for k, v in draws.items() if len(v) == len(out[k])}
+    assert len(single) > 30 and single == {k: sorted(out[k]) for k in single}
+    again = mixing.take(frame(spark, rows[::-1]).repartition(7)).collect()
+    assert sorted(map(str, taken)) == sorted(str((r.doc_id, r.source, r.text)) for r in again)
