@@ -265,9 +265,16 @@ def identify(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3, **options) -> DataFrame:
-    """The document rows whose text has a language with at least ``min_score``; all columns kept."""
+    """The document rows whose text has a language with at least ``min_score``; all columns kept.
+
+    When no document has a label there is nothing to learn languages from, and
+    only null, empty and letterless texts go.
+    """
+    net = fit(docs, **options)
+    if net is None:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     pred, score = "lang_pred", "lang_score"
     while {pred, score} & set(docs.columns):
         pred, score = pred + "_", score + "_"
-    labelled = predict(docs, fit(docs, **options), pred, score)
+    labelled = predict(docs, net, pred, score)
     return labelled.where((F.col(pred) != UNDETERMINED) & (F.col(score) >= min_score)).drop(pred, score)

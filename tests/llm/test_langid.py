@@ -91,3 +91,11 @@ def test_keep_identified_keeps_clean_rows_and_columns(spark):
     out = li.keep_identified(frame(spark, rows), steps=200)
     assert out.columns == ["doc_id", "text", "lang", "score", "source"]
     assert sorted(r.doc_id for r in out.collect()) == list(range(90))
+
+
+def test_without_labels_only_texts_without_letters_go(spark):
+    rows = [(1, "a clean text", None), (2, "ещё один", None), (None, "no id either", None), (3, None, None), (4, "", None), (5, " \n12 - 34!", None)]
+    f = frame(spark, rows)
+    out = li.keep_identified(f)
+    assert out.columns == f.columns
+    assert {(r.doc_id, r.text, r.lang) for r in out.collect()} == set(rows[:3])
