@@ -13,11 +13,16 @@ Rules for a token that crosses a section boundary:
 * ``start``: the section that holds its first character.
 
 A token that is only a part of one multi-byte character counts as covering it.
+
+A run of white space of millions of characters would overflow the stack of the
+split pattern's matcher; such runs are encoded as the one piece they are
+(``encode_whole``), which leaves every token as it was.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -31,6 +36,12 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public split pattern of this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Runs of white space (the characters of the pattern's ``\\s``) that are encoded on their own.
+LONG_RUN = 10_000
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Rows of one output batch: a text of millions of lines is given out in several.
+OUT_ROWS = 500_000
+
 SECTION_SCHEMA = ("doc_id long, section int, char_start long, char_end long, "
                   "n_tokens long, n_crossing long, doc_tokens long")
 
@@ -52,21 +63,46 @@ def allocate(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, rule: str
     crossing = last > first
     owner = first.copy()
     if rule == "majority":
-        for i in np.flatnonzero(crossing):
-            cuts = np.r_[starts[i], bounds[first[i] + 1:last[i] + 1], ends[i]]
-            owner[i] = first[i] + int(np.argmax(np.diff(cuts)))
+        at = np.flatnonzero(crossing)
+        if len(at):
+            parts = last[at] - first[at] + 1                     # sections each crossing token touches
+            begin = np.cumsum(parts) - parts
+            token = np.repeat(np.arange(len(at)), parts)
+            section = np.arange(len(token)) - np.repeat(begin - first[at], parts)
+            left = np.maximum(bounds[section], starts[at][token])
+            right = np.minimum(np.r_[bounds, np.iinfo(np.int64).max][section + 1], ends[at][token])
+            held = right - left
+            best = np.flatnonzero(held == np.maximum.reduceat(held, begin)[token])
+            owner[at] = section[best[np.searchsorted(best, begin)]]   # the earliest of the fullest
     elif rule != "start":
         raise ValueError(f"unknown rule {rule!r}")
     return owner, crossing
 
 
-def section_counts(parts: Sequence[str], encoding, token_bytes: np.ndarray, rule: str):
+def encode_whole(text: str, encoding) -> np.ndarray:
+    """The token ids of a text under ``PATTERN``, whatever its length.
+
+    The pattern takes a run of white space before other text as one piece
+    without its last character, and at the end of the text as one piece; and a
+    piece always ends where white space begins.  So a long run can be cut out and
+    encoded as that piece.
+    """
+    ids, at = [], 0
+    for run in re.finditer(_SPACE + "{%d,}" % LONG_RUN, text):
+        end = run.end() - (run.end() < len(text))
+        ids += [encoding.encode_ordinary(text[at:run.start()]), encoding._encode_single_piece(text[run.start():end])]
+        at = end
+    ids.append(encoding.encode_ordinary(text[at:]))
+    return np.concatenate([np.asarray(i, np.int64) for i in ids])
+
+
+def section_counts(parts: Sequence[str], encode, token_bytes: np.ndarray, rule: str):
     """(char_start, char_end, n_tokens, n_crossing) of each part and the document's token count."""
     text = "".join(parts)
     lens = np.fromiter((len(p) for p in parts), np.int64, len(parts))
     ends = np.cumsum(lens)
     bounds = ends - lens
-    ids = np.asarray(encoding.encode_ordinary(text), np.int64)
+    ids = np.asarray(encode(text), np.int64)
     raw = np.frombuffer(text.encode(), np.uint8)
     counts = np.zeros(len(parts), np.int64)
     crossed = np.zeros(len(parts), np.int64)
@@ -98,7 +134,9 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",), by: str = "
     ``char_end`` (end exclusive), ``n_tokens``, ``n_crossing`` (allocated
     tokens that cross a bound) and ``doc_tokens``.  An empty document has one
     empty section; repeated rows are each counted; other columns are ignored;
-    an empty table gives no rows.  A map over the rows without any shuffle.
+    an empty table gives no rows.  A text may be of any length and repeat one
+    character; with a ``pattern`` of one's own, the matcher's limits hold.  A map
+    over the rows without any shuffle.
     """
     if by not in ("lines", "fields"):
         raise ValueError(f"unknown sections {by!r}")
@@ -109,6 +147,7 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",), by: str = "
         import tiktoken
 
         encoding = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
+        encode = (lambda text: encode_whole(text, encoding)) if pattern == PATTERN else encoding.encode_ordinary
         token_bytes = np.zeros(max(ranks.value.values()) + 1, np.int64)
         for tok, rank in ranks.value.items():
             token_bytes[rank] = len(tok)
@@ -119,12 +158,12 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",), by: str = "
                 parts = [v or "" for v in values]
                 if by == "lines":
                     parts = line_sections("".join(parts))
-                out.append(section_counts(parts, encoding, token_bytes, rule))
+                out.append(section_counts(parts, encode, token_bytes, rule))
                 n.append(len(parts))
             if not out:
                 continue
             rows = np.repeat(np.arange(len(n)), n)
-            yield pa.record_batch({
+            counted = pa.record_batch({
                 "doc_id": batch.column(0).take(pa.array(rows)),
                 "section": pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in n])),
                 "char_start": pa.array(np.concatenate([o[0] for o in out])),
@@ -133,6 +172,8 @@ def token_counts(docs: DataFrame, fields: Sequence[str] = ("text",), by: str = "
                 "n_crossing": pa.array(np.concatenate([o[3] for o in out])),
                 "doc_tokens": pa.array(np.repeat(np.array([o[4] for o in out], np.int64), n)),
             })
+            for i in range(0, counted.num_rows, OUT_ROWS):
+                yield counted.slice(i, OUT_ROWS)
 
     picked = docs.select(F.col("doc_id").cast("long"), *[F.col(f).cast("string") for f in fields])
     return picked.mapInArrow(run, SECTION_SCHEMA)

@@ -61,3 +61,42 @@ def test_empty_table_and_bad_arguments(spark):
     assert tc.token_counts(frame(spark, [])).collect() == []
     with pytest.raises(ValueError):
         tc.token_counts(frame(spark, []), by="pages")
+
+
+def encoder():
+    tiktoken = pytest.importorskip("tiktoken")
+    return tiktoken.Encoding("test", pat_str=tc.PATTERN, mergeable_ranks=tc.load_ranks(), special_tokens={})
+
+
+def test_long_runs_are_encoded_as_the_unsplit_text(monkeypatch):
+    """Cut out or not, runs of white space give the same tokens, at sizes that both ways can do."""
+    enc, rng = encoder(), random.Random(3)
+    for run in (20_000, 3):
+        monkeypatch.setattr(tc, "LONG_RUN", min(run, 10_000))
+        for c in " ", "\n", "\t", "\u3000", " \n":
+            for a, b in (("", ""), ("word", ""), ("", "word"), ("word.", "word"), ("x", "1"), ("\x1c", "\x1c"), ("a", "'s")):
+                text = a + c * run + b + c * run + b
+                assert tc.encode_whole(text, enc).tolist() == enc.encode_ordinary(text)
+    monkeypatch.setattr(tc, "LONG_RUN", 2)
+    for _ in range(300):
+        text = "".join(rng.choice("a '\n\t\u00a0\x1c1.s") for _ in range(rng.randint(0, 40)))
+        assert tc.encode_whole(text, enc).tolist() == enc.encode_ordinary(text)
+
+
+def test_five_million_of_one_character(spark):
+    n = 5_000_000
+    rows = [(1, " " * n), (2, "\n" * n), (3, "a" * n), (4, "a" + " " * n + "b")]
+    counts = {}
+    for r in tc.token_counts(frame(spark, rows), by="fields").collect():
+        counts[r.doc_id] = (r.char_end, r.n_tokens, r.doc_tokens)
+    small = [len(encoder().encode_ordinary(c * 100_000)) for c in " \na"]
+    assert counts[1] == (n, small[0] * 50, small[0] * 50) and counts[2] == (n, small[1] * 50, small[1] * 50)
+    assert counts[3] == (n, small[2] * 50, small[2] * 50) and counts[4] == (n + 2, n + 1, n + 1)
+    lines = tc.token_counts(frame(spark, rows[1:2])).agg({"section": "max", "n_tokens": "sum"}).first()
+    assert tuple(lines) == (n - 1, counts[2][2]) or set(lines) == {n - 1, counts[2][2]}
+
+
+def test_majority_is_the_first_of_the_fullest():
+    bounds = np.array([0, 2, 2, 5, 6])
+    owner, crossing = tc.allocate(np.array([0, 1, 1, 4]), np.array([2, 6, 3, 8]), bounds, "majority")
+    assert owner.tolist() == [0, 2, 0, 4] and crossing.tolist() == [False, True, True, True]
