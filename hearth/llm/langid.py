@@ -8,32 +8,39 @@ get equal labels, so a task labels each distinct word of a batch once and
 weighs it by its occurrences: every position of the whole text counts.
 
 The network is trained here, in numpy, by backpropagation through time and
-Adam, on a bounded sample: at most ``train_docs`` labelled documents of each
-language, chosen by a hash of their id.
+Adam, on a bounded sample: of the ``MAX_LANGS`` languages with the most
+labelled documents, at most ``train_docs`` documents each, chosen by a hash of
+their id, and of each document at most ``TRAIN_CHARS`` characters.  Predictions
+read whole texts.
+
+A letter is a character of Unicode's category L.  Long words are cut where a
+character starts, so a text has a lettered piece exactly if it has a letter.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm.common import bound_batches, held_out
 
 HIDDEN = 16
-TRAIN_DOCS = 200          # per language: the bound on the training sample
+TRAIN_DOCS = 200          # per language; with the next two the bound on the training sample
+TRAIN_CHARS = 16_384      # of a training text
+MAX_LANGS = 64            # languages learned, the most frequent first
 STEPS = 700
 BATCH = 384
 PIECE = 48
 CHUNK = 512               # words labelled at once: small enough for the caches
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _NAMES = ("xf", "uf", "xb", "ub", "v", "c")
 
 
@@ -125,13 +132,23 @@ def step(net: Network, seq: np.ndarray, lang: np.ndarray) -> tuple[float, dict[s
 
 
 def pieces(text: bytes) -> list[bytes]:
-    """The text's words, long ones cut into pieces of ``PIECE`` bytes."""
+    """The text's words, long ones cut into pieces of at most ``PIECE`` bytes, never inside a character."""
     words = text.split()
     if len(words) and max(map(len, words)) > PIECE:
-        words = [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
+        words = [p for w in words for p in ([w] if len(w) <= PIECE else _cut(w))]
     return words
 
 
+def _cut(word: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(word):
+        end = at + PIECE
+        # back over the at most three bytes that continue a character
+        back = next((k for k in range(4) if end - k >= len(word) or word[end - k] & 0xC0 != 0x80), 0)
+        yield word[at:end - back]
+        at = end - back
+
+
 def _lettered(word: bytes) -> bool:
     return _LETTER.search(word.decode("utf-8", "replace")) is not None
 
@@ -207,17 +224,23 @@ def classify(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return best, np.clip(score, 0.0, 1.0)
 
 
-def training_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, modulus: int = 4, remainder: int = 2) -> list[tuple[str, bytes]]:
+def training_sample(docs: DataFrame, train_docs: int = TRAIN_DOCS, modulus: int = 4, remainder: int = 2,
+                    train_chars: int = TRAIN_CHARS, max_langs: int = MAX_LANGS) -> list[tuple[str, bytes]]:
     """At most ``train_docs`` texts of each non-null ``lang`` outside the held-out fold.
 
     Ranked by a hash of the id below the shuffle, so no language is gathered
-    anywhere; the bounded sample is what reaches the driver.
+    anywhere; the bounded sample is what reaches the driver: ``max_langs``
+    languages (those with the most such documents, ties to the smaller name)
+    times ``train_docs`` documents times ``train_chars`` characters.
     """
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     rows = (docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-                .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"), modulus, remainder))
+                .where(F.col("lang").isNotNull() & F.substring("text", 1, train_chars).rlike(r"\p{L}")
+                       & ~held_out(F.col("doc_id"), modulus, remainder)))
+    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
+    rows = (rows.where(F.col("lang").isin(langs))
                 .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= train_docs))
-    got = rows.select("lang", F.col("text").cast("binary"), "_n").collect()
+    got = rows.select("lang", F.substring("text", 1, train_chars).cast("binary"), "_n").collect()
     return [(r[0], bytes(r[1])) for r in sorted(got, key=lambda r: (r[0], r[2]))]
 
 

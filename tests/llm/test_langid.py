@@ -99,3 +99,27 @@ def test_without_labels_only_texts_without_letters_go(spark):
     out = li.keep_identified(f)
     assert out.columns == f.columns
     assert {(r.doc_id, r.text, r.lang) for r in out.collect()} == set(rows[:3])
+
+
+def test_letters_are_unicode_letters_wherever_words_are_cut(spark):
+    """Number signs are no letters; a letter after many digits is one, whatever the piece border."""
+    rows = corpus(60) + [(1000, "½ ² 12", None), (1001, "_ ٣ Ⅻ ①", None), (1002, "1" * 47 + "é", None), (1003, "²" * 500, None)]
+    rows += [(1100 + k, "1" * k + "日" + "2" * 100, None) for k in range(40, 52)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.identify(frame(spark, rows), steps=30).collect()}
+    assert all(got[k] == ("und", 0.0) for k in (1000, 1001, 1003))
+    assert all(got[k][0] != "und" and 0 < got[k][1] <= 1 for k in [1002, *range(1140, 1152)])
+
+
+def test_pieces_are_whole_characters():
+    rng = random.Random(5)
+    for _ in range(200):
+        word = "".join(rng.choice("aé日𝔸1") for _ in range(rng.randint(1, 300)))
+        cut = li.pieces(word.encode())
+        assert "".join(p.decode() for p in cut) == word and max(map(len, cut)) <= li.PIECE
+    assert [len(p) for p in li.pieces(b"\x80" * 100)] and b"".join(li.pieces(b"\x80" * 100)) == b"\x80" * 100
+
+
+def test_training_sample_is_bounded(spark):
+    rows = [(i, ("abc " * 50)[:200], lang) for i, lang in enumerate(["p"] * 30 + ["q"] * 20 + ["r"] * 10)]
+    got = li.training_sample(frame(spark, rows), train_docs=5, train_chars=11, max_langs=2)
+    assert {lang for lang, _ in got} == {"p", "q"} and len(got) == 10 and {t for _, t in got} == {b"abc abc abc"}
