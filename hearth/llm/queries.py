@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, suffix_dedup, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, pieces, suffix_dedup, token_counts, url_filter
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,14 @@ def op9_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from the documents outside the held-out fold."""
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+# --- 12: SentencePiece encoding and decoding ---------------------------------------------------------------------
+
+@_query
+def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the ids of its whole text with the end id, and the digests of the ids and of the text decoded from them."""
+    return pieces.encode_decode(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
