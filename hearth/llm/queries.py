@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, pieces, suffix_dedup, token_counts, url_filter
+from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, pieces, suffix_dedup, token_counts, url_filter, whitening
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,11 @@ def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# --- 13: embedding whitening -------------------------------------------------------------------------------------
+
+@_query
+def op13_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first four whitened coordinates, fitted to the distinct lattice vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
