@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import ann, decontaminate, langid, line_dedup, lm, mixing, ngram_join, pieces, suffix_dedup, token_counts, url_filter, whitening
+from hearth.llm import ann, collocations, decontaminate, langid, line_dedup, lm, mixing, ngram_join, pieces, suffix_dedup, token_counts, url_filter, whitening
 from hearth.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,42 @@ def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's first four whitened coordinates, fitted to the distinct lattice vectors."""
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+# --- 11: phrase collocation mining -------------------------------------------------------------------------------
+
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's 2000 best phrases of two to five words that occur 100 times or more."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k FROM i, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+x AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, array_to_string(string_split(phrase, ' ')[1:k - 1], ' ') AS phrase FROM f WHERE k > 2
+    UNION ALL SELECT lang, f, array_to_string(string_split(phrase, ' ')[2:k], ' ') FROM f WHERE k > 2)
+  GROUP BY lang, phrase),
+c AS (
+  SELECT f.lang, f.phrase, f.k, f.f AS a, unnest(range(1, f.k)) AS cut FROM f LEFT JOIN x ON x.lang = f.lang AND x.phrase = f.phrase
+  WHERE f.k > 1 AND (x.f IS NULL OR x.f < f.f)),
+s AS (
+  SELECT c.lang, c.phrase, c.cut, c.a, l.f AS l, r.f AS r, n.n,
+         ((1000::HUGEINT * c.a::HUGEINT * n.n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT))::BIGINT AS score
+  FROM c JOIN n ON n.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(string_split(c.phrase, ' ')[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(string_split(c.phrase, ' ')[cut + 1:c.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
