@@ -15,8 +15,8 @@ edges one word longer, plus the pieces that end with it,
 2. Each block of texts builds its own graph and compacts unary paths: a node
    with one edge in and one out, where no piece starts or ends, is passed over,
    so a path travels as one row of words with one weight, not a row per edge.
-3. Paths of all blocks are added up, cut into edges, and the flow gives the
-   shorter counts, level by level.
+3. Paths are cut into edges again, the edges and ends of all blocks added up in
+   one exchange, and the flow gives the shorter counts, level by level.
 4. Candidates are scored at their lowest cut.  A candidate inside a longer one
    that is as frequent goes; one word longer is enough to look at, since counts
    only fall as phrases grow.
@@ -286,18 +286,19 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, block_bytes: int
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b"")).alias("text"))
     keep = spark.sparkContext.broadcast(vars(pair_filter(texts, min_count, block_bytes)))
-    rows = stored(texts.mapInArrow(_graph_rows(keep, block_bytes), "is_end boolean, lang string, words string, weight long")
-                       .groupBy("is_end", "lang", "words").agg(F.sum("weight").alias("weight")), "paths")
-    split = F.split("words", " ")
-    edges = (rows.where(~F.col("is_end")).withColumn("w", split)
-                 .select("lang", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - (LONGEST - 1)),
-                                                       lambda i: F.array_join(F.slice("w", i, LONGEST), " "))).alias("phrase"), "weight"))
-    ends = rows.where("is_end").withColumn("k", F.size(split))
-    levels = [stored(edges.groupBy("lang", "phrase").agg(F.sum("weight").alias("f")), "edges")]
+    rows = texts.mapInArrow(_graph_rows(keep, block_bytes), "is_end boolean, lang string, words string, weight long")
+    w = F.split("words", " ")
+    # a path gives its edges, an end the phrases of each length that stop there
+    edges = F.transform(F.sequence(F.lit(1), F.size(w) - (LONGEST - 1)),
+                        lambda i: F.struct(F.lit(LONGEST).alias("k"), F.array_join(F.slice(w, i, LONGEST), " ").alias("phrase")))
+    stops = F.expr("transform(sequence(1, size(split(words, ' '))), i -> struct(i as k, substring_index(words, ' ', -i) as phrase))")
+    given = stored(rows.select("lang", "weight", F.explode(F.when(F.col("is_end"), stops).otherwise(edges)).alias("g"))
+                       .groupBy("lang", "g.k", "g.phrase").agg(F.sum("weight").alias("f")), "graph", by=("k",))
+    of = lambda k: given.where(F.col("k") == k).select("lang", "phrase", "f")
+    levels = [of(LONGEST)]
     for k in range(LONGEST - 1, 0, -1):
         flow = levels[0].select("lang", F.substring_index("phrase", " ", k).alias("phrase"), F.col("f"))
-        stop = ends.where(F.col("k") >= k).select("lang", F.substring_index("words", " ", -k).alias("phrase"), F.col("weight").alias("f"))
-        levels.insert(0, stored(flow.unionByName(stop).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), f"phrases{k}"))
+        levels.insert(0, stored(flow.unionByName(of(k)).groupBy("lang", "phrase").agg(F.sum("f").alias("f")), f"phrases{k}"))
     return levels
 
 

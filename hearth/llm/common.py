@@ -75,10 +75,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows) else df
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage through a Parquet table in the shared folder (compressed, read by column)."""
+def stored(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Cut the lineage through a Parquet table in the shared folder (compressed, read by column; ``by`` in folders)."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
