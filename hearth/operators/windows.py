@@ -24,13 +24,13 @@ def month_index(c) -> F.Column:
 def with_prior_periods(df: DataFrame, partition: Sequence[str], month_col: str, cols: Sequence[str]) -> DataFrame:
     """Month-on-month and year-on-year values by calendar position.
 
-    One self-join on (month index - 1) and one on (month index - 12) for all
-    ``cols``, instead of ``lag(1)``/``lag(12)``: gaps in the monthly series do
-    not shift the comparison month, and a row without a month has no prior
-    ones.  Both sides are aggregates (one row per month and partition), so the
-    joins are small."""
+    ``df`` has one row per month (and partition).  A ``RANGE`` frame on the
+    month index looks exactly one and twelve months back, so gaps in the
+    series do not shift the comparison month, the aggregate is computed once and
+    nothing is joined.  A row without a month has no prior ones.  Without a
+    partition the window's one task holds as many rows as there are months."""
+    at = Window.partitionBy(*partition).orderBy("_mi")
     base = df.withColumn("_mi", month_index(F.col(month_col)))
-    prev = base.select(*partition, (F.col("_mi") + 1).alias("_mi"), *[F.col(c).alias(f"{c}_prev_month") for c in cols])
-    prev_y = base.select(*partition, (F.col("_mi") + 12).alias("_mi"), *[F.col(c).alias(f"{c}_prev_year") for c in cols])
-    keys = [*partition, "_mi"]
-    return base.join(prev, keys, "left").join(prev_y, keys, "left").drop("_mi")
+    back = {f"{c}_prev_{name}": F.when(F.col("_mi").isNotNull(), F.first(c).over(at.rangeBetween(-n, -n)))
+            for n, name in ((1, "month"), (12, "year")) for c in cols}
+    return base.withColumns(back).drop("_mi")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, ByteType, DecimalType, IntegerType, ShortType
 
+from hearth.operators.quality import Classified
 from hearth.plans import bronze as B
 from hearth.plans import silver as S
 from hearth.sources import testviews as tv
@@ -76,26 +77,30 @@ class Warehouse:
         return B.bronze(self.raw(entity), entity, self.now)
 
     # -- silver ------------------------------------------------------------
+    def classified(self, entity: str, grain: str = "declared") -> Classified:
+        """All rows of an entity with their verdict, derived from its bronze."""
+        fn, b = S.SILVER[entity], self.bronze(entity)
+        if entity == "claim_reserves":
+            return fn(b, self.now, self.as_of)
+        if grain == "reference" and entity in ("coverage", "policy_risk"):
+            return fn(b, self.now, ["PolicyID"])
+        return fn(b, self.now)
+
     def silver_pair(self, entity: str, grain: str = "declared") -> tuple[DataFrame, DataFrame]:
         key = f"{entity}:{grain}"
-        if key not in self._silver and "silver" in self.stored:
-            name = entity if grain == "declared" else f"{entity}__{grain}"
-            self._silver[key] = (self.spark.read.parquet(f"{self.store}/silver/{name}"),
-                                 self.spark.read.parquet(f"{self.store}/reject/{name}"))
         if key not in self._silver:
-            fn = S.SILVER[entity]
-            b = self.bronze(entity)
-            if entity == "claim_reserves":
-                pair = fn(b, self.now, self.as_of)
-            elif grain == "reference" and entity == "coverage":
-                pair = fn(b, self.now, ["PolicyID"])
-            elif grain == "reference" and entity == "policy_risk":
-                pair = fn(b, self.now, ["PolicyID"])
-            else:
-                pair = fn(b, self.now)
-            self._silver[key] = pair
+            c = self.classified(entity, grain)
+            if "silver" in self.stored:
+                name = entity if grain == "declared" else f"{entity}__{grain}"
+                # the schema is given, so an entity without a single row can be read as well
+                c = Classified(self.spark.read.schema(c.rows.schema).parquet(f"{self.store}/silver/{name}"))
+            self._silver[key] = (c.good, c.reject)
         return self._silver[key]
 
+    def counted(self) -> DataFrame | None:
+        """``layer, entity, rows`` as counted while the store was written, if there is one."""
+        return self.spark.read.parquet(f"{self.store}/counts") if "gold" in self.stored else None
+
     def silver(self, entity: str, grain: str = "declared") -> DataFrame:
         return self.silver_pair(entity, grain)[0]
 

@@ -11,7 +11,9 @@ Common shape of every job:
    tie-break over the payload so the winner is deterministic);
 4. the remaining rules classify the latest rows into good and reject.
 
-Every job returns ``(good, reject)``.  Load timestamps are parameters.
+Every job returns one ``Classified`` table of all rows with their verdict; the
+good and the reject output are read from it, and a load writes it once.  Load
+timestamps are parameters.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from hearth.functions import clean as C
 from hearth.operators.dedupe import latest
 from hearth.operators.keys import key_expr, resolve_key
-from hearth.operators.quality import REASON, classify, split_rejects
+from hearth.operators.quality import BOTH, GOOD, REASON, REJECT, Classified, classified, classify
 
 # Ranked key columns of each entity, matched without case, blanks and underscores.
 CUSTOMER_KEYS = ["CustomerID", "PolicyholderID", "PersonID", "ClientID", "InsuredID", "InsuredPersonID", "PartyID", "ID"]
@@ -39,8 +41,19 @@ PREMIUM_COMPOSITE = ["PolicyID", "TransactionDate", "TransactionType"]
 DEFAULT_AS_OF = date(2001, 12, 31)
 
 
-def _stamp_silver(df: DataFrame, now: datetime) -> DataFrame:
-    return df.withColumn("SilverLoadDts", F.lit(now).cast("timestamp"))
+def _at(now: datetime, name: str) -> Column:
+    return F.lit(now).cast("timestamp").alias(name)
+
+
+def _verdict(reason: str = REASON) -> Column:
+    return F.when(F.col(reason).isNull(), F.lit(GOOD)).otherwise(F.lit(REJECT))
+
+
+def _all_good(df: DataFrame, good: Sequence[str | Column], now: datetime, no_key: DataFrame,
+              reject: Sequence[str | Column]) -> Classified:
+    """Every keyed row loads; only rows without a key are rejects."""
+    none = [F.lit(None).cast(t).alias(n) for n, t in no_key.select(*reject, _at(now, "RejectLoadDts")).dtypes]
+    return classified(df, [*good, _at(now, "SilverLoadDts")], none, F.lit(GOOD), no_key, [*reject, _at(now, "RejectLoadDts")])
 
 
 def _missing_key_rejects(df: DataFrame, keys: Sequence[str], reason: str) -> tuple[DataFrame, DataFrame]:
@@ -58,17 +71,17 @@ def _text_clean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: C.blank_to_null(c) for c in cols})
 
 
-def _reject_out(df: DataFrame, keys: Sequence[str], raw_cols: Sequence[str]) -> DataFrame:
+def _reject_out(df: DataFrame, keys: Sequence[str], raw_cols: Sequence[str], now: datetime) -> list[str | Column]:
     cols = [*keys, REASON, *[F.col(c).alias(f"{c}Raw") for c in raw_cols], "BronzeLoadDts"]
     if "SourceFile" in df.columns:
         cols.append("SourceFile")
-    return df.select(*cols)
+    return [*cols, _at(now, "RejectLoadDts")]
 
 
 # ---------------------------------------------------------------------------
 # S-03 claim_payments: seven ordered rules, typed output, complementary split
 # ---------------------------------------------------------------------------
-def silver_claim_payments(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_claim_payments(b: DataFrame, now: datetime) -> Classified:
     raw_cols = ["PaymentDate", "PaymentAmount", "OutstandingReserve", "IncurredAmount", "LargeLossFlag"]
     keyed, no_key = _missing_key_rejects(b, ["PaymentID"], "Missing PaymentID")
     lt = latest(keyed, ["PaymentID"])
@@ -85,8 +98,8 @@ def silver_claim_payments(b: DataFrame, now: datetime) -> tuple[DataFrame, DataF
         (bad_num("IncurredAmount"), "Invalid IncurredAmount (not numeric)"),
         (C.strict_flag_invalid("LargeLossFlag"), "Invalid LargeLossFlag (expected 0/1)"),
     ]
-    good, bad = split_rejects(classify(lt, rules, "first"))
-    typed = good.select(
+    cls = classify(lt, rules, "first")
+    good = [
         "PaymentID", C.blank_to_null("ClaimID").alias("ClaimID"),
         C.safe_date("PaymentDate", C.UK).alias("PaymentDate"),
         C.safe_decimal("PaymentAmount").alias("PaymentAmount"),
@@ -94,10 +107,8 @@ def silver_claim_payments(b: DataFrame, now: datetime) -> tuple[DataFrame, DataF
         C.safe_decimal("OutstandingReserve").alias("OutstandingReserve"),
         C.safe_decimal("IncurredAmount").alias("IncurredAmount"),
         C.strict_flag("LargeLossFlag").alias("LargeLossFlag"),
-        "BronzeLoadDts", "SourceFile")
-    rejects = _reject_out(no_key, ["PaymentID", "ClaimID"], raw_cols).unionByName(
-        _reject_out(bad, ["PaymentID", "ClaimID"], raw_cols))
-    return _stamp_silver(typed, now), rejects
+        "BronzeLoadDts", "SourceFile", _at(now, "SilverLoadDts")]
+    return classified(cls, good, _reject_out(cls, ["PaymentID", "ClaimID"], raw_cols, now), _verdict(), no_key)
 
 
 # ---------------------------------------------------------------------------
@@ -106,7 +117,7 @@ def silver_claim_payments(b: DataFrame, now: datetime) -> tuple[DataFrame, DataF
 RESERVE_DATE_FORMATS = (C.UK, C.ISO, C.YMD_SLASH, C.DMY_DASH, "yyyyMMdd")
 
 
-def silver_claim_reserves(b: DataFrame, now: datetime, as_of: date = DEFAULT_AS_OF) -> tuple[DataFrame, DataFrame]:
+def silver_claim_reserves(b: DataFrame, now: datetime, as_of: date = DEFAULT_AS_OF) -> Classified:
     snap_text = C.date_text_prefix("SnapshotDate")
     parsed = b.select(
         C.blank_to_null("ReserveID").alias("ReserveID"),
@@ -127,39 +138,37 @@ def silver_claim_reserves(b: DataFrame, now: datetime, as_of: date = DEFAULT_AS_
         (F.col("PreviousReserve").isNull(), "PreviousReserve invalid/missing"),
         (F.col("ReserveChange").isNull(), "ReserveChange invalid/missing"),
     ]
-    good, bad = split_rejects(classify(parsed, rules, "all"))
-    good = good.select(
+    good = [
         "ReserveID", "ClaimID", "SnapshotDate", "ReserveAmount", "PreviousReserve", "ReserveChange",
         "ReserveStatus", "ReserveType", "ReserveMovementType", "LargeReserveFlag", "LatestSnapshotFlag",
         C.month_diff(F.col("SnapshotDate"), F.lit(as_of).cast("date")).alias("ReserveAgeMonths"),
-        "BronzeLoadDts", "SourceFile")
-    rejects = bad.select("ReserveID", "ClaimID", "SnapshotDateRaw", "ReserveAmountRaw", "PreviousReserveRaw",
-                         "ReserveChangeRaw", REASON, "BronzeLoadDts", "SourceFile")
-    return _stamp_silver(good, now), rejects
+        "BronzeLoadDts", "SourceFile", _at(now, "SilverLoadDts")]
+    reject = ["ReserveID", "ClaimID", "SnapshotDateRaw", "ReserveAmountRaw", "PreviousReserveRaw",
+              "ReserveChangeRaw", REASON, "BronzeLoadDts", "SourceFile", _at(now, "RejectLoadDts")]
+    return classified(classify(parsed, rules, "all"), good, reject, _verdict())
 
 
 # ---------------------------------------------------------------------------
 # S-05 claims, S-07 customer, S-08 date: latest per key, stays text
 # ---------------------------------------------------------------------------
-def _latest_text(b: DataFrame, keys: Sequence[str], now: datetime, reason: str) -> tuple[DataFrame, DataFrame]:
+def _latest_text(b: DataFrame, keys: Sequence[str], now: datetime, reason: str) -> Classified:
     keyed, no_key = _missing_key_rejects(b, keys, reason)
     lt = latest(keyed, keys)
     text_cols = [c for c in b.columns if c not in keys and c not in ("BronzeLoadDts", "SourceFile")]
     good = _text_clean(lt, text_cols)
-    rejects = no_key.select(*keys, REASON, "BronzeLoadDts", "SourceFile")
-    return _stamp_silver(good, now), rejects
+    return _all_good(good, good.columns, now, no_key, [*keys, REASON, "BronzeLoadDts", "SourceFile"])
 
 
-def silver_claims(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_claims(b: DataFrame, now: datetime) -> Classified:
     return _latest_text(b, ["ClaimID"], now, "Missing ClaimID")
 
 
-def silver_customer(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_customer(b: DataFrame, now: datetime) -> Classified:
     key = resolve_key(b.columns, CUSTOMER_KEYS)
     return _latest_text(b, key, now, f"Missing {key[0]}")
 
 
-def silver_date(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_date(b: DataFrame, now: datetime) -> Classified:
     key = resolve_key(b.columns, ["DateKey", "Date_Key", "DateID", "Date"])
     return _latest_text(b, key, now, f"Missing {key[0]}")
 
@@ -171,7 +180,7 @@ ADDRESS_TEXT = ("AddressLine1", "AddressLine2", "City", "County", "PostcodeArea"
                 "Region", "Postcode", "Country", "PropertyType", "Tenure", "PropertySizeBand", "PropertyAgeBand")
 
 
-def silver_address(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_address(b: DataFrame, now: datetime) -> Classified:
     keyed, no_key = _missing_key_rejects(b, ["AddressID"], "Missing AddressID")
     lt = latest(keyed, ["AddressID"])
 
@@ -184,34 +193,33 @@ def silver_address(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
             (soft_int("HouseSizeSqFt"), "Invalid HouseSizeSqFt"),
             (C.money("RebuildCostEstimate").isNull(), "RebuildCostEstimate not convertible")]
     cls = classify(lt, hard + soft, "first").withColumn("_hard", C.first_reason(hard).isNotNull())
-    good = cls.filter(~F.col("_hard")).select(
+    good = [
         "AddressID", C.blank_to_null("CustomerID").alias("CustomerID"),
         *[C.blank_to_null(c).alias(c) for c in ADDRESS_TEXT],
         C.safe_int("BuildYear").alias("BuildYear"), C.safe_int("Bedrooms").alias("Bedrooms"),
         C.safe_int("HouseSizeSqFt").alias("HouseSizeSqFt"),
         C.money("RebuildCostEstimate").alias("RebuildCostEstimate"),
-        "BronzeLoadDts", "SourceFile")
+        "BronzeLoadDts", "SourceFile", _at(now, "SilverLoadDts")]
     raw_cols = ["BuildYear", "Bedrooms", "HouseSizeSqFt", "RebuildCostEstimate"]
-    rejects = _reject_out(no_key, ["AddressID"], raw_cols).unionByName(
-        _reject_out(cls.filter(F.col(REASON).isNotNull()), ["AddressID"], raw_cols))
-    return _stamp_silver(good, now), rejects
+    verdict = F.when(F.col("_hard"), F.lit(REJECT)).when(F.col(REASON).isNotNull(), F.lit(BOTH)).otherwise(F.lit(GOOD))
+    return classified(cls, good, _reject_out(cls, ["AddressID"], raw_cols, now), verdict, no_key)
 
 
 # ---------------------------------------------------------------------------
 # S-02 broker
 # ---------------------------------------------------------------------------
-def silver_broker(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_broker(b: DataFrame, now: datetime) -> Classified:
     keyed, no_key = _missing_key_rejects(b, ["BrokerID"], "Missing BrokerID")
     lt = latest(keyed, ["BrokerID"])
-    good = lt.select(
+    good = [
         "BrokerID", *[C.blank_to_null(c).alias(c) for c in
                       ("BrokerName", "Channel", "Region", "Status", "CommissionModel", "BrokerSizeBand")],
         C.safe_int("AppointmentYear").alias("AppointmentYear"),
         C.safe_int("RelationshipTenureYears").alias("RelationshipTenureYears"),
         C.safe_decimal("CommissionRate", 18, 4).alias("CommissionRate"),
         C.safe_decimal("EstimatedAnnualGWP_GBP").alias("EstimatedAnnualGWP_GBP"),
-        "BronzeLoadDts", "SourceFile")
-    return _stamp_silver(good, now), no_key.select("BrokerID", REASON, "BronzeLoadDts", "SourceFile")
+        "BronzeLoadDts", "SourceFile"]
+    return _all_good(lt, good, now, no_key, ["BrokerID", REASON, "BronzeLoadDts", "SourceFile"])
 
 
 # ---------------------------------------------------------------------------
@@ -220,11 +228,11 @@ def silver_broker(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
 COVERAGE_KEYS = ["PolicyID", "CoverageType"]
 
 
-def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = None) -> Classified:
     keys = list(keys) if keys else resolve_key(b.columns, COVERAGE_ID_KEYS, COVERAGE_KEYS)
     keyed, no_key = _missing_key_rejects(b, keys, f"Missing {' or '.join(keys)}")
     lt = latest(keyed, keys)
-    good = lt.select(
+    good = [
         *keys, *[C.blank_to_null(c).alias(c) for c in ("ExcessBand", "CoverageTier") + (
             () if "CoverageType" in keys else ("CoverageType",))],
         C.safe_decimal("CoverageLimit").alias("CoverageLimit"),
@@ -232,20 +240,20 @@ def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = No
         C.flag_yn("IsIncluded").alias("IsIncluded"),
         C.strict_flag("IsIncludedFlag").alias("IsIncludedFlag"),
         C.strict_flag("HighExposureFlag").alias("HighExposureFlag"),
-        "BronzeLoadDts", "SourceFile")
-    return _stamp_silver(good, now), no_key.select(*keys, REASON, "BronzeLoadDts", "SourceFile")
+        "BronzeLoadDts", "SourceFile"]
+    return _all_good(lt, good, now, no_key, [*keys, REASON, "BronzeLoadDts", "SourceFile"])
 
 
 # ---------------------------------------------------------------------------
 # S-09 operating_expenses: single-or-composite key, W-LATEST-COMP
 # ---------------------------------------------------------------------------
-def silver_operating_expenses(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_operating_expenses(b: DataFrame, now: datetime) -> Classified:
     keys = resolve_key(b.columns, EXPENSE_KEYS, ["ExpenseMonthStart", "ExpenseCategory"])
     keyed, no_key = _missing_key_rejects(b, keys, "Missing expense key")
     lt = latest(keyed, keys).withColumn("ExpenseKey", key_expr(keys))
     text_cols = [c for c in b.columns if c not in keys and c not in ("BronzeLoadDts", "SourceFile")]
     good = _text_clean(lt, text_cols)
-    return _stamp_silver(good, now), no_key.select(*keys, REASON, "BronzeLoadDts", "SourceFile")
+    return _all_good(good, good.columns, now, no_key, [*keys, REASON, "BronzeLoadDts", "SourceFile"])
 
 
 # ---------------------------------------------------------------------------
@@ -254,7 +262,7 @@ def silver_operating_expenses(b: DataFrame, now: datetime) -> tuple[DataFrame, D
 POLICY_DATE_FORMATS = (C.UK, C.ISO, C.YMD_SLASH)
 
 
-def silver_policy(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_policy(b: DataFrame, now: datetime) -> Classified:
     key = resolve_key(b.columns, POLICY_KEYS)[0]
     b = b.withColumnRenamed(key, "PolicyID")
     keyed, no_key = _missing_key_rejects(b, ["PolicyID"], "Missing PolicyID")
@@ -265,19 +273,17 @@ def silver_policy(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
         *[C.first_date(c, POLICY_DATE_FORMATS).alias(c) for c in ("InceptionDate", "ExpiryDate", "CreatedDate")],
         F.col("InceptionDate").alias("InceptionDateRaw"), F.col("ExpiryDate").alias("ExpiryDateRaw"),
         "BronzeRowID", "BronzeLoadDts", "SourceSystem")
-    order_bad = typed.filter(F.col("ExpiryDate") < F.col("InceptionDate")) \
-                     .withColumn(REASON, F.lit("ExpiryDate before InceptionDate"))
-    rej_cols = ["PolicyID", REASON, "InceptionDateRaw", "ExpiryDateRaw", "BronzeRowID", "BronzeLoadDts"]
-    rejects = no_key.select("PolicyID", REASON, F.col("InceptionDate").alias("InceptionDateRaw"),
-                            F.col("ExpiryDate").alias("ExpiryDateRaw"), "BronzeRowID", "BronzeLoadDts") \
-                    .unionByName(order_bad.select(*rej_cols))
     # The reference keeps the latest rows that have no reject on the same key and
     # load (NOT EXISTS).  The rejects are derived from these very rows, so the
-    # anti join equals the negated rule as a filter: same rows, no second pass
-    # over the source and no extra shuffle.  (``joins.anti`` is the general form.)
-    good = typed.filter(~F.coalesce(F.col("ExpiryDate") < F.col("InceptionDate"), F.lit(False))) \
-                .drop("InceptionDateRaw", "ExpiryDateRaw")
-    return _stamp_silver(good, now), rejects
+    # anti join equals the negated rule on the row itself: no second pass over the
+    # source and no extra shuffle.  (``joins.anti`` is the general form.)
+    cls = classify(typed, [(F.col("ExpiryDate") < F.col("InceptionDate"), "ExpiryDate before InceptionDate")])
+    good = [*[c for c in typed.columns if c not in ("InceptionDateRaw", "ExpiryDateRaw")], _at(now, "SilverLoadDts")]
+    rejected = _at(now, "RejectLoadDts")
+    reject = ["PolicyID", REASON, "InceptionDateRaw", "ExpiryDateRaw", "BronzeRowID", "BronzeLoadDts", rejected]
+    raw = ["PolicyID", REASON, F.col("InceptionDate").alias("InceptionDateRaw"), F.col("ExpiryDate").alias("ExpiryDateRaw"),
+           "BronzeRowID", "BronzeLoadDts", rejected]
+    return classified(cls, good, reject, _verdict(), no_key, raw)
 
 
 # ---------------------------------------------------------------------------
@@ -286,18 +292,18 @@ def silver_policy(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
 POLICY_RISK_KEYS = ["PolicyID", "RiskType"]
 
 
-def silver_policy_risk(b: DataFrame, now: datetime, keys: Sequence[str] = POLICY_RISK_KEYS) -> tuple[DataFrame, DataFrame]:
+def silver_policy_risk(b: DataFrame, now: datetime, keys: Sequence[str] = POLICY_RISK_KEYS) -> Classified:
     keyed, no_key = _missing_key_rejects(b, list(keys), f"Missing {' or '.join(keys)}")
     good = latest(keyed, list(keys)).drop("RiskScoreRaw", "HasAlarmRaw")
-    return _stamp_silver(good, now), no_key.select(*keys, REASON, "BronzeLoadDts")
+    return _all_good(good, good.columns, now, no_key, [*keys, REASON, "BronzeLoadDts"])
 
 
-def silver_premium_transactions(b: DataFrame, now: datetime) -> tuple[DataFrame, DataFrame]:
+def silver_premium_transactions(b: DataFrame, now: datetime) -> Classified:
     keys = resolve_key(b.columns, PREMIUM_KEYS, PREMIUM_COMPOSITE)
     keyed, no_key = _missing_key_rejects(b, keys, f"Missing {' or '.join(keys)}")
     good = latest(keyed, keys).drop("TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw")
-    rejects = no_key.select(*keys, REASON, "TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw", "BronzeLoadDts")
-    return _stamp_silver(good, now), rejects
+    return _all_good(good, good.columns, now, no_key,
+                     [*keys, REASON, "TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw", "BronzeLoadDts"])
 
 
 SILVER = {

@@ -26,7 +26,55 @@ def test_latest_full_tiebreak_is_deterministic(spark):
 def test_latest_keeps_one_row_per_key_before_its_only_exchange(spark):
     df = spark.range(100).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").alias("v"))
     plan = latest(df, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and plan.count("Exchange") == 1 and "Window" not in plan
+    below = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in below and plan.count("Exchange") == 1      # the map side's winners
+    assert "SortAggregate" not in plan
+
+
+def test_latest_without_anything_to_order_by(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert sorted(r["k"] for r in latest(df, ["k"]).collect()) == ["a", "b"]
+
+
+def test_prior_periods_by_calendar_position(spark):
+    """Gaps do not shift the month compared with; a row without a month has none; one pass, no join."""
+    from hearth.operators.windows import with_prior_periods
+
+    months = [("2000-01-01", 1), ("2000-02-01", 2), ("2000-04-01", 4), ("2001-01-01", 13), ("2001-02-01", None), (None, 99)]
+    df = spark.createDataFrame(months, "m string, x int").select(F.col("m").cast("date").alias("m"), "x")
+    got = {str(r["m"]): (r["x_prev_month"], r["x_prev_year"]) for r in with_prior_periods(df, [], "m", ["x"]).collect()}
+    assert got == {"2000-01-01": (None, None), "2000-02-01": (1, None), "2000-04-01": (None, None),
+                   "2001-01-01": (None, 1), "2001-02-01": (13, 2), "None": (None, None)}
+    per = spark.createDataFrame([("p", *r) for r in months] + [("q", "2000-03-01", 7)], "p string, m string, x int")
+    per = with_prior_periods(per.withColumn("m", F.col("m").cast("date")), ["p"], "m", ["x"])
+    assert {r["x_prev_month"] for r in per.filter("p = 'q'").collect()} == {None}
+    assert "Join" not in per._jdf.queryExecution().executedPlan().toString()
+
+
+def test_classified_rows_serve_both_outputs(spark, tmpdir_path):
+    """One write by verdict: complementary outputs, rows that are both are in both, each output reads its folders only."""
+    import os
+
+    from hearth.operators.quality import BOTH, GOOD, REJECT, VERDICT, Classified, classified
+    from hearth.sources.files import write_table
+
+    df = spark.range(30).select(F.col("id"), (F.col("id") % 3).alias("m"), F.col("id").cast("string").alias("raw"))
+    verdict = F.when(F.col("m") == 0, F.lit(GOOD)).when(F.col("m") == 1, F.lit(REJECT)).otherwise(F.lit(BOTH))
+    none = spark.createDataFrame([("x",)], "raw string").select(F.lit(None).cast("bigint").alias("id"), "raw")
+    c = classified(df, [F.col("id").alias("key")], [F.col("id").alias("key"), F.col("raw").alias("keyRaw")], verdict,
+                   none, [F.col("id").alias("key"), F.col("raw").alias("keyRaw")])
+    path = os.path.join(tmpdir_path, "classified")
+    write_table(c.rows, path, partition_by=(VERDICT,))
+    again = Classified(spark.read.schema(c.rows.schema).parquet(path))
+    for form in (c, again):
+        assert sorted(r["key"] for r in form.good.collect()) == [i for i in range(30) if i % 3 != 1]
+        assert form.reject.columns == ["key", "keyRaw"]
+        assert sorted(str(r["key"]) for r in form.reject.collect()) == sorted([str(i) for i in range(30) if i % 3] + ["None"])
+    plan = again.good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [Verdict" in plan.replace("isnotnull(Verdict#", "Verdict#") or "PartitionFilters: [" in plan
+    assert "R_keyRaw" not in plan
+    write_table(c.rows.limit(0), path, partition_by=(VERDICT,))       # no rows, no files: still readable
+    assert Classified(spark.read.schema(c.rows.schema).parquet(path)).good.collect() == []
 
 
 def test_latest_load_wins_over_a_larger_payload(spark):

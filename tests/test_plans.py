@@ -12,7 +12,13 @@ def plan(df) -> str:
 def test_filters_reach_the_scan_and_dedupe_is_partial(spark):
     p = plan(entry.queries()["s_03"](spark, SMOKE))
     assert "EqualTo(l_returnflag,R)" in p            # pushed into the parquet scan
-    assert "partial_max" in p                        # dedupe keeps one row per key before the shuffle
+    assert "WindowGroupLimit" in p                   # dedupe keeps one row per key before the shuffle
+    assert "SortAggregate" not in p                  # and does not sort the payload to aggregate it
+
+
+def test_trend_reads_each_fact_once(spark):
+    p = plan(entry.queries()["r_27"](spark, SMOKE))
+    assert "SortMergeJoin [_mi" not in p and p.count("Union") == 1
 
 
 def test_column_pruning(spark):
