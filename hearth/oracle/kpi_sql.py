@@ -98,6 +98,13 @@ KPI_SQL["k_21"] = _present("SELECT max(ClaimPaid) AS largest_claim FROM k_per_cl
 KPI_SQL["k_22"] = _present("""SELECT CAST(sum(ClaimPaid) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS median_claim FROM
   (SELECT ClaimPaid, row_number() OVER (ORDER BY ClaimPaid, ClaimID) AS rn, count(*) OVER () AS n FROM k_per_claim) t
 WHERE rn = (n + 1) // 2 OR rn = (n + 2) // 2""", [], ["k_per_claim"], doubles=D("median_claim"))
+KPI_SQL["k_22_by_type"] = _present("""SELECT Region, ClaimType, CAST(sum(ClaimPaid) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS median_claim FROM
+  (SELECT *, row_number() OVER (PARTITION BY Region, ClaimType ORDER BY ClaimPaid) AS rn, count(*) OVER (PARTITION BY Region, ClaimType) AS n FROM
+    (SELECT coalesce(a.Region, 'Unknown') AS Region, coalesce(c.ClaimType, 'Unknown') AS ClaimType, k.ClaimPaid FROM k_per_claim k
+     LEFT JOIN silver_claims c ON k.ClaimID = c.ClaimID LEFT JOIN silver_policy p ON c.PolicyID = p.PolicyID
+     LEFT JOIN silver_address a ON p.AddressID = a.AddressID) j) t
+WHERE rn = (n + 1) // 2 OR rn = (n + 2) // 2 GROUP BY 1, 2""", [], ["k_per_claim", "silver_claims", "silver_policy", "silver_address"],
+    doubles=D("median_claim"))
 KPI_SQL["k_23"] = _present(f"""SELECT severe_claims, {ratio('severe_claims', '_n')} AS severe_share,
   {ratio('_sev', '_all')} AS severe_cost_share FROM
   (SELECT count(CASE WHEN ClaimPaid > {K.LARGE_CLAIM} THEN 1 END) AS severe_claims, count(*) AS _n,

@@ -34,6 +34,7 @@ FROM silver_broker WHERE Status = 'Active'""", "silver_broker")
 
 
 OPERATOR_SQL["snk_merge1"] = _snk_merge1()
+OPERATOR_SQL["snk_merge1_buckets"] = OPERATOR_SQL["snk_merge1"]        # the same image, written another way
 OPERATOR_SQL["a_dupn"] = build("""SELECT PolicyID, CoverageType, count(*) AS dup_count FROM
   (SELECT NULLIF(trim(PolicyID, ' '), '') AS PolicyID, NULLIF(trim(CoverageType, ' '), '') AS CoverageType FROM raw_coverage) r
 WHERE PolicyID IS NOT NULL AND CoverageType IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1""", "raw_coverage")
@@ -67,7 +68,13 @@ FROM (SELECT Broker, policies, loss_ratio, claims_frequency FROM ({rollup_sql('b
 LEFT JOIN (SELECT coalesce(p.BrokerID, 'Unknown') AS Broker, count(*) AS high_risk_policies
   FROM (SELECT DISTINCT PolicyID FROM silver_policy_risk WHERE AdjustedRiskBand IN ('High', 'Very High')) hr
   JOIN silver_policy p ON hr.PolicyID = p.PolicyID GROUP BY 1) h ON b.Broker = h.Broker"""
-OPERATOR_SQL["e_04"] = _present(_minmax_sql(_E04_SRC, BROKER_SCORE_WEIGHTS),
+_E04_RANKS = ", ".join(f"percent_rank() OVER (ORDER BY {c} NULLS FIRST) AS {c}_rank" for c in BROKER_SCORE_WEIGHTS)
+OPERATOR_SQL["e_04"] = _present(
+    f"SELECT r.*, {' + '.join(f'{w} * {c}_rank' for c, w in BROKER_SCORE_WEIGHTS.items())} AS risk_score "
+    f"FROM (SELECT s.*, {_E04_RANKS} FROM ({_E04_SRC}) s) r",
+    ["policies", "loss_ratio", "claims_frequency"], ["grain", "broker_dim", "silver_policy_risk", "silver_policy"],
+    doubles=["high_risk_share", "risk_score"])
+OPERATOR_SQL["e_04_minmax"] = _present(_minmax_sql(_E04_SRC, BROKER_SCORE_WEIGHTS),
                                 ["policies", "loss_ratio", "claims_frequency"],
                                 ["grain", "broker_dim", "silver_policy_risk", "silver_policy"],
                                 doubles=["high_risk_share", "risk_score"])
@@ -79,6 +86,17 @@ OPERATOR_SQL["e_03"] = """SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%
   event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM events GROUP BY 1, 2"""
 
+# every event counts once, however often it was delivered
+OPERATOR_SQL["e_03_stream"] = OPERATOR_SQL["e_03"].replace(
+    "FROM events", "FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1) e")
+
+# after three loads the stored sums are those of the whole table
+OPERATOR_SQL["e_01_rollups"] = build("""SELECT 'month' AS grain, coalesce(strftime(TransactionDate, '%Y-%m'), 'Unknown') AS key,
+  count(*) AS rows, CAST(coalesce(sum(NetPremium), 0) AS DOUBLE) AS net_premium FROM silver_premium_transactions GROUP BY 2
+UNION ALL SELECT 'broker', coalesce(p.BrokerID, 'Unknown'), count(*), CAST(coalesce(sum(t.NetPremium), 0) AS DOUBLE)
+FROM silver_premium_transactions t LEFT JOIN silver_policy p ON t.PolicyID = p.PolicyID GROUP BY 2""",
+    "silver_premium_transactions", "silver_policy")
+
 # after the load the target holds every row of the feed, with the feed's amounts
 OPERATOR_SQL["e_01"] = build("""SELECT year(TransactionDate) AS year, count(*) AS rows,
   CAST(coalesce(sum(NetPremium), 0) AS DOUBLE) AS net_premium FROM silver_premium_transactions GROUP BY 1""",

@@ -288,33 +288,44 @@ def v_21(wh):
                                         ["entity", "RejectReason"]) for e in ENTITIES]))
 
 
-def _orphans(name, fact, fk, dim, dk):
-    """Fact rows whose key is missing from the dimension.  Keys are counted
-    first (map-side partial counts), so a hot key reaches the anti join as
-    one row per task instead of all its rows."""
-    f = fact.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    d = dim.select(F.col(dk).alias("_k"))
-    return f.join(d, "_k", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans")).select(
-        F.lit(name).alias("relation"), "orphans")
+def _sides(df, *roles):
+    """Each row's keys as ``relation, k, dim``: one scan of a table for all relations it has a part in."""
+    return (df.select(F.explode(F.array(*[F.struct(F.lit(r).alias("relation"), F.col(c).cast("string").alias("k"), F.lit(d).alias("dim"))
+                                          for r, c, d in roles])).alias("e"))
+              .select("e.*").filter(F.col("k").isNotNull()))
 
 
 def v_22(wh):
-    """Referential integrity fact -> dimension (J-XCHECK as anti joins)."""
-    s = wh.silver
-    return present(_union([
-        _orphans("payments.ClaimID->claims", s("claim_payments"), "ClaimID", s("claims"), "ClaimID"),
-        _orphans("premiums.PolicyID->policy", s("premium_transactions"), "PolicyID", s("policy"), "PolicyID"),
-        _orphans("claims.PolicyID->policy", s("claims"), "PolicyID", s("policy"), "PolicyID"),
-        _orphans("policy.BrokerID->broker", s("policy"), "BrokerID", s("broker"), "BrokerID"),
-        _orphans("policy.AddressID->address", s("policy"), "AddressID", s("address"), "AddressID"),
-        _orphans("reserves.ClaimID->claims", s("claim_reserves"), "ClaimID", s("claims"), "ClaimID"),
-        # the two relations the reference declares as constraints
-        _orphans("expenses.ExpenseCategory->category", wh.gold.expense_typed, "ExpenseCategory",
-                 wh.gold.expense_categories, "ExpenseCategory"),
-        _orphans("expenses.ExpenseMonth->date", wh.gold.expense_typed, "ExpenseMonth", wh.gold.dim_date, "FullDate"),
-        _orphans("coverage.CoverageKey->coverage", wh.gold.fact_policy_coverage, "CoverageKey",
-                 wh.gold.dim_coverage, "CoverageKey"),
-    ]))
+    """Referential integrity fact -> dimension (J-XCHECK) in one pass: the keys
+    of both sides of all relations are tagged, united and grouped once; a key
+    that no dimension row has is an orphan as often as facts use it.  Counts are
+    combined map-side, so a hot key is one row per task."""
+    s, g = wh.silver, wh.gold
+    fact, dim = 0, 1
+    payments, reserves = "payments.ClaimID->claims", "reserves.ClaimID->claims"
+    premiums, claims = "premiums.PolicyID->policy", "claims.PolicyID->policy"
+    broker, address = "policy.BrokerID->broker", "policy.AddressID->address"
+    # the two relations the reference declares as constraints, and the coverage lookup
+    category, month, coverage = "expenses.ExpenseCategory->category", "expenses.ExpenseMonth->date", "coverage.CoverageKey->coverage"
+    names = (payments, premiums, claims, broker, address, reserves, category, month, coverage)
+    sides = _union([
+        _sides(s("claims"), (payments, "ClaimID", dim), (reserves, "ClaimID", dim), (claims, "PolicyID", fact)),
+        _sides(s("claim_payments"), (payments, "ClaimID", fact)),
+        _sides(s("claim_reserves"), (reserves, "ClaimID", fact)),
+        _sides(s("premium_transactions"), (premiums, "PolicyID", fact)),
+        _sides(s("policy"), (premiums, "PolicyID", dim), (claims, "PolicyID", dim), (broker, "BrokerID", fact), (address, "AddressID", fact)),
+        _sides(s("broker"), (broker, "BrokerID", dim)),
+        _sides(s("address"), (address, "AddressID", dim)),
+        _sides(g.expense_typed, (category, "ExpenseCategory", fact), (month, "ExpenseMonth", fact)),
+        _sides(g.expense_categories, (category, "ExpenseCategory", dim)),
+        _sides(g.dim_date, (month, "FullDate", dim)),
+        _sides(g.coverage_lines, (coverage, "CoverageKey", fact)),
+        _sides(g.dim_coverage, (coverage, "CoverageKey", dim)),
+        # every relation has its row, also without keys
+        wh.spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("relation"), F.lit(None).cast("string").alias("k"),
+                                 F.lit(dim).alias("dim"))])
+    keys = sides.groupBy("relation", "k").agg(F.count_if(F.col("dim") == fact).alias("uses"), F.max("dim").alias("dim"))
+    return present(keys.groupBy("relation").agg(F.coalesce(F.sum(F.when(F.col("dim") == fact, F.col("uses"))), F.lit(0)).alias("orphans")))
 
 
 def v_23(wh):

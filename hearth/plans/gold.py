@@ -225,11 +225,16 @@ class Gold:
         return _stamp(assign_key(j, ["ExpenseMonth", "ExpenseCategory", "ExpenseAmount", "InflationAdjustedAmount",
                                      "PreviousMonthAmount", "MoMVariance", "Currency"], "OperatingExpenseKey"), self.now)
 
+    @cached_property
+    def coverage_lines(self) -> DataFrame:
+        """The rows of F-05 without their surrogate key: coverage rows + CoverageKey lookup (-1 when absent)."""
+        s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
+        return lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
+
     @stored
     def fact_policy_coverage(self) -> DataFrame:
-        """F-05: coverage rows + CoverageKey lookup (-1 when absent) + surrogate."""
-        s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
-        j = lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
+        """F-05: the coverage lines with a surrogate key."""
+        j = self.coverage_lines
         return _stamp(assign_key(j, ["PolicyID", "CoverageType"], "PolicyCoverageKey"), self.now)
 
 

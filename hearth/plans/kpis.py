@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import kpi as K
+from hearth.operators.selection import grouped_median
 from hearth.plans import star
 from hearth.plans.model import present
 
@@ -182,7 +183,18 @@ def k_21(wh):
 
 
 def k_22(wh):
-    return present(star.exact_median(_per_claim(wh), "ClaimPaid", "ClaimID").withColumnRenamed("median", "median_claim"))
+    return present(grouped_median(_per_claim(wh), "ClaimPaid").withColumnRenamed("median", "median_claim"))
+
+
+def k_22_by_type(wh):
+    """The median claim of every region and claim type, all found in the same passes."""
+    claims = wh.silver("claims").select("ClaimID", "PolicyID", "ClaimType")
+    policies = wh.silver("policy").select("PolicyID", "AddressID")
+    regions = wh.silver("address").select("AddressID", "Region")
+    c = (_per_claim(wh).select("ClaimID", "ClaimPaid").join(claims, "ClaimID", "left").join(policies, "PolicyID", "left")
+         .join(regions, "AddressID", "left")
+         .select(F.coalesce("Region", F.lit("Unknown")).alias("Region"), F.coalesce("ClaimType", F.lit("Unknown")).alias("ClaimType"), "ClaimPaid"))
+    return present(grouped_median(c, "ClaimPaid", ["Region", "ClaimType"]).withColumnRenamed("median", "median_claim"))
 
 
 def k_23(wh):
@@ -231,5 +243,6 @@ def k_29(wh):
 
 KPIS = {f"k_{i:02d}": globals()[f"k_{i:02d}"] for i in range(1, 30)}
 KPIS["k_03_prorata"] = lambda wh: k_03(wh, "prorata")
+KPIS["k_22_by_type"] = k_22_by_type
 KPIS["k_07b"] = lambda wh: k_07(wh, "b")
 KPIS["k_07c"] = lambda wh: k_07(wh, "c")

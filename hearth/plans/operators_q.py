@@ -4,24 +4,26 @@ roadmap extensions of §2.13, each over the supplied tables."""
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions import clean as C
 from hearth.functions import kpi as K
+from hearth.operators.buckets import BUCKET, merge_buckets, read_buckets, write_buckets
 from hearth.operators.joins import anti
 from hearth.operators.keys import assign_key
 from hearth.operators.quality import distribution, duplicate_keys
 from hearth.operators.scd import scd1_merge, with_unknown
-from hearth.operators.windows import with_lag
+from hearth.operators.windows import with_lag, with_percent_rank
 from hearth.plans import star
 from hearth.plans.audits import ENTITIES
 from hearth.plans.bronze import PREMIUM_OPTIONAL, bronze_premium_transactions
 from hearth.plans.gold import dim_coverage_from
 from hearth.plans.model import present
 from hearth.session import ensure_checkpoint_dir
-from hearth.sources.files import align, read_raw, split_malformed, write_table
+from hearth.sources.files import align, read_raw, split_malformed, staged, write_table
 from hearth.sources.schemas import load_staging, staging_schema
 
 # Fixed weights of the roadmap scores (our inputs; the roadmap names the
@@ -32,16 +34,32 @@ LOOKUP_POLICY = "P7"
 TOP_BROKERS = 10
 
 
+def _two_broker_loads(wh) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Yesterday's broker dimension, today's rows, and the tracked columns."""
+    s = wh.silver("broker").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")
+    old = s.filter(F.col("Status") == "Active").withColumn(
+        "CommissionModel", F.when(F.col("BrokerSizeBand") == "Large", F.lit("Legacy")).otherwise(F.col("CommissionModel")))
+    target = assign_key(old, ["BrokerID"], "BrokerKey").withColumn("GoldLoadDts", F.lit(wh.now).cast("timestamp"))
+    return target, s, [c for c in s.columns if c != "BrokerID"]
+
+
+def snk_merge1_buckets(wh) -> DataFrame:
+    """SNK-MERGE1 in place: the two loads of ``snk_merge1`` on a dimension in
+    key-hash buckets, of which only those with a changed member are written."""
+    target, s, tracked = _two_broker_loads(wh)
+    path, schema = _scratch(wh, "broker-buckets"), target.schema
+    write_buckets(target, path, ["BrokerID"])
+    merge_buckets(path, schema, s, "BrokerID", tracked, "BrokerKey", wh.now.replace(day=2))
+    merged = read_buckets(wh.spark, path, schema).drop(BUCKET)
+    return present(merged.withColumn("UpdatedThisLoad", (F.col("GoldLoadDts") > F.lit(wh.now)).cast("int")))
+
+
 def snk_merge1(wh) -> DataFrame:
     """SNK-MERGE1: yesterday's broker dimension (active brokers only, large
     brokers still on a 'Legacy' commission model) merged with today's silver:
     large brokers are updated, inactive brokers inserted with keys after the
     current maximum, everything else kept as it was."""
-    s = wh.silver("broker").drop("BronzeLoadDts", "SilverLoadDts", "SourceFile")
-    old = s.filter(F.col("Status") == "Active").withColumn(
-        "CommissionModel", F.when(F.col("BrokerSizeBand") == "Large", F.lit("Legacy")).otherwise(F.col("CommissionModel")))
-    target = assign_key(old, ["BrokerID"], "BrokerKey").withColumn("GoldLoadDts", F.lit(wh.now).cast("timestamp"))
-    tracked = [c for c in s.columns if c != "BrokerID"]
+    target, s, tracked = _two_broker_loads(wh)
     merged = scd1_merge(target, s, "BrokerID", tracked, "BrokerKey", wh.now.replace(day=2))
     return present(merged.withColumn("UpdatedThisLoad", (F.col("GoldLoadDts") > F.lit(wh.now)).cast("int")))
 
@@ -104,15 +122,30 @@ def _minmax(df: DataFrame, weights: dict) -> DataFrame:
     return j.withColumn("risk_score", score).drop(*[c for c in j.columns if c.startswith("_lo_") or c.startswith("_hi_")])
 
 
-def e_04(wh) -> DataFrame:
-    """E-04 broker risk score: loss ratio, claims frequency, volume and high-risk share."""
+def _broker_factors(wh) -> DataFrame:
+    """E-04's factors per broker: loss ratio, claims frequency, volume and high-risk share."""
     b = star.rollup(wh, "broker", ["Broker"], ["policies", "loss_ratio", "claims_frequency"])
     hr = wh.silver("policy_risk").filter(F.col("AdjustedRiskBand").isin(*K.HIGH_RISK_BANDS)).select("PolicyID").distinct()
     pol = wh.silver("policy").select("PolicyID", F.coalesce("BrokerID", F.lit("Unknown")).alias("Broker"))
     hr_b = hr.join(pol, "PolicyID").groupBy("Broker").agg(F.count(F.lit(1)).alias("high_risk_policies"))
-    j = b.join(hr_b, "Broker", "left").withColumn(
+    return b.join(hr_b, "Broker", "left").withColumn(
         "high_risk_share", K.ratio(F.coalesce("high_risk_policies", F.lit(0)), "policies")).drop("high_risk_policies")
-    return present(_minmax(j, BROKER_SCORE_WEIGHTS))
+
+
+def e_04(wh) -> DataFrame:
+    """E-04 broker risk score: the weighted percentile ranks of the factors, so one
+    broker far off does not press the others together; an unknown factor ranks lowest."""
+    j, score = staged(_broker_factors(wh), "broker-factors"), None
+    for c, w in BROKER_SCORE_WEIGHTS.items():
+        j = with_percent_rank(j, c, f"{c}_rank")
+        term = F.lit(w) * F.col(f"{c}_rank")
+        score = term if score is None else score + term
+    return present(j.withColumn("risk_score", score))
+
+
+def e_04_minmax(wh) -> DataFrame:
+    """E-04 with min-max scaled factors instead of percentile ranks."""
+    return present(_minmax(_broker_factors(wh), BROKER_SCORE_WEIGHTS))
 
 
 def e_05(wh) -> DataFrame:
@@ -142,6 +175,53 @@ def e_01(wh) -> DataFrame:
                          .agg(F.count(F.lit(1)).alias("rows"), K.money_sum("NetPremium").alias("net_premium")))
 
 
+def e_01_rollups(wh) -> DataFrame:
+    """E-01 over three loads with corrections and late rows: the stored monthly
+    and broker sums, kept up to date by signed deltas (``hearth.plans.rollups``).
+
+    The first load has seven tenths of the transactions, of which some carry a
+    wrong amount, month or policy; the second corrects the first two kinds and
+    brings new rows; the third corrects the last, brings late rows (and
+    delivers all of the first load again, with its old load time)."""
+    from hearth.plans.rollups import LOAD_COL, PremiumRollups
+    s = wh.silver("premium_transactions").select("PremiumTransactionID", "PolicyID", "TransactionDate", "NetPremium")
+    policies = wh.silver("policy").select("PolicyID", "BrokerID")
+    part = F.pmod(F.xxhash64("PremiumTransactionID"), F.lit(10))
+    at = lambda df, n: df.withColumn(LOAD_COL, F.lit(wh.now.replace(day=n)).cast("timestamp"))
+    first = at(s.filter(part < 7).withColumns({
+        "NetPremium": F.when(part == 0, F.col("NetPremium") * 2 + 1).otherwise(F.col("NetPremium")).cast("decimal(18,2)"),
+        "TransactionDate": F.when(part == 1, F.date_add("TransactionDate", 40)).otherwise(F.col("TransactionDate")),
+        "PolicyID": F.when(part == 2, F.lit("P0")).otherwise(F.col("PolicyID"))}), 1)
+    second = at(s.filter(part.isin(0, 1, 7, 8)), 2)
+    third = at(s.filter(part.isin(2, 9)), 3).unionByName(first)
+    schema = first.withColumn("NetPremium", F.col("NetPremium").cast("decimal(18,2)")).schema
+    rollups = PremiumRollups(wh.spark, _scratch(wh, "rollups"), schema)
+    for n, feed in enumerate((first, second, third), 1):
+        feed = feed.withColumn("NetPremium", F.col("NetPremium").cast("decimal(18,2)"))
+        rollups.load(n, feed, policies)
+    return present(rollups.sums(3))
+
+
+def e_03_stream(wh) -> DataFrame:
+    """E-03 as the running monitor: the events arrive in two deliveries, the
+    second of which brings the whole first one again; the stream is stopped after
+    each and goes on from its checkpoint.  Then come an event older than the
+    watermark, which is dropped, and one a day later, which closes all windows.
+    Read back from the sink: every event once."""
+    from hearth.streaming.monitor import start_monitor
+    folder, events = _scratch(wh, "monitor"), wh.table("events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(lo + (hi - lo) / 2)
+    edge = lambda id_, ts: events.limit(1).withColumns({
+        "event_id": F.lit(id_).cast(events.schema["event_id"].dataType), "ts": F.lit(ts).cast(events.schema["ts"].dataType)})
+    deliveries = (events.filter(F.col("ts") <= middle), events,
+                  edge(-1, hi + timedelta(days=1)).unionByName(edge(-2, lo)))
+    for n, rows in enumerate(deliveries):
+        rows.write.parquet(f"{folder}/in/delivery-{n}")
+        start_monitor(wh.spark, f"{folder}/in/*", f"{folder}/out", f"{folder}/state", events.schema, trigger_once=True).awaitTermination()
+    return present(wh.spark.read.parquet(f"{folder}/out"))
+
+
 def e_03(wh) -> DataFrame:
     """E-03 claims monitor, batch form of the streaming job: events per
     hourly tumbling window and type (see hearth.streaming.monitor)."""
@@ -159,6 +239,7 @@ def e_06(wh) -> DataFrame:
 OPERATORS = {
     "snk_merge1": snk_merge1, "a_dupn": a_dupn, "a_dist": a_dist, "o_topk": o_topk, "w_lag": w_lag,
     "w_latestsnap": w_latestsnap, "p_26": p_26, "e_01": e_01, "e_03": e_03, "e_04": e_04, "e_05": e_05, "e_06": e_06,
+    "snk_merge1_buckets": snk_merge1_buckets, "e_01_rollups": e_01_rollups, "e_03_stream": e_03_stream, "e_04_minmax": e_04_minmax,
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from hearth.session import ensure_checkpoint_dir
+
 CORRUPT = "_corrupt_record"
 
 
@@ -98,3 +101,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a folder of its own under the shared checkpoint location, and read back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/hearth-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
