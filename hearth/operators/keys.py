@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.clean import composite_key
+from hearth.sources.files import staged
 
 
 def _norm(name: str) -> str:
@@ -52,9 +53,10 @@ def assign_key(df: DataFrame, order_cols: Sequence[str | Column], name: str, sta
                num_partitions: int | None = None) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
-    The tagged rows are checkpointed to the reliable checkpoint folder: range
-    bounds come from a sample, so counts and rows must read one and the same
-    partitioning, also after an executor is lost.
+    The tagged rows are written as a Parquet table under the reliable
+    checkpoint folder: range bounds come from a sample, so counts and rows must
+    read one and the same partitioning, also after an executor is lost.  The
+    counts read one column of it.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -63,7 +65,7 @@ def assign_key(df: DataFrame, order_cols: Sequence[str | Column], name: str, sta
                 .sortWithinPartitions(*cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = tagged.checkpoint(eager=True)
+    tagged = staged(tagged, "numbered")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a tiny single-task window, bounded by n
     offsets = counts.select(

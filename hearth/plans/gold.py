@@ -20,7 +20,7 @@ from hearth.operators.joins import anti, join_dim, lookup_key
 from hearth.operators.keys import assign_key, resolve_key
 from hearth.operators.scd import scd1_merge, top_key, with_unknown
 from hearth.plans.silver import CUSTOMER_KEYS
-from hearth.sources.calendar import calendar_between, date_attributes
+from hearth.sources.calendar import calendar, calendar_between, date_attributes
 
 UNKNOWN_KEY = -1
 UNKNOWN_CODE = "UNKNOWN"
@@ -122,14 +122,19 @@ class Gold:
 
     @stored
     def dim_date(self) -> DataFrame:
-        """D-05: calendar over the order-date span (+1 year for expiries),
+        """D-05: calendar over the span of the silver dates (+1 year for expiries),
         widened to whole years; bounded by the number of days."""
-        bounds = self.wh.table("orders").agg(
-            F.min(F.col("o_orderdate").cast("date")).alias("lo"),
-            F.date_add(F.max(F.col("o_orderdate").cast("date")), 365).alias("hi"))
-        d = F.col("FullDate")
-        attrs = date_attributes(d)
-        return _stamp(calendar_between(bounds).select(*[c.alias(n) for n, c in attrs.items()]), self.now)
+        day = C.safe_date("Date", C.ISO)
+        bounds = self.wh.silver("date").agg(F.min(day).alias("lo"), F.date_add(F.max(day), 365).alias("hi"))
+        return self._calendar(calendar_between(bounds))
+
+    @cached_property
+    def fixed_calendar(self) -> DataFrame:
+        """D-05 over the reference's fixed range, 2015 to 2035, whatever the data's dates."""
+        return self._calendar(calendar(self.wh.spark))
+
+    def _calendar(self, days: DataFrame) -> DataFrame:
+        return _stamp(days.select(*[c.alias(n) for n, c in date_attributes(F.col("FullDate")).items()]), self.now)
 
     @stored
     def expense_categories(self) -> DataFrame:

@@ -66,6 +66,8 @@ def _register() -> None:
     for i, n in enumerate(DIMS, 1):
         QUERIES[f"d_{i:02d}"] = _wh_query(lambda wh, n=n: present(getattr(wh.gold, n)))
         ORACLE[f"d_{i:02d}"] = gold_sql.gold_query(n)
+    QUERIES["d_05_fixed_range"] = _wh_query(lambda wh: present(wh.gold.fixed_calendar))
+    ORACLE["d_05_fixed_range"] = gold_sql.gold_query("fixed_calendar")
     QUERIES["d_11"] = _wh_query(lambda wh: present(rich_calendar(wh.gold)))
     ORACLE["d_11"] = gold_sql.rich_calendar_sql()
     for i, n in enumerate(FACTS, 1):

@@ -125,6 +125,9 @@ def staging_dates(orders: DataFrame) -> DataFrame:
         "HolidayName": F.when(hol & (F.month(d) == 1), F.lit("New Year's Day"))
                         .when(hol, F.lit("Christmas Day")).otherwise(F.lit("")),
         "IsWeekendFlag": F.dayofweek(d).isin(1, 7).cast("int"),
+        # some keys are blank, some are the next day's
+        "DateKey": F.when(F.dayofyear(d) % 97 == 5, F.lit("")).when(F.dayofyear(d) % 101 == 7, F.date_format(F.date_add(d, 1), "yyyyMMdd"))
+                    .otherwise(F.date_format(d, "yyyyMMdd")),
     })
     dates = orders.select(F.col("o_orderdate").cast("date").alias("d")).distinct()
     return dates.select(*[attrs[c].cast("string").alias(c) for c in STAGING_DATE_COLUMNS])
