@@ -60,6 +60,6 @@ def test_silver_from_csv_equals_silver_from_view(spark, tmpdir_path):
     raw.write.option("header", True).option("quote", "").option("emptyValue", "").csv(path)
     loaded, bad = load_staging(spark, path, "policy")
     assert bad.count() == 0
-    a = silver_policy(bronze(raw, "policy", now), now)[0].drop("BronzeRowID", "SilverLoadDts")
-    b = silver_policy(bronze(loaded, "policy", now), now)[0].drop("BronzeRowID", "SilverLoadDts")
+    a = silver_policy(bronze(raw, "policy", now), now).good.drop("BronzeRowID", "SilverLoadDts")
+    b = silver_policy(bronze(loaded, "policy", now), now).good.drop("BronzeRowID", "SilverLoadDts")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
