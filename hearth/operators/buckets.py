@@ -9,6 +9,8 @@ overwrite reads nothing it replaces and can be repeated.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
@@ -87,3 +89,36 @@ def merge_buckets(path: str, schema: StructType, source: DataFrame, key: str, tr
     rows = (changed.join(new, key, "left").withColumn(key_col, F.coalesce(F.col(key_col), F.col("_new")))
                    .withColumn(load_col, F.lit(now).cast("timestamp")).drop("_new"))
     return replace_rows(path, schema, staged(rows, "upsert"), [key])
+
+
+# --------------------------------------------------------------------------
+# Co-located tables: Spark's own buckets, so grouping by the key needs no exchange
+# --------------------------------------------------------------------------
+
+def _table_name(path: str) -> str:
+    return f"hearth_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def write_colocated(df: DataFrame, path: str, key: str, sort_by: Sequence[str], buckets: int | None = None) -> None:
+    """E-02: ``df`` in ``buckets`` sorted buckets of ``key`` (one file each) under ``path``.
+
+    ``buckets`` is the session's shuffle partitions unless given.  A bucket is
+    read by one task, so ``df`` should hold a bounded number of rows for each key."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(*sort_by)
+       .option("path", path).saveAsTable(_table_name(path)))
+    layout = spark.createDataFrame([(key, list(sort_by), n, df.schema.json())],
+                                   "key string, sort_by array<string>, buckets int, schema string")
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}__layout")
+
+
+def colocated_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_colocated``; a session that did not write it enters it in its catalog first."""
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        at = spark.read.parquet(f"{path}__layout").first()          # one row
+        cols = StructType.fromJson(json.loads(at["schema"])).toDDL()
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{at['key']}`) "
+                  f"SORTED BY ({', '.join(f'`{c}`' for c in at['sort_by'])}) INTO {at['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)

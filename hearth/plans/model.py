@@ -59,6 +59,7 @@ class Warehouse:
         self.spark, self.sf_dir, self.now, self.as_of = spark, sf_dir, now, as_of
         self.store, self.stored, self.previous_store = store, (stored if store else ()), previous_store
         self._silver: dict[str, tuple[DataFrame, DataFrame]] = {}
+        self._lines: DataFrame | None = None
 
     def previous(self, dimension: str) -> DataFrame | None:
         """The image of a dimension that the load before this one wrote, if there was one."""
@@ -101,6 +102,16 @@ class Warehouse:
         """``layer, entity, rows`` as counted while the store was written, if there is one."""
         return self.spark.read.parquet(f"{self.store}/counts") if "gold" in self.stored else None
 
+    def policy_lines(self) -> DataFrame | None:
+        """The rows of the policy grain in buckets of PolicyID, if a store holds them."""
+        if "gold" not in self.stored:
+            return None
+        if self._lines is None:
+            from hearth.operators.buckets import colocated_table
+            from hearth.plans.store import POLICY_LINES
+            self._lines = colocated_table(self.spark, f"{self.store}/{POLICY_LINES}")
+        return self._lines
+
     def silver(self, entity: str, grain: str = "declared") -> DataFrame:
         return self.silver_pair(entity, grain)[0]
 

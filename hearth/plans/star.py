@@ -73,6 +73,9 @@ def policy_grain(wh, measures: Sequence[str] = MEASURES) -> DataFrame:
     chain of full outer joins: each input is pre-aggregated map-side and the
     whole grain costs a single shuffle on PolicyID."""
     needed = inputs_of(measures)
+    lines = wh.policy_lines()
+    if lines is not None and needed:
+        return _grain(_stored_lines(lines, needed))
     pol = wh.silver("policy")
     u = _side(pol, AddressID=F.col("AddressID"), BrokerID=F.col("BrokerID"), PolicyStatus=F.col("PolicyStatus"),
               is_policy=F.lit(1))
@@ -83,6 +86,47 @@ def policy_grain(wh, measures: Sequence[str] = MEASURES) -> DataFrame:
         u = u.unionByName(_side(wh.silver("premium_transactions"), **amounts))
     if needed & {"paid", "n_claims"}:
         u = u.unionByName(_claim_side(wh, needed & {"paid", "n_claims"}))
+    return _grain(u)
+
+
+def policy_lines(wh) -> DataFrame:
+    """What ``policy_grain`` adds up, to be stored in buckets of PolicyID: one
+    row per policy and ``side`` (policy, premium, claim), so that a policy with
+    a third of all premiums is still one row of a bucket.  ``has_payment`` tells
+    whether a claim was paid on.  Rows without a policy share the NULL key."""
+    pol, prem = wh.silver("policy"), wh.silver("premium_transactions")
+    claims = (wh.silver("claims").select("ClaimID", "PolicyID", F.lit(1).alias("is_claim"))
+                .join(claim_paid(wh), "ClaimID", "full"))
+    sides = (
+        ("policy", pol, {c: F.max(c) for c in ("AddressID", "BrokerID", "PolicyStatus")} | {"is_policy": F.max(F.lit(1))}),
+        ("premium", prem, {"net": F.sum("NetPremium"), "gross": F.sum("GrossPremium")}),
+        ("claim", claims, {"paid": F.sum("ClaimPaid"), "n_claims": F.sum("is_claim"), "has_payment": F.max(F.col("payments").isNotNull())}))
+    types = _GRAIN_COLS | {"net": "decimal(38,2)", "gross": "decimal(38,2)", "has_payment": "boolean"}
+    out = None
+    for name, df, sums in sides:
+        agg = df.groupBy("PolicyID").agg(*[c.alias(n) for n, c in sums.items()])
+        rows = agg.select("PolicyID", F.lit(name).alias("side"),
+                          *[(F.col(c) if c in sums else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _stored_lines(lines: DataFrame, needed: set[str]) -> DataFrame:
+    """The stored rows that ``needed`` inputs are made of; buckets are sorted by side, so others are skipped."""
+    keep = F.col("side") == "policy"
+    if needed & {"net", "gross"}:
+        keep = keep | (F.col("side") == "premium")
+    if needed >= {"paid", "n_claims"}:
+        keep = keep | (F.col("side") == "claim")
+    elif "paid" in needed:
+        keep = keep | ((F.col("side") == "claim") & F.col("has_payment"))
+    elif "n_claims" in needed:
+        keep = keep | ((F.col("side") == "claim") & F.col("n_claims").isNotNull())
+    blank = [c for c in ("net", "gross", "paid", "n_claims") if c not in needed]
+    return lines.where(keep).withColumns({c: F.lit(None).cast("decimal(38,2)" if c != "n_claims" else "bigint") for c in blank})
+
+
+def _grain(u: DataFrame) -> DataFrame:
     return u.groupBy("PolicyID").agg(
         F.max("AddressID").alias("AddressID"), F.max("BrokerID").alias("BrokerID"),
         F.max("PolicyStatus").alias("PolicyStatus"), F.max("is_policy").alias("is_policy"),

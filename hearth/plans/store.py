@@ -6,7 +6,8 @@ own, plus the reference-grain variants), then every gold dimension and fact,
 into ``store``.  Each layer is derived from the *written* layer before it, so
 nothing is computed twice.  Rows are counted on the way (``Dataset.observe``)
 and the counts are a small table of the store.  The premium fact is laid out by year and month (E-02), so
-period filters prune folders.  ``store`` must be shared storage on a cluster;
+period filters prune folders; the rows behind the policy grain lie in sorted
+buckets of PolicyID.  ``store`` must be shared storage on a cluster;
 ``default_store`` places it under the session's ``spark.checkpoint.dir``.
 """
 
@@ -18,8 +19,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.operators.buckets import write_colocated
 from hearth.operators.quality import VERDICT
 from hearth.plans import bronze as B
+from hearth.plans import star
 from hearth.plans.model import Warehouse
 from hearth.session import ensure_checkpoint_dir
 from hearth.sources.files import write_table
@@ -31,6 +34,7 @@ GOLD_TABLES = ("dim_address", "dim_broker", "dim_coverage", "dim_customers", "di
                "dim_expense_category", "expense_lines", "dim_policy", "dim_policy_risk", "dim_claim_type",
                "dim_claim_status", "fact_claim", "fact_claim_payments", "fact_claim_reserves",
                "fact_premium_transactions", "fact_operating_expenses", "fact_policy_coverage")
+POLICY_LINES = "gold/policy_lines"       # E-02: one exchange at load time, none on PolicyID in the reports
 PARTITIONED = {"fact_premium_transactions": ("Year", "Month")}
 
 
@@ -95,6 +99,7 @@ def build_store(spark: SparkSession, sf_dir: str, store: str, workers: int = 4,
     seen = []
     frames = [(_observed(getattr(mid.gold, name), seen), f"{store}/gold/{name}", PARTITIONED.get(name, ())) for name in GOLD_TABLES]
     _write_all(frames, workers)
+    write_colocated(star.policy_lines(mid), f"{store}/{POLICY_LINES}", "PolicyID", ("side", "PolicyID"))
     counts += [("gold", name, s.get["rows"]) for name, s in zip(GOLD_TABLES, seen, strict=True)]
     write_table(spark.createDataFrame(counts, "layer string, entity string, rows bigint").coalesce(1), f"{store}/counts")
     timings["gold"] = time.perf_counter() - t
