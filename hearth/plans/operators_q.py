@@ -451,6 +451,37 @@ def e_06_calibration(wh) -> DataFrame:
     return present(t.select("policies", "policies_with_claim", (F.abs(F.col("_p") - F.col("_l")) < 0.001).cast("int").alias("calibrated")))
 
 
+def e_06_trees(wh) -> DataFrame:
+    """E-06 by gradient-boosted trees: every policy's probability, fitted without the held-out fold."""
+    from hearth.plans.model_claims import tree_scores
+    return present(tree_scores(wh))
+
+
+def e_06_folds(wh) -> DataFrame:
+    """E-06 in one row: fold sizes, and whether the trees rank the held-out policies better than
+    chance and predict them better than the fold's own share of claims does."""
+    from hearth.plans.model_claims import TEST, TRAIN, evaluation, tree_scores
+    e = evaluation(tree_scores(wh))
+    at = lambda which, c: F.max(F.when(F.col("fold") == which, F.col(c)))
+    return present(e.agg(
+        at(TRAIN, "policies").alias("train_policies"), at(TRAIN, "with_claim").alias("train_with_claim"),
+        at(TEST, "policies").alias("test_policies"), at(TEST, "with_claim").alias("test_with_claim"),
+        (at(TEST, "auc") > 0.5).cast("int").alias("ranks_better"),
+        (at(TEST, "brier") < at(TEST, "brier_of_share")).cast("int").alias("predicts_better")))
+
+
+def e_06_evaluation(wh) -> DataFrame:
+    """E-06: AUC and Brier score of both folds."""
+    from hearth.plans.model_claims import evaluation, tree_scores
+    return present(evaluation(tree_scores(wh)))
+
+
+def e_06_deciles(wh) -> DataFrame:
+    """E-06: calibration of the held-out fold by decile of the score."""
+    from hearth.plans.model_claims import deciles, tree_scores
+    return present(deciles(tree_scores(wh)))
+
+
 OPERATORS.update({f.__name__: f for f in (
-    src_csv, src_csv_lf, src_badrows, snk_overwrite, snk_byname, snk_addcol, snk_stamps, j_anti, j_anti_expr, rpt_broker_policy,
+    e_06_trees, e_06_folds, e_06_evaluation, e_06_deciles, src_csv, src_csv_lf, src_badrows, snk_overwrite, snk_byname, snk_addcol, snk_stamps, j_anti, j_anti_expr, rpt_broker_policy,
     rpt_claim_payment, o_top, e_02, d_01_second_load, e_06_calibration)})
