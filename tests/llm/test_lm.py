@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hearth.llm import lm
@@ -90,7 +91,65 @@ def test_matches_a_plain_model(spark, order):
 
 def test_nulls_empty_long_and_repeated(spark):
     long = " ".join(f"w{i % 700}" for i in range(20000))
-    check(spark, [(1, None), (2, ""), (3, "Ab\tAB\x0bab"), (None, "x y"), (None, "x y"), (5, long), (5, long), (6, "é É")])
+    check(spark, [(1, None), (2, ""), (3, "Ab\tAB\x0bab"), (None, "x y"), (None, "x y"), (5, long), (5, long), (6, "é É")], 3)
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 3, 7])
+def test_stretches_carry_the_state(spark, monkeypatch, stretch):
+    """The walk is cut anywhere, also inside the first tokens of a text, without a change."""
+    whole = block_scores(corpus(), 3, lm.STRETCH)
+    assert np.array_equal(whole, block_scores(corpus(), 3, stretch))
+
+
+def block_scores(rows, order, stretch):
+    """Token weights of one block that is the whole corpus, without Spark."""
+    docs = pa.table({"doc_id": pa.array([d for d, _ in rows]), "held": pa.array([d % 5 == 2 for d, _ in rows]),
+                     "body": pa.array([t.encode() for _, t in rows], pa.binary())})
+    block, counts, places, stats = lm.Block(docs), [], [], {}
+    for k in range(1, order + 1):
+        keys, place = block.next_order(counts)
+        asked = place >= 0
+        seen = np.bincount(place[asked], weights=block.train[asked], minlength=len(keys)).astype(np.int64)
+        level = np.zeros(len(keys), np.int64)
+        if k > 1:
+            level[place[asked]] = lm._levels(block.context_counts(counts[-1], lm._train_docs(block, counts[0])))[asked]
+        stats[k] = np.r_[(seen > 0).sum(), (seen == 2).sum(), np.bincount(level[seen == 1], minlength=lm.LEVELS),
+                         np.bincount(level, weights=seen, minlength=lm.LEVELS).astype(np.int64)]
+        counts.append(np.r_[seen, 0][place])
+        places.append(place)
+    model = lm.Automaton(stats)
+    model.build(block, counts, places)
+    kept, lm.STRETCH = lm.STRETCH, stretch
+    try:
+        return model.walk(block, order)
+    finally:
+        lm.STRETCH = kept
+
+
+def test_states_and_failure_arcs(spark):
+    """Every failure arc leads to a shorter context, and each chain ends in the empty one."""
+    rows = corpus()
+    docs = pa.table({"doc_id": pa.array([d for d, _ in rows]), "held": pa.array([False] * len(rows)),
+                     "body": pa.array([t.encode() for _, t in rows], pa.binary())})
+    block, counts, places = lm.Block(docs), [], []
+    for _ in range(3):
+        keys, place = block.next_order(counts)
+        asked = place >= 0
+        counts.append(np.r_[np.bincount(place[asked], minlength=len(keys)), 0][place])
+        places.append(place)
+    model = lm.Automaton({k: np.ones(2 + 2 * lm.LEVELS, np.int64) for k in (1, 2, 3)})
+    model.build(block, counts, places)
+    assert len(model.fail) == len(model.fail_weight) and (model.fail[1:] < np.arange(1, len(model.fail))).all()
+    assert (np.diff(model.keys) > 0).all() and model.target.max() < len(model.fail) and model.target.min() >= 0
+    state = np.arange(len(model.fail))
+    for _ in range(2):
+        state = model.fail[state]
+    assert not state.any()
+
+
+def test_no_context_is_seen_twice(spark):
+    check(spark, [(1, "a b c d")], 3)
+    check(spark, [(1, "a b"), (3, "c d"), (4, "e f")], 3, block_bytes=20)
 
 
 def test_only_held_out_and_empty_tables(spark):
