@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from hearth.llm.common import U64, held_out, mix64, shuffle_partitions, text_bytes
 
-ORDER = 3
+ORDER = 2
 BLOCK_BYTES = 8 << 20      # text of a block
 STRETCH = 512              # tokens that one walker reads
 LEVELS = 48                # binary logarithms of context counts
