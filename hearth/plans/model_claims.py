@@ -108,9 +108,10 @@ def tree_scores(wh, rounds: int = 20, depth: int = 4, seed: int = 7) -> DataFram
     if labels < 2:
         scored = df.withColumn("claim_probability", F.lit(float(share or 0.0)))
     else:
-        stages = [StringIndexer(inputCols=list(CATEGORIES), outputCols=[f"{c}_ix" for c in CATEGORIES], handleInvalid="keep"),
-                  VectorAssembler(inputCols=[*NUMBERS, *[f"{c}_ix" for c in CATEGORIES]], outputCol="features"),
-                  GBTClassifier(maxIter=rounds, maxDepth=depth, maxBins=64, stepSize=0.1, seed=seed, cacheNodeIds=False)]
+        index = StringIndexer(inputCols=list(CATEGORIES), outputCols=[f"{c}_ix" for c in CATEGORIES], handleInvalid="keep").fit(train)
+        bins = max(64, 1 + max(len(names) for names in index.labelsArray))        # a tree needs a bin for every category
+        stages = [index, VectorAssembler(inputCols=[*NUMBERS, *[f"{c}_ix" for c in CATEGORIES]], outputCol="features"),
+                  GBTClassifier(maxIter=rounds, maxDepth=depth, maxBins=bins, stepSize=0.1, seed=seed, cacheNodeIds=False)]
         scored = (Pipeline(stages=stages).fit(train).transform(df)
                   .withColumn("claim_probability", vector_to_array("probability")[1]))
     return staged(scored.select("PolicyID", "fold", F.col("label").cast("long").alias("has_claim"), "claim_probability"), "claim-scores")

@@ -79,3 +79,11 @@ def test_one_label_or_no_policies_has_no_trees(spark, monkeypatch):
     same = spark.createDataFrame(features.limit(20).collect(), features.schema).withColumn("label", F.lit(1.0))
     monkeypatch.setattr(M, "tree_features", lambda wh: same)
     assert {r["claim_probability"] for r in M.tree_scores(None).collect()} == {1.0}
+
+
+def test_many_categories(spark, monkeypatch):
+    """More categories than the usual bins: every one gets its own."""
+    features = M.tree_features(Warehouse(spark, SMOKE)).limit(300)
+    table = spark.createDataFrame(features.collect(), features.schema).withColumn("Region", F.concat(F.lit("r"), F.pmod(F.hash("PolicyID"), F.lit(90)).cast("string")))
+    monkeypatch.setattr(M, "tree_features", lambda wh: table)
+    assert M.tree_scores(None, rounds=2, depth=2).count() == 300
