@@ -100,16 +100,19 @@ def tree_scores(wh, rounds: int = 20, depth: int = 4, seed: int = 7) -> DataFram
     """``PolicyID, fold, has_claim, claim_probability``: trees fitted on the training fold, all policies scored.
 
     The scores are written once, so what is computed from them agrees.  A
-    training fold without rows, or of one label only, has no trees: its share of
-    claims (0 without rows) is the score."""
+    training fold without rows, of one label only, or with fewer rows than a
+    category column has values (and one for the unseen) has no trees: its share
+    of claims (0 without rows) is the score."""
     df = staged(tree_features(wh), "claim-features")           # every round of the fit reads it
     train = df.where(F.col("fold") == TRAIN)
-    share, labels = train.agg(F.avg("label"), F.count_distinct("label")).first()         # one row
-    if labels < 2:
+    share, labels, rows, *values = train.agg(F.avg("label"), F.count_distinct("label"), F.count(F.lit(1)),
+                                             *[F.count_distinct(c) for c in CATEGORIES]).first()         # one row
+    categories = 1 + max(values)
+    if labels < 2 or rows < categories:
         scored = df.withColumn("claim_probability", F.lit(float(share or 0.0)))
     else:
         index = StringIndexer(inputCols=list(CATEGORIES), outputCols=[f"{c}_ix" for c in CATEGORIES], handleInvalid="keep").fit(train)
-        bins = max(64, 1 + max(len(names) for names in index.labelsArray))        # a tree needs a bin for every category
+        bins = max(64, categories)        # a tree needs a bin for every category
         stages = [index, VectorAssembler(inputCols=[*NUMBERS, *[f"{c}_ix" for c in CATEGORIES]], outputCol="features"),
                   GBTClassifier(maxIter=rounds, maxDepth=depth, maxBins=bins, stepSize=0.1, seed=seed, cacheNodeIds=False)]
         scored = (Pipeline(stages=stages).fit(train).transform(df)

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hearth.plans import model_claims as M
@@ -87,3 +88,16 @@ def test_many_categories(spark, monkeypatch):
     table = spark.createDataFrame(features.collect(), features.schema).withColumn("Region", F.concat(F.lit("r"), F.pmod(F.hash("PolicyID"), F.lit(90)).cast("string")))
     monkeypatch.setattr(M, "tree_features", lambda wh: table)
     assert M.tree_scores(None, rounds=2, depth=2).count() == 300
+
+
+def test_fewer_rows_than_categories_have_no_trees(spark, monkeypatch):
+    """A fold whose every row has a category of its own: the share is the score; one row more, and there are trees."""
+    features = M.tree_features(Warehouse(spark, SMOKE)).limit(6)
+    rows = spark.createDataFrame(features.collect(), features.schema)
+    table = rows.select("PolicyID", F.lit("train").alias("fold"), (F.row_number().over(Window.orderBy("PolicyID")) % 2).cast("double").alias("label"),
+                        *[F.col("PolicyID").alias(c) if c == "Region" else F.lit("x").alias(c) for c in M.CATEGORIES], *M.NUMBERS)
+    monkeypatch.setattr(M, "tree_features", lambda wh: table)
+    assert {r["claim_probability"] for r in M.tree_scores(None, rounds=1, depth=1).collect()} == {0.5}
+    one_more = table.unionByName(table.limit(1))
+    monkeypatch.setattr(M, "tree_features", lambda wh: one_more)
+    assert M.tree_scores(None, rounds=1, depth=1).count() == 7
