@@ -90,3 +90,34 @@ def test_a_group_gives_its_best_distinct_ids():
     rows = pd.DataFrame({"vec_id": [4] * 12 + [3, 2], "v": [[1.0, i / 100] for i in range(12)] + [[2.0, 0.0], [3.0, 0.0]]})
     out = ann._best(3)(pd.DataFrame({"vec_id": [1], "v": [[1.0, 0.0]]}), rows)
     assert list(out.vec_id) == [4, 3, 2] and list(out.score) == [0.0, 1.0, 2.0]
+
+
+def test_blocks_of_rows_and_queries_meet_once_each(spark):
+    """A bucket far over both block sizes (equal vectors among them) gives the whole result."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(1, 4, 6)]) for i in range(120)] + [(500 + i, [1.0] * 6) for i in range(40)]
+    asked = [i for i, _ in rows if i % 4 == 0]
+    assert got(spark, rows, asked, probes=1.0, block_rows=7, block_queries=5) == brute(rows, asked, 10)
+
+
+def test_thresholds_let_the_asked_share_of_buckets_through():
+    x = np.random.default_rng(2).standard_normal((20, 64))
+    depth = ann.depth_for(1000, 64)
+    assert 128 ** (depth - ann.SPARE) >= 1000 > 128 ** (depth - ann.SPARE - 1) and ann.depth_for(10 ** 9, 64) > depth
+    coords = ann.coordinates(x, 0, depth, 11)
+    least = ann.thresholds(coords, 0, 0.25, 11)
+    picks = np.random.default_rng(8).integers(0, 128, (depth, 50000))
+    share = (sum(c[:, p] for c, p in zip(coords, picks, strict=True)) >= least[:, None]).mean(1)
+    assert abs(share - 0.25).max() < 0.03
+
+
+def test_recall_and_work_on_random_vectors():
+    """No cluster helps here: on average over nine in ten neighbours come from under half of the rows."""
+    x = np.random.default_rng(4).standard_normal((4000, 64))
+    q, depth = x[:60], ann.depth_for(4000, 64)
+    near = np.argsort(((q[:, None] - x[None]) ** 2).sum(2) + np.eye(60, 4000) * 1e9, axis=1)[:, :10]
+    seen = np.zeros((60, 4000), bool)
+    for t in range(ann.TABLES):
+        mine, rows = ann.coordinates(q, t, depth, 11), ann.coordinates(x, t, depth, 11)
+        seen |= sum(m[:, r.argmax(1)] for m, r in zip(mine, rows, strict=True)) >= ann.thresholds(mine, t, ann.PROBES, 11)[:, None]
+    assert np.take_along_axis(seen, near, 1).mean() >= 0.9 and seen.mean() < 0.5
