@@ -4,8 +4,10 @@ A listed canonical URL is looked up in two steps.  A blocked Bloom filter
 (each key sets ``BITS`` bits inside one 512-bit block) passes the possible
 hits; an exact hash join with the list removes its false positives.  The
 filter is itself a DataFrame, one row per block, so building it is a grouped
-``bit_or`` and probing it is a join on the block number: broadcast while its
-computed size is under ``broadcast_bytes``, a shuffled join beyond that.
+``bit_or`` and probing it is a join on the block number.  While its computed
+size is under ``broadcast_bytes`` it is sent to the pages, and only the possible
+hits leave their task for the exact join; beyond that size the distinct urls are
+probed by a shuffled join.
 """
 
 from __future__ import annotations
@@ -84,7 +86,23 @@ def filter_blocks_for(n_keys: int) -> int:
     return max(1, -(-n_keys * BITS_PER_KEY // 512))
 
 
-def listed_hits(candidates: DataFrame, listed: DataFrame, key: str, broadcast_bytes: int = 32 << 20) -> DataFrame:
+BROADCAST_BYTES = 32 << 20
+
+
+def filter_bytes(n_blocks: int) -> int:
+    return n_blocks * (WORDS + 1) * 8
+
+
+def _passes(key: Column) -> Column:
+    """Whether every bit of the key is set in the block beside it; false without a block."""
+    passes = None
+    for i, bit in enumerate(_words(key)):
+        hit = F.col(f"w{i}").bitwiseAND(bit) != 0
+        passes = hit if passes is None else passes & hit
+    return F.coalesce(passes, F.lit(False))
+
+
+def listed_hits(candidates: DataFrame, listed: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The distinct keys of ``candidates`` that ``listed`` holds.
 
     Null keys never match.  Candidates are first reduced to distinct keys, so
@@ -93,25 +111,44 @@ def listed_hits(candidates: DataFrame, listed: DataFrame, key: str, broadcast_by
     """
     n_blocks = filter_blocks_for(listed.agg(F.count(key)).first()[0])   # one number
     blocks = bloom_blocks(listed, key, n_blocks)
-    if n_blocks * (WORDS + 1) * 8 <= broadcast_bytes:
+    if filter_bytes(n_blocks) <= broadcast_bytes:
         blocks = F.broadcast(blocks)        # size computed above
     keys = candidates.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    probed = keys.withColumn("block", _block(F.col(key), n_blocks)).join(blocks, "block")
-    passes = None
-    for i, bit in enumerate(_words(F.col(key))):
-        hit = F.col(f"w{i}").bitwiseAND(bit) != 0
-        passes = hit if passes is None else passes & hit
-    possible = probed.where(passes).select(key)
+    possible = keys.withColumn("block", _block(F.col(key), n_blocks)).join(blocks, "block").where(_passes(F.col(key))).select(key)
     return possible.join(listed.select(key), key, "left_semi")    # exact: no false positive stays
 
 
+def with_hits(rows: DataFrame, listed: DataFrame, key: str, hit: str = "hit", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Every row, with ``hit`` true where ``listed`` (distinct keys, already written) holds its key.
+
+    Rows that the filter stops are not exchanged.  The possible hits are joined
+    with the list itself, sent to them while its keys are under
+    ``broadcast_bytes`` and dealt by key beyond (a hot key is split by the
+    adaptive skew join).  Null keys are no hits; repeated rows stay.
+    """
+    n, size = listed.agg(F.count(key), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()   # two numbers
+    n_blocks = filter_blocks_for(n)
+    if filter_bytes(n_blocks) > broadcast_bytes:
+        hits = listed_hits(rows, listed, key, broadcast_bytes).withColumn(hit, F.lit(True))
+        return rows.join(hits, key, "left").withColumn(hit, F.coalesce(hit, F.lit(False)))
+    blocks = checkpointed(bloom_blocks(listed, key, n_blocks))           # read by both branches
+    probed = (rows.withColumn("block", _block(F.col(key), n_blocks)).join(F.broadcast(blocks), "block", "left")   # size computed above
+                  .withColumn(hit, _passes(F.col(key))).drop("block", *[f"w{i}" for i in range(WORDS)]))
+    names = listed.select(key, F.lit(True).alias("_held"))
+    if size + 16 * n <= broadcast_bytes:
+        names = F.broadcast(names)
+    exact = (probed.where(F.col(hit)).join(names, key, "left").withColumn(hit, F.coalesce("_held", F.lit(False))).drop("_held"))
+    return exact.unionByName(probed.where(~F.col(hit)))
+
+
 def shared_addresses(pages: DataFrame, url: str = "url") -> DataFrame:
     """The canonical urls that more than one page row claims: ``canonical``."""
     return (pages.select(canonical(F.col(url)).alias("canonical")).where("canonical IS NOT NULL")
                  .groupBy("canonical").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("canonical"))
 
 
-def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (), url: str = "url") -> DataFrame:
+def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (), url: str = "url",
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Judge every page row: the longest fitting rule's verdict, else block what ``listed`` holds.
 
     ``pages``: ``page_id`` and the url column (others are ignored).
@@ -125,8 +162,7 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = ()
     judged = (pages.select("page_id", host.alias("host"), path.alias("path"), canonical(F.col(url)).alias("canonical"))
                    .withColumn("rule", rule).withColumn("rule_verdict", verdict))
     listed = checkpointed(listed.select("canonical").where("canonical IS NOT NULL").distinct())   # read three times
-    hits = listed_hits(judged, listed, "canonical").withColumn("hit", F.lit(True))
-    return (judged.join(hits, "canonical", "left")
-                  .select("page_id", "host", "path", "rule",
-                          F.coalesce("rule_verdict", F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"),
-                          F.coalesce("hit", F.lit(False)).alias("listed")))
+    return (with_hits(judged, listed, "canonical", "hit", broadcast_bytes)
+            .select("page_id", "host", "path", "rule",
+                    F.coalesce("rule_verdict", F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"),
+                    F.col("hit").alias("listed")))

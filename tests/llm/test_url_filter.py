@@ -31,9 +31,9 @@ def brute(pages, listed):
     return sorted(out, key=str)
 
 
-def judged(spark, pages, listed):
+def judged(spark, pages, listed, **options):
     names = spark.createDataFrame([(c, 1) for c in listed], "canonical string, page_id int")
-    got = uf.url_verdicts(spark.createDataFrame(pages, SCHEMA), names, URL_RULES).collect()
+    got = uf.url_verdicts(spark.createDataFrame(pages, SCHEMA), names, URL_RULES, **options).collect()
     return sorted(((r.page_id, r.host, r.path, r.rule, r.verdict, r.listed) for r in got), key=str)
 
 
@@ -59,3 +59,31 @@ def test_filter_passes_every_listed_key_and_few_others(spark):
 def test_shared_addresses(spark):
     got = {r.canonical for r in uf.shared_addresses(spark.createDataFrame(rows(), SCHEMA)).collect()}
     assert got == {"example.com", "example.com/en/1", "a.net/en/5"}
+
+
+def test_every_way_of_joining_agrees(spark):
+    """Filter and list broadcast, only the filter broadcast, neither: the same verdicts, a hot url and false positives among them."""
+    pages = [(100 + i, f"http://a.net/en/{i % 70}", "h", "x", "y", 1, True) for i in range(300)] + rows() * 3
+    pages += [(900 + i, "http://hot.org/a", "h", "x", "y", 1, True) for i in range(200)]
+    listed = [f"a.net/en/{i}" for i in range(0, 70, 2)] + ["hot.org/a", "x" * 3000, None]
+    filter_size = uf.filter_bytes(uf.filter_blocks_for(len(listed) - 1))
+    want = brute(pages, set(listed) - {None})
+    for limit in (1 << 25, filter_size, 0):
+        assert judged(spark, pages, listed, broadcast_bytes=limit) == want
+
+
+def test_pages_that_the_filter_stops_are_not_exchanged(spark, capsys):
+    pages = spark.createDataFrame(rows(), SCHEMA)
+    names = spark.createDataFrame([("a.net/en/5",)], "canonical string")
+    uf.url_verdicts(pages, names, URL_RULES).explain("simple")
+    assert "hashpartitioning" not in capsys.readouterr().out
+    size = uf.filter_bytes(uf.filter_blocks_for(1))     # room for the filter, not for the list
+    long = spark.createDataFrame([("a.net/" + "x" * 200,)], "canonical string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        uf.url_verdicts(pages, long, URL_RULES, broadcast_bytes=size).explain("simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    possible, stopped = re.split(r"^   \+- ", plan[plan.index("Union"):], flags=re.M)      # the union's two branches
+    assert "hashpartitioning(canonical" in possible and "hashpartitioning" not in stopped and "hit" in stopped
