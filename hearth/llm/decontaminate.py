@@ -8,13 +8,17 @@ left.  Tiles never overlap and may come in any order, so a passage whose parts
 were moved about is still covered.  An item leaks into a document when the
 tiles cover at least ``threshold`` of the item's tokens.
 
-Documents stay where they are: the benchmark, in blocks of bounded size, is
-sent to them (one pass per block), so no document is shuffled and a passage
-that a third of all documents share costs each of them one tiling.
+A benchmark of at most ``BLOCK_BYTES`` of text is sent to the documents, which
+stay where they are: no document is shuffled, and a passage that a third of all
+documents share costs each of them one tiling.  A larger one is never sent whole:
+the distinct texts' seeds are sifted by a Bloom filter of the benchmark's seeds,
+of bounded size, and only those that pass are dealt by seed to meet the items.
+Pairs that share too few seeds to reach the threshold go; the others are tiled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections import defaultdict
@@ -27,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from hearth.llm.common import U64, bound_batches, mix64
+from hearth.llm.common import BROADCAST_ROWS, U64, bound_batches, mix64, signed, stored
+from hearth.llm.url_filter import BROADCAST_BYTES, bloom_blocks, filter_blocks_for, filter_bytes, sifted
 
 MIN_MATCH = 5
 THRESHOLD = 0.6
@@ -173,14 +178,60 @@ class Index:
         return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks of about ``block_bytes`` each, one block on the driver at a time."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    for b in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-        yield [(r[0], r[1]) for r in part.collect()]
+def _seeds_of(min_match: int, min_share: float):
+    """Task: ``(key, text)`` to ``key, seed, n`` (the seed's places in the text) and ``least``: the places
+    that a text of this length must share for tiles over ``min_share`` of it, as a tile of ``n`` tokens has
+    ``n - min_match + 1`` places, at least a ``min_match``-th of its tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[str, int] = {}
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = []
+                for w in tokens(text):
+                    h = known.get(w)
+                    if h is None:
+                        h = known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+                    ids.append(h)
+                seeds, n = np.unique(window_hashes(np.array(ids, U64), min_match), return_counts=True)
+                least = max(1, int(np.ceil(min_share * len(ids) / min_match - 1e-9)))
+                yield pa.record_batch({"key": pa.array([key] * len(seeds), pa.string()), "seed": pa.array(signed(seeds)),
+                                       "n": pa.array(n.astype(np.int64)), "least": pa.array(np.full(len(seeds), least, np.int64))})
+
+    return run
+
+
+def _tiled(min_match: int, threshold: float):
+    """Task: pairs ``(key, item_key, text, item_text)`` to the tiling of those that reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, item_key, text, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(key, item_key, x["coverage"], x["tiles"]) for x in Index([(None, item)], min_match).leaks(text, threshold)]
+            yield pa.record_batch({name: pa.array([r[i] for r in out], kind) for i, (name, kind) in enumerate(
+                [("key", pa.string()), ("item_key", pa.string()), ("coverage", pa.float64()), ("tiles", pa.int64())])})
+
+    return run
+
+
+def _leaks_by_text(docs: DataFrame, items: DataFrame, min_match: int, threshold: float) -> DataFrame:
+    """``key`` (the MD5 of a text), ``item_id, coverage, tiles``, through a join on shared seeds."""
+    texts = docs.select(F.md5("text").alias("key"), F.col("text").cast("string").alias("text")).where("text != ''").dropDuplicates(["key"])
+    wanted = items.select(F.md5("text").alias("key"), "text").dropDuplicates(["key"])
+    seeds = "key string, seed long, n long, least long"
+    item_seeds = stored(wanted.mapInArrow(_seeds_of(min_match, threshold), seeds)
+                              .select(F.col("key").alias("item_key"), "seed", "n", "least"), "benchmark-seeds")
+    n_seeds = item_seeds.agg(F.count_distinct("seed")).first()[0]          # one number
+    n_blocks = min(filter_blocks_for(n_seeds), BROADCAST_BYTES // filter_bytes(1))     # past it the filter lets more through
+    blocks = F.broadcast(bloom_blocks(item_seeds, "seed", n_blocks))
+    met = sifted(texts.mapInArrow(_seeds_of(min_match, threshold), seeds).select("key", "seed"), blocks, "seed", n_blocks)
+    pairs = (met.join(item_seeds, "seed").groupBy("key", "item_key").agg(F.sum("n").alias("n"), F.first("least").alias("least"))
+                .where("n >= least").select("key", "item_key"))
+    tiling = (pairs.join(texts, "key").join(wanted.select(F.col("key").alias("item_key"), F.col("text").alias("item_text")), "item_key")
+                   .select("key", "item_key", "text", "item_text")
+                   .mapInArrow(_tiled(min_match, threshold), "key string, item_key string, coverage double, tiles long"))
+    return tiling.join(items.select(F.md5("text").alias("item_key"), "item_id"), "item_key").select("key", "item_id", "coverage", "tiles")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD,
@@ -193,29 +244,41 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH
     of them.  Null and empty texts are clean; repeated rows are each judged;
     null, empty and repeated items: an item of fewer than ``min_match`` tokens
     is never found, equal items are each reported; an empty table on either
-    side is fine.
+    side is fine.  A benchmark of more than ``block_bytes`` of text takes the
+    join on shared seeds, with the same result.
     """
     if column in docs.columns:
         raise ValueError(f"the documents already have a column {column!r}")
     bound_batches(docs.sparkSession)
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
+    if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes:
+        return _with_leaks(docs, _leaks_by_text(docs, items, min_match, threshold), column)
     out = docs.withColumn(column, F.array().cast(ArrayType(LEAK)))
     text_at, schema = docs.columns.index("text"), out.schema
-    for block in benchmark_blocks(benchmark, block_bytes):
-        if not block:
-            continue
-        items = docs.sparkSession.sparkContext.broadcast(block)   # bounded by block_bytes
-
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            index = Index(items.value, min_match)
-            for batch in batches:
-                found = [old + (index.leaks(text, threshold) if text else [])
-                         for text, old in zip(batch.column(text_at).to_pylist(),
-                                              batch.column(batch.num_columns - 1).to_pylist(), strict=True)]
-                last = pa.array(found, _ARROW_LEAK)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], last], names=batch.schema.names)
-
-        out = out.mapInArrow(run, schema)
-    return out
+    sent = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in items.collect()])   # at most block_bytes of text
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(sent.value, min_match)
+        for batch in batches:
+            found = [index.leaks(text, threshold) if text else [] for text in batch.column(text_at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, _ARROW_LEAK)], names=batch.schema.names)
+
+    return out.mapInArrow(run, schema)
+
+
+def _with_leaks(docs: DataFrame, leaks: DataFrame, column: str) -> DataFrame:
+    """The documents with the leaks of their text; sent to them while there are few, counted once written."""
+    leaks = stored(leaks, "leaks")
+    order = F.struct(F.col("item_id").isNull().alias("null"), "item_id", "coverage", "tiles")
+    grouped = leaks.groupBy(F.col("key").alias("_leak_key")).agg(F.transform(
+        F.array_sort(F.collect_list(order)), lambda x: F.struct(x["item_id"].alias("item_id"), x["coverage"].alias("coverage"),
+                                                                x["tiles"].alias("tiles"))).alias(column))
+    if leaks.count() <= BROADCAST_ROWS:
+        grouped = F.broadcast(grouped)          # a key and three numbers a row
+    key = "_leak_key"
+    return (docs.join(grouped, F.md5(docs["text"]) == F.col(key), "left")
+                .select(*[docs[f"`{c}`"] for c in docs.columns],
+                        F.coalesce(grouped[column], F.array().cast(ArrayType(LEAK))).alias(column)))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

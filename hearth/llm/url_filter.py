@@ -102,6 +102,11 @@ def _passes(key: Column) -> Column:
     return F.coalesce(passes, F.lit(False))
 
 
+def sifted(rows: DataFrame, blocks: DataFrame, key: str, n_blocks: int) -> DataFrame:
+    """The rows whose key the filter lets through; false positives among them."""
+    return rows.withColumn("block", _block(F.col(key), n_blocks)).join(blocks, "block").where(_passes(F.col(key))).select(*rows.columns)
+
+
 def listed_hits(candidates: DataFrame, listed: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The distinct keys of ``candidates`` that ``listed`` holds.
 
@@ -114,8 +119,7 @@ def listed_hits(candidates: DataFrame, listed: DataFrame, key: str, broadcast_by
     if filter_bytes(n_blocks) <= broadcast_bytes:
         blocks = F.broadcast(blocks)        # size computed above
     keys = candidates.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    possible = keys.withColumn("block", _block(F.col(key), n_blocks)).join(blocks, "block").where(_passes(F.col(key))).select(key)
-    return possible.join(listed.select(key), key, "left_semi")    # exact: no false positive stays
+    return sifted(keys, blocks, key, n_blocks).join(listed.select(key), key, "left_semi")    # exact: no false positive stays
 
 
 def with_hits(rows: DataFrame, listed: DataFrame, key: str, hit: str = "hit", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -85,8 +85,44 @@ def test_nulls_short_items_repeated_and_empty(spark):
     item = "alpha beta gamma delta epsilon zeta"
     docs = [(1, None), (2, ""), (None, item), (3, item), (3, item), (4, "x " * 30000 + item), (5, "one two")]
     items = [(7, item), (7, item), (None, item), (8, None), (9, ""), (10, "one two")]
-    got = sorted(((r.doc_id, [x.item_id for x in r.leaks]) for r in dc.find_leaks(frame(spark, docs), bench(spark, items).drop("leaks")).collect()), key=str)
     hit = [7, 7, None]
-    assert got == sorted([(1, []), (2, []), (None, hit), (3, hit), (3, hit), (4, hit), (5, [])], key=str)
+    for block in (dc.BLOCK_BYTES, 10):
+        found = dc.find_leaks(frame(spark, docs), bench(spark, items).drop("leaks"), block_bytes=block)
+        got = sorted(((r.doc_id, [x.item_id for x in r.leaks]) for r in found.collect()), key=str)
+        assert got == sorted([(1, []), (2, []), (None, hit), (3, hit), (3, hit), (4, hit), (5, [])], key=str)
     assert dc.find_leaks(frame(spark, docs), bench(spark, [])).count() == len(docs)
     assert dc.find_leaks(frame(spark, []), bench(spark, items)).collect() == []
+
+
+def dense(n_docs=40, n_items=25):
+    """Few words, so that documents and items share seeds everywhere and coverage takes every value."""
+    rng = random.Random(12)
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(3, 24)))) for i in range(n_items)]
+    docs = [(d, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 90)))) for d in range(n_docs)]
+    return items, docs
+
+
+@pytest.mark.parametrize("block", [dc.BLOCK_BYTES, 100])
+def test_whole_documents_tiled_by_definition(spark, block):
+    """Every document against every item, tiled whole: what the seeds cut away was no part of any tile."""
+    items, docs = dense()
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            p, t = item.split(), text.split()
+            share = brute_tiles(p, t, 5) / len(p)
+            if share >= 0.6 and len(p) >= 5:
+                want.setdefault(d, []).append((i, pytest.approx(share)))
+    got = dc.find_leaks(frame(spark, docs), bench(spark, items).drop("leaks"), block_bytes=block).collect()
+    assert {r.doc_id: [(x.item_id, x.coverage) for x in r.leaks] for r in got if r.leaks} == want and len(got) == len(docs)
+    assert len(want) > 5 and sum(map(len, want.values())) < len(items) * len(docs)
+
+
+def test_clashing_columns_and_long_texts_in_the_seed_join(spark):
+    """The join keeps columns named like its own, and a text of a megabyte is judged whole."""
+    item = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, "x " * 500000 + item, "k", 1), (2, "clean", "k", 2), (2, None, "k", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, block int")
+    out = dc.find_leaks(docs, bench(spark, [(1, item), (2, "y " * 30)]).drop("leaks"), block_bytes=1)
+    assert out.columns == ["doc_id", "text", "key", "block", "leaks"]
+    assert sorted((r.doc_id, r.block, [x.item_id for x in r.leaks]) for r in out.collect()) == [(1, 1, [1]), (2, 2, []), (2, 3, [])]
