@@ -34,6 +34,17 @@ def classify(df: DataFrame, rules: Sequence[tuple[Column, str]], mode: str = "fi
     return df.withColumn(out, reason)
 
 
+def with_parsed(df: DataFrame, parsed: Mapping[str, Column]) -> DataFrame:
+    """Add columns that cost a parser, each computed once per row.
+
+    They come from a generator of one row.  A filter on a column of a plain
+    projection is moved below it with a copy of the column's expression, so a
+    verdict on parsed values would run every parser over the source's own
+    expressions once per mention; below a generator no such filter goes."""
+    rest = [c for c in df.columns if c not in parsed]
+    return df.select(*rest, F.inline(F.array(F.struct(*[c.alias(n) for n, c in parsed.items()]))))
+
+
 def is_good(reason_col: str = REASON) -> Column:
     """P-13: a row is good exactly when no rule failed."""
     return F.col(reason_col).isNull()

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from hearth.functions import clean as C
 from hearth.operators.dedupe import latest
 from hearth.operators.keys import key_expr, resolve_key
-from hearth.operators.quality import BOTH, GOOD, REASON, REJECT, Classified, classified, classify
+from hearth.operators.quality import BOTH, GOOD, REASON, REJECT, Classified, classified, classify, with_parsed
 
 # Ranked key columns of each entity, matched without case, blanks and underscores.
 CUSTOMER_KEYS = ["CustomerID", "PolicyholderID", "PersonID", "ClientID", "InsuredID", "InsuredPersonID", "PartyID", "ID"]
@@ -84,28 +84,29 @@ def _reject_out(df: DataFrame, keys: Sequence[str], raw_cols: Sequence[str], now
 def silver_claim_payments(b: DataFrame, now: datetime) -> Classified:
     raw_cols = ["PaymentDate", "PaymentAmount", "OutstandingReserve", "IncurredAmount", "LargeLossFlag"]
     keyed, no_key = _missing_key_rejects(b, ["PaymentID"], "Missing PaymentID")
-    lt = latest(keyed, ["PaymentID"])
+    lt = with_parsed(latest(keyed, ["PaymentID"]), {
+        "_PaymentDate": C.safe_date("PaymentDate", C.UK),
+        **{f"_{c}": C.safe_decimal(c) for c in ("PaymentAmount", "OutstandingReserve", "IncurredAmount")}})
 
-    def bad_num(c: str) -> Column:
-        return (F.coalesce(F.trim(c), F.lit("")) != "") & C.safe_decimal(c).isNull()
+    def bad(c: str) -> Column:
+        return (F.coalesce(F.trim(c), F.lit("")) != "") & F.col(f"_{c}").isNull()
 
     rules = [
         (C.is_missing("ClaimID"), "Missing ClaimID"),
-        ((F.coalesce(F.trim("PaymentDate"), F.lit("")) != "") & C.safe_date("PaymentDate", C.UK).isNull(),
-         "Invalid PaymentDate (expected UK dd/mm/yyyy)"),
-        (bad_num("PaymentAmount"), "Invalid PaymentAmount (not numeric)"),
-        (bad_num("OutstandingReserve"), "Invalid OutstandingReserve (not numeric)"),
-        (bad_num("IncurredAmount"), "Invalid IncurredAmount (not numeric)"),
+        (bad("PaymentDate"), "Invalid PaymentDate (expected UK dd/mm/yyyy)"),
+        (bad("PaymentAmount"), "Invalid PaymentAmount (not numeric)"),
+        (bad("OutstandingReserve"), "Invalid OutstandingReserve (not numeric)"),
+        (bad("IncurredAmount"), "Invalid IncurredAmount (not numeric)"),
         (C.strict_flag_invalid("LargeLossFlag"), "Invalid LargeLossFlag (expected 0/1)"),
     ]
     cls = classify(lt, rules, "first")
     good = [
         "PaymentID", C.blank_to_null("ClaimID").alias("ClaimID"),
-        C.safe_date("PaymentDate", C.UK).alias("PaymentDate"),
-        C.safe_decimal("PaymentAmount").alias("PaymentAmount"),
+        F.col("_PaymentDate").alias("PaymentDate"),
+        F.col("_PaymentAmount").alias("PaymentAmount"),
         *[C.blank_to_null(c).alias(c) for c in ("PaymentMethod", "PaymentStatus", "ClaimType", "ClaimSeverityBand")],
-        C.safe_decimal("OutstandingReserve").alias("OutstandingReserve"),
-        C.safe_decimal("IncurredAmount").alias("IncurredAmount"),
+        F.col("_OutstandingReserve").alias("OutstandingReserve"),
+        F.col("_IncurredAmount").alias("IncurredAmount"),
         C.strict_flag("LargeLossFlag").alias("LargeLossFlag"),
         "BronzeLoadDts", "SourceFile", _at(now, "SilverLoadDts")]
     return classified(cls, good, _reject_out(cls, ["PaymentID", "ClaimID"], raw_cols, now), _verdict(), no_key)
@@ -118,18 +119,18 @@ RESERVE_DATE_FORMATS = (C.UK, C.ISO, C.YMD_SLASH, C.DMY_DASH, "yyyyMMdd")
 
 
 def silver_claim_reserves(b: DataFrame, now: datetime, as_of: date = DEFAULT_AS_OF) -> Classified:
-    snap_text = C.date_text_prefix("SnapshotDate")
-    parsed = b.select(
-        C.blank_to_null("ReserveID").alias("ReserveID"),
-        C.blank_to_null("ClaimID").alias("ClaimID"),
-        F.col("SnapshotDate").alias("SnapshotDateRaw"),
-        C.first_date(snap_text, RESERVE_DATE_FORMATS).alias("SnapshotDate"),
-        *[F.col(c).alias(f"{c}Raw") for c in ("ReserveAmount", "PreviousReserve", "ReserveChange")],
-        *[C.money(c, C.MONEY_CHARS_RESERVE).alias(c) for c in ("ReserveAmount", "PreviousReserve", "ReserveChange")],
+    amounts = ("ReserveAmount", "PreviousReserve", "ReserveChange")
+    raw = b.select(
+        "ReserveID", "ClaimID", C.date_text_prefix("SnapshotDate").alias("_snapshot"),
+        *[F.col(c).alias(f"{c}Raw") for c in ("SnapshotDate", *amounts)],
         *[C.blank_to_null(c).alias(c) for c in ("ReserveStatus", "ReserveType", "ReserveMovementType")],
         C.safe_int(C.blank_to_null("LargeReserveFlag")).alias("LargeReserveFlag"),
         C.safe_int(C.blank_to_null("LatestSnapshotFlag")).alias("LatestSnapshotFlag"),
         "BronzeLoadDts", "SourceFile")
+    parsed = with_parsed(raw, {
+        **{c: C.blank_to_null(c) for c in ("ReserveID", "ClaimID")},
+        "SnapshotDate": C.first_date("_snapshot", RESERVE_DATE_FORMATS),
+        **{c: C.money(f"{c}Raw", C.MONEY_CHARS_RESERVE) for c in amounts}})
     rules = [
         (F.col("ReserveID").isNull(), "ReserveID missing"),
         (F.col("ClaimID").isNull(), "ClaimID missing"),
@@ -267,12 +268,12 @@ def silver_policy(b: DataFrame, now: datetime) -> Classified:
     b = b.withColumnRenamed(key, "PolicyID")
     keyed, no_key = _missing_key_rejects(b, ["PolicyID"], "Missing PolicyID")
     lt = latest(keyed, ["PolicyID"], ["BronzeLoadDts", "BronzeRowID"])
-    typed = lt.select(
+    text = lt.select(
         "PolicyID", *[C.blank_to_null(c).alias(c) for c in
                       ("CustomerID", "AddressID", "BrokerID", "ProductType", "PolicyStatus", "PaymentPlan")],
-        *[C.first_date(c, POLICY_DATE_FORMATS).alias(c) for c in ("InceptionDate", "ExpiryDate", "CreatedDate")],
         F.col("InceptionDate").alias("InceptionDateRaw"), F.col("ExpiryDate").alias("ExpiryDateRaw"),
-        "BronzeRowID", "BronzeLoadDts", "SourceSystem")
+        C.first_date("CreatedDate", POLICY_DATE_FORMATS).alias("CreatedDate"), "BronzeRowID", "BronzeLoadDts", "SourceSystem")
+    typed = with_parsed(text, {c: C.first_date(f"{c}Raw", POLICY_DATE_FORMATS) for c in ("InceptionDate", "ExpiryDate")})
     # The reference keeps the latest rows that have no reject on the same key and
     # load (NOT EXISTS).  The rejects are derived from these very rows, so the
     # anti join equals the negated rule on the row itself: no second pass over the
