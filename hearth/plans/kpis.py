@@ -137,7 +137,7 @@ def k_12_sketch(wh):
     """A-DCOUNT that can be merged: one sketch of the policies with premium per
     month is stored; the year's distinct policies are the union of its months'
     sketches, here next to the exact count (lgK 14: standard error 0.8 %)."""
-    s = wh.silver("premium_transactions").select(F.trunc("TransactionDate", "month").alias("month"), "PolicyID")
+    s = staged(wh.silver("premium_transactions").select(F.trunc("TransactionDate", "month").alias("month"), "PolicyID"), "policy-months")
     monthly = staged(s.groupBy("month").agg(F.hll_sketch_agg("PolicyID", 14).alias("sketch")), "policy-sketches")
     merged = monthly.groupBy(F.year("month").alias("_y")).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("_e"))
     exact = s.groupBy(F.year("month").alias("year")).agg(F.countDistinct("PolicyID").alias("policies"))

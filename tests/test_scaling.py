@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hearth.plans import kpis
 from hearth.plans import silver as S
 from hearth.plans.model import Warehouse
 
@@ -45,3 +46,7 @@ def test_reserve_rows(spark, amount, day, reason):
         assert not reject and good[0]["ReserveID"] == "R1" and str(good[0]["SnapshotDate"]) == "2001-01-05"
     else:
         assert not good and reject[0]["RejectReason"] == reason and reject[0]["ReserveAmountRaw"] == amount and reject[0]["SnapshotDateRaw"] == day
+
+
+def test_sketches_and_exact_counts_share_one_derivation(spark):
+    assert "l_orderkey" not in _plan(kpis.k_12_sketch(Warehouse(spark, SMOKE)))
