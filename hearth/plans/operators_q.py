@@ -163,7 +163,8 @@ def e_01(wh) -> DataFrame:
     premium 0 where today's feed corrects it) brought up to date from today's
     feed by its load-time mark; summarised per year, undated rows included."""
     from hearth.plans.incremental import incremental_load
-    s = wh.silver("premium_transactions").select("PremiumTransactionID", "TransactionDate", "InstallmentNumber", "NetPremium")
+    s = staged(wh.silver("premium_transactions").select("PremiumTransactionID", "TransactionDate", "InstallmentNumber", "NetPremium"),
+               "premium-feed")                                  # target and feed read it
     known = F.coalesce(F.col("TransactionDate") <= F.lit(INCREMENTAL_CUTOFF).cast("date"), F.lit(False))
     corrected = F.col("InstallmentNumber") == 7
     day = lambda n: F.lit(wh.now.replace(day=n)).cast("timestamp")
@@ -184,8 +185,9 @@ def e_01_rollups(wh) -> DataFrame:
     brings new rows; the third corrects the last, brings late rows (and
     delivers all of the first load again, with its old load time)."""
     from hearth.plans.rollups import LOAD_COL, PremiumRollups
-    s = wh.silver("premium_transactions").select("PremiumTransactionID", "PolicyID", "TransactionDate", "NetPremium")
-    policies = wh.silver("policy").select("PolicyID", "BrokerID")
+    # every load reads both: silver is derived once
+    s = staged(wh.silver("premium_transactions").select("PremiumTransactionID", "PolicyID", "TransactionDate", "NetPremium"), "rollup-source")
+    policies = staged(wh.silver("policy").select("PolicyID", "BrokerID"), "rollup-policies")
     part = F.pmod(F.xxhash64("PremiumTransactionID"), F.lit(10))
     at = lambda df, n: df.withColumn(LOAD_COL, F.lit(wh.now.replace(day=n)).cast("timestamp"))
     first = at(s.filter(part < 7).withColumns({

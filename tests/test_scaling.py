@@ -5,9 +5,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from hearth.plans import kpis
+from hearth.plans import kpis, operators_q
 from hearth.plans import silver as S
 from hearth.plans.model import Warehouse
+from hearth.plans.rollups import PremiumRollups
 
 SMOKE = "/root/testdata/sf0.001"
 NOW = datetime(2002, 1, 1)
@@ -50,3 +51,11 @@ def test_reserve_rows(spark, amount, day, reason):
 
 def test_sketches_and_exact_counts_share_one_derivation(spark):
     assert "l_orderkey" not in _plan(kpis.k_12_sketch(Warehouse(spark, SMOKE)))
+
+
+def test_rollup_loads_share_one_derivation(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(PremiumRollups, "load", lambda self, n, feed, policies: seen.extend([_plan(feed), _plan(policies)]))
+    monkeypatch.setattr(PremiumRollups, "sums", lambda self, n: spark.range(1))
+    operators_q.e_01_rollups(Warehouse(spark, SMOKE))
+    assert len(seen) == 6 and not any("l_orderkey" in p or "o_orderkey" in p for p in seen)
