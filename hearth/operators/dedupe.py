@@ -8,7 +8,7 @@ looked at only where those are equal.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,16 +16,23 @@ from pyspark.sql import functions as F
 LOAD_TIME = "BronzeLoadDts"
 
 
-def latest(df: DataFrame, keys: Sequence[str], first: Sequence[str] | None = None) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], first: Sequence[str] | None = None,
+           asked: Collection[str] | None = None) -> DataFrame:
     """W-LATEST / -TIE / -COMP / -EXPR: one row per key, newest first.
 
     Rows compare by ``first`` (the load timestamp if omitted and present),
     then by every other column, greatest first and NULL last, so the winner
     is fully determined by the data (the reference picks arbitrarily, H-3).
+
+    ``asked`` names the columns that will be read of the result.  The columns
+    behind the last of them decide only between rows that agree in all that is
+    read, so they are not compared, and neither sorted nor shuffled.
     """
     if first is None:
         first = [LOAD_TIME] if LOAD_TIME in df.columns else []
     rest = [c for c in df.columns if c not in keys and c not in first]
+    if asked is not None:
+        rest = rest[:max((i for i, c in enumerate(rest, 1) if c in asked), default=0)]
     order = [F.col(c).desc_nulls_last() for c in (*first, *rest)] or [F.lit(0)]
     newest = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") == 1).drop("_n")

@@ -9,6 +9,7 @@ same sub-plan).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 from functools import cached_property
 
@@ -78,9 +79,11 @@ class Warehouse:
         return B.bronze(self.raw(entity), entity, self.now)
 
     # -- silver ------------------------------------------------------------
-    def classified(self, entity: str, grain: str = "declared") -> Classified:
-        """All rows of an entity with their verdict, derived from its bronze."""
+    def classified(self, entity: str, grain: str = "declared", asked: Sequence[str] | None = None) -> Classified:
+        """All rows of an entity with their verdict, derived from its bronze (``asked``: see ``S.ASKED``)."""
         fn, b = S.SILVER[entity], self.bronze(entity)
+        if asked is not None and grain == "declared" and entity in S.ASKED:
+            return fn(b, self.now, asked=asked)
         if entity == "claim_reserves":
             return fn(b, self.now, self.as_of)
         if grain == "reference" and entity in ("coverage", "policy_risk"):
@@ -112,8 +115,13 @@ class Warehouse:
             self._lines = colocated_table(self.spark, f"{self.store}/{POLICY_LINES}")
         return self._lines
 
-    def silver(self, entity: str, grain: str = "declared") -> DataFrame:
-        return self.silver_pair(entity, grain)[0]
+    def silver(self, entity: str, grain: str = "declared", columns: Sequence[str] | None = None) -> DataFrame:
+        """The good rows; with ``columns`` only those, and a derivation compares and moves no more than they need."""
+        if columns is None:
+            return self.silver_pair(entity, grain)[0]
+        if "silver" in self.stored:
+            return self.silver_pair(entity, grain)[0].select(*columns)
+        return self.classified(entity, grain, columns).good.select(*columns)
 
     def rejects(self, entity: str, grain: str = "declared") -> DataFrame:
         return self.silver_pair(entity, grain)[1]

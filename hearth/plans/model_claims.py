@@ -74,13 +74,13 @@ def tree_features(wh) -> DataFrame:
 
     Missing numbers are -1 and missing categories ``Unknown``, so a tree can
     split on them."""
-    pol = wh.silver("policy")
-    premiums = wh.silver("premium_transactions").groupBy("PolicyID").agg(
+    pol = wh.silver("policy", columns=("PolicyID", "AddressID", "BrokerID", "ProductType", "PaymentPlan", "InceptionDate", "ExpiryDate"))
+    premiums = wh.silver("premium_transactions", columns=("PolicyID", "NetPremium")).groupBy("PolicyID").agg(
         F.sum("NetPremium").cast("double").alias("net_premium"), F.count(F.lit(1)).cast("double").alias("instalments"))
-    risk = wh.silver("policy_risk").groupBy("PolicyID").agg(
+    risk = wh.silver("policy_risk", columns=("PolicyID", "RiskScore", "PriorClaimsCount", "HasAlarmFlag")).groupBy("PolicyID").agg(
         F.max("RiskScore").cast("double").alias("risk_score"), F.max("PriorClaimsCount").cast("double").alias("prior_claims"),
         F.max("HasAlarmFlag").cast("double").alias("has_alarm"))
-    claimed = wh.silver("claims").where(F.col("PolicyID").isNotNull()).select("PolicyID").distinct().withColumn("label", F.lit(1.0))
+    claimed = wh.silver("claims", columns=("PolicyID",)).where(F.col("PolicyID").isNotNull()).distinct().withColumn("label", F.lit(1.0))
     a = wh.silver("address").select("AddressID", "PropertyType", "PropertyAgeBand", "Region",
                                     F.col("Bedrooms").cast("double").alias("bedrooms"),
                                     F.col("RebuildCostEstimate").cast("double").alias("rebuild_cost"))

@@ -14,11 +14,14 @@ Common shape of every job:
 Every job returns one ``Classified`` table of all rows with their verdict; the
 good and the reject output are read from it, and a load writes it once.  Load
 timestamps are parameters.
+
+The jobs in ``ASKED`` take the columns of the good output that will be read
+(``asked``); the result has all columns, but only those are determined.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -152,16 +155,17 @@ def silver_claim_reserves(b: DataFrame, now: datetime, as_of: date = DEFAULT_AS_
 # ---------------------------------------------------------------------------
 # S-05 claims, S-07 customer, S-08 date: latest per key, stays text
 # ---------------------------------------------------------------------------
-def _latest_text(b: DataFrame, keys: Sequence[str], now: datetime, reason: str) -> Classified:
+def _latest_text(b: DataFrame, keys: Sequence[str], now: datetime, reason: str,
+                 asked: Collection[str] | None = None) -> Classified:
     keyed, no_key = _missing_key_rejects(b, keys, reason)
-    lt = latest(keyed, keys)
+    lt = latest(keyed, keys, asked=asked)
     text_cols = [c for c in b.columns if c not in keys and c not in ("BronzeLoadDts", "SourceFile")]
     good = _text_clean(lt, text_cols)
     return _all_good(good, good.columns, now, no_key, [*keys, REASON, "BronzeLoadDts", "SourceFile"])
 
 
-def silver_claims(b: DataFrame, now: datetime) -> Classified:
-    return _latest_text(b, ["ClaimID"], now, "Missing ClaimID")
+def silver_claims(b: DataFrame, now: datetime, asked: Collection[str] | None = None) -> Classified:
+    return _latest_text(b, ["ClaimID"], now, "Missing ClaimID", asked)
 
 
 def silver_customer(b: DataFrame, now: datetime) -> Classified:
@@ -263,11 +267,13 @@ def silver_operating_expenses(b: DataFrame, now: datetime) -> Classified:
 POLICY_DATE_FORMATS = (C.UK, C.ISO, C.YMD_SLASH)
 
 
-def silver_policy(b: DataFrame, now: datetime) -> Classified:
+def silver_policy(b: DataFrame, now: datetime, asked: Collection[str] | None = None) -> Classified:
     key = resolve_key(b.columns, POLICY_KEYS)[0]
     b = b.withColumnRenamed(key, "PolicyID")
     keyed, no_key = _missing_key_rejects(b, ["PolicyID"], "Missing PolicyID")
-    lt = latest(keyed, ["PolicyID"], ["BronzeLoadDts", "BronzeRowID"])
+    if asked is not None:
+        asked = {*asked, "InceptionDate", "ExpiryDate"}           # the verdict reads them
+    lt = latest(keyed, ["PolicyID"], ["BronzeLoadDts", "BronzeRowID"], asked)
     text = lt.select(
         "PolicyID", *[C.blank_to_null(c).alias(c) for c in
                       ("CustomerID", "AddressID", "BrokerID", "ProductType", "PolicyStatus", "PaymentPlan")],
@@ -293,16 +299,17 @@ def silver_policy(b: DataFrame, now: datetime) -> Classified:
 POLICY_RISK_KEYS = ["PolicyID", "RiskType"]
 
 
-def silver_policy_risk(b: DataFrame, now: datetime, keys: Sequence[str] = POLICY_RISK_KEYS) -> Classified:
+def silver_policy_risk(b: DataFrame, now: datetime, keys: Sequence[str] = POLICY_RISK_KEYS,
+                       asked: Collection[str] | None = None) -> Classified:
     keyed, no_key = _missing_key_rejects(b, list(keys), f"Missing {' or '.join(keys)}")
-    good = latest(keyed, list(keys)).drop("RiskScoreRaw", "HasAlarmRaw")
+    good = latest(keyed, list(keys), asked=asked).drop("RiskScoreRaw", "HasAlarmRaw")
     return _all_good(good, good.columns, now, no_key, [*keys, REASON, "BronzeLoadDts"])
 
 
-def silver_premium_transactions(b: DataFrame, now: datetime) -> Classified:
+def silver_premium_transactions(b: DataFrame, now: datetime, asked: Collection[str] | None = None) -> Classified:
     keys = resolve_key(b.columns, PREMIUM_KEYS, PREMIUM_COMPOSITE)
     keyed, no_key = _missing_key_rejects(b, keys, f"Missing {' or '.join(keys)}")
-    good = latest(keyed, keys).drop("TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw")
+    good = latest(keyed, keys, asked=asked).drop("TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw")
     return _all_good(good, good.columns, now, no_key,
                      [*keys, REASON, "TransactionDateRaw", "GrossPremiumRaw", "NetPremiumRaw", "BronzeLoadDts"])
 
@@ -314,3 +321,6 @@ SILVER = {
     "policy": silver_policy, "policy_risk": silver_policy_risk,
     "premium_transactions": silver_premium_transactions,
 }
+
+# Entities whose job takes the columns that will be read.
+ASKED = ("claims", "policy", "policy_risk", "premium_transactions")

@@ -5,7 +5,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from hearth.plans import kpis, operators_q
+from hearth.operators.dedupe import latest
+from hearth.plans import kpis, model_claims, operators_q
 from hearth.plans import silver as S
 from hearth.plans.model import Warehouse
 from hearth.plans.rollups import PremiumRollups
@@ -59,3 +60,28 @@ def test_rollup_loads_share_one_derivation(spark, monkeypatch):
     monkeypatch.setattr(PremiumRollups, "sums", lambda self, n: spark.range(1))
     operators_q.e_01_rollups(Warehouse(spark, SMOKE))
     assert len(seen) == 6 and not any("l_orderkey" in p or "o_orderkey" in p for p in seen)
+
+
+def test_columns_behind_the_last_asked_do_not_decide(spark):
+    """Ties, nulls and repeated rows: what is asked for is what the comparison of all columns gives."""
+    rows = [("k1", "a", None, "z"), ("k1", "b", 1, "a"), ("k1", "b", 2, None), ("k2", None, 5, "x"), ("k2", None, 5, "x"),
+            ("k3", "c", None, "q"), (None, "d", 1, "r"), (None, "d", 3, "s")]
+    df = spark.createDataFrame(rows, "k string, a string, b int, c string")
+    for asked in (["a"], ["b"], ["a", "b"], ["b", "c"], []):
+        got = latest(df, ["k"], asked=asked).select("k", *asked).collect()
+        want = latest(df, ["k"]).select("k", *asked).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want)), asked
+    assert not [line for line in _plan(latest(df, ["k"], asked=["a"]).select("a")).splitlines() if "Window" in line and "c#" in line]
+
+
+def test_silver_columns_are_the_whole_table_s(spark):
+    wh = Warehouse(spark, SMOKE)
+    for entity, columns in (("premium_transactions", ("PolicyID", "NetPremium")), ("policy_risk", ("PolicyID", "AdjustedRiskBand")),
+                            ("policy", ("PolicyID", "BrokerID", "ExpiryDate")), ("claims", ("ClaimID", "PolicyID")), ("broker", ("BrokerID", "Channel"))):
+        got, want = wh.silver(entity, columns=columns), wh.silver(entity).select(*columns)
+        assert got.schema == want.schema and got.exceptAll(want).count() == 0 == want.exceptAll(got).count(), entity
+
+
+def test_model_features_carry_no_column_they_do_not_need(spark):
+    plan = _plan(model_claims.tree_features(Warehouse(spark, SMOKE)))
+    assert not [c for c in ("TransactionStatus", "AdjustedRiskBand", "CreatedDate", "LossDate") if c in plan]
