@@ -125,8 +125,10 @@ def _minmax(df: DataFrame, weights: dict) -> DataFrame:
 def _broker_factors(wh) -> DataFrame:
     """E-04's factors per broker: loss ratio, claims frequency, volume and high-risk share."""
     b = star.rollup(wh, "broker", ["Broker"], ["policies", "loss_ratio", "claims_frequency"])
-    hr = wh.silver("policy_risk").filter(F.col("AdjustedRiskBand").isin(*K.HIGH_RISK_BANDS)).select("PolicyID").distinct()
-    pol = wh.silver("policy").select("PolicyID", F.coalesce("BrokerID", F.lit("Unknown")).alias("Broker"))
+    hr = (wh.silver("policy_risk", columns=("PolicyID", "AdjustedRiskBand"))
+            .filter(F.col("AdjustedRiskBand").isin(*K.HIGH_RISK_BANDS)).select("PolicyID").distinct())
+    # the columns that the roll-up reads, so that both share one exchange of the policies
+    pol = wh.silver("policy", columns=star.POLICY_COLUMNS).select("PolicyID", F.coalesce("BrokerID", F.lit("Unknown")).alias("Broker"))
     hr_b = hr.join(pol, "PolicyID").groupBy("Broker").agg(F.count(F.lit(1)).alias("high_risk_policies"))
     return b.join(hr_b, "Broker", "left").withColumn(
         "high_risk_share", K.ratio(F.coalesce("high_risk_policies", F.lit(0)), "policies")).drop("high_risk_policies")

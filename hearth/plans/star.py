@@ -32,13 +32,14 @@ def claim_paid(wh) -> DataFrame:
 def claims_with_paid(wh) -> DataFrame:
     """Claim grain: every claim and every paid ClaimID (full join), so claim
     counts and payments whose claim is unknown (NULL policy) both survive."""
-    claims = wh.silver("claims").select("ClaimID", "PolicyID", F.lit(1).alias("is_claim"))
+    claims = wh.silver("claims", columns=("ClaimID", "PolicyID")).withColumn("is_claim", F.lit(1))
     return claims.join(claim_paid(wh).select("ClaimID", "ClaimPaid"), "ClaimID", "full")
 
 
 _GRAIN_COLS = {"AddressID": "string", "BrokerID": "string", "PolicyStatus": "string",
                "is_policy": "int", "net": "decimal(28,2)", "gross": "decimal(28,2)", "paid": "decimal(38,2)",
                "n_claims": "bigint"}
+POLICY_COLUMNS = ("PolicyID", "AddressID", "BrokerID", "PolicyStatus")      # read of silver policy
 # What each measure is made of; a roll-up reads the inputs of its measures only.
 _INPUTS = {"policies": (), "active_policies": (), "net_premium": ("net",), "gross_premium": ("gross",),
            "claims_paid": ("paid",), "claims": ("n_claims",), "loss_ratio": ("paid", "net"),
@@ -58,9 +59,9 @@ def _side(df: DataFrame, **cols) -> DataFrame:
 
 def _claim_side(wh, needed: set[str]) -> DataFrame:
     if needed == {"n_claims"}:
-        return _side(wh.silver("claims"), n_claims=F.lit(1))
+        return _side(wh.silver("claims", columns=("ClaimID", "PolicyID")), n_claims=F.lit(1))
     if needed == {"paid"}:
-        owner = wh.silver("claims").select("ClaimID", "PolicyID")
+        owner = wh.silver("claims", columns=("ClaimID", "PolicyID"))
         return _side(claim_paid(wh).join(owner, "ClaimID", "left"), paid=F.col("ClaimPaid"))
     return _side(claims_with_paid(wh), paid=F.col("ClaimPaid"), n_claims=F.col("is_claim"))
 
@@ -68,25 +69,30 @@ def _claim_side(wh, needed: set[str]) -> DataFrame:
 def policy_grain(wh, measures: Sequence[str] = MEASURES) -> DataFrame:
     """J-MERGED: one row per policy with what ``measures`` need.
 
-    A union of the policy rows and, only if a measure needs them, the premium
-    rows and the claim rows, followed by one ``groupBy(PolicyID)``, replaces a
-    chain of full outer joins: each input is pre-aggregated map-side and the
-    whole grain costs a single shuffle on PolicyID."""
+    The premium rows and the claim rows, only if a measure needs them, are
+    united and summed by PolicyID: amounts alone, so the sums are hash
+    aggregates, pre-aggregated map-side and shuffled once.  Silver policy is one
+    row per policy and lies by PolicyID already; the sums meet it in a full
+    join, so amounts of unknown policies (and of none) stay."""
     needed = inputs_of(measures)
     lines = wh.policy_lines()
     if lines is not None and needed:
         return _grain(_stored_lines(lines, needed))
-    pol = wh.silver("policy")
-    u = _side(pol, AddressID=F.col("AddressID"), BrokerID=F.col("BrokerID"), PolicyStatus=F.col("PolicyStatus"),
-              is_policy=F.lit(1))
+    pol = wh.silver("policy", columns=POLICY_COLUMNS).withColumn("is_policy", F.lit(1))
     if not needed:
-        return u                      # silver policy is one row per policy already
+        return _side(pol, **{c: F.col(c) for c in (*POLICY_COLUMNS[1:], "is_policy")})
+    sides = []
     if needed & {"net", "gross"}:
-        amounts = {c: F.col(n) for c, n in (("net", "NetPremium"), ("gross", "GrossPremium")) if c in needed}
-        u = u.unionByName(_side(wh.silver("premium_transactions"), **amounts))
+        amounts = {c: n for c, n in (("net", "NetPremium"), ("gross", "GrossPremium")) if c in needed}
+        premiums = wh.silver("premium_transactions", columns=("PolicyID", *amounts.values()))
+        sides.append(_side(premiums, **{c: F.col(n) for c, n in amounts.items()}))
     if needed & {"paid", "n_claims"}:
-        u = u.unionByName(_claim_side(wh, needed & {"paid", "n_claims"}))
-    return _grain(u)
+        sides.append(_claim_side(wh, needed & {"paid", "n_claims"}))
+    rows = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+    sums = rows.groupBy("PolicyID").agg(*[
+        F.sum(c).alias(c) if c in needed else F.lit(None).cast("bigint" if c == "n_claims" else "decimal(38,2)").alias(c)
+        for c in ("net", "gross", "paid", "n_claims")])
+    return pol.join(sums, "PolicyID", "full")
 
 
 def policy_lines(wh) -> DataFrame:

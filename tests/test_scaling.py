@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators.dedupe import latest
-from hearth.plans import kpis, model_claims, operators_q
+from hearth.plans import kpis, model_claims, operators_q, star
 from hearth.plans import silver as S
 from hearth.plans.model import Warehouse
 from hearth.plans.rollups import PremiumRollups
@@ -85,3 +85,47 @@ def test_silver_columns_are_the_whole_table_s(spark):
 def test_model_features_carry_no_column_they_do_not_need(spark):
     plan = _plan(model_claims.tree_features(Warehouse(spark, SMOKE)))
     assert not [c for c in ("TransactionStatus", "AdjustedRiskBand", "CreatedDate", "LossDate") if c in plan]
+
+
+def test_broker_factors_carry_no_column_they_do_not_need(spark):
+    plan = _plan(operators_q._broker_factors(Warehouse(spark, SMOKE)))
+    assert not [c for c in ("TransactionStatus", "RiskDataCompletenessScore", "CreatedDate", "LossDate") if c in plan]
+
+
+def test_policy_grain_sums_amounts_by_hash_and_sorts_no_wide_rows(spark):
+    df = star.policy_grain(Warehouse(spark, SMOKE))
+    assert "SortAggregate" not in df._jdf.queryExecution().sparkPlan().toString()
+
+
+class _Silver:
+    """A warehouse of given silver rows."""
+
+    def __init__(self, **tables):
+        self.tables = tables
+
+    def silver(self, entity, columns=None):
+        return self.tables[entity].select(*columns) if columns else self.tables[entity]
+
+    def policy_lines(self):
+        return None
+
+
+def test_policy_grain_keeps_amounts_of_unknown_policies(spark):
+    money = "decimal(18,2)"
+    wh = _Silver(
+        policy=spark.createDataFrame([("P1", "A1", "B1", "Active"), ("P2", None, None, None), ("P3", "A1", "B2", "Lapsed")],
+                                     "PolicyID string, AddressID string, BrokerID string, PolicyStatus string"),
+        premium_transactions=spark.sql(f"""SELECT PolicyID, cast(g AS {money}) AS GrossPremium, cast(n AS {money}) AS NetPremium
+            FROM VALUES ('P1', 3, 1), ('P1', 3, 1), ('P9', 5, NULL), (NULL, 2, 2) AS t(PolicyID, g, n)"""),
+        claims=spark.createDataFrame([("C1", "P1"), ("C2", "P1"), ("C3", None), ("C4", "P3")], "ClaimID string, PolicyID string"),
+        claim_payments=spark.sql(f"SELECT ClaimID, cast(a AS {money}) AS PaymentAmount FROM VALUES ('C1', 4), ('C1', 4), ('C7', 9) AS t(ClaimID, a)"))
+    rows = lambda *m: sorted((tuple(r) for r in star.policy_grain(wh, *m).collect()), key=repr)
+    num = lambda r: tuple(int(x) if x is not None and not isinstance(x, str) else x for x in r)
+    assert [num(r) for r in rows()] == sorted([
+        ("P1", "A1", "B1", "Active", 1, 2, 6, 8, 2), ("P2", None, None, None, 1, None, None, None, None),
+        ("P3", "A1", "B2", "Lapsed", 1, None, None, None, 1), ("P9", None, None, None, None, None, 5, None, None),
+        (None, None, None, None, None, 2, 2, 9, 1)], key=repr)
+    assert [num(r) for r in rows(["net_premium"])] == sorted([
+        ("P1", "A1", "B1", "Active", 1, 2, None, None, None), ("P2", None, None, None, 1, None, None, None, None),
+        ("P3", "A1", "B2", "Lapsed", 1, None, None, None, None), ("P9", None, None, None, None, None, None, None, None),
+        (None, None, None, None, None, 2, None, None, None)], key=repr)
