@@ -26,12 +26,16 @@ def latest(df: DataFrame, keys: Sequence[str], first: Sequence[str] | None = Non
 
     ``asked`` names the columns that will be read of the result.  The columns
     behind the last of them decide only between rows that agree in all that is
-    read, so they are not compared, and neither sorted nor shuffled.
+    read, so they are not compared, and neither sorted nor shuffled.  If nothing
+    but keys is asked for, any row of a key will do: keys are grouped by hash,
+    per map task first, without a sort.
     """
     if first is None:
         first = [LOAD_TIME] if LOAD_TIME in df.columns else []
     rest = [c for c in df.columns if c not in keys and c not in first]
     if asked is not None:
+        if not set(asked) & {*first, *rest}:
+            return df.dropDuplicates(list(keys))
         rest = rest[:max((i for i, c in enumerate(rest, 1) if c in asked), default=0)]
     order = [F.col(c).desc_nulls_last() for c in (*first, *rest)] or [F.lit(0)]
     newest = Window.partitionBy(*keys).orderBy(*order)

@@ -289,7 +289,8 @@ def v_21(wh):
 
 
 def _sides(df, *roles):
-    """Each row's keys as ``relation, k, dim``: one scan of a table for all relations it has a part in."""
+    """Each row's keys as ``relation, k, dim``: one scan of a table for all relations it has a part in.
+    A relation goes by its number, so millions of keys carry no name."""
     return (df.select(F.explode(F.array(*[F.struct(F.lit(r).alias("relation"), F.col(c).cast("string").alias("k"), F.lit(d).alias("dim"))
                                           for r, c, d in roles])).alias("e"))
               .select("e.*").filter(F.col("k").isNotNull()))
@@ -299,33 +300,35 @@ def v_22(wh):
     """Referential integrity fact -> dimension (J-XCHECK) in one pass: the keys
     of both sides of all relations are tagged, united and grouped once; a key
     that no dimension row has is an orphan as often as facts use it.  Counts are
-    combined map-side, so a hot key is one row per task."""
+    combined map-side, so a hot key is one row per task.  Silver is asked for the
+    keys only."""
     s, g = wh.silver, wh.gold
     fact, dim = 0, 1
-    payments, reserves = "payments.ClaimID->claims", "reserves.ClaimID->claims"
-    premiums, claims = "premiums.PolicyID->policy", "claims.PolicyID->policy"
-    broker, address = "policy.BrokerID->broker", "policy.AddressID->address"
-    # the two relations the reference declares as constraints, and the coverage lookup
-    category, month, coverage = "expenses.ExpenseCategory->category", "expenses.ExpenseMonth->date", "coverage.CoverageKey->coverage"
-    names = (payments, premiums, claims, broker, address, reserves, category, month, coverage)
+    names = ("payments.ClaimID->claims", "premiums.PolicyID->policy", "claims.PolicyID->policy", "policy.BrokerID->broker",
+             "policy.AddressID->address", "reserves.ClaimID->claims",
+             # the two relations the reference declares as constraints, and the coverage lookup
+             "expenses.ExpenseCategory->category", "expenses.ExpenseMonth->date", "coverage.CoverageKey->coverage")
+    payments, premiums, claims, broker, address, reserves, category, month, coverage = range(len(names))
     sides = _union([
-        _sides(s("claims"), (payments, "ClaimID", dim), (reserves, "ClaimID", dim), (claims, "PolicyID", fact)),
-        _sides(s("claim_payments"), (payments, "ClaimID", fact)),
-        _sides(s("claim_reserves"), (reserves, "ClaimID", fact)),
-        _sides(s("premium_transactions"), (premiums, "PolicyID", fact)),
-        _sides(s("policy"), (premiums, "PolicyID", dim), (claims, "PolicyID", dim), (broker, "BrokerID", fact), (address, "AddressID", fact)),
-        _sides(s("broker"), (broker, "BrokerID", dim)),
-        _sides(s("address"), (address, "AddressID", dim)),
+        _sides(s("claims", columns=("ClaimID", "PolicyID")), (payments, "ClaimID", dim), (reserves, "ClaimID", dim), (claims, "PolicyID", fact)),
+        _sides(s("claim_payments", columns=("ClaimID",)), (payments, "ClaimID", fact)),
+        _sides(s("claim_reserves", columns=("ClaimID",)), (reserves, "ClaimID", fact)),
+        _sides(s("premium_transactions", columns=("PolicyID",)), (premiums, "PolicyID", fact)),
+        _sides(s("policy", columns=("PolicyID", "BrokerID", "AddressID")), (premiums, "PolicyID", dim), (claims, "PolicyID", dim),
+               (broker, "BrokerID", fact), (address, "AddressID", fact)),
+        _sides(s("broker", columns=("BrokerID",)), (broker, "BrokerID", dim)),
+        _sides(s("address", columns=("AddressID",)), (address, "AddressID", dim)),
         _sides(g.expense_typed, (category, "ExpenseCategory", fact), (month, "ExpenseMonth", fact)),
         _sides(g.expense_categories, (category, "ExpenseCategory", dim)),
         _sides(g.dim_date, (month, "FullDate", dim)),
-        _sides(g.coverage_lines, (coverage, "CoverageKey", fact)),
+        _sides(g.coverage_keys, (coverage, "CoverageKey", fact)),
         _sides(g.dim_coverage, (coverage, "CoverageKey", dim)),
         # every relation has its row, also without keys
-        wh.spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("relation"), F.lit(None).cast("string").alias("k"),
+        wh.spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in range(len(names))])).alias("relation"), F.lit(None).cast("string").alias("k"),
                                  F.lit(dim).alias("dim"))])
     keys = sides.groupBy("relation", "k").agg(F.count_if(F.col("dim") == fact).alias("uses"), F.max("dim").alias("dim"))
-    return present(keys.groupBy("relation").agg(F.coalesce(F.sum(F.when(F.col("dim") == fact, F.col("uses"))), F.lit(0)).alias("orphans")))
+    orphans = keys.groupBy("relation").agg(F.coalesce(F.sum(F.when(F.col("dim") == fact, F.col("uses"))), F.lit(0)).alias("orphans"))
+    return present(orphans.withColumn("relation", F.array(*[F.lit(n) for n in names])[F.col("relation")]))
 
 
 def v_23(wh):

@@ -112,7 +112,7 @@ class Gold:
 
     @stored
     def dim_coverage(self) -> DataFrame:
-        return dim_coverage_from(self.wh.silver("coverage"), self.now, self.wh.previous("dim_coverage"))
+        return dim_coverage_from(self.wh.silver("coverage", columns=("CoverageType",)), self.now, self.wh.previous("dim_coverage"))
 
     @stored
     def dim_customers(self) -> DataFrame:
@@ -230,11 +230,18 @@ class Gold:
         return _stamp(assign_key(j, ["ExpenseMonth", "ExpenseCategory", "ExpenseAmount", "InflationAdjustedAmount",
                                      "PreviousMonthAmount", "MoMVariance", "Currency"], "OperatingExpenseKey"), self.now)
 
+    def _with_coverage_key(self, s: DataFrame) -> DataFrame:
+        return lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
+
     @cached_property
     def coverage_lines(self) -> DataFrame:
         """The rows of F-05 without their surrogate key: coverage rows + CoverageKey lookup (-1 when absent)."""
-        s = self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile")
-        return lookup_key(s, self.dim_coverage, normalised_cover(F.col("CoverageType")), "CoverageType", "CoverageKey")
+        return self._with_coverage_key(self.wh.silver("coverage").drop("SilverLoadDts", "BronzeLoadDts", "SourceFile"))
+
+    @cached_property
+    def coverage_keys(self) -> DataFrame:
+        """The CoverageKey of every row of F-05, which reads the type alone."""
+        return self._with_coverage_key(self.wh.silver("coverage", columns=("CoverageType",))).select("CoverageKey")
 
     @stored
     def fact_policy_coverage(self) -> DataFrame:

@@ -168,9 +168,9 @@ def silver_claims(b: DataFrame, now: datetime, asked: Collection[str] | None = N
     return _latest_text(b, ["ClaimID"], now, "Missing ClaimID", asked)
 
 
-def silver_customer(b: DataFrame, now: datetime) -> Classified:
+def silver_customer(b: DataFrame, now: datetime, asked: Collection[str] | None = None) -> Classified:
     key = resolve_key(b.columns, CUSTOMER_KEYS)
-    return _latest_text(b, key, now, f"Missing {key[0]}")
+    return _latest_text(b, key, now, f"Missing {key[0]}", asked)
 
 
 def silver_date(b: DataFrame, now: datetime) -> Classified:
@@ -213,9 +213,9 @@ def silver_address(b: DataFrame, now: datetime) -> Classified:
 # ---------------------------------------------------------------------------
 # S-02 broker
 # ---------------------------------------------------------------------------
-def silver_broker(b: DataFrame, now: datetime) -> Classified:
+def silver_broker(b: DataFrame, now: datetime, asked: Collection[str] | None = None) -> Classified:
     keyed, no_key = _missing_key_rejects(b, ["BrokerID"], "Missing BrokerID")
-    lt = latest(keyed, ["BrokerID"])
+    lt = latest(keyed, ["BrokerID"], asked=asked)
     good = [
         "BrokerID", *[C.blank_to_null(c).alias(c) for c in
                       ("BrokerName", "Channel", "Region", "Status", "CommissionModel", "BrokerSizeBand")],
@@ -233,10 +233,11 @@ def silver_broker(b: DataFrame, now: datetime) -> Classified:
 COVERAGE_KEYS = ["PolicyID", "CoverageType"]
 
 
-def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = None) -> Classified:
+def silver_coverage(b: DataFrame, now: datetime, keys: Sequence[str] | None = None,
+                    asked: Collection[str] | None = None) -> Classified:
     keys = list(keys) if keys else resolve_key(b.columns, COVERAGE_ID_KEYS, COVERAGE_KEYS)
     keyed, no_key = _missing_key_rejects(b, keys, f"Missing {' or '.join(keys)}")
-    lt = latest(keyed, keys)
+    lt = latest(keyed, keys, asked=asked)
     good = [
         *keys, *[C.blank_to_null(c).alias(c) for c in ("ExcessBand", "CoverageTier") + (
             () if "CoverageType" in keys else ("CoverageType",))],
@@ -323,4 +324,4 @@ SILVER = {
 }
 
 # Entities whose job takes the columns that will be read.
-ASKED = ("claims", "policy", "policy_risk", "premium_transactions")
+ASKED = ("broker", "claims", "coverage", "customer", "policy", "policy_risk", "premium_transactions")

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators.dedupe import latest
-from hearth.plans import kpis, model_claims, operators_q, star
+from hearth.plans import audits, kpis, model_claims, operators_q, star
 from hearth.plans import silver as S
 from hearth.plans.model import Warehouse
 from hearth.plans.rollups import PremiumRollups
+from hearth.sources import testviews
 
 SMOKE = "/root/testdata/sf0.001"
 NOW = datetime(2002, 1, 1)
@@ -19,6 +20,10 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
 def test_reserve_parsers_run_once_per_row(spark):
     """Five date formats and three amounts, for both snapshots of the source at once and not again in the verdict's filter."""
     plan = _plan(Warehouse(spark, SMOKE).silver("claim_reserves").select("ReserveAmount", "SnapshotDate"))
@@ -74,10 +79,46 @@ def test_columns_behind_the_last_asked_do_not_decide(spark):
     assert not [line for line in _plan(latest(df, ["k"], asked=["a"]).select("a")).splitlines() if "Window" in line and "c#" in line]
 
 
+def test_keys_alone_are_grouped_without_a_sort(spark):
+    df = spark.createDataFrame([("k1", "a"), ("k1", "b"), ("k2", None), (None, "c"), (None, "c")], "k string, a string")
+    keys = latest(df, ["k"], asked=["k"]).select("k")
+    assert sorted(map(repr, keys.collect())) == sorted(map(repr, latest(df, ["k"]).select("k").collect()))
+    plan = keys._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and "Window" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize(("entity", "keys", "column"), [
+    ("broker", ("BrokerID",), "Channel"), ("coverage", ("PolicyID", "CoverageType"), "CoverageTier"), ("customer", ("CustomerID",), "LastName"),
+    ("claims", ("ClaimID",), "PolicyID"), ("policy", ("PolicyID",), "BrokerID")])
+def test_asked_columns_of_repeated_and_missing_keys(spark, entity, keys, column):
+    """Ties, blank and missing keys, a later load: keys and asked columns are those of the whole rows."""
+    names = [n for n, _ in testviews.VIEWS[entity].cols if n != "SourceLine"]
+    days = {"InceptionDate": ("2001-01-05", "2001-01-05", "2001-06-01"), "ExpiryDate": ("2002-01-05", "2001-01-01", "2002-06-01")}
+    rows = [tuple(k if n in keys else days[n][i % 3] if n in days else v if n == column else f"x{i % 4}" for n in names) + (load,)
+            for i, (k, v, load) in enumerate([("1", "a", NOW), ("1", "b", NOW), (" 1 ", "b", NOW), ("2", None, NOW), ("2", "z", datetime(2001, 1, 1)),
+                                              ("", "c", NOW), (None, "c", NOW), ("3", "d", NOW), ("3", "d", NOW)])]
+    extra = ", BronzeLoadDts timestamp"
+    b = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names) + extra).withColumn("SourceFile", F.lit("f.csv"))
+    b = b.withColumns({"SourceSystem": F.lit("s"), "BronzeRowID": F.lit(1).cast("bigint")}) if entity == "policy" else b
+    whole = S.SILVER[entity](b, NOW)
+    for asked in ((), keys, (*keys, column)):
+        part, cols = S.SILVER[entity](b, NOW, asked=asked), asked or keys
+        assert part.rows.schema.names == whole.rows.schema.names
+        assert _rows(part.good.select(*cols)) == _rows(whole.good.select(*cols)), asked
+        assert part.reject.count() == whole.reject.count(), asked
+
+
+def test_reference_checks_carry_keys_only(spark):
+    plan = _plan(audits.v_22(Warehouse(spark, SMOKE)))
+    assert not [c for c in ("TransactionStatus", "LossDate", "PaymentPlan", "CoverageLimit", "CommissionModel") if c in plan]
+
+
 def test_silver_columns_are_the_whole_table_s(spark):
     wh = Warehouse(spark, SMOKE)
     for entity, columns in (("premium_transactions", ("PolicyID", "NetPremium")), ("policy_risk", ("PolicyID", "AdjustedRiskBand")),
-                            ("policy", ("PolicyID", "BrokerID", "ExpiryDate")), ("claims", ("ClaimID", "PolicyID")), ("broker", ("BrokerID", "Channel"))):
+                            ("policy", ("PolicyID", "BrokerID", "ExpiryDate")), ("claims", ("ClaimID", "PolicyID")), ("broker", ("BrokerID", "Channel")),
+                            ("coverage", ("PolicyID", "CoverageType")), ("coverage", ("CoverageLimit",)), ("customer", ("CustomerID", "Email")),
+                            ("claims", ("ClaimID",)), ("broker", ("BrokerID",))):
         got, want = wh.silver(entity, columns=columns), wh.silver(entity).select(*columns)
         assert got.schema == want.schema and got.exceptAll(want).count() == 0 == want.exceptAll(got).count(), entity
 
