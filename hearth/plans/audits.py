@@ -101,7 +101,8 @@ def _counts(wh, layer, entity, derive):
 
 def v_01(wh):
     """Row counts across all layers (raw, bronze, silver, reject, gold) per entity.
-    Over a store they are the counts taken while it was written."""
+    Over a store they are the counts taken while it was written; else every layer
+    is derived as far as its number of rows depends on it."""
     counted = wh.counted()
     if counted is not None:
         table_of = F.create_map(*[F.lit(v) for e in ENTITIES for v in (GOLD_OF[e], e)])
@@ -109,6 +110,7 @@ def v_01(wh):
         return present(c.filter(F.col("entity").isin(*ENTITIES)).groupBy("entity").agg(
             *[F.max(F.when(F.col("layer") == layer, F.col("rows"))).alias(f"{layer}_rows")
               for layer in ("raw", "bronze", "silver", "reject", "gold")]))
+    wh = wh.counting()
     rows = [recon({"raw_rows": wh.raw(e), "bronze_rows": wh.bronze(e), "silver_rows": wh.silver(e),
                    "reject_rows": wh.rejects(e), "gold_rows": wh.gold.unnumbered(GOLD_OF[e])})
             .select(F.lit(e).alias("entity"), "*") for e in ENTITIES]

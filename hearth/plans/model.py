@@ -56,12 +56,19 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, now: datetime = DEFAULT_NOW,
                  as_of: date = DEFAULT_AS_OF, store: str | None = None,
-                 stored: tuple[str, ...] = ("bronze", "silver", "gold"), previous_store: str | None = None):
+                 stored: tuple[str, ...] = ("bronze", "silver", "gold"), previous_store: str | None = None,
+                 asked: Sequence[str] | None = None):
+        self.asked = asked              # what is read of every silver table, if not all
         self.spark, self.sf_dir, self.now, self.as_of = spark, sf_dir, now, as_of
         self.store, self.stored, self.previous_store = store, (stored if store else ()), previous_store
         self._silver: dict[str, tuple[DataFrame, DataFrame]] = {}
         self._lines: DataFrame | None = None
 
+    def counting(self) -> Warehouse:
+        """The same tables for counting their rows: derivations determine keys and verdicts alone,
+        so a whole row is neither compared, sorted nor shuffled where neither needs it."""
+        return Warehouse(self.spark, self.sf_dir, self.now, self.as_of, self.store, self.stored, self.previous_store, asked=())
+
     def previous(self, dimension: str) -> DataFrame | None:
         """The image of a dimension that the load before this one wrote, if there was one."""
         return self.spark.read.parquet(f"{self.previous_store}/gold/{dimension}") if self.previous_store else None
@@ -82,6 +89,7 @@ class Warehouse:
     def classified(self, entity: str, grain: str = "declared", asked: Sequence[str] | None = None) -> Classified:
         """All rows of an entity with their verdict, derived from its bronze (``asked``: see ``S.ASKED``)."""
         fn, b = S.SILVER[entity], self.bronze(entity)
+        asked = self.asked if asked is None else asked
         if asked is not None and grain == "declared" and entity in S.ASKED:
             return fn(b, self.now, asked=asked)
         if entity == "claim_reserves":

@@ -113,6 +113,22 @@ def test_reference_checks_carry_keys_only(spark):
     assert not [c for c in ("TransactionStatus", "LossDate", "PaymentPlan", "CoverageLimit", "CommissionModel") if c in plan]
 
 
+@pytest.mark.parametrize("audit", [audits.v_01])
+def test_row_counts_carry_no_column_they_do_not_need(spark, audit):
+    plan = _plan(audit(Warehouse(spark, SMOKE)))
+    assert not [c for c in ("TransactionStatus", "LossDate", "PaymentPlan", "CoverageLimit", "CommissionModel", "LifeStageSegment",
+                            "RiskDataCompletenessScore") if c in plan]
+
+
+def test_counting_counts_what_the_whole_rows_count(spark):
+    wh = Warehouse(spark, SMOKE)
+    few, ones = wh.counting(), F.count(F.lit(1))
+    for entity in ("broker", "claims", "coverage", "customer", "policy"):
+        assert few.silver(entity).columns == wh.silver(entity).columns
+        assert _rows(few.silver(entity).agg(ones)) == _rows(wh.silver(entity).agg(ones)), entity
+        assert _rows(few.rejects(entity).agg(ones)) == _rows(wh.rejects(entity).agg(ones)), entity
+
+
 def test_silver_columns_are_the_whole_table_s(spark):
     wh = Warehouse(spark, SMOKE)
     for entity, columns in (("premium_transactions", ("PolicyID", "NetPremium")), ("policy_risk", ("PolicyID", "AdjustedRiskBand")),
