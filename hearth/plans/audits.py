@@ -363,6 +363,7 @@ def v_24(wh):
     if counted is not None:
         loaded = counted.filter(F.col("layer").isin("bronze", "silver") & F.col("entity").isin(*ENTITIES))
         return present(_union([*source, loaded.select("layer", F.col("entity").alias("source"), "rows", (F.col("rows") > 0).cast("int").alias("ok"))]))
+    wh = wh.counting()
     return present(_union([*source, *[line("bronze", e, lambda e=e: wh.bronze(e)) for e in ENTITIES],
                            *[line("silver", e, lambda e=e: wh.silver(e)) for e in ENTITIES]]))
 

@@ -113,7 +113,7 @@ def test_reference_checks_carry_keys_only(spark):
     assert not [c for c in ("TransactionStatus", "LossDate", "PaymentPlan", "CoverageLimit", "CommissionModel") if c in plan]
 
 
-@pytest.mark.parametrize("audit", [audits.v_01])
+@pytest.mark.parametrize("audit", [audits.v_01, audits.v_24])
 def test_row_counts_carry_no_column_they_do_not_need(spark, audit):
     plan = _plan(audit(Warehouse(spark, SMOKE)))
     assert not [c for c in ("TransactionStatus", "LossDate", "PaymentPlan", "CoverageLimit", "CommissionModel", "LifeStageSegment",
